@@ -10,6 +10,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from feedweir.functions.literals import literal
+
 
 def _paths(kind: T.DataType, prefix: str = "") -> list[str]:
     """Dotted paths of a type; arrays of structs are looked into, maps are not."""
@@ -170,5 +172,5 @@ def synthetic(
 def with_future_rows(df: DataFrame, cursor: str, run_start: dt.datetime, order_by: Sequence[str], k: int) -> DataFrame:
     """``k`` rows again with a cursor past the moment a run began, to prove that a read stops there."""
     late = df.orderBy(*order_by).limit(k)
-    shifted = late.withColumn(cursor, F.lit(run_start + dt.timedelta(hours=1)).cast(df.schema[cursor].dataType))
+    shifted = late.withColumn(cursor, literal(run_start + dt.timedelta(hours=1), df.schema[cursor].dataType))
     return df.unionByName(shifted)

@@ -11,6 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from feedweir.functions.literals import literal
 from feedweir.operators.ordering import with_nearest
 
 
@@ -54,13 +55,13 @@ def children_of_changed(
     parents: DataFrame, children: DataFrame, on: str, updated: str, since: object, cursor: str
 ) -> DataFrame:
     """Children of parents updated since the watermark that are themselves newer than it."""
-    changed = parents.filter(F.col(updated) >= F.lit(since)).select(on)
-    return children.filter(F.col(cursor) > F.lit(since)).join(changed, on, "left_semi")
+    changed = parents.filter(F.col(updated) >= literal(since, parents.schema[updated].dataType)).select(on)
+    return children.filter(F.col(cursor) > literal(since, children.schema[cursor].dataType)).join(changed, on, "left_semi")
 
 
 def dirty_parents(parents: DataFrame, children: DataFrame, on: str, cursor: str, since: object) -> DataFrame:
     """Parents with at least one child newer than ``since``."""
-    newer = children.filter(F.col(cursor) > F.lit(since)).select(on).distinct()
+    newer = children.filter(F.col(cursor) > literal(since, children.schema[cursor].dataType)).select(on).distinct()
     return parents.join(newer, on, "left_semi")
 
 
@@ -78,7 +79,7 @@ def members(profiles: DataFrame, cohorts: DataFrame, profile_key: str, member_id
 
 def overlapping(df: DataFrame, start: str, end: str, low: object, high: object) -> DataFrame:
     """Intervals that overlap ``[low, high]``; an interval without end is still open."""
-    return df.filter((F.col(start) <= F.lit(high)) & (F.col(end).isNull() | (F.col(end) >= F.lit(low))))
+    return df.filter((F.col(start) <= literal(high, df.schema[start].dataType)) & (F.col(end).isNull() | (F.col(end) >= literal(low, df.schema[end].dataType))))
 
 
 def frame_elements(frames: DataFrame, key: str, primary: str, referenced: str) -> DataFrame:

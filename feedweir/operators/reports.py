@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from feedweir.functions.filters import condition
+from feedweir.functions.literals import literal
 from feedweir.operators.ordering import with_neighbour
 
 MAX_DIMENSIONS = 9
@@ -55,9 +56,9 @@ def report(
         raise ValueError(f"unknown dimensions {', '.join(unknown)}; available: {', '.join(sorted(known))}")
     rows = df
     if start is not None:
-        rows = rows.filter(F.col(ts) >= F.lit(start))
+        rows = rows.filter(F.col(ts) >= literal(start, df.schema[ts].dataType))
     if end is not None:
-        rows = rows.filter(F.col(ts) < F.lit(end + dt.timedelta(days=1)))
+        rows = rows.filter(F.col(ts) < literal(end + dt.timedelta(days=1), df.schema[ts].dataType))
     with_dims = rows.withColumns({f"__d_{n}": c for n, c in named.items()})
     if dim_filter is not None:
         shape = with_dims.select(*[F.col(f"__d_{n}").alias(n) for n in named]).schema

@@ -15,11 +15,12 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from feedweir.functions.cursors import pk_ordinal
+from feedweir.functions.literals import literal
 from feedweir.operators.ordering import leading_groups, with_ordinal, with_running_total
 
 
-def _column(value: object) -> Column:
-    return value if isinstance(value, Column) else F.lit(value)
+def _bound(df: DataFrame, cursor: str, value: object) -> Column:
+    return literal(value, df.schema[cursor].dataType)
 
 
 # ---------------------------------------------------------------- plain bounds
@@ -27,7 +28,7 @@ def _column(value: object) -> Column:
 
 def slice_after(df: DataFrame, cursor: str, since: object = None) -> DataFrame:
     """Rows strictly after ``since``; everything on the first run."""
-    return df if since is None else df.filter(F.col(cursor) > _column(since))
+    return df if since is None else df.filter(F.col(cursor) > _bound(df, cursor, since))
 
 
 def slice_range(
@@ -35,45 +36,47 @@ def slice_range(
 ) -> DataFrame:
     """Rows up to ``high``, from ``low`` on (included or not); an open bound is None."""
     if low is not None:
-        df = df.filter(F.col(cursor) >= _column(low)) if low_inclusive else df.filter(F.col(cursor) > _column(low))
-    return df if high is None else df.filter(F.col(cursor) <= _column(high))
+        bound = _bound(df, cursor, low)
+        df = df.filter(F.col(cursor) >= bound) if low_inclusive else df.filter(F.col(cursor) > bound)
+    return df if high is None else df.filter(F.col(cursor) <= _bound(df, cursor, high))
 
 
 def slice_from_revision(df: DataFrame, revision: str, start: object = None) -> tuple[DataFrame, DataFrame]:
     """Rows with ``revision >= start``; the next start is the greatest revision plus one."""
-    rows = df if start is None else df.filter(F.col(revision) >= _column(start))
+    rows = df if start is None else df.filter(F.col(revision) >= _bound(df, revision, start))
     following = F.max(revision) + 1
-    return rows, rows.agg(F.coalesce(following, _column(start)).alias("cursor"))
+    return rows, rows.agg(F.coalesce(following, _bound(df, revision, start)).alias("cursor"))
 
 
 def exclusive_of(df: DataFrame, cursor: str, since: object) -> DataFrame:
     """Strict bound applied to rows a source returned with ``>=``."""
-    return slice_range(df, cursor, since, low_inclusive=True).filter(F.col(cursor) != _column(since))
+    return slice_range(df, cursor, since, low_inclusive=True).filter(F.col(cursor) != _bound(df, cursor, since))
 
 
 def advance(previous: object, seen: Column) -> Column:
     """The watermark never moves back; nulls lose."""
-    return F.greatest(_column(previous), seen)
+    return F.greatest(literal(previous), seen)
 
 
 def watermark(df: DataFrame, cursor: str, previous: object = None) -> DataFrame:
     """One-row state after delivering ``df``."""
     top = F.max(cursor)
-    return df.agg((top if previous is None else advance(previous, top)).alias("cursor"))
+    return df.agg((top if previous is None else advance(_bound(df, cursor, previous), top)).alias("cursor"))
 
 
 def cap_at_run_start(
     df: DataFrame, cursor: str, run_start: object, previous: object = None
 ) -> tuple[DataFrame, DataFrame]:
     """Neither the rows nor the stored cursor pass the moment the run began."""
-    rows = df.filter(F.col(cursor) <= _column(run_start))
-    top = F.max(cursor) if previous is None else advance(previous, F.max(cursor))
-    return rows, rows.agg(F.least(top, _column(run_start)).alias("cursor"))
+    ceiling = _bound(df, cursor, run_start)
+    rows = df.filter(F.col(cursor) <= ceiling)
+    top = F.max(cursor) if previous is None else advance(_bound(df, cursor, previous), F.max(cursor))
+    return rows, rows.agg(F.least(top, ceiling).alias("cursor"))
 
 
 def with_lookback(since: object, seconds: object) -> Column:
     """Lower bound used for reading only; the stored cursor stays as it is."""
-    return _column(since) - F.make_dt_interval(secs=_column(seconds).cast("decimal(18,6)"))
+    return literal(since) - F.make_dt_interval(secs=literal(seconds).cast("decimal(18,6)"))
 
 
 def auto_lookback(
@@ -93,7 +96,7 @@ def slice_keep_unknown(
     df: DataFrame, cursor: Column, since: object = None
 ) -> tuple[DataFrame, DataFrame]:
     """Rows after ``since`` plus rows without a readable cursor, which never move the watermark."""
-    rows = df if since is None else df.filter(cursor.isNull() | (cursor > _column(since)))
+    rows = df if since is None else df.filter(cursor.isNull() | (cursor > literal(since)))
     top = F.max(cursor) if since is None else advance(since, F.max(cursor))
     return rows, rows.agg(top.alias("cursor"))
 
@@ -190,7 +193,7 @@ def batch_by_group(
     df: DataFrame, group: str, cap: int, after: object = None
 ) -> tuple[DataFrame, DataFrame]:
     """As ``batch_groups``, resuming at the last group of the run before, which is read again."""
-    rest = df if after is None else df.filter(F.col(group) >= _column(after))
+    rest = df if after is None else df.filter(F.col(group) >= _bound(df, group, after))
     return batch_groups(rest, group, cap)
 
 
@@ -203,7 +206,7 @@ def batch_keyset(
     broken = F.raise_error(F.lit(f"null {tiebreak}: the position cannot be resumed")).cast("boolean")
     rows = df.filter(F.when(F.col(tiebreak).isNull(), broken).otherwise(F.lit(True)))
     if after is not None:
-        at, place = _column(after[0]), _column(after[1])
+        at, place = _bound(df, cursor, after[0]), _bound(df, tiebreak, after[1])
         rows = rows.filter((F.col(cursor) >= at) & ((F.col(cursor) > at) | (F.col(tiebreak) > place)))
     rows = rows.orderBy(cursor, tiebreak).limit(n)
     last = F.max(F.struct(F.col(cursor).alias("cursor"), F.col(tiebreak).alias("tiebreak")))
@@ -219,7 +222,7 @@ def page(df: DataFrame, order_by: Sequence[str], offset: int, limit: int) -> Dat
 
 def has_news(df: DataFrame, cursor: str, since: object) -> DataFrame:
     """One row ``has_news``: false when the greatest cursor is behind ``since`` and a read can be skipped."""
-    return df.agg(F.coalesce(F.max(cursor) >= _column(since), F.lit(False)).alias("has_news"))
+    return df.agg(F.coalesce(F.max(cursor) >= _bound(df, cursor, since), F.lit(False)).alias("has_news"))
 
 
 # ---------------------------------------------------------------- windows
@@ -237,10 +240,11 @@ def slice_window(
 
     A drained window moves the cursor to its end, so empty windows still make progress; a capped one to its last row.
     """
-    end = F.least(_column(since) + F.make_dt_interval(secs=F.lit(seconds)), _column(run_start))
-    inside = df.filter((F.col(cursor) >= _column(since)) & (F.col(cursor) <= end))
+    low = _bound(df, cursor, since)
+    end = F.least(low + F.make_dt_interval(secs=F.lit(seconds)), _bound(df, cursor, run_start))
+    inside = df.filter((F.col(cursor) >= low) & (F.col(cursor) <= end))
     if cap is None:
-        return inside, inside.agg(F.lit(None).alias("x")).select(end.alias("cursor"))
+        return inside, df.sparkSession.range(1).select(end.alias("cursor"))
     found = _boundary(inside, cursor, cap)
     last, full = found.select("edge").scalar(), found.select(F.expr(f"found > {cap}")).scalar()
     rows = inside.filter(~full | (F.col(cursor) <= last))
@@ -288,7 +292,7 @@ def windows(
     """Disjoint windows ``(since, until]`` covering the range; without a start, one window open below."""
     if start is None:
         return spark.range(1).select(
-            F.lit(None).cast("timestamp_ntz").alias("since"), F.lit(end).cast("timestamp_ntz").alias("until")
+            F.lit(None).cast("timestamp_ntz").alias("since"), literal(end).alias("until")
         )
     low = start - lookback
     if low >= end:
@@ -297,9 +301,9 @@ def windows(
         )
     count = -(-(end - low) // width)
     step = F.make_dt_interval(secs=F.lit(int(width.total_seconds())))
-    since = F.lit(low).cast("timestamp_ntz") + step * F.col("id")
+    since = literal(low) + step * F.col("id")
     return spark.range(count).select(
-        since.alias("since"), F.least(since + step, F.lit(end).cast("timestamp_ntz")).alias("until")
+        since.alias("since"), F.least(since + step, literal(end)).alias("until")
     )
 
 
@@ -309,13 +313,13 @@ def in_windows(
     """Rows of ``(start, end]`` with the window they fall in, found by arithmetic instead of a range join."""
     ts = F.col(cursor).cast("timestamp_ntz")
     seconds = int(width.total_seconds())
-    base = F.lit(start).cast("timestamp_ntz")
+    base = literal(start)
     # A row exactly on a boundary belongs to the window that ends there.
     micros = F.unix_micros(ts.cast("timestamp")) - F.unix_micros(base.cast("timestamp"))
     number = F.floor((micros - 1) / F.lit(seconds * 1_000_000)).cast("bigint")
     step = F.make_dt_interval(secs=F.lit(seconds))
     since = base + step * number
-    top = F.lit(end).cast("timestamp_ntz")
+    top = literal(end)
     return df.filter((ts > base) & (ts <= top)).select(
         "*", since.alias("since"), F.least(since + step, top).alias("until")
     )
@@ -328,16 +332,16 @@ def compact_windows(
 
     The window that reaches the cap is taken whole, and the cursor moves to its end.
     """
-    ts, base = F.col(cursor).cast("timestamp"), F.lit(since).cast("timestamp")
+    ts, base = F.col(cursor).cast("timestamp"), literal(since, "timestamp")
     width = seconds * 1_000_000
     number = F.floor((F.unix_micros(ts) - F.unix_micros(base)) / F.lit(width)).cast("bigint")
-    inside = df.filter((ts >= base) & (ts < F.lit(run_start).cast("timestamp"))).withColumn("__window", number)
+    inside = df.filter((ts >= base) & (ts < literal(run_start, "timestamp"))).withColumn("__window", number)
     taken = leading_groups(inside, "__window", cap).agg(
         F.max("__window").alias("last"), F.max("rows_through").alias("found")
     )
     rows = inside.filter(F.col("__window") <= taken.select("last").scalar()).drop("__window")
     end = F.timestamp_micros(F.unix_micros(base) + (F.col("last") + 1) * width)
-    top = F.lit(run_start).cast("timestamp")
+    top = literal(run_start, "timestamp")
     reached = F.when(F.col("found") >= cap, F.least(end, top)).otherwise(top)
     return rows, taken.select(reached.cast("timestamp_ntz").alias("cursor"))
 
@@ -485,7 +489,7 @@ def progress_map(c: Column) -> Column:
 
 def filter_check(df: DataFrame, cursor: Column, since: object) -> DataFrame:
     """One row: how many rows have a readable cursor, how many are newer, and whether the filter was honoured."""
-    dated, newer = F.count(cursor), F.count_if(cursor > _column(since))
+    dated, newer = F.count(cursor), F.count_if(cursor > literal(since))
     return df.agg(dated.alias("dated"), newer.alias("newer"), ((dated == 0) | (newer > 0)).alias("honoured"))
 
 

@@ -13,6 +13,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from feedweir.functions.literals import literal
 from feedweir.operators.joins import asof
 from feedweir.operators.ordering import with_neighbour
 
@@ -29,6 +30,10 @@ def _micros(c: Column) -> Column:
     return F.unix_micros(c.cast("timestamp"))
 
 
+def _at(df: DataFrame, moment: dt.datetime) -> Column:
+    return literal(moment, df.schema[TS].dataType)
+
+
 def _from_micros(c: Column) -> Column:
     return F.timestamp_micros(c.cast("bigint")).cast("timestamp_ntz")
 
@@ -51,7 +56,7 @@ def recorded(
     """Values in ``[start, end]``; a window length caps the end."""
     if window_seconds > 0:
         end = min(end, start + dt.timedelta(seconds=window_seconds))
-    return df.filter((F.col(TS) >= F.lit(start)) & (F.col(TS) <= F.lit(end)))
+    return df.filter((F.col(TS) >= _at(df, start)) & (F.col(TS) <= _at(df, end)))
 
 
 def recorded_at(df: DataFrame, times: DataFrame) -> DataFrame:
@@ -81,7 +86,7 @@ def value_at(df: DataFrame, times: DataFrame, interpolate: bool = True) -> DataF
 def grid(tags: DataFrame, start: dt.datetime, end: dt.datetime, step_seconds: int) -> DataFrame:
     """Every tag at every step of the range."""
     steps = F.sequence(
-        F.lit(start).cast("timestamp_ntz"), F.lit(end).cast("timestamp_ntz"), F.make_dt_interval(secs=F.lit(step_seconds))
+        literal(start), literal(end), F.make_dt_interval(secs=F.lit(step_seconds))
     )
     return tags.select(TAG, F.explode(steps).alias("query_time"))
 
@@ -94,7 +99,7 @@ def interpolated(df: DataFrame, start: dt.datetime, end: dt.datetime, step_secon
 def plot(df: DataFrame, start: dt.datetime, end: dt.datetime, intervals: int = DEFAULT_PLOT_INTERVALS) -> DataFrame:
     """First, last, lowest and highest value of each of ``intervals`` equal bins, each point once."""
     span = (end - start) // dt.timedelta(microseconds=1)
-    low = F.lit(start)
+    low = literal(start)
     offset = _micros(F.col(TS)) - _micros(low)
     number = F.least(F.floor(offset * intervals / span), F.lit(intervals - 1)).cast("int")
     inside = recorded(df, start, end).select(TAG, TS, VALUE, number.alias("bin"))
@@ -112,10 +117,10 @@ def plot(df: DataFrame, start: dt.datetime, end: dt.datetime, intervals: int = D
 def _segments(df: DataFrame, start: dt.datetime, end: dt.datetime, duration: int) -> DataFrame:
     """Stretches over which the last value holds, cut at bin edges and to the range."""
     width = duration * 1_000_000
-    low, high = _micros(F.lit(start)), _micros(F.lit(end))
+    low, high = _micros(literal(start)), _micros(literal(end))
     # Before the range only the newest value of each tag matters: one row per tag leaves every task.
-    carried = df.filter(F.col(TS) < F.lit(start)).groupBy(TAG).agg(F.max(F.struct(TS, VALUE)).alias("r"))
-    inside = df.filter((F.col(TS) >= F.lit(start)) & (F.col(TS) < F.lit(end)))
+    carried = df.filter(F.col(TS) < _at(df, start)).groupBy(TAG).agg(F.max(F.struct(TS, VALUE)).alias("r"))
+    inside = df.filter((F.col(TS) >= _at(df, start)) & (F.col(TS) < _at(df, end)))
     # Several values at one instant: the greatest stands, so a stretch never has length zero in between.
     one = inside.groupBy(TAG, TS).agg(F.max(VALUE).alias(VALUE)).unionByName(carried.select(TAG, "r.*"))
     held = with_neighbour(one, [TAG], [TS], F.struct(F.col(TS).alias("at")), "__next", ahead=True, split=_block())
@@ -152,9 +157,9 @@ def summary(
     if unknown:
         raise ValueError(f"unknown summary types {', '.join(unknown)}; available: {', '.join(SUMMARY_KINDS)}")
     width = duration * 1_000_000
-    low = _micros(F.lit(start))
+    low = _micros(literal(start))
     bin_number = F.floor((_micros(F.col(TS)) - low) / width).cast("bigint").alias("bin")
-    inside = df.filter((F.col(TS) >= F.lit(start)) & (F.col(TS) < F.lit(end)))
+    inside = df.filter((F.col(TS) >= _at(df, start)) & (F.col(TS) < _at(df, end)))
     counted = inside.select(TAG, VALUE, bin_number, _good(df).alias("good")).groupBy(TAG, "bin").agg(
         F.count(VALUE).alias("Count"),
         (F.count_if("good") * 100.0 / F.count(F.lit(1))).alias("PercentGood"),

@@ -16,7 +16,7 @@ class Operation:
 
     name: str
     params: Mapping[str, bool]
-    schema: T.StructType | None
+    schema: T.StructType | str | None
     kind: str
     run: Callable[..., DataFrame]
 
@@ -28,10 +28,9 @@ def operation(name: str, params: Mapping[str, bool], schema: T.StructType | str
     """Register a function ``(spark, **params) -> DataFrame``; ``params`` says which ones are required."""
     if kind not in ("metadata", "data"):
         raise ValueError("kind is metadata or data")
-    declared = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
 
     def keep(fn: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
-        _OPERATIONS[name] = Operation(name, dict(params), declared, kind, fn)
+        _OPERATIONS[name] = Operation(name, dict(params), schema, kind, fn)
         return fn
 
     return keep
@@ -47,8 +46,9 @@ def run_operation(spark: SparkSession, name: str, **params: object) -> DataFrame
     if missing or unknown:
         raise ValueError(f"{name}: missing {missing}, unknown {unknown}")
     result = op.run(spark, **params)
-    if op.schema is not None and result.schema.simpleString() != op.schema.simpleString():
-        raise TypeError(f"{name} returned {result.schema.simpleString()}, declared {op.schema.simpleString()}")
+    declared = T.StructType.fromDDL(op.schema) if isinstance(op.schema, str) else op.schema
+    if declared is not None and result.schema.simpleString() != declared.simpleString():
+        raise TypeError(f"{name} returned {result.schema.simpleString()}, declared {declared.simpleString()}")
     return result
 
 

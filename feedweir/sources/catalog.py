@@ -9,9 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-METADATA = T.StructType.fromDDL(
-    "tableName string, primary_keys array<string>, cursor_field string, ingestion_type string"
-)
+METADATA = "tableName string, primary_keys array<string>, cursor_field string, ingestion_type string"
 INGESTION_TYPES = ("snapshot", "cdc", "cdc_with_deletes", "append")
 
 

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from feedweir.functions.literals import literal
 from feedweir.functions.scalars import safe_name
 
 CORRUPT = "_corrupt_record"
@@ -208,9 +209,9 @@ def scan_files(
     changed = F.col("_metadata.file_modification_time")
     # File bounds are pruned on the file's own metadata before any file is opened.
     if since is not None:
-        rows = rows.filter(changed > F.lit(since))
+        rows = rows.filter(changed > literal(since, "timestamp"))
     if until is not None:
-        rows = rows.filter(changed <= F.lit(until))
+        rows = rows.filter(changed <= literal(until, "timestamp"))
     return rows.select("*", F.col("_metadata.file_path").alias("source_file"), changed.alias("create_time"))
 
 

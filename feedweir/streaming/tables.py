@@ -11,7 +11,6 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from feedweir.operators.changes import DELETED, scd1, scd2
@@ -186,7 +185,3 @@ def newest_snapshot(spark: SparkSession, target: str) -> DataFrame | None:
     """What the last trigger of ``stream_snapshot`` read."""
     return read_target(spark, target)
 
-
-def empty_like(df: DataFrame, schema: T.StructType | None = None) -> DataFrame:
-    """No rows with the given schema."""
-    return df.sparkSession.createDataFrame([], schema or df.schema)

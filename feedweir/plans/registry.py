@@ -18,6 +18,7 @@ class Query:
     operators: tuple[str, ...]
     plan: Plan
     sql: str | None
+    module: str
 
 
 _QUERIES: dict[str, Query] = {}
@@ -32,7 +33,7 @@ def query(name: str, *operators: str, sql: str | None = None) -> Callable[[Plan]
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
             return plan(configure(spark), sf_dir)
 
-        _QUERIES[name] = Query(name, operators, run, sql)
+        _QUERIES[name] = Query(name, operators, run, sql, plan.__module__.rsplit(".", 1)[-1])
         return plan
 
     return keep

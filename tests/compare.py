@@ -1,4 +1,4 @@
-"""Run registered queries and compare them with their SQL in DuckDB: ``python -m tests.compare [sf] [name ...]``."""
+"""Run registered queries and compare them with their SQL in DuckDB: ``python -m tests.compare [sf] [name | @module ...]``."""
 
 from __future__ import annotations
 
@@ -88,7 +88,7 @@ def main() -> None:
     spark, con = local_session(), oracle(f"/root/testdata/sf{sf}")
     bad = 0
     for name, q in all_queries().items():
-        if wanted and not any(w in name for w in wanted):
+        if wanted and not any(w in name or w == "@" + q.module for w in wanted):
             continue
         begin = time.time()
         try:

@@ -188,23 +188,34 @@ def _(spark: SparkSession, d: str) -> DataFrame:
 # ---------------------------------------------------------------- nested
 
 
-def nested_tree(spark: SparkSession, d: str, with_orders: bool = False) -> DataFrame:
-    """Regions with their nations, customers and optionally orders as nested arrays."""
-    customer = table(spark, d, "customer")
-    item = [F.col("c_custkey").alias("key"), F.col("c_name").alias("name"), F.col("c_acctbal").alias("balance")]
-    if with_orders:
-        orders = table(spark, d, "orders").groupBy("o_custkey").agg(
-            F.collect_list(F.struct(F.col("o_orderkey").alias("key"), F.col("o_totalprice").alias("total"))).alias("orders")
-        )
-        customer = customer.join(orders, F.col("c_custkey") == F.col("o_custkey"), "left")
-        item.append(F.col("orders"))
-    customers = customer.groupBy("c_nationkey").agg(F.collect_list(F.struct(*item)).alias("customers"))
-    nation = table(spark, d, "nation").join(customers, F.col("n_nationkey") == F.col("c_nationkey"), "left")
-    nations = nation.groupBy("n_regionkey").agg(
-        F.collect_list(F.struct(F.col("n_nationkey").alias("key"), F.col("n_name").alias("name"), "customers")).alias("nations")
-    )
-    region = table(spark, d, "region").join(nations, F.col("r_regionkey") == F.col("n_regionkey"))
-    return region.select(F.col("r_regionkey").alias("key"), F.col("r_name").alias("name"), "nations")
+def _places(spark: SparkSession, d: str) -> DataFrame:
+    nation = table(spark, d, "nation")
+    return nation.join(table(spark, d, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
+
+
+def _tree(customers) -> list:
+    """Region, nation and customers of one row as nested collections; documents stay as small as a row."""
+    nation = F.struct(F.col("n_nationkey").alias("key"), F.col("n_name").alias("name"), customers.alias("customers"))
+    return [F.col("r_regionkey").alias("key"), F.col("r_name").alias("name"), F.array(nation).alias("nations")]
+
+
+def customer_trees(spark: SparkSession, d: str) -> DataFrame:
+    """One document per customer, who has an own and a joint account."""
+
+    def account(suffix: str, share: float):
+        name = F.concat(F.col("c_name"), F.lit(suffix))
+        return F.struct(F.col("c_custkey").alias("key"), name.alias("name"), (F.col("c_acctbal") * share).alias("balance"))
+
+    rows = table(spark, d, "customer").join(_places(spark, d), F.col("c_nationkey") == F.col("n_nationkey"))
+    return rows.select(*_tree(F.array(account("", 1.0), account(" joint", 0.5))))
+
+
+def order_trees(spark: SparkSession, d: str) -> DataFrame:
+    """One document per order, four levels deep."""
+    order = F.struct(F.col("o_orderkey").alias("key"), F.col("o_totalprice").alias("total"))
+    customer = F.struct(F.col("c_custkey").alias("key"), F.col("c_name").alias("name"), F.array(order).alias("orders"))
+    rows = table(spark, d, "orders").join(table(spark, d, "customer"), F.col("o_custkey") == F.col("c_custkey"))
+    return rows.join(_places(spark, d), F.col("c_nationkey") == F.col("n_nationkey")).select(*_tree(F.array(customer)))
 
 
 TREE = ["region", "nations", "customers"]
@@ -213,16 +224,17 @@ _TREE_KEYS = {"region": ["key"], "nations": ["key"], "customers": ["key"]}
 
 @query(
     "filter_per_level",
-    "O-41", "O-53",
+    "O-41",
     sql="""
-SELECT n_regionkey AS region_key, n_nationkey AS nations_key, c_custkey AS key, c_name AS name, c_acctbal AS balance
-FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey
-WHERE r_name <> 'ASIA' AND n_name <> 'NATION_3' AND c_acctbal > 1000
+SELECT n_regionkey AS region_key, n_nationkey AS nations_key, c_custkey AS key, c_name || suffix AS name, c_acctbal * share AS balance
+FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey,
+     (VALUES ('', 1.0::DOUBLE), (' joint', 0.5::DOUBLE)) a(suffix, share)
+WHERE r_name <> 'ASIA' AND n_name <> 'NATION_3' AND c_acctbal * share > 1000
 """,
 )
 def _(spark: SparkSession, d: str) -> DataFrame:
     conditions = {"region": F.col("name") != "ASIA", "nations": F.col("name") != "NATION_3", 2: F.col("balance") > 1000}
-    return H.explode_path(nested_tree(spark, d), TREE, _TREE_KEYS, conditions)
+    return H.explode_path(customer_trees(spark, d), TREE, _TREE_KEYS, conditions)
 
 
 @query(
@@ -235,13 +247,34 @@ FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey =
 """,
 )
 def _(spark: SparkSession, d: str) -> DataFrame:
-    tree = nested_tree(spark, d, with_orders=True)
-    return H.explode_path(tree, [*TREE, "orders"], {**_TREE_KEYS, "orders": ["key"]}, cursor=("region", "name"))
+    return H.explode_path(order_trees(spark, d), [*TREE, "orders"], {**_TREE_KEYS, "orders": ["key"]}, cursor=("region", "name"))
+
+
+@query(
+    "two_level_explode",
+    "O-53",
+    sql="""
+SELECT l_orderkey AS survey_id, l_linenumber AS line, page AS pages_id, question AS id,
+       CASE question WHEN 'quantity' THEN l_quantity WHEN 'price' THEN l_extendedprice WHEN 'tax' THEN l_tax END AS answer
+FROM lineitem, (VALUES ('amounts', 'quantity'), ('amounts', 'price'), ('rates', 'tax')) p(page, question)
+""",
+)
+def _(spark: SparkSession, d: str) -> DataFrame:
+    def question(name: str, column: str):
+        return F.struct(F.lit(name).alias("id"), F.col(column).alias("answer"))
+
+    pages = F.array(
+        F.struct(F.lit("amounts").alias("id"), F.array(question("quantity", "l_quantity"), question("price", "l_extendedprice")).alias("questions")),
+        F.struct(F.lit("rates").alias("id"), F.array(question("tax", "l_tax")).alias("questions")),
+    )
+    rows = table(spark, d, "lineitem").select(F.col("l_orderkey").alias("id"), F.col("l_linenumber").alias("line"), pages.alias("pages"))
+    keys = {"survey": ["id", "line"], "pages": ["id"], "questions": ["id"]}
+    return H.explode_path(rows, ["survey", "pages", "questions"], keys).withColumnRenamed("survey_line", "line")
 
 
-@query("ancestor_keys_required", "O-57", sql="SELECT n_regionkey AS region_key, n_nationkey AS key FROM nation")
+@query("ancestor_keys_required", "O-57", sql="SELECT n_regionkey AS region_key, n_nationkey AS key FROM customer JOIN nation ON c_nationkey = n_nationkey")
 def _(spark: SparkSession, d: str) -> DataFrame:
-    rows = H.explode_path(nested_tree(spark, d), TREE[:2], {"region": ["key"], "nations": ["key"]})
+    rows = H.explode_path(customer_trees(spark, d), TREE[:2], {"region": ["key"], "nations": ["key"]})
     return H.require_ancestor_keys(rows, ["region_key"]).select("region_key", "key")
 
 
@@ -277,28 +310,32 @@ def _(spark: SparkSession, d: str) -> DataFrame:
 
 
 def order_documents(spark: SparkSession, d: str) -> DataFrame:
-    """Orders with their lines as a nested array; a line may lack its own status."""
-    line = F.struct(
-        F.col("l_linenumber").alias("line"),
-        F.col("l_partkey").alias("part"),
-        F.col("l_quantity").alias("quantity"),
-        F.col("l_returnflag").alias("kind"),
-        F.when(F.col("l_linestatus") == "O", F.col("l_linestatus")).alias("status"),
-    )
-    lines = table(spark, d, "lineitem").groupBy("l_orderkey").agg(F.collect_list(line).alias("lines"))
-    orders = table(spark, d, "orders")
-    return orders.join(lines, F.col("o_orderkey") == F.col("l_orderkey")).select(
-        F.col("o_orderkey").alias("id"), F.col("o_orderstatus").alias("status"), F.col("o_orderdate").alias("created"), "lines"
+    """Orders with child rows: the sale itself, and a return that lacks a status of its own."""
+
+    def child(line: int, part, quantity, kind, status):
+        return F.struct(
+            F.lit(line).alias("line"), part.alias("part"), quantity.alias("quantity"), kind.alias("kind"), status.alias("status")
+        )
+
+    sale = child(1, F.col("o_custkey"), F.col("o_totalprice"), F.col("o_orderstatus"), F.left("o_orderpriority", F.lit(1)))
+    back = child(2, F.col("o_orderkey"), F.col("o_totalprice") / 2, F.lit("R"), F.lit(None).cast("string"))
+    return table(spark, d, "orders").select(
+        F.col("o_orderkey").alias("id"), F.col("o_orderstatus").alias("status"), F.col("o_orderdate").alias("created"), F.array(sale, back).alias("lines")
     )
 
 
+_CHILDREN = """
+children AS (
+  SELECT o_orderkey AS id, o_orderdate AS created, 1 AS line, o_custkey AS part, o_totalprice AS quantity, o_orderstatus AS kind,
+         left(o_orderpriority, 1) AS status, o_orderstatus AS parent_status FROM orders
+  UNION ALL SELECT o_orderkey, o_orderdate, 2, o_orderkey, o_totalprice / 2, 'R', NULL, o_orderstatus FROM orders)
+"""
+
+
 @query(
     "explode_children",
     "O-52", "O-192",
-    sql="""
-SELECT o_orderkey AS id, l_linenumber AS line, l_partkey AS part, l_quantity AS quantity, l_returnflag AS kind,
-       CASE WHEN l_linestatus = 'O' THEN 'O' ELSE o_orderstatus END AS status FROM orders JOIN lineitem ON o_orderkey = l_orderkey
-""",
+    sql=f"WITH {_CHILDREN} SELECT id, line, part, quantity, kind, coalesce(status, parent_status) AS status FROM children",
 )
 def _(spark: SparkSession, d: str) -> DataFrame:
     rows = H.explode_child(order_documents(spark, d), "lines", ["id", F.col("status").alias("parent_status")])
@@ -308,11 +345,7 @@ def _(spark: SparkSession, d: str) -> DataFrame:
 @query(
     "explode_where",
     "O-54",
-    sql="""
-SELECT o_orderkey AS id, o_orderdate AS created, l_linenumber AS line, l_partkey AS part, l_quantity AS quantity,
-       l_returnflag AS kind, CASE WHEN l_linestatus = 'O' THEN 'O' END AS status
-FROM orders JOIN lineitem ON o_orderkey = l_orderkey WHERE l_returnflag = 'R'
-""",
+    sql=f"WITH {_CHILDREN} SELECT id, created, line, part, quantity, kind, status FROM children WHERE kind = 'R'",
 )
 def _(spark: SparkSession, d: str) -> DataFrame:
     return H.explode_where(order_documents(spark, d), "lines", lambda c: c["kind"] == "R", ["id", "status", "created"])
@@ -847,7 +880,7 @@ def _(spark: SparkSession, d: str) -> DataFrame:
 @query(
     "json_wrapped_arrays",
     "O-26",
-    sql="SELECT o_orderkey AS doc, l_partkey AS id, l_returnflag AS kind FROM orders JOIN lineitem ON o_orderkey = l_orderkey WHERE o_orderstatus <> 'P'",
+    sql=f"WITH {_CHILDREN} SELECT id AS doc, part AS id, kind FROM children WHERE parent_status <> 'P'",
 )
 def _(spark: SparkSession, d: str) -> DataFrame:
     items = F.to_json(F.transform("lines", lambda x: F.struct(x["part"].alias("id"), x["kind"].alias("kind"))))

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from feedweir.functions.nested import once
+
 # Tags of each level, in output order.
 STUDY = {
     "0020000D": "study_instance_uid",
@@ -55,8 +57,7 @@ def _name(text: Column) -> Column:
     return F.when(text.startswith("{"), given).otherwise(text)
 
 
-def _value(tags: Column, tag: str, column: str) -> Column:
-    entry = F.coalesce(F.try_element_at(tags, F.lit(tag)), F.try_element_at(tags, F.lit(tag.lower())))
+def _value(entry: Column, column: str) -> Column:
     values = F.when(F.size(entry["Value"]) > 0, entry["Value"])
     if column in MANY:
         return values
@@ -70,5 +71,11 @@ def _value(tags: Column, tag: str, column: str) -> Column:
 def rows(df: DataFrame, level: str, document: str = "document", keep: tuple[str, ...] = ()) -> DataFrame:
     """One typed row per object; a missing tag is null. ``keep`` names columns to carry along."""
     parsed = df.select(*keep, F.from_json(document, TAGS).alias("__tags"))
-    tags = F.col("__tags")
-    return parsed.select(*keep, *[_value(tags, tag, column).alias(column) for tag, column in LEVELS[level].items()])
+
+    def entry(tag: str) -> Column:
+        return F.coalesce(F.try_element_at("__tags", F.lit(tag)), F.try_element_at("__tags", F.lit(tag.lower())))
+
+    def column(tag: str, name: str) -> Column:
+        return once(entry(tag), lambda e: _value(e, name)).alias(name)
+
+    return parsed.select(*keep, *[column(tag, name) for tag, name in LEVELS[level].items()])

@@ -9,12 +9,14 @@ from __future__ import annotations
 
 import re
 from collections.abc import Callable, Mapping
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from feedweir.functions.coercion import to_timestamp
+from feedweir.functions.nested import once
 
 _PRIMITIVE = {"str": T.StringType(), "bool": T.BooleanType(), "long": T.LongType(), "double": T.DoubleType(), "ts": T.StringType()}
 
@@ -56,6 +58,8 @@ TYPES = {
     "relates_to": "code str, target ref",
     "doc_content": "attachment.url str attachment_url, attachment.title str attachment_title, "
     "attachment.contentType str attachment_content_type, format.code str format_code, format.system str format_system",
+    "sub_extension": "url str, valueCodeableConcept cc",
+    "extension": "url str, valueCodeableConcept cc, valueBoolean bool, extension sub_extension*",
     "doc_context": "encounter ref*, event cc*, period period, facilityType cc, practiceSetting cc",
 }
 
@@ -111,6 +115,9 @@ RESOURCES = {
     "content doc_content*, context doc_context",
 }
 
+# Elements every resource has.
+COMMON = "id str, resourceType str, meta.lastUpdated ts"
+
 # National extensions of the patient.
 UK_EXTENSION = "https://fhir.hl7.org.uk/StructureDefinition/Extension-UKCore-"
 INTERPRETER = "http://hl7.org/fhir/StructureDefinition/patient-interpreterRequired"
@@ -192,20 +199,28 @@ def columns_of(c: Column, spec: str) -> list[Column]:
 
 def datatype(c: Column, kind: str) -> Column:
     """One datatype (``coding``, ``cc``, ``ref``, ``period``, … a key of ``TYPES``) out of JSON text."""
-    return typed(F.from_json(c, _kind_schema(kind)), kind)
+    return once(F.from_json(c, _kind_schema(kind)), lambda v: typed(v, kind))
 
 
 # ---------------------------------------------------------------- profiles
 
-Extractor = Callable[[Column], list[Column]]
-_REGISTRY: dict[tuple[str, str], Extractor] = {}
+
+@dataclass(frozen=True)
+class Profile:
+    """What to parse of a resource and how to turn the parsed struct into columns."""
+
+    spec: str
+    columns: Callable[[Column], list[Column]]
+
+
+_REGISTRY: dict[tuple[str, str], Profile] = {}
 
 
-def register(resource_type: str, profile: str) -> Callable[[Extractor], Extractor]:
-    """Register a function from raw JSON text to columns for a resource type and profile."""
+def register(resource_type: str, profile: str, spec: str):
+    """Register a function from the parsed struct to columns; ``spec`` lists the elements it reads."""
 
-    def keep(fn: Extractor) -> Extractor:
-        _REGISTRY[(resource_type, profile)] = fn
+    def keep(fn: Callable[[Column], list[Column]]) -> Callable[[Column], list[Column]]:
+        _REGISTRY[(resource_type, profile)] = Profile(spec, fn)
         return fn
 
     return keep
@@ -216,29 +231,16 @@ def profile_chain(profile: str) -> list[str]:
     return list(PROFILES[PROFILES.index(profile) :]) if profile in PROFILES else [profile, *PROFILES]
 
 
-def profile_extractor(resource_type: str, profile: str = "uk_core") -> Extractor:
-    """Extractor of the nearest profile that knows the type; none adds no columns to the common ones."""
+def find_profile(resource_type: str, profile: str = "uk_core") -> Profile | None:
+    """The nearest profile that knows the type; without one a resource has only the common columns."""
     for name in profile_chain(profile):
         if (resource_type, name) in _REGISTRY:
             return _REGISTRY[(resource_type, name)]
-    return lambda raw: []
-
-
-def _base(spec: str) -> Extractor:
-    return lambda raw: columns_of(F.from_json(raw, json_schema(spec)), spec)
+    return None
 
 
 for _type, _spec in RESOURCES.items():
-    register(_type, "base_r4")(_base(_spec))
-
-_EXTENSION_SPEC = "url str, valueCodeableConcept cc, valueBoolean bool, valueString str"
-
-
-def extensions(raw: Column) -> Column:
-    """The extension array with its nested extensions."""
-    inner = json_schema(_EXTENSION_SPEC)
-    outer = T.StructType([*inner.fields, T.StructField("extension", T.ArrayType(inner))])
-    return F.from_json(F.get_json_object(raw, "$.extension"), T.ArrayType(outer))
+    register(_type, "base_r4", _spec)(lambda r, spec=_spec: columns_of(r, spec))
 
 
 def extension(array: Column, url: str) -> Column:
@@ -246,28 +248,28 @@ def extension(array: Column, url: str) -> Column:
     return F.get(F.filter(array, lambda e: e["url"] == url), F.lit(0))
 
 
-def identifier_value(raw: Column, system: str) -> Column:
+def identifier_value(identifiers: Column, system: str) -> Column:
     """Value of the first identifier of a system."""
-    parsed = F.from_json(raw, json_schema("identifier identifier*"))["identifier"]
-    return F.get(F.filter(parsed, lambda i: i["system"] == system), F.lit(0))["value"]
+    return F.get(F.filter(identifiers, lambda i: i["system"] == system), F.lit(0))["value"]
 
 
-@register("Patient", "uk_core")
-def _national_patient(raw: Column) -> list[Column]:
-    found = extensions(raw)
+@register("Patient", "uk_core", RESOURCES["Patient"] + ", extension extension*")
+def _national_patient(r: Column) -> list[Column]:
+    def coded(found: Column) -> Column:
+        return once(found["valueCodeableConcept"], lambda c: typed(c, "cc"))
 
-    def coded(suffix: str) -> Column:
-        return typed(extension(found, UK_EXTENSION + suffix)["valueCodeableConcept"], "cc")
+    def uk(name: str) -> Column:
+        return extension(r["extension"], UK_EXTENSION + name)
 
-    death = extension(found, UK_EXTENSION + "DeathNotificationStatus")["extension"]
+    death = extension(uk("DeathNotificationStatus")["extension"], "deathNotificationStatus")
     return [
-        *profile_extractor("Patient", "base_r4")(raw),
-        identifier_value(raw, NHS_NUMBER).alias("nhs_number"),
-        coded("EthnicCategory").alias("ethnic_category"),
-        coded("BirthSex").alias("birth_sex"),
-        typed(extension(death, "deathNotificationStatus")["valueCodeableConcept"], "cc").alias("death_notification_status"),
-        extension(found, INTERPRETER)["valueBoolean"].alias("interpreter_required"),
-        coded("ResidentialStatus").alias("residential_status"),
+        *columns_of(r, RESOURCES["Patient"]),
+        identifier_value(r["identifier"], NHS_NUMBER).alias("nhs_number"),
+        coded(uk("EthnicCategory")).alias("ethnic_category"),
+        coded(uk("BirthSex")).alias("birth_sex"),
+        coded(death).alias("death_notification_status"),
+        extension(r["extension"], INTERPRETER)["valueBoolean"].alias("interpreter_required"),
+        coded(uk("ResidentialStatus")).alias("residential_status"),
     ]
 
 
@@ -275,16 +277,19 @@ def _national_patient(raw: Column) -> list[Column]:
 
 
 def resource_rows(df: DataFrame, resource_type: str, profile: str = "uk_core", raw: str = "raw_json") -> DataFrame:
-    """Typed rows of one resource type with the raw JSON and the extension JSON kept as text."""
-    c = F.col(raw)
-    mine = df.filter(F.coalesce(F.get_json_object(c, "$.resourceType"), F.lit(resource_type)) == resource_type)
+    """Typed rows of one resource type with the raw JSON and the extension JSON kept as text; parsed once."""
+    found = find_profile(resource_type, profile)
+    spec = COMMON + (", " + found.spec if found else "")
+    parsed = df.select(F.col(raw).alias("raw_json"), F.from_json(raw, json_schema(spec)).alias("__r"))
+    r = F.col("__r")
+    mine = parsed.filter(F.coalesce(r["resourceType"], F.lit(resource_type)) == resource_type)
     return mine.select(
-        F.get_json_object(c, "$.id").alias("id"),
+        r["id"].alias("id"),
         F.lit(resource_type).alias("resourceType"),
-        to_timestamp(F.get_json_object(c, "$.meta.lastUpdated")).alias("lastUpdated"),
-        c.alias("raw_json"),
-        F.coalesce(F.get_json_object(c, "$.extension"), F.lit("null")).alias("extension"),
-        *profile_extractor(resource_type, profile)(c),
+        to_timestamp(r["meta"]["lastUpdated"]).alias("lastUpdated"),
+        "raw_json",
+        F.coalesce(F.get_json_object("raw_json", "$.extension"), F.lit("null")).alias("extension"),
+        *(found.columns(r) if found else []),
     )
 
 

@@ -1,7 +1,9 @@
 """HL7 v2 text as tables: messages, segments, fields, composites.
 
-Everything is expressions over columns. Separators are read from each message's MSH; messages with the usual ones
-take split patterns that are compiled once.
+Separators are read from each message's MSH and exchanged for control characters while a line is split, so all patterns
+are constants; values get their own separators back. Segment rows hold every field twice: as written (``fields``) and
+with escapes decoded (``decoded``). Column expressions are generated as SQL text, because a wide segment table has
+hundreds of them.
 """
 
 from __future__ import annotations
@@ -12,37 +14,54 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from feedweir.domains.hl7_fields import COMPOSITES, ENVELOPE_SEGMENTS, SEGMENTS, SINGLE_SEGMENTS
-from feedweir.functions.filters import any_of
+from feedweir.functions.nested import once
 
 GENERIC_FIELDS = 25
-USUAL = {"field": "|", "comp": "^", "rep": "~", "esc": "\\", "sub": "&"}
+# Control characters that stand for the field, component, repetition and subcomponent separators.
+FIELD, COMP, REP, SUB = "\x1c", "\x1d", "\x1e", "\x1f"
+_HIDDEN = FIELD + COMP + REP + SUB
 
-
-# ---------------------------------------------------------------- text functions
-
-
-def _split(c: Column, separator: Column, usual: str) -> Column:
-    quoted = F.concat(F.lit("\\Q"), separator, F.lit("\\E"))
-    return F.when(separator == usual, F.split(c, "\\" + usual, -1)).otherwise(F.split(c, quoted, -1))
+# MSH fields carried onto every row, by place after the segment name.
+METADATA_PLACES = {"message_id": 9, "message_timestamp": 6, "hl7_version": 11}
+METADATA = tuple(METADATA_PLACES)
 
 
-def _some(c: Column) -> Column:
-    return F.when(c != "", c)
+# ---------------------------------------------------------------- text functions
 
 
-def _part(parts: Column, n: int) -> Column:
-    return _some(F.get(parts, F.lit(n - 1)))
+def separators(message: Column) -> Column:
+    """The five separators a message declares in its MSH."""
+    msh = F.substring_index(message, "\r", 1)
+    enc = F.when(F.length(msh) >= 8, F.substring(message, 5, 4)).otherwise(F.lit("^~\\&"))
+    parts = {"field": F.substring(message, 4, 1)}
+    parts |= {name: F.substring(enc, place, 1) for place, name in enumerate(("comp", "rep", "esc", "sub"), start=1)}
+    together = F.concat(parts["field"], parts["comp"], parts["rep"], parts["sub"])
+    return F.struct(*[c.alias(n) for n, c in parts.items()], together.alias("all"))
 
 
 def unescape(c: Column, seps: Column) -> Column:
     """Escape sequences F S T R H N E decoded; E comes last, so its result is not read again."""
-    e = seps["esc"]
-    steps = [("F", seps["field"]), ("S", seps["comp"]), ("T", seps["sub"]), ("R", seps["rep"])]
-    steps += [("H", F.lit("")), ("N", F.lit("")), ("E", e)]
-    decoded = c
-    for letter, plain in steps:
-        decoded = F.replace(decoded, F.concat(e, F.lit(letter), e), plain)
-    return F.when(c.contains(e), decoded).otherwise(c)
+    plain = {"F": seps["field"], "S": seps["comp"], "T": seps["sub"], "R": seps["rep"], "H": F.lit(""), "N": F.lit("")}
+
+    def decode(v: Column) -> Column:
+        out = v
+        for letter, text in {**plain, "E": seps["esc"]}.items():
+            out = F.replace(out, F.concat(seps["esc"], F.lit(letter), seps["esc"]), text)
+        return F.when(v.contains(seps["esc"]), out).otherwise(v)
+
+    return once(c, decode)
+
+
+def _iso(c: Column) -> Column:
+    pattern = r"^(\d{4}(?:\d{2}){0,5})(?:\.\d+)?([+-]\d{4})?$"
+    digits, offset = F.regexp_extract(c, pattern, 1), F.regexp_extract(c, pattern, 2)
+    # Missing parts are the first month and day, and midnight.
+    full = F.concat(digits, F.substring(F.lit("00000101000000"), F.length(digits) + 1, F.lit(14)))
+    local = F.when(digits != "", F.try_to_timestamp(full, F.lit("yyyyMMddHHmmss")))
+    minutes = F.substring(offset, 2, 2).try_cast("bigint") * 60 + F.substring(offset, 4, 2).try_cast("bigint")
+    shift = F.when(offset == "", F.lit(0).cast("bigint")).when(offset.startswith("-"), -minutes).otherwise(minutes)
+    utc = F.timestamp_micros(F.unix_micros(local) - shift * 60_000_000)
+    return F.date_format(utc, "yyyy-MM-dd'T'HH:mm:ss")
 
 
 def timestamp_text(c: Column) -> Column:
@@ -50,49 +69,82 @@ def timestamp_text(c: Column) -> Column:
 
     Impossible dates are null too.
     """
-    clean = F.regexp_replace(F.trim(c), r"^[()]+|[()]+$", "")
-    pattern = r"^(\d{4})(\d{2})?(\d{2})?(\d{2})?(\d{2})?(\d{2})?(?:\.\d+)?([+-]\d{4})?$"
-
-    def group(n: int, default: str) -> Column:
-        return F.coalesce(_some(F.regexp_extract(clean, pattern, n)), F.lit(default))
-
-    digits = F.concat(group(1, ""), group(2, "01"), group(3, "01"), group(4, "00"), group(5, "00"), group(6, "00"))
-    offset = group(7, "+0000")
-    shift = F.substring(offset, 2, 2).try_cast("int") * 60 + F.substring(offset, 4, 2).try_cast("int")
-    minutes = F.when(offset.startswith("-"), -shift).otherwise(shift)
-    local = F.when(clean.rlike(pattern), F.try_to_timestamp(digits, F.lit("yyyyMMddHHmmss")))
-    utc = F.timestamp_micros(F.unix_micros(local) - minutes * 60_000_000)
-    return F.date_format(utc, "yyyy-MM-dd'T'HH:mm:ss")
+    return once(F.regexp_replace(F.trim(c), r"^[()]+|[()]+$", ""), _iso)
+
+
+# ---------------------------------------------------------------- SQL text for columns
+
 
+def _dtm(sql: str) -> str:
+    """``timestamp_text`` as SQL."""
+    digits = r"regexp_extract(t, r'^(\d{4}(?:\d{2}){0,5})(?:\.\d+)?([+-]\d{4})?$', 1)"
+    offset = r"regexp_extract(t, r'^(\d{4}(?:\d{2}){0,5})(?:\.\d+)?([+-]\d{4})?$', 2)"
+    full = "concat(p.d, substring('00000101000000', length(p.d) + 1))"
+    minutes = "(try_cast(substring(p.o, 2, 2) AS BIGINT) * 60 + try_cast(substring(p.o, 4, 2) AS BIGINT))"
+    shift = f"CASE WHEN p.o = '' THEN 0L WHEN p.o LIKE '-%' THEN -{minutes} ELSE {minutes} END"
+    utc = f"timestamp_micros(unix_micros(try_to_timestamp({full}, 'yyyyMMddHHmmss')) - ({shift}) * 60000000)"
+    iso = f"CASE WHEN p.d <> '' THEN date_format({utc}, \"yyyy-MM-dd'T'HH:mm:ss\") END"
+    parts = f"named_struct('d', {digits}, 'o', {offset})"
+    clean = f"regexp_replace(trim({sql}), '^[()]+|[()]+$', '')"
+    return f"get(transform(transform(array({clean}), t -> {parts}), p -> {iso}), 0)"
 
-def to_int(c: Column) -> Column:
-    """Whole number or null."""
-    return F.when(F.trim(c).rlike(r"^[+-]?\d+$"), F.trim(c).try_cast("bigint"))
 
+def _shown(sql: str) -> str:
+    return f"translate({sql}, '{_HIDDEN}', seps.all)"
 
-# ---------------------------------------------------------------- field access
 
+def _some(sql: str) -> str:
+    return f"get(filter(array({sql}), w -> w <> ''), 0)"
 
-def field(seg: Column, n: int) -> Column:
+
+def _raw(n: int, decoded: bool = False) -> str:
+    return f"get({'decoded' if decoded else 'fields'}, {n})"
+
+
+def _repetition(n: int, r: int, decoded: bool = False) -> str:
+    return _some(f"get(split({_raw(n, decoded)}, '{REP}', -1), {r - 1})")
+
+
+def _whole(n: int, r: int | None, decoded: bool = False) -> str:
+    return _raw(n, decoded) if r is None else _repetition(n, r, decoded)
+
+
+def _int(sql: str) -> str:
+    return f"get(transform(array(trim({sql})), w -> CASE WHEN w RLIKE '^[+-]?[0-9]+$' THEN try_cast(w AS BIGINT) END), 0)"
+
+
+def _set_id() -> str:
+    return f"coalesce({_int(_shown(_raw(1)))}, 1L)"
+
+
+def field(n: int) -> Column:
     """Field ``n`` (1-based) of a segment row, null when empty or out of range."""
-    return _some(F.get(seg["fields"], F.lit(n)))
+    return F.expr(_shown(_raw(n)))
 
 
-def repetition(seg: Column, n: int, r: int = 1) -> Column:
+def repetition(n: int, r: int = 1) -> Column:
     """Repetition ``r`` of a field."""
-    return _part(_split(field(seg, n), seg["seps"]["rep"], USUAL["rep"]), r)
+    return F.expr(_shown(_repetition(n, r)))
 
 
-def component(seg: Column, n: int, c: int, r: int | None = None) -> Column:
+def component(n: int, c: int, r: int | None = None) -> Column:
     """Component ``c`` of a field, or of its repetition ``r``, with escapes decoded."""
-    whole = field(seg, n) if r is None else repetition(seg, n, r)
-    return _some(unescape(_part(_split(whole, seg["seps"]["comp"], USUAL["comp"]), c), seg["seps"]))
+    return F.expr(_component(n, c, r))
+
 
+def _component(n: int, c: int, r: int | None = None) -> str:
+    return _shown(_some(f"get(split({_whole(n, r, True)}, '{COMP}', -1), {c - 1})"))
 
-def subcomponent(seg: Column, n: int, c: int, s: int, r: int | None = None) -> Column:
+
+def subcomponent(n: int, c: int, s: int, r: int | None = None) -> Column:
     """Subcomponent ``s`` of a component."""
-    parts = _split(component(seg, n, c, r), seg["seps"]["sub"], USUAL["sub"])
-    return _some(unescape(_part(parts, s), seg["seps"]))
+    comp = f"get(split({_whole(n, r, True)}, '{COMP}', -1), {c - 1})"
+    return F.expr(_shown(_some(f"get(split({comp}, '{SUB}', -1), {s - 1})")))
+
+
+def set_id() -> Column:
+    """Field 1 as a number, 1 when it is none; a literal 0 stays 0."""
+    return F.expr(_set_id())
 
 
 # ---------------------------------------------------------------- composites
@@ -117,73 +169,82 @@ def _parts_of(kind: str) -> list[_Part]:
     return parts
 
 
-def _struct_of(raw: Column, kind: str, seps: Column, decode: bool) -> Column:
-    """A composite out of the raw text of one occurrence."""
-    pieces = _split(raw, seps["comp"], USUAL["comp"])
+def _occurrence(sql: str) -> str:
+    """One occurrence as an array of components, each with its whole text and its subcomponents."""
+    subs = f"transform(split(c, '{SUB}', -1), s -> CASE WHEN s <> '' THEN {_shown('s')} END)"
+    pair = f"named_struct('whole', CASE WHEN c <> '' THEN {_shown('c')} END, 'subs', {subs})"
+    return f"transform(split({sql}, '{COMP}', -1), c -> {pair})"
 
-    def clean(c: Column) -> Column:
-        return _some(unescape(c, seps)) if decode else c
 
-    def value(part: _Part) -> Column:
-        comp = clean(_part(pieces, part.component))
-        if part.sub is None:
-            found = comp
-        else:
-            found = clean(_part(_split(comp, seps["sub"], USUAL["sub"]), part.sub))
-            if part.fallback is not None:
-                found = F.coalesce(found, clean(_part(pieces, part.fallback)))
-        return timestamp_text(found) if part.is_date else found
+def _struct_of(kind: str) -> str:
+    """A composite out of an occurrence called ``o``."""
 
-    return F.struct(*[value(p).alias(p.name) for p in _parts_of(kind)])
+    def whole(n: int) -> str:
+        return f"get(o, {n - 1}).whole"
 
+    def sub(n: int, s: int) -> str:
+        return f"get(get(o, {n - 1}).subs, {s - 1})"
 
-def _pair(raw: Column, seps: Column, decode: bool) -> Column:
-    """EIP: placer and filler identifier, each an EI written with subcomponents."""
-    pieces = _split(raw, seps["comp"], USUAL["comp"])
-    names = [p.name for p in _parts_of("ei")]
+    if kind == "eip":
+        names = [p.name for p in _parts_of("ei")]
 
-    def identifier(n: int) -> Column:
-        whole = _part(pieces, n)
-        whole = _some(unescape(whole, seps)) if decode else whole
-        subs = _split(whole, seps["sub"], USUAL["sub"])
-        return F.when(whole.isNotNull(), F.struct(*[_part(subs, i + 1).alias(name) for i, name in enumerate(names)]))
+        def identifier(n: int) -> str:
+            parts = ", ".join(f"'{name}', {sub(n, i + 1)}" for i, name in enumerate(names))
+            return f"CASE WHEN {whole(n)} IS NOT NULL THEN named_struct({parts}) END"
 
-    return F.struct(identifier(1).alias("placer_assigned_identifier"), identifier(2).alias("filler_assigned_identifier"))
+        return (
+            f"named_struct('placer_assigned_identifier', {identifier(1)}, 'filler_assigned_identifier', {identifier(2)})"
+        )
 
+    def one(part: _Part) -> str:
+        value = whole(part.component) if part.sub is None else sub(part.component, part.sub)
+        if part.fallback is not None:
+            value = f"coalesce({value}, {whole(part.fallback)})"
+        return _dtm(value) if part.is_date else value
 
-def composite(seg: Column, n: int, kind: str, first: bool = False) -> Column:
-    """A composite field as a struct; null when the field is empty, or when all its parts are."""
-    raw = repetition(seg, n, 1) if first else field(seg, n)
-    seps = seg["seps"]
-    value = _pair(raw, seps, True) if kind == "eip" else _struct_of(raw, kind, seps, True)
-    names = (
-        ["placer_assigned_identifier", "filler_assigned_identifier"]
-        if kind == "eip"
-        else [p.name for p in _parts_of(kind)]
-    )
+    return "named_struct(" + ", ".join(f"'{p.name}', {one(p)}" for p in _parts_of(kind)) + ")"
+
+
+def _names_of(kind: str) -> list[str]:
+    if kind == "eip":
+        return ["placer_assigned_identifier", "filler_assigned_identifier"]
+    return [p.name for p in _parts_of(kind)]
+
+
+def _composite(n: int, kind: str, first: bool = False) -> str:
+    raw = _whole(n, 1 if first else None, decoded=True)
+    structs = f"transform(transform(filter(array({raw}), r -> r IS NOT NULL), r -> {_occurrence('r')}), o -> {_struct_of(kind)})"
     # A coded value or designator that is present stays a struct even when every part is empty.
-    present = raw.isNotNull()
     if kind not in ("cwe", "hd"):
-        present = present & any_of(*[value[name].isNotNull() for name in names])
-    return F.when(present, value)
+        some = " OR ".join(f"z.{name} IS NOT NULL" for name in _names_of(kind))
+        structs = f"filter({structs}, z -> {some})"
+    return f"get({structs}, 0)"
+
+
+def composite(n: int, kind: str, first: bool = False) -> Column:
+    """A composite field as a struct; null when the field is empty, or when all its parts are."""
+    return F.expr(_composite(n, kind, first))
 
 
-def repeated(seg: Column, n: int, kind: str) -> Column:
-    """All repetitions of a field as an array: structs for composites, texts for ``s``, ``id`` and ``dtm``."""
-    seps = seg["seps"]
-    occurrences = F.filter(_split(field(seg, n), seps["rep"], USUAL["rep"]), lambda r: r != "")
+def _repeated(n: int, kind: str) -> str:
+    found = f"filter(split({_raw(n)}, '{REP}', -1), r -> r <> '')"
     if kind == "s":
-        values = occurrences
+        values = f"transform({found}, r -> {_shown('r')})"
     elif kind == "id":
-        first = F.transform(occurrences, lambda r: _part(_split(r, seps["comp"], USUAL["comp"]), 1))
-        values = F.filter(first, lambda v: v.isNotNull())
+        values = f"filter(transform({found}, r -> {_shown(f'''get(split(r, '{COMP}', -1), 0)''')}), v -> v <> '')"
     elif kind == "dtm":
-        values = F.filter(F.transform(occurrences, timestamp_text), lambda v: v.isNotNull())
-    elif kind == "eip":
-        values = F.transform(occurrences, lambda r: _pair(r, seps, False))
+        values = f"filter(transform({found}, r -> {_dtm('r')}), v -> v IS NOT NULL)"
     else:
-        values = F.transform(occurrences, lambda r: _struct_of(r, kind, seps, False))
-    return F.when(F.size(values) > 0, values)
+        values = f"transform(transform({found}, r -> {_occurrence('r')}), o -> {_struct_of(kind)})"
+    return f"get(filter(array({values}), a -> size(a) > 0), 0)"
+
+
+def repeated(n: int, kind: str) -> Column:
+    """All repetitions of a field as an array: structs for composites, texts for ``s``, ``id`` and ``dtm``.
+
+    Escapes stay as they are written here.
+    """
+    return F.expr(_repeated(n, kind))
 
 
 # ---------------------------------------------------------------- rows
@@ -204,74 +265,46 @@ def messages(df: DataFrame, text: str = "text", into: str = "message") -> DataFr
     return df.select(*others, F.posexplode(found).alias("message_no", into))
 
 
-def separators(message: Column) -> Column:
-    """The five separators a message declares in its MSH."""
-    given = F.substring(message, 5, 4)
-    msh = F.substring_index(message, "\r", 1)
-    enc = F.when(F.length(msh) >= 8, given).otherwise(F.lit("^~\\&"))
-    return F.struct(
-        F.substring(message, 4, 1).alias("field"),
-        F.substring(enc, 1, 1).alias("comp"),
-        F.substring(enc, 2, 1).alias("rep"),
-        F.substring(enc, 3, 1).alias("esc"),
-        F.substring(enc, 4, 1).alias("sub"),
-    )
+def _cells(line: str) -> str:
+    """Fields of a hidden line; in MSH the field separator itself is field 1, as the standard counts."""
+    cut = f"transform(split({line}, '{FIELD}', -1), f -> CASE WHEN f <> '' THEN f END)"
+    shifted = f"transform(array({cut}), p -> concat(slice(p, 1, 1), array('{FIELD}'), slice(p, 2, greatest(size(p), 1))))"
+    return f"CASE WHEN segment_type = 'MSH' THEN get({shifted}, 0) ELSE {cut} END"
 
 
 def segments(df: DataFrame, message: str = "message") -> DataFrame:
-    """One row per segment: ``segment_type``, ``segment_no`` within its type, ``fields``, separators, the MSH metadata.
-
-    In MSH the field separator itself is field 1, so numbers agree with the standard for every segment.
-    """
+    """One row per segment: ``segment_type``, ``line_no``, ``fields``, ``decoded``, separators and the MSH metadata."""
     others = [c for c in df.columns if c != message]
-    seps = separators(F.col(message))
-    head = F.split(F.substring_index(message, "\r", 1), F.concat(F.lit("\\Q"), F.col("seps.field"), F.lit("\\E")), -1)
-    rows = df.select(*others, F.col(message), seps.alias("seps"))
-    rows = rows.select(
-        *others,
-        "seps",
-        _some(F.get(head, F.lit(9))).alias("message_id"),
-        _some(F.get(head, F.lit(6))).alias("message_timestamp"),
-        _some(F.get(head, F.lit(11))).alias("hl7_version"),
-        F.posexplode(_lines(F.col(message))).alias("line_no", "raw_segment"),
-    )
-    cells = _split(F.col("raw_segment"), F.col("seps.field"), USUAL["field"])
-    kind = F.upper(F.trim(F.get(cells, F.lit(0))))
-    shifted = F.concat(F.slice(cells, 1, 1), F.array(F.col("seps.field")), F.slice(cells, 2, F.greatest(F.size(cells), F.lit(1))))
-    return rows.select("*", kind.alias("segment_type"), F.when(kind == "MSH", shifted).otherwise(cells).alias("fields")).filter(
-        "segment_type <> ''"
-    )
-
-
-METADATA = ("message_id", "message_timestamp", "hl7_version")
-
-
-def set_id(seg: Column) -> Column:
-    """Field 1 as a number, 1 when it is none; a literal 0 stays 0."""
-    return F.coalesce(to_int(field(seg, 1)), F.lit(1).cast("bigint"))
-
-
-def _column(seg: Column, at: str, kind: str) -> Column:
-    n, _, comp = at.partition(".")
-    number = int(n)
+    rows = df.select(*others, F.col(message), separators(F.col(message)).alias("seps"))
+    first = f"translate(substring_index({message}, '\r', 1), seps.all, '{_HIDDEN}')"
+    rows = rows.withColumn("__head", F.expr(f"split({first}, '{FIELD}', -1)"))
+    carried = [F.expr(_shown(_some(f"get(__head, {at})"))).alias(name) for name, at in METADATA_PLACES.items()]
+    rows = rows.select(*others, "seps", *carried, F.posexplode(_lines(F.col(message))).alias("line_no", "raw_segment"))
+    hidden = F.expr(f"translate(raw_segment, seps.all, '{_HIDDEN}')")
+    rows = rows.select("*", hidden.alias("__hidden"), unescape(hidden, F.col("seps")).alias("__decoded"))
+    kind = F.upper(F.trim(F.substring_index("__hidden", FIELD, 1)))
+    rows = rows.withColumn("segment_type", kind).filter("segment_type <> ''")
+    cells = {"fields": F.expr(_cells("__hidden")), "decoded": F.expr(_cells("__decoded"))}
+    return rows.withColumns(cells).drop("__hidden", "__decoded")
+
+
+def _column(at: str, kind: str) -> str:
+    place, _, comp = at.partition(".")
+    n = int(place)
     if kind.endswith("*"):
-        return repeated(seg, number, kind[:-1])
+        return _repeated(n, kind[:-1])
     if comp:
-        value = component(seg, number, int(comp))
-        return timestamp_text(value) if kind == "dtm" else value
-    if kind == "st":
-        return field(seg, number)
-    if kind == "st1":
-        return repetition(seg, number, 1)
-    if kind == "int":
-        return to_int(field(seg, number))
-    if kind == "set":
-        return set_id(seg)
-    if kind == "dtm":
-        return timestamp_text(field(seg, number))
-    if kind == "dtm1":
-        return timestamp_text(repetition(seg, number, 1))
-    return composite(seg, number, kind.removesuffix("1"), first=kind.endswith("1"))
+        value = _component(n, int(comp))
+        return _dtm(value) if kind == "dtm" else value
+    simple = {
+        "st": lambda: _shown(_raw(n)),
+        "st1": lambda: _shown(_repetition(n, 1)),
+        "int": lambda: _int(_shown(_raw(n))),
+        "set": _set_id,
+        "dtm": lambda: _dtm(_shown(_raw(n))),
+        "dtm1": lambda: _dtm(_shown(_repetition(n, 1))),
+    }
+    return simple[kind]() if kind in simple else _composite(n, kind.removesuffix("1"), first=kind.endswith("1"))
 
 
 def segment_table(df: DataFrame, segment: str, fields: str | None = None, keep: tuple[str, ...] = ()) -> DataFrame:
@@ -279,29 +312,30 @@ def segment_table(df: DataFrame, segment: str, fields: str | None = None, keep:
 
     ``df`` comes from ``segments``. ``fields`` is the table's field list in the notation of ``hl7_fields``; without
     one the built-in list is used, or the generic ``field_1`` … ``field_25``. A segment that can repeat and has no
-    set id of its own is numbered within its message, which needs ``message_key`` columns in ``keep``.
+    set id of its own is numbered within its message, told apart by the columns in ``keep``.
     """
     name = segment.upper()
     spec = fields if fields is not None else SEGMENTS.get(name)
     if spec is None:
         return generic_table(df, name, keep)
     rows = df.filter(F.col("segment_type") == name)
-    seg = F.struct("fields", "seps")
     columns = []
     for line in spec.strip().splitlines():
         at, kind, label = line.split()
-        columns.append((label, _column(seg, at, kind)))
-    if name not in SINGLE_SEGMENTS and all(label != "set_id" for label, _ in columns):
-        # Segments of one message are few; the window never spans messages.
-        order = Window.partitionBy(*(keep or ("message_id",))).orderBy("line_no")
+        columns.append(f"{_column(at, kind)} AS {label}")
+    labels = [line.split()[2] for line in spec.strip().splitlines()]
+    if name not in SINGLE_SEGMENTS and "set_id" not in labels:
+        if not keep:
+            raise ValueError(f"{name} is numbered within its message: name the message's key columns in keep")
+        # A window holds the segments of one message, which was one row before.
+        order = Window.partitionBy(*keep).orderBy("line_no")
         rows = rows.withColumn("set_id", F.row_number().over(order).cast("bigint"))
-        columns.append(("set_id", F.col("set_id")))
-    return rows.select(*keep, *METADATA, *[c.alias(label) for label, c in columns], "raw_segment")
+        columns.append("set_id")
+    return rows.selectExpr(*keep, *METADATA, *columns, "raw_segment")
 
 
 def generic_table(df: DataFrame, segment: str, keep: tuple[str, ...] = ()) -> DataFrame:
     """Segments without a field list: ``field_1`` … ``field_25`` as they stand."""
     rows = df.filter(F.col("segment_type") == segment.upper())
-    seg = F.struct("fields", "seps")
-    numbered = [field(seg, i).alias(f"field_{i}") for i in range(1, GENERIC_FIELDS + 1)]
+    numbered = [field(i).alias(f"field_{i}") for i in range(1, GENERIC_FIELDS + 1)]
     return rows.select(*keep, *METADATA, "segment_type", *numbered, "raw_segment")

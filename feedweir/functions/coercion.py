@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from feedweir.functions.nested import once
+
 # Accepted spellings and date forms, tried in this order.
 TRUE_WORDS = ("true", "t", "yes", "y", "1")
 FALSE_WORDS = ("false", "f", "no", "n", "0")
@@ -123,7 +125,7 @@ def coerce_value(c: Column, source: T.DataType, kind: T.DataType, mode: str = "f
                 empty = F.raise_error(F.lit("an empty object is no struct; use null")).cast("string")
                 wrapped = F.when(c.rlike(r"^\s*\{\s*\}\s*$"), empty).otherwise(c)
             shape = _texts_only(kind)
-            return coerce_value(F.from_json(wrapped, shape), shape, kind, mode)
+            return once(F.from_json(wrapped, shape), lambda v: coerce_value(v, shape, kind, mode))
         if isinstance(kind, T.ArrayType):
             if not isinstance(source, T.ArrayType):
                 if not kind.containsNull:

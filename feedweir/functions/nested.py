@@ -9,6 +9,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+def once(c: Column, use) -> Column:
+    """``use(c)`` with ``c`` bound to a name: however often it is used, it is written and evaluated once."""
+    return F.get(F.transform(F.array(c), use), F.lit(0))
+
+
 def json_path(c: Column, path: str) -> Column:
     """Dotted path into JSON text, null when any step is missing."""
     return F.get_json_object(c, "$." + path)
@@ -81,7 +86,7 @@ def null_if_empty(c: Column, kind: T.DataType) -> Column:
         return F.transform(c, lambda v: null_if_empty(v, kind.elementType))
     if isinstance(kind, T.StructType):
         rebuilt = F.struct(*[null_if_empty(c[f.name], f.dataType).alias(f.name) for f in kind.fields])
-        return F.when(c.isNotNull() & ~_all_null(rebuilt, kind), rebuilt)
+        return F.when(c.isNotNull(), once(rebuilt, lambda r: F.when(~_all_null(r, kind), r)))
     return c
 
 

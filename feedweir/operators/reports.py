@@ -117,7 +117,7 @@ def session_seconds() -> Column:
 def session_length(found: DataFrame) -> DataFrame:
     """Average session length per day."""
     day = F.col("session_start").cast("date").alias("date")
-    return found.groupBy(day).agg(F.round(F.avg(session_seconds()), 3).alias("length"))
+    return found.groupBy(day).agg(F.round(F.avg(session_seconds()), 6).alias("length"))
 
 
 def session_histogram(found: DataFrame) -> DataFrame:

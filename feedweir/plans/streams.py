@@ -1 +1,119 @@
-"""stub"""
+"""Streaming queries: each one runs a stream over a whole table to its end and returns what it wrote."""
+
+from __future__ import annotations
+
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from feedweir.operators.ordering import block_of
+from feedweir.plans.registry import query, table
+from feedweir.session import checkpoint_dir
+from feedweir.sources import readers, sinks
+from feedweir.streaming import tables as Z
+
+
+def _folder(spark: SparkSession, name: str) -> str:
+    return f"{checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def events_stream(spark: SparkSession, d: str) -> DataFrame:
+    """The events table as a stream."""
+    schema = table(spark, d, "events").schema
+    return readers.read_stream(spark, d, schema, max_files=1, pathGlobFilter="events.parquet")
+
+
+EVENTS = "SELECT event_id, ts, user_id, event_type, value FROM events"
+COLUMNS = ["event_id", "ts", "user_id", "event_type", "value"]
+
+
+@query("stream_append", "O-08", "O-18", "O-19", "O-35", "O-168", "O-169", "O-174", sql=EVENTS)
+def _(spark: SparkSession, d: str) -> DataFrame:
+    out = _folder(spark, "append")
+    Z.run_to_end(Z.stream_append(events_stream(spark, d).select(*COLUMNS), out, out + "-log"))
+    return spark.read.parquet(out)
+
+
+@query(
+    "stream_scd1_deletes",
+    "O-166", "O-170",
+    sql="""
+SELECT user_id, ts, event_type, value FROM events
+QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC) = 1 AND event_type <> 'error'
+""",
+)
+def _(spark: SparkSession, d: str) -> DataFrame:
+    out = _folder(spark, "scd1")
+    rows = events_stream(spark, d).select("user_id", "ts", "event_type", "value")
+    feed = rows.filter("event_type <> 'error'")
+    gone = rows.filter("event_type = 'error'").select("user_id", "ts")
+    Z.run_to_end(Z.stream_scd1(feed, out, ["user_id"], "ts", out + "-log", deletes=gone))
+    Z.compact(spark, out, ["user_id"], "ts")
+    return Z.read_scd1(spark, out, ["user_id"], "ts").select("user_id", "ts", "event_type", "value")
+
+
+@query(
+    "stream_scd2",
+    "O-167",
+    sql="""
+WITH states AS (SELECT user_id, ts, event_type, lag(event_type) OVER w AS was FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts)),
+changes AS (SELECT * FROM states WHERE was IS NULL OR was <> event_type)
+SELECT user_id, ts, event_type, ts AS "__START_AT", lead(ts) OVER (PARTITION BY user_id ORDER BY ts) AS "__END_AT" FROM changes
+""",
+)
+def _(spark: SparkSession, d: str) -> DataFrame:
+    out = _folder(spark, "scd2")
+    feed = events_stream(spark, d).select("user_id", "ts", "event_type")
+    Z.run_to_end(Z.stream_scd2(feed, out, ["user_id"], "ts", out + "-log"))
+    log = Z.read_log(spark, out)
+    return Z.read_scd2(spark, out, ["user_id"], "ts", track=["event_type"], split=block_of(log, "ts", "day"))
+
+
+@query("stream_dedup", "O-171", sql="SELECT DISTINCT user_id, event_type FROM events")
+def _(spark: SparkSession, d: str) -> DataFrame:
+    out = _folder(spark, "dedup")
+    rows = events_stream(spark, d).select("user_id", "event_type", "ts")
+    Z.run_to_end(Z.stream_append(Z.stream_dedup(rows, ["user_id", "event_type"], "ts", "60 days"), out, out + "-log"))
+    return spark.read.parquet(out).select("user_id", "event_type")
+
+
+@query("stream_key_watermarks", "O-172", sql="SELECT user_id, max(ts) AS cursor FROM events GROUP BY 1")
+def _(spark: SparkSession, d: str) -> DataFrame:
+    out = _folder(spark, "watermarks")
+    rows = events_stream(spark, d).select("user_id", "ts")
+    Z.run_to_end(Z.stream_watermarks(rows, out + "/rows", out + "/state", "user_id", "ts", out + "/log"))
+    return sinks.read_target(spark, out + "/state")
+
+
+@query(
+    "stream_windows",
+    "O-173",
+    sql="""
+SELECT time_bucket(INTERVAL 6 HOUR, ts) AS window_start, event_type, count(*) AS n FROM events GROUP BY ALL
+""",
+)
+def _(spark: SparkSession, d: str) -> DataFrame:
+    out = _folder(spark, "windows")
+    counted = Z.stream_windows(events_stream(spark, d), "ts", "6 hours", keys=["event_type"], delay="1 day")
+
+    def save(batch: DataFrame, number: int) -> None:
+        sinks.write_target(batch, out, number)
+
+    # Complete mode: the last batch holds every window, also those the watermark has not closed.
+    writer = counted.writeStream.outputMode("complete").foreachBatch(save).option("checkpointLocation", out + "-log")
+    Z.run_to_end(writer.trigger(availableNow=True).start())
+    return sinks.read_target(spark, out).select(F.col("window_start").cast("timestamp_ntz").alias("window_start"), "event_type", "n")
+
+
+@query("stream_snapshot", "O-175", "O-143", sql="SELECT c_custkey, c_name, c_acctbal FROM customer")
+def _(spark: SparkSession, d: str) -> DataFrame:
+    out = _folder(spark, "snapshot")
+
+    def read(session: SparkSession) -> DataFrame:
+        return table(session, d, "customer").select("c_custkey", "c_name", "c_acctbal")
+
+    running = Z.stream_snapshot(spark, read, out, out + "-log", interval="1 second")
+    running.processAllAvailable()
+    running.stop()
+    return Z.newest_snapshot(spark, out)

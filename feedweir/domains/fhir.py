@@ -277,15 +277,17 @@ def _national_patient(r: Column) -> list[Column]:
 
 
 def resource_rows(df: DataFrame, resource_type: str, profile: str = "uk_core", raw: str = "raw_json") -> DataFrame:
-    """Typed rows of one resource type with the raw JSON and the extension JSON kept as text; parsed once."""
+    """Typed rows of one resource type with the raw JSON and the extension JSON kept as text; parsed once.
+
+    Every row is taken for that type: filter mixed input on its resource type before.
+    """
     found = find_profile(resource_type, profile)
     spec = COMMON + (", " + found.spec if found else "")
     parsed = df.select(F.col(raw).alias("raw_json"), F.from_json(raw, json_schema(spec)).alias("__r"))
     r = F.col("__r")
-    mine = parsed.filter(F.coalesce(r["resourceType"], F.lit(resource_type)) == resource_type)
-    return mine.select(
+    return parsed.select(
         r["id"].alias("id"),
-        F.lit(resource_type).alias("resourceType"),
+        F.coalesce(r["resourceType"], F.lit(resource_type)).alias("resourceType"),
         to_timestamp(r["meta"]["lastUpdated"]).alias("lastUpdated"),
         "raw_json",
         F.coalesce(F.get_json_object("raw_json", "$.extension"), F.lit("null")).alias("extension"),

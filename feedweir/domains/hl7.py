@@ -19,7 +19,6 @@ from feedweir.functions.nested import once
 GENERIC_FIELDS = 25
 # Control characters that stand for the field, component, repetition and subcomponent separators.
 FIELD, COMP, REP, SUB = "\x1c", "\x1d", "\x1e", "\x1f"
-_HIDDEN = FIELD + COMP + REP + SUB
 
 # MSH fields carried onto every row, by place after the segment name.
 METADATA_PLACES = {"message_id": 9, "message_timestamp": 6, "hl7_version": 11}
@@ -35,8 +34,7 @@ def separators(message: Column) -> Column:
     enc = F.when(F.length(msh) >= 8, F.substring(message, 5, 4)).otherwise(F.lit("^~\\&"))
     parts = {"field": F.substring(message, 4, 1)}
     parts |= {name: F.substring(enc, place, 1) for place, name in enumerate(("comp", "rep", "esc", "sub"), start=1)}
-    together = F.concat(parts["field"], parts["comp"], parts["rep"], parts["sub"])
-    return F.struct(*[c.alias(n) for n, c in parts.items()], together.alias("all"))
+    return F.struct(*[c.alias(n) for n, c in parts.items()])
 
 
 def unescape(c: Column, seps: Column) -> Column:
@@ -89,8 +87,20 @@ def _dtm(sql: str) -> str:
     return f"get(transform(transform(array({clean}), t -> {parts}), p -> {iso}), 0)"
 
 
-def _shown(sql: str) -> str:
-    return f"translate({sql}, '{_HIDDEN}', seps.all)"
+_SHOWN = {COMP: "seps.comp", REP: "seps.rep", SUB: "seps.sub"}
+
+
+def _shown(sql: str, hidden: str = COMP + REP + SUB) -> str:
+    """The separators named in ``hidden`` written as the sender wrote them."""
+    for mark in hidden:
+        sql = f"replace({sql}, '{mark}', {_SHOWN[mark]})"
+    return sql
+
+
+def _hide(c: Column, seps: Column) -> Column:
+    for mark, name in ((FIELD, "field"), (COMP, "comp"), (REP, "rep"), (SUB, "sub")):
+        c = F.replace(c, seps[name], F.lit(mark))
+    return c
 
 
 def _some(sql: str) -> str:
@@ -171,8 +181,8 @@ def _parts_of(kind: str) -> list[_Part]:
 
 def _occurrence(sql: str) -> str:
     """One occurrence as an array of components, each with its whole text and its subcomponents."""
-    subs = f"transform(split(c, '{SUB}', -1), s -> CASE WHEN s <> '' THEN {_shown('s')} END)"
-    pair = f"named_struct('whole', CASE WHEN c <> '' THEN {_shown('c')} END, 'subs', {subs})"
+    subs = f"transform(split(c, '{SUB}', -1), s -> CASE WHEN s <> '' THEN {_shown('s', REP)} END)"
+    pair = f"named_struct('whole', CASE WHEN c <> '' THEN {_shown('c', REP + SUB)} END, 'subs', {subs})"
     return f"transform(split({sql}, '{COMP}', -1), c -> {pair})"
 
 
@@ -250,15 +260,12 @@ def repeated(n: int, kind: str) -> Column:
 # ---------------------------------------------------------------- rows
 
 
-def _lines(c: Column) -> Column:
-    clean = F.regexp_replace(F.regexp_replace(c, r"^\s+|\s+$", ""), "\r\n|\n", "\r")
-    return F.filter(F.split(clean, "\r"), lambda line: F.trim(line) != "")
-
-
 def messages(df: DataFrame, text: str = "text", into: str = "message") -> DataFrame:
     """One row per message of each text: batch envelopes are dropped, line ends become CR, text before the first
     MSH is no message. ``message_no`` counts from 0 within a text."""
-    kept = F.filter(_lines(F.col(text)), lambda line: ~F.upper(F.substring(line, 1, 3)).isin(*ENVELOPE_SEGMENTS))
+    ends = F.replace(F.replace(F.col(text), F.lit("\r\n"), F.lit("\r")), F.lit("\n"), F.lit("\r"))
+    lines = F.split(ends, "\r")
+    kept = F.filter(lines, lambda line: (F.trim(line) != "") & ~F.upper(F.substring(line, 1, 3)).isin(*ENVELOPE_SEGMENTS))
     pieces = F.split(F.array_join(kept, "\r"), r"\r(?=[Mm][Ss][Hh])")
     found = F.filter(pieces, lambda m: F.upper(F.substring(m, 1, 3)) == "MSH")
     others = [c for c in df.columns if c != text]
@@ -273,19 +280,22 @@ def _cells(line: str) -> str:
 
 
 def segments(df: DataFrame, message: str = "message") -> DataFrame:
-    """One row per segment: ``segment_type``, ``line_no``, ``fields``, ``decoded``, separators and the MSH metadata."""
+    """One row per segment of the messages that ``messages`` returns.
+
+    Adds ``segment_type``, ``line_no``, ``raw_segment``, ``fields``, ``decoded``, the separators and the MSH metadata.
+    """
     others = [c for c in df.columns if c != message]
     rows = df.select(*others, F.col(message), separators(F.col(message)).alias("seps"))
-    first = f"translate(substring_index({message}, '\r', 1), seps.all, '{_HIDDEN}')"
-    rows = rows.withColumn("__head", F.expr(f"split({first}, '{FIELD}', -1)"))
+    rows = rows.select(*others, "seps", _hide(F.col(message), F.col("seps")).alias("__hidden"))
+    rows = rows.withColumn("__head", F.split(F.substring_index("__hidden", "\r", 1), FIELD, -1))
     carried = [F.expr(_shown(_some(f"get(__head, {at})"))).alias(name) for name, at in METADATA_PLACES.items()]
-    rows = rows.select(*others, "seps", *carried, F.posexplode(_lines(F.col(message))).alias("line_no", "raw_segment"))
-    hidden = F.expr(f"translate(raw_segment, seps.all, '{_HIDDEN}')")
-    rows = rows.select("*", hidden.alias("__hidden"), unescape(hidden, F.col("seps")).alias("__decoded"))
-    kind = F.upper(F.trim(F.substring_index("__hidden", FIELD, 1)))
-    rows = rows.withColumn("segment_type", kind).filter("segment_type <> ''")
-    cells = {"fields": F.expr(_cells("__hidden")), "decoded": F.expr(_cells("__decoded"))}
-    return rows.withColumns(cells).drop("__hidden", "__decoded")
+    rows = rows.select(*others, "seps", *carried, F.posexplode(F.split("__hidden", "\r")).alias("line_no", "__line"))
+    kind = F.upper(F.trim(F.substring_index("__line", FIELD, 1)))
+    raw = F.expr(f"replace({_shown('__line')}, '{FIELD}', seps.field)")
+    rows = rows.select("*", raw.alias("raw_segment"), kind.alias("segment_type")).filter("segment_type <> ''")
+    rows = rows.withColumn("__decoded", unescape(F.col("__line"), F.col("seps")))
+    cells = {"fields": F.expr(_cells("__line")), "decoded": F.expr(_cells("__decoded"))}
+    return rows.withColumns(cells).drop("__line", "__decoded")
 
 
 def _column(at: str, kind: str) -> str:

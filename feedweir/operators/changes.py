@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from feedweir.operators.ordering import with_neighbour
+from feedweir.operators.ordering import opening_rows
 
 DELETED = "_deleted"
 START, END = "__START_AT", "__END_AT"
@@ -81,19 +81,19 @@ def scd2(
     order = [F.col(DELETED).desc(), *_tie_order(merged, tiebreak)]
     versions = _newest(merged, [*keys, seq], order)
     tracked = track or [c for c in feed.columns if c not in {*keys, seq, DELETED}]
-    state = F.struct(F.col(DELETED).alias("gone"), row_hash(merged, tracked).alias("digest"))
-    seen = with_neighbour(versions.withColumn("__state", state), keys, [seq], F.col("__state"), "__was", split=split)
-    unchanged = F.when(F.col("__state.gone"), F.col("__was.gone")).otherwise(
-        ~F.col("__was.gone") & (F.col("__was.digest") == F.col("__state.digest"))
-    )
-    # A delete with nothing before it closes nothing, so it is dropped like a repeat.
-    changes = seen.filter(~F.coalesce(unchanged, F.col("__state.gone"))).drop("__was", "__state")
-    ended = with_neighbour(changes, keys, [seq], F.struct(F.col(seq).alias("at")), "__next", ahead=True, split=split)
+    state = F.struct(F.col(seq).alias("at"), F.col(DELETED).alias("gone"), row_hash(merged, tracked).alias("digest"))
+
+    def opens(was: Column, now: Column) -> Column:
+        # A delete counts only when something is there to close.
+        changed = was.isNull() | was["gone"] | (was["digest"] != now["digest"])
+        return F.when(now["gone"], F.coalesce(~was["gone"], F.lit(False))).otherwise(changed)
+
+    changes = opening_rows(versions, keys, [seq], state, opens, split)
     return (
-        ended.filter(~F.col(DELETED))
+        changes.filter(~F.col(DELETED))
         .withColumn(START, F.col(seq))
-        .withColumn(END, F.col("__next.at"))
-        .drop("__next", DELETED)
+        .withColumn(END, F.col("__next.value.at"))
+        .drop("__next", "__final", DELETED)
     )
 
 

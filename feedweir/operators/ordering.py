@@ -7,7 +7,7 @@ never decreases along the row order (an hour, a day, a block of sequence numbers
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -96,6 +96,59 @@ def with_nearest(
     )
 
 
+def opening_rows(
+    df: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[str],
+    value: Column,
+    opens: Callable[[Column, Column], Column],
+    split: Column | None = None,
+) -> DataFrame:
+    """Rows that start a run of their key, where ``opens(previous value, value)`` holds.
+
+    ``opens`` gets a null previous value for the first row of a key and must return true or false. Each row carries
+    ``__next``, the opening row after it (its ``value`` and the ``before`` value that ends this run), null for the last
+    run, and ``__final``, the value of the key's last row. Everything comes from one pass over the ordered rows; with
+    ``split`` only one summary row per block takes part in the pass per key.
+    """
+    marked = df.withColumn(_VALUE, value)
+    if split is None:
+        along = Window.partitionBy(*keys).orderBy(*order)
+        final = F.first(_VALUE).over(Window.partitionBy(*keys).orderBy(*[F.col(c).desc() for c in order]))
+        found = marked.withColumn("__prev", F.lag(_VALUE).over(along)).withColumn("__final", final)
+        found = found.filter(opens(F.col("__prev"), F.col(_VALUE)))
+        following = F.lead(F.struct(F.col(_VALUE).alias("value"), F.col("__prev").alias("before"))).over(along)
+        return found.withColumn("__next", following).drop(_VALUE, "__prev")
+    rows = _blocked(df, keys, split, value)
+    inside = Window.partitionBy(_GROUP, _BLOCK).orderBy(*order)
+    rows = rows.withColumn("__prev", F.lag(_VALUE).over(inside))
+    at = F.struct(*order)
+    opening = F.struct(F.col(_VALUE).alias("value"), F.col("__prev").alias("before"))
+    opens_inside = F.col("__prev").isNotNull() & opens(F.col("__prev"), F.col(_VALUE))
+    blocks = rows.groupBy(_GROUP, _BLOCK).agg(
+        F.min_by(_VALUE, at).alias("__lo"),
+        F.max_by(_VALUE, at).alias("__hi"),
+        F.min_by(opening, F.when(opens_inside, at)).alias("__inner"),
+    )
+    forward = Window.partitionBy(_GROUP).orderBy(_BLOCK)
+    backward = Window.partitionBy(_GROUP).orderBy(F.col(_BLOCK).desc())
+    later = backward.rowsBetween(Window.unboundedPreceding, -1)
+    blocks = blocks.withColumn("__before", F.lag("__hi").over(forward))
+    first = F.struct(F.col("__lo").alias("value"), F.col("__before").alias("before"))
+    blocks = blocks.withColumn("__head", F.when(opens(F.col("__before"), F.col("__lo")), first).otherwise(F.col("__inner")))
+    blocks = blocks.select(
+        _GROUP,
+        _BLOCK,
+        "__before",
+        F.last("__head", ignorenulls=True).over(later).alias("__later"),
+        F.first("__hi").over(backward).alias("__final"),
+    )
+    found = rows.join(blocks, [_GROUP, _BLOCK]).withColumn("__prev", F.coalesce("__prev", "__before"))
+    found = found.filter(opens(F.col("__prev"), F.col(_VALUE)))
+    following = F.coalesce(F.lead(opening).over(inside), F.col("__later"))
+    return found.withColumn("__next", following).drop(_GROUP, _BLOCK, _VALUE, "__prev", "__before", "__later")
+
+
 def _placed(df: DataFrame, order: Sequence[Column]) -> DataFrame:
     """Rows in global order with their slot (partition number and row number) fixed on shared storage.
 

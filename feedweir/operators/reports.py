@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from feedweir.functions.filters import condition
 from feedweir.functions.literals import literal
-from feedweir.operators.ordering import with_neighbour
+from feedweir.operators.ordering import opening_rows
 
 MAX_DIMENSIONS = 9
 MAX_METRICS = 10
@@ -85,27 +85,19 @@ def active_users(
 def sessions(df: DataFrame, user: str, ts: str, gap_seconds: int, order: Sequence[str] = (), split: Column | None = None) -> DataFrame:
     """Sessions per user: a pause longer than the gap starts a new one.
 
-    Only first and last rows of sessions take part in the second pass; each is the start of a session paired with the
-    edge that follows it.
+    A session ends with the row before the next session's first row, or with the user's last row.
     """
+
+    def micros(c: Column) -> Column:
+        return F.unix_micros(c["at"].cast("timestamp"))
+
+    def opens(was: Column, now: Column) -> Column:
+        return was.isNull() | (micros(now) - micros(was) > gap_seconds * 1_000_000)
+
     along = [ts, *order]
-    at = F.struct(F.col(ts).alias("at"))
-    near = with_neighbour(df.select(user, *along), [user], along, at, "__was", split=split)
-    near = with_neighbour(near, [user], along, at, "__next", ahead=True, split=split)
-
-    def pause(later: Column, earlier: Column) -> Column:
-        micros = F.unix_micros(later.cast("timestamp")) - F.unix_micros(earlier.cast("timestamp"))
-        return F.coalesce(micros > gap_seconds * 1_000_000, F.lit(True))
-
-    edges = near.select(
-        user,
-        *along,
-        pause(F.col(ts), F.col("__was.at")).alias("__first"),
-        pause(F.col("__next.at"), F.col(ts)).alias("__last"),
-    ).filter("__first OR __last")
-    closed = with_neighbour(edges, [user], along, at, "__end", ahead=True, split=split)
-    end = F.when(F.col("__last"), F.col(ts)).otherwise(F.col("__end.at"))
-    return closed.filter("__first").select(user, F.col(ts).alias("session_start"), end.alias("session_end"))
+    found = opening_rows(df.select(user, *along), [user], along, F.struct(F.col(ts).alias("at")), opens, split)
+    end = F.coalesce(F.col("__next.before.at"), F.col("__final.at"))
+    return found.select(user, F.col(ts).alias("session_start"), end.alias("session_end"))
 
 
 def session_seconds() -> Column:

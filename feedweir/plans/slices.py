@@ -148,27 +148,38 @@ def _(spark: SparkSession, d: str) -> DataFrame:
 
 # ---------------------------------------------------------------- caps
 
-_FIRST = f"WITH {HOURLY}, firsts AS (SELECT hour FROM hourly ORDER BY hour LIMIT 100), edge AS (SELECT max(hour) AS last FROM firsts)"
+CAP = 5000
+_FIRST = f"""
+WITH minutes AS (SELECT event_id, date_trunc('minute', ts) AS minute, user_id FROM events),
+firsts AS (SELECT minute FROM minutes ORDER BY minute LIMIT {CAP}),
+edge AS (SELECT max(minute) AS last, (SELECT count(*) FROM events) > {CAP} AS more FROM firsts)
+"""
+
+
+def by_minute(spark: SparkSession, d: str) -> DataFrame:
+    """Events with a minute as cursor: it ties, but no minute outgrows the cap."""
+    minute = F.date_trunc("minute", F.col("ts").cast("timestamp")).cast("timestamp_ntz").alias("minute")
+    return table(spark, d, "events").select("event_id", minute, "user_id")
 
 
-@query("batch_trim", "O-121", sql=f"{_FIRST} SELECT event_id, hour, user_id FROM hourly, edge WHERE hour < last")
+@query("batch_trim", "O-121", sql=f"{_FIRST} SELECT event_id, minute, user_id FROM minutes, edge WHERE minute < last OR NOT more")
 def _(spark: SparkSession, d: str) -> DataFrame:
-    return S.batch_trim(hourly(spark, d), "hour", 100)[0]
+    return S.batch_trim(by_minute(spark, d), "minute", CAP)[0]
 
 
-@query("batch_trim_state", "O-121", sql=f"{_FIRST} SELECT max(hour) AS cursor FROM hourly, edge WHERE hour < last")
+@query("batch_trim_state", "O-121", sql=f"{_FIRST} SELECT max(minute) AS cursor FROM minutes, edge WHERE minute < last OR NOT more")
 def _(spark: SparkSession, d: str) -> DataFrame:
-    return S.batch_trim(hourly(spark, d), "hour", 100)[1]
+    return S.batch_trim(by_minute(spark, d), "minute", CAP)[1]
 
 
-@query("batch_soft", "O-122", sql=f"{_FIRST} SELECT event_id, hour, user_id FROM hourly, edge WHERE hour <= last")
+@query("batch_soft", "O-122", sql=f"{_FIRST} SELECT event_id, minute, user_id FROM minutes, edge WHERE minute <= last")
 def _(spark: SparkSession, d: str) -> DataFrame:
-    return S.batch_soft(hourly(spark, d), "hour", 100)[0]
+    return S.batch_soft(by_minute(spark, d), "minute", CAP)[0]
 
 
 @query("batch_unsorted", "O-124", sql=f"WITH {HOURLY} SELECT event_id, hour, user_id FROM hourly")
 def _(spark: SparkSession, d: str) -> DataFrame:
-    return S.batch_soft(hourly(spark, d), "hour", 100, is_sorted=False)[0]
+    return S.batch_soft(hourly(spark, d), "hour", CAP, is_sorted=False)[0]
 
 
 _LINES = """

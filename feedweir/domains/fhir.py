@@ -8,7 +8,7 @@ JSON is parsed with, so only the listed elements are materialised, and the proje
 from __future__ import annotations
 
 import re
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -276,16 +276,31 @@ def _national_patient(r: Column) -> list[Column]:
 # ---------------------------------------------------------------- rows
 
 
-def resource_rows(df: DataFrame, resource_type: str, profile: str = "uk_core", raw: str = "raw_json") -> DataFrame:
+def _only(spec: str, names: Sequence[str]) -> str:
+    """The lines of a type list that give the named columns."""
+    kept = [line for line in spec.split(",") if _lines(line)[0][2] in names]
+    return ",".join(kept)
+
+
+def resource_rows(
+    df: DataFrame,
+    resource_type: str,
+    profile: str = "uk_core",
+    raw: str = "raw_json",
+    columns: Sequence[str] | None = None,
+) -> DataFrame:
     """Typed rows of one resource type with the raw JSON and the extension JSON kept as text; parsed once.
 
-    Every row is taken for that type: filter mixed input on its resource type before.
+    ``columns`` limits the typed columns, and the parser to the elements they need. Every row is taken for the given
+    type: filter mixed input on its resource type before.
     """
     found = find_profile(resource_type, profile)
+    if found and columns is not None and found.spec == RESOURCES.get(resource_type):
+        narrow = _only(found.spec, columns)
+        found = Profile(narrow, lambda r: columns_of(r, narrow)) if narrow else None
     spec = COMMON + (", " + found.spec if found else "")
-    parsed = df.select(F.col(raw).alias("raw_json"), F.from_json(raw, json_schema(spec)).alias("__r"))
     r = F.col("__r")
-    return parsed.select(
+    rows = df.select(F.col(raw).alias("raw_json"), F.from_json(raw, json_schema(spec)).alias("__r")).select(
         r["id"].alias("id"),
         F.coalesce(r["resourceType"], F.lit(resource_type)).alias("resourceType"),
         to_timestamp(r["meta"]["lastUpdated"]).alias("lastUpdated"),
@@ -293,6 +308,8 @@ def resource_rows(df: DataFrame, resource_type: str, profile: str = "uk_core", r
         F.coalesce(F.get_json_object("raw_json", "$.extension"), F.lit("null")).alias("extension"),
         *(found.columns(r) if found else []),
     )
+    common = ("id", "resourceType", "lastUpdated", "raw_json", "extension")
+    return rows if columns is None else rows.select(*common, *[c for c in columns if c not in common])
 
 
 def bundle_entries(df: DataFrame, bundle: str = "bundle", keep: Mapping[str, Column] | None = None) -> DataFrame:

@@ -71,7 +71,7 @@ def cap_at_run_start(
     ceiling = _bound(df, cursor, run_start)
     rows = df.filter(F.col(cursor) <= ceiling)
     top = F.max(cursor) if previous is None else advance(_bound(df, cursor, previous), F.max(cursor))
-    return rows, rows.agg(F.least(top, ceiling).alias("cursor"))
+    return rows, rows.agg(F.when(top.isNotNull(), F.least(top, ceiling)).alias("cursor"))
 
 
 def with_lookback(since: object, seconds: object) -> Column:
@@ -89,7 +89,8 @@ def auto_lookback(
     recent = history.orderBy(F.col("run").desc()).limit(keep)
     good = recent.filter((F.col("seconds") > 0) & ~F.isnan("seconds") & (F.col("seconds") < float("inf")))
     longest = F.round(F.max("seconds") * factor, 9)
-    return good.agg(F.coalesce(F.least(longest, F.lit(float(ceiling))), F.lit(0.0)).alias("seconds"))
+    # least() skips nulls, so "nothing measured" has to be told apart before it.
+    return good.agg(F.when(longest.isNull(), F.lit(0.0)).otherwise(F.least(longest, F.lit(float(ceiling)))).alias("seconds"))
 
 
 def slice_keep_unknown(

@@ -408,6 +408,9 @@ SELECT l_orderkey || '-' || l_linenumber || '-' || l_partkey AS id, CASE WHEN l_
 """
 
 
+OBSERVED = ["status", "code", "subject", "effective_datetime", "value_quantity", "component", "reference_range"]
+
+
 def _observed(rows: DataFrame) -> DataFrame:
     return rows.select(
         "id",
@@ -424,7 +427,7 @@ def _observed(rows: DataFrame) -> DataFrame:
 
 @query("fhir_observations", "O-110b", sql=_OBSERVED)
 def _(spark: SparkSession, d: str) -> DataFrame:
-    return _observed(fhir.resource_rows(observations(spark, d), "Observation"))
+    return _observed(fhir.resource_rows(observations(spark, d), "Observation", columns=OBSERVED))
 
 
 @query("fhir_bundles", "O-110e", sql=_OBSERVED)
@@ -472,7 +475,7 @@ SELECT l_orderkey || '-' || l_linenumber || '-' || l_partkey AS id, l_extendedpr
 """,
 )
 def _(spark: SparkSession, d: str) -> DataFrame:
-    rows = fhir.resource_rows(observations(spark, d), "Observation")
+    rows = fhir.resource_rows(observations(spark, d), "Observation", columns=["code", "component"])
     return rows.filter("code.coding[0].code = 'R'").selectExpr(
         "id", "component[0].value_quantity.value AS systolic", "component[1].value_quantity.value AS diastolic"
     )

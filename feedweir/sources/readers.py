@@ -42,10 +42,12 @@ def sample(df: DataFrame, n: int) -> DataFrame:
 def read_json_events(spark: SparkSession, path: str, schema: T.StructType, mode: str = "skip") -> DataFrame:
     """One JSON object per line, gzip or plain. Bad lines are dropped (``skip``), kept in ``_corrupt_record``
     (``keep``) or stop the job (``fail``)."""
+    lines = spark.read.text(path).filter(F.trim("value") != "")
     if mode == "fail":
-        return spark.read.schema(schema).option("mode", "FAILFAST").json(path)
+        return lines.select(F.from_json("value", schema, {"mode": "FAILFAST"}).alias("r")).select("r.*")
     with_bad = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
-    rows = spark.read.schema(with_bad).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT).json(path)
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
+    rows = lines.select(F.from_json("value", with_bad, options).alias("r")).select("r.*")
     return rows if mode == "keep" else rows.filter(F.col(CORRUPT).isNull()).drop(CORRUPT)
 
 

@@ -1027,3 +1027,48 @@ def _(spark: SparkSession, d: str) -> DataFrame:
 @query("count_check", "O-93", sql="SELECT lang, source, count(*) AS n, min(doc_id) AS oldest, max(doc_id) AS newest FROM documents GROUP BY 1, 2")
 def _(spark: SparkSession, d: str) -> DataFrame:
     return reports.group_bounds(table(spark, d, "documents"), ["lang", "source"], "doc_id")
+
+
+@query("file_scan", "O-29", sql="SELECT c_custkey, c_name AS value FROM customer")
+def _(spark: SparkSession, d: str) -> DataFrame:
+    import uuid
+
+    from feedweir.session import checkpoint_dir
+
+    folder = f"{checkpoint_dir(spark)}/scan-{uuid.uuid4().hex}"
+    line = F.concat(F.col("c_custkey"), F.lit("|"), F.col("c_name")).alias("value")
+    table(spark, d, "customer").select(line).write.text(folder)
+    found = readers.scan_files(spark, folder, "*.txt", since=dt.datetime(2000, 1, 1), wholetext="false")
+    parts = F.split("value", r"\|")
+    return found.select(parts[0].cast("bigint").alias("c_custkey"), parts[1].alias("value"))
+
+
+@query("named_operation", "O-177", sql="SELECT DISTINCT p_name AS name FROM part WHERE regexp_matches(p_name, '(?i)widget$')")
+def _(spark: SparkSession, d: str) -> DataFrame:
+    from feedweir.plans.extensions import operation, run_operation
+
+    @operation("list_objects", {"search": False}, "name string", kind="metadata")
+    def objects(session: SparkSession, search: str | None = None) -> DataFrame:
+        return catalog.list_objects(table(session, d, "part").select(F.col("p_name").alias("name")), search)
+
+    return run_operation(spark, "list_objects", search="widget$")
+
+
+@query("custom_reader", "O-178", sql="SELECT event_id, user_id, event_type FROM events")
+def _(spark: SparkSession, d: str) -> DataFrame:
+    from feedweir.plans.extensions import register_reader
+
+    columns = ["event_id", "user_id", "event_type"]
+
+    def plan(options):
+        import pyarrow.parquet as pq
+
+        return list(range(pq.ParquetFile(options["path"]).num_row_groups))
+
+    def read(options, group):
+        import pyarrow.parquet as pq
+
+        yield from pq.ParquetFile(options["path"]).iter_batches(row_groups=[group], columns=columns)
+
+    register_reader(spark, "row_groups", "event_id bigint, user_id bigint, event_type string", plan, read)
+    return spark.read.format("row_groups").option("path", f"{d}/events.parquet").load()

@@ -146,29 +146,30 @@ def null_cursor(
 # ---------------------------------------------------------------- caps
 
 
-def _boundary(df: DataFrame, cursor: str, cap: int) -> DataFrame:
-    """One row: ``low`` and ``edge`` (first and cap-th cursor), ``found`` (rows seen, at most cap + 1)."""
+def _head(df: DataFrame, cursor: str, cap: int) -> DataFrame:
+    """The first ``cap + 1`` cursors ``c`` with their place ``n``; every task contributes at most that many."""
     head = df.filter(F.col(cursor).isNotNull()).select(F.col(cursor).alias("c")).orderBy("c").limit(cap + 1)
-    numbered = head.withColumn("n", F.row_number().over(Window.orderBy("c")))
-    return numbered.agg(
-        F.min("c").alias("low"),
-        F.max(F.when(F.col("n") <= cap, F.col("c"))).alias("edge"),
-        F.count(F.lit(1)).alias("found"),
-    )
+    return head.withColumn("n", F.row_number().over(Window.orderBy("c")))
+
+
+def _up_to(df: DataFrame, cursor: str, stop: DataFrame) -> DataFrame:
+    """Rows up to the one value of ``stop``, a plain comparison the scan can use; rows without a cursor stay."""
+    return df.filter((F.col(cursor) <= stop.scalar()) | F.col(cursor).isNull())
 
 
 def batch_trim(df: DataFrame, cursor: str, cap: int) -> tuple[DataFrame, DataFrame]:
-    """At most ``cap`` rows, cut between two cursor values so a strict ``>`` resumes without loss.
+    """At most ``cap`` rows with a cursor, cut between two cursor values so a strict ``>`` resumes without loss.
 
     When more rows wait, the whole last tie group is left for the next run. A single tie group larger than the cap
     cannot be cut and fails.
     """
-    edge = _boundary(df, cursor, cap)
-    full, low, last = (edge.select(e).scalar() for e in (F.expr(f"found > {cap}"), F.col("low"), F.col("edge")))
-    stuck = F.raise_error(F.lit(f"all {cap} rows share one {cursor}; raise the cap")).cast("boolean")
-    keep = F.when(~full, F.lit(True)).when(low == last, stuck).otherwise(F.col(cursor) < last)
-    rows = df.filter(keep)
-    return rows, rows.agg(F.max(cursor).alias("cursor"))
+    head = _head(df, cursor, cap)
+    last = F.max(F.when(F.col("n") <= cap, F.col("c"))).over(Window.partitionBy())
+    before = F.max(F.when(F.col("c") < F.col("last"), F.col("c")))
+    stuck = F.raise_error(F.lit(f"all {cap} rows share one {cursor}; raise the cap")).cast(df.schema[cursor].dataType)
+    stop = F.when(F.count("c") <= cap, F.max("c")).when(before.isNull(), stuck).otherwise(before)
+    state = head.withColumn("last", last).agg(stop.alias("cursor"))
+    return _up_to(df, cursor, state), state
 
 
 def batch_soft(df: DataFrame, cursor: str, cap: int, is_sorted: bool = True) -> tuple[DataFrame, DataFrame]:
@@ -178,9 +179,8 @@ def batch_soft(df: DataFrame, cursor: str, cap: int, is_sorted: bool = True) ->
     """
     if not is_sorted:
         return df, df.agg(F.max(cursor).alias("cursor"))
-    last = _boundary(df, cursor, cap).select("edge").scalar()
-    rows = df.filter(F.col(cursor) <= last)
-    return rows, rows.agg(F.max(cursor).alias("cursor"))
+    state = _head(df, cursor, cap).filter(F.col("n") <= cap).agg(F.max("c").alias("cursor"))
+    return _up_to(df, cursor, state), state
 
 
 def batch_groups(df: DataFrame, group: str, cap: int) -> tuple[DataFrame, DataFrame]:
@@ -246,10 +246,10 @@ def slice_window(
     inside = df.filter((F.col(cursor) >= low) & (F.col(cursor) <= end))
     if cap is None:
         return inside, df.sparkSession.range(1).select(end.alias("cursor"))
-    found = _boundary(inside, cursor, cap)
-    last, full = found.select("edge").scalar(), found.select(F.expr(f"found > {cap}")).scalar()
-    rows = inside.filter(~full | (F.col(cursor) <= last))
-    return rows, found.select(F.when(F.expr(f"found > {cap}"), F.col("edge")).otherwise(end).alias("cursor"))
+    last = F.max(F.when(F.col("n") <= cap, F.col("c")))
+    found = _head(inside, cursor, cap).agg(last.alias("last"), F.count("c").alias("found"))
+    rows = inside.filter(F.col(cursor) <= found.select("last").scalar())
+    return rows, found.select(F.when(F.col("found") > cap, F.col("last")).otherwise(end).alias("cursor"))
 
 
 @dataclass(frozen=True)

@@ -96,6 +96,40 @@ def with_nearest(
     )
 
 
+def with_bracket(
+    df: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[str],
+    value: Column,
+    before: str,
+    after: str,
+    split: Column,
+) -> DataFrame:
+    """Add the latest non-null ``value`` at or before this row and the first one at or after it, in one pass."""
+    rows = _blocked(df, keys, split, value)
+    known = F.when(F.col(_VALUE).isNotNull(), F.struct(*order))
+    blocks = rows.groupBy(_GROUP, _BLOCK).agg(F.min_by(_VALUE, known).alias("__lo"), F.max_by(_VALUE, known).alias("__hi"))
+
+    def latest(value: str, parts: Sequence[str], names: Sequence[str], backward: bool, end: int) -> Column:
+        sort = [F.col(n).desc() if backward else F.col(n).asc() for n in names]
+        frame = Window.partitionBy(*parts).orderBy(*sort).rowsBetween(Window.unboundedPreceding, end)
+        return F.last(value, ignorenulls=True).over(frame)
+
+    blocks = blocks.select(
+        _GROUP,
+        _BLOCK,
+        latest("__hi", [_GROUP], [_BLOCK], False, -1).alias("__earlier"),
+        latest("__lo", [_GROUP], [_BLOCK], True, -1).alias("__later"),
+    )
+    inside = [_GROUP, _BLOCK]
+    return (
+        rows.join(blocks, inside, "left")
+        .withColumn(before, F.coalesce(latest(_VALUE, inside, order, False, 0), F.col("__earlier")))
+        .withColumn(after, F.coalesce(latest(_VALUE, inside, order, True, 0), F.col("__later")))
+        .drop(_GROUP, _BLOCK, _VALUE, "__earlier", "__later")
+    )
+
+
 def opening_rows(
     df: DataFrame,
     keys: Sequence[str],

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from feedweir.functions.literals import literal
 from feedweir.operators.joins import asof
-from feedweir.operators.ordering import with_neighbour
+from feedweir.operators.ordering import with_bracket, with_neighbour
 
 TAG, TS, VALUE = "tag", "ts", "value"
 QUALITY = ("good", "questionable", "substituted", "annotated")
@@ -70,17 +70,17 @@ def value_at(df: DataFrame, times: DataFrame, interpolate: bool = True) -> DataF
     """Value at each asked time, on the straight line between the values around it; null outside the data."""
     if not interpolate:
         return recorded_at(df, times)
-    asked = times.select(TAG, F.col("query_time").alias(TS))
-    before = asof(asked, df, TS, [TAG], [VALUE], split=_block()).select(
-        TAG, TS, F.struct(F.col("_matched_at").alias("at"), F.col(VALUE).alias("v")).alias("lo")
-    )
-    both = asof(before, df, TS, [TAG], [VALUE], split=_block(), ahead=True)
-    span = _micros(F.col("_matched_at")) - _micros(F.col("lo.at"))
-    share = (_micros(F.col(TS)) - _micros(F.col("lo.at"))) / span
-    line = F.col("lo.v") + (F.col(VALUE) - F.col("lo.v")) * share
-    outside = F.col("lo.at").isNull() | F.col("_matched_at").isNull()
-    result = F.when(outside, F.lit(None).cast("double")).when(span == 0, F.col("lo.v")).otherwise(line)
-    return both.select(TAG, F.col(TS).alias("query_time"), result.alias(VALUE))
+    point = F.struct(F.col(TS).alias("at"), F.col(VALUE).alias("v"))
+    seen = df.select(TAG, TS, F.lit(0).alias("side"), point.alias("point"))
+    asked = times.select(TAG, F.col("query_time").alias(TS), F.lit(1).alias("side"), F.lit(None).alias("point"))
+    # A value at the very time asked for sorts before the question, so it is found as the lower end.
+    order = [TS, "side", "point"]
+    found = with_bracket(seen.unionByName(asked), [TAG], order, F.col("point"), "lo", "hi", _block()).filter("side = 1")
+    share = (_micros(F.col(TS)) - _micros(F.col("lo.at"))) / (_micros(F.col("hi.at")) - _micros(F.col("lo.at")))
+    line = F.col("lo.v") + (F.col("hi.v") - F.col("lo.v")) * share
+    exact = F.col("lo.at") == F.col(TS)
+    result = F.when(exact, F.col("lo.v")).when(F.col("lo").isNotNull() & F.col("hi").isNotNull(), line)
+    return found.select(TAG, F.col(TS).alias("query_time"), result.alias(VALUE))
 
 
 def grid(tags: DataFrame, start: dt.datetime, end: dt.datetime, step_seconds: int) -> DataFrame:

@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from feedweir.llm.common import free_name, words
+from feedweir.llm.common import free_name, settle, words
 
 SYMBOLS = "[#*$%&|<>]"
 LEAST_WORDS = 50
@@ -89,7 +89,8 @@ def line_counts(df: DataFrame, text: str = "text", host: str = "source") -> Data
     """Lines of the documents as hashes: rows (line, doc, n), n = words of the document in such lines, times copies.
 
     A line is a 64-bit hash of host and normal form, a document a 128-bit hash of host and text. Equal texts of a host
-    are one document here: copies are no sign of boilerplate. Null hosts are one host; null texts have no lines.
+    are one document here: copies are no sign of boilerplate. Null hosts are one host; null texts have no lines. The rows
+    are written once, since the limits and the removal both read them.
     """
     key = F.coalesce(F.concat(F.lit("h:"), F.col(host).cast("string")), F.lit("n"))
     docs = df.select(key.alias("host"), F.col(text).alias("text")).where("text is not null")
@@ -100,7 +101,7 @@ def line_counts(df: DataFrame, text: str = "text", host: str = "source") -> Data
     )
     lines = lines.select("host", "doc", normal_line(F.col("line")).alias("normal"), F.size(words(F.col("line"))).alias("n"))
     lines = lines.where("normal <> ''").select(F.xxhash64("host", "normal").alias("line"), "doc", "n")
-    return lines.groupBy("line", "doc").agg(F.sum("n").alias("n"))
+    return settle(lines.groupBy("line", "doc").agg(F.sum("n").alias("n")))
 
 
 def judge(

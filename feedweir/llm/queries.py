@@ -5,12 +5,27 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedweir.llm import lines, pseudonyms, secrets
-from feedweir.llm.common import Query, table
+from feedweir.llm import langid, lines, mixing, packing, pseudonyms, secrets, sketches
+from feedweir.llm.common import Query, table, words
 from feedweir.session import configure
 
 # The key of the pseudonyms; a real run brings its own.
 PII_KEY = "example-key"
+# Target shares of the mix, in parts; the last one is for all other sources together.
+MIX_WEIGHTS = {"src0": 12, **{f"src{i}": 4 for i in range(1, 20)}, None: 4}
+MIX_BLOCK = 1 << 16
+
+
+def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(configure(spark), sf_dir, "documents")
+    counted = docs.select("doc_id", F.size(words(F.col("text"))).alias("tokens"))
+    return packing.pack(counted, F.col("tokens"))
+
+
+def op2_byte_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(configure(spark), sf_dir, "documents")
+    found = langid.identify(docs.select("doc_id", "text"), langid.fit(docs))
+    return found.select("doc_id", langid.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
 
 
 def op4_line_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -19,10 +34,21 @@ def op4_line_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", *counts, "n_shared_words")
 
 
+def op5_pfair_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(configure(spark), sf_dir, "documents")
+    sized = docs.select("doc_id", "source", F.xxhash64("text").alias("content"), F.char_length("text").alias("chars"))
+    mixed = mixing.mix(sized, MIX_WEIGHTS, F.col("chars"), MIX_BLOCK, key=("doc_id", "content"))
+    return mixed.select("doc_id", "source", "block", "slot", "at")
+
+
 def op6_feistel_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pseudonyms.pseudonymize(table(configure(spark), sf_dir, "documents"), PII_KEY)
 
 
+def op7_similarity_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sketches.link(table(configure(spark), sf_dir, "documents"))
+
+
 def op10_markov_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secrets.scan(table(configure(spark), sf_dir, "documents").select("doc_id", "text"))
     base = F.filter("secrets", lambda s: s["kind"] != "markov")
@@ -37,7 +63,11 @@ def op10_markov_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_best_fit_packing": Query(op1_best_fit_packing),
+    "op2_byte_language": Query(op2_byte_language),
     "op4_line_frequency": Query(op4_line_frequency),
+    "op5_pfair_mix": Query(op5_pfair_mix),
     "op6_feistel_pseudonyms": Query(op6_feistel_pseudonyms),
+    "op7_similarity_sketch": Query(op7_similarity_sketch),
     "op10_markov_secrets": Query(op10_markov_secrets),
 }

@@ -118,7 +118,7 @@ def judge(
     """
     out = with_counts(df, text)
     key = F.coalesce(F.concat(F.lit("h:"), F.col(host).cast("string")), F.lit("n"))
-    doc = free_name(out, "_doc")
+    doc, match = free_name(out, "_doc"), free_name(out, "_key")
     body = F.col(text)
     ident = F.when(
         body.isNotNull(), F.struct(F.xxhash64(key, body).alias("a"), F.xxhash64(body, key).alias("b"))
@@ -131,9 +131,9 @@ def judge(
     shared = salted.join(above, ["line", "salt"]).groupBy("doc").agg(F.sum("n").alias("n"))
     copies = out.where(F.col(doc).isNotNull()).groupBy(F.col(doc).alias("doc")).agg(F.count("*").alias("copies"))
     shared = shared.join(copies, "doc").select(
-        F.col("doc").alias("_key"), (F.col("n") / F.col("copies")).cast("long").alias("n_shared_words")
+        F.col("doc").alias(match), (F.col("n") / F.col("copies")).cast("long").alias("n_shared_words")
     )
-    out = out.drop("n_shared_words", "kept").join(shared, F.col(doc) == F.col("_key"), "left").drop(doc, "_key")
+    out = out.drop("n_shared_words", "kept").join(shared, F.col(doc) == F.col(match), "left").drop(doc, match)
     out = out.withColumn("n_shared_words", F.coalesce("n_shared_words", F.lit(0).cast("long")))
     left = F.col("n_words") - F.col("n_shared_words")
     return out.withColumn("kept", ~F.col("base_failed") & (left >= least_left * F.col("n_words")))
@@ -145,16 +145,16 @@ def without_shared(df: DataFrame, text: str = "text", host: str = "source", most
     The shared lines of a document travel as hashes, so a text moves only with its own row.
     """
     key = F.coalesce(F.concat(F.lit("h:"), F.col(host).cast("string")), F.lit("n"))
-    doc, gone = free_name(df, "_doc"), free_name(df, "_gone")
+    doc, gone, match = free_name(df, "_doc"), free_name(df, "_gone"), free_name(df, "_key")
     found = line_counts(df, text, host)
     above = found.groupBy("line").agg(F.count("*").alias("docs")).where(F.col("docs") > most_docs).select("line")
     above = above.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     salted = found.withColumn("salt", F.pmod(F.col("doc.a"), F.lit(SALTS)).cast("int"))
     lines = salted.join(above, ["line", "salt"]).groupBy("doc").agg(F.collect_set("line").alias(gone))
-    lines = lines.withColumnRenamed("doc", "_key")
+    lines = lines.withColumnRenamed("doc", match)
     body = F.col(text)
     ident = F.struct(F.xxhash64(key, body).alias("a"), F.xxhash64(body, key).alias("b"))
-    out = df.withColumn(doc, F.when(body.isNotNull(), ident)).join(lines, F.col(doc) == F.col("_key"), "left")
+    out = df.withColumn(doc, F.when(body.isNotNull(), ident)).join(lines, F.col(doc) == F.col(match), "left")
     kept = F.filter(
         F.split(body, "\n", -1), lambda x: ~F.array_contains(F.col(gone), F.xxhash64(key, normal_line(x)))
     )

@@ -109,21 +109,21 @@ def mix(
     by_number = {i: weights[s] for i, s in enumerate(named)} | {len(named): weights.get(None, 1)}
     stretches = schedule(by_number, blocks)
     last = {r[group]: blocks[r[group]] - 1 for r in totals}
-    fields = "source int, first long, end long, start long, period long, slots array<long>, last long"
-    plan = spark.createDataFrame(
-        [(s.source, s.first, s.end, s.start, s.period, s.slots, last[s.source]) for s in stretches], fields
-    )
+    names = ("source", "first", "end", "start", "period", "slots", "last")
+    source_, first, end, start, period, slots, last_ = (free_name(df, f"_plan_{x}") for x in names)
+    fields = f"{source_} int, {first} long, {end} long, {start} long, {period} long, {slots} array<long>, {last_} long"
+    rows_of_plan = [(s.source, s.first, s.end, s.start, s.period, s.slots, last[s.source]) for s in stretches]
+    # at most (sources + 1)^2 / 2 rows, and as many slots as sources times the sum of the weights
+    plan = F.broadcast(spark.createDataFrame(rows_of_plan, fields))
     order = [F.col(k) for k in key]
     placed = running(rows, [group], order, F.col(part), "at", sum(r["rows"] for r in totals))
     block = F.floor(F.col("at") / block_size).cast("long")
-    # at most (sources + 1)^2 / 2 rows, and as many slots as sources times the sum of the weights
-    plan = F.broadcast(plan)
-    number = F.least(block, plan["last"])
-    inside = (placed[group] == plan["source"]) & (number >= plan["first"]) & (number < plan["end"])
+    number = F.least(block, F.col(last_))
+    inside = (F.col(group) == F.col(source_)) & (number >= F.col(first)) & (number < F.col(end))
     out = placed.join(plan, inside).withColumn("block", number)
-    step = F.col("block") - F.col("first")
-    turn = F.floor(step / F.size("slots")).cast("long")
-    slot = F.col("start") + turn * F.col("period") + F.element_at("slots", (step % F.size("slots") + 1).cast("int"))
+    step = F.col("block") - F.col(first)
+    turn = F.floor(step / F.size(slots)).cast("long")
+    slot = F.col(start) + turn * F.col(period) + F.element_at(slots, (step % F.size(slots) + 1).cast("int"))
     return out.withColumn("slot", slot).select(*rows.drop(group, part).columns, "block", "slot", "at")
 
 

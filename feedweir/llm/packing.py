@@ -2,7 +2,7 @@
 
 A piece goes into the open bin that it leaves least room in. If it fits in none, a bin of the size that costs least
 per token is opened; at the end every bin shrinks to the smallest permitted length that holds its contents. Which sizes
-may be opened is chosen by trying each largest size and taking the plan of least cost.
+may be opened is chosen by trying every range of them and taking the plan of least cost.
 
 Pieces of equal length are alike, so the plan is made on the counts per length: a run of equal bins is filled by a run
 of equal pieces in one step. The plan depends on the permitted lengths, not on the number of documents; the pieces then
@@ -59,8 +59,8 @@ class Plan:
     cost: float = 0.0
 
 
-def plan_with(counts: dict[int, int], sizes: tuple[int, ...], largest: int) -> Plan:
-    """Best fit, longest pieces first; sizes above ``largest`` are opened only for pieces that need them."""
+def plan_with(counts: dict[int, int], sizes: tuple[int, ...], least: int, largest: int) -> Plan:
+    """Best fit, longest pieces first; sizes outside ``least`` to ``largest`` are opened only for pieces that need them."""
     plan, made = Plan(), 0
     open_bins: dict[int, list[Bins]] = {}  # by room left
     rooms: list[int] = []
@@ -83,7 +83,7 @@ def plan_with(counts: dict[int, int], sizes: tuple[int, ...], largest: int) -> P
                     del open_bins[room], rooms[i]
             else:
                 fitting = [s for s in sizes if s >= length]
-                allowed = [s for s in fitting if s <= largest] or fitting[:1]
+                allowed = [s for s in fitting if least <= s <= largest] or fitting[:1]
                 size = min(allowed, key=lambda s: (cost(s) / s, s))
                 # as many bins as the rest of the pieces fill, or else one: best fit fills them one after the other
                 run = Bins(made, max(1, (total - placed) // (size // length)), size, 0)
@@ -103,9 +103,10 @@ def plan_with(counts: dict[int, int], sizes: tuple[int, ...], largest: int) -> P
 
 
 def best_plan(counts: dict[int, int], sizes: tuple[int, ...] = SIZES) -> Plan:
-    """The plan of least cost over the choices of the largest size to open."""
+    """The plan of least cost over all ranges of sizes to open."""
     sizes = tuple(sorted(sizes))
-    return min((plan_with(counts, sizes, s) for s in sizes), key=lambda p: p.cost)
+    ranges = [(a, b) for a in sizes for b in sizes if a <= b]
+    return min((plan_with(counts, sizes, a, b) for a, b in ranges), key=lambda p: p.cost)
 
 
 def sized_steps(plan: Plan) -> list[tuple[int, int, int, int, int, int]]:
@@ -156,13 +157,14 @@ def pack(
         empty = empty.withColumn(name, F.lit(0 if name in ("piece", "start", "length") else None).cast(kind))
     if not counts:
         return empty
-    fields = "plan_length int, first long, last long, bin long, offset int, bin_size int"
+    names = ("length", "first", "last", "bin", "offset", "size", "rank")
+    length_, first, last, bin_, offset, size, rank = (free_name(df, f"_plan_{x}") for x in names)
+    fields = f"{length_} int, {first} long, {last} long, {bin_} long, {offset} int, {size} int"
     # its size depends on the permitted lengths alone
     steps = F.broadcast(spark.createDataFrame(sized_steps(best_plan(counts, sizes)), fields))
-    ranked = running(
-        pieces, ["length"], [*[F.col(k) for k in key], F.col("piece")], F.lit(1), "_rank", sum(counts.values())
-    )
-    rank = F.col("_rank")
-    fits = (F.col("length") == F.col("plan_length")) & (rank >= F.col("first")) & (rank <= F.col("last"))
-    out = ranked.join(steps, fits).withColumn("bin_id", F.col("bin") + rank - F.col("first"))
+    order = [*[F.col(k) for k in key], F.col("piece")]
+    ranked = running(pieces, ["length"], order, F.lit(1), rank, sum(counts.values()))
+    fits = (F.col("length") == F.col(length_)) & F.col(rank).between(F.col(first), F.col(last))
+    out = ranked.join(steps, fits).withColumn("bin_id", F.col(bin_) + F.col(rank) - F.col(first))
+    out = out.withColumns({"bin_size": F.col(size), "offset": F.col(offset)})
     return out.select(*kept, *new).unionByName(empty.select(*kept, *new))

@@ -5,7 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedweir.llm import langid, lines, mixing, packing, pseudonyms, secrets, sketches
+from feedweir.llm import (
+    langid,
+    lines,
+    mixing,
+    packing,
+    pseudolikelihood,
+    pseudonyms,
+    secrets,
+    sketches,
+    substrings,
+    vectors,
+)
 from feedweir.llm.common import Query, table, words
 from feedweir.session import configure
 
@@ -28,6 +39,12 @@ def op2_byte_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", langid.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
 
 
+def op3_masked_likelihood(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(configure(spark), sf_dir, "documents").select("doc_id", "text")
+    net, vocabulary = pseudolikelihood.fit(docs)
+    return pseudolikelihood.score(docs, net, vocabulary).select("doc_id", "n_tokens", "log_prob", "score")
+
+
 def op4_line_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = lines.judge(table(configure(spark), sf_dir, "documents"))
     counts = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"]
@@ -49,6 +66,14 @@ def op7_similarity_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sketches.link(table(configure(spark), sf_dir, "documents"))
 
 
+def op8_flat_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectors.link(table(configure(spark), sf_dir, "embeddings"))
+
+
+def op9_fm_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.removals(table(configure(spark), sf_dir, "documents"))
+
+
 def op10_markov_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secrets.scan(table(configure(spark), sf_dir, "documents").select("doc_id", "text"))
     base = F.filter("secrets", lambda s: s["kind"] != "markov")
@@ -65,9 +90,12 @@ def op10_markov_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_best_fit_packing": Query(op1_best_fit_packing),
     "op2_byte_language": Query(op2_byte_language),
+    "op3_masked_likelihood": Query(op3_masked_likelihood),
     "op4_line_frequency": Query(op4_line_frequency),
     "op5_pfair_mix": Query(op5_pfair_mix),
     "op6_feistel_pseudonyms": Query(op6_feistel_pseudonyms),
     "op7_similarity_sketch": Query(op7_similarity_sketch),
+    "op8_flat_graph": Query(op8_flat_graph),
+    "op9_fm_index": Query(op9_fm_index),
     "op10_markov_secrets": Query(op10_markov_secrets),
 }

@@ -6,6 +6,7 @@ Only SQL functions: each text is searched in its own row, the models are counted
 from __future__ import annotations
 
 import math
+from collections import Counter
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -28,6 +29,8 @@ SAMPLE_TEXTS = 2000
 LEAST_MEAN = 0.5
 # Share of the uniform distribution in the model of random strings: keys of alphabets that no label shows.
 UNIFORM = 0.5
+# Weight of the single characters' distribution, as so many pairs after each character.
+BACK_OFF = 8
 LEAST_TOTAL = 12.0
 
 # The run characters lie between '+' and 'z'.
@@ -89,7 +92,7 @@ def fit(df: DataFrame, text: str = "text", sample_texts: int = SAMPLE_TEXTS) ->
     The labels are those of the base patterns: what they match is random (the value of an assignment, the key, the
     digits), every other run of identifier characters in the same texts is ordinary. The sample is bounded: the
     ``sample_texts`` different texts with a base match that have the smallest hashes. Each label has a first-order
-    Markov chain with add-one smoothing, the random one mixed with the uniform distribution. None if no text has a base match; the method then adds nothing.
+    Markov chain that backs off to single characters, the random one mixed with the uniform distribution. None if no text has a base match; the method then adds nothing.
     """
     t = F.col(text)
     any_base = (_may_assign(t) & t.rlike(ASSIGN)) | (t.contains("AKIA") & t.rlike(ACCESS)) | t.rlike(HEX)
@@ -126,12 +129,15 @@ def fit(df: DataFrame, text: str = "text", sample_texts: int = SAMPLE_TEXTS) ->
     counts = pairs.where(f"p.a between 0 and {_WIDTH - 1} and p.b between 0 and {_WIDTH - 1}")
     rows = counts.groupBy("label", "p.a", "p.b").agg(F.sum("n").alias("n")).collect()
     seen = {(r["label"], r["a"], r["b"]): r["n"] for r in rows}
-    total: dict[tuple[int, int], int] = {}
-    for (label, a, _), n in seen.items():
-        total[label, a] = total.get((label, a), 0) + n
+    after, alone, every = Counter(), Counter(), Counter()
+    for (label, a, b), n in seen.items():
+        after[label, a] += n
+        alone[label, b] += n
+        every[label] += n
 
     def log_p(label: int, a: int, b: int) -> float:
-        p = (seen.get((label, a, b), 0) + 1) / (total.get((label, a), 0) + _WIDTH)
+        single = (alone[label, b] + 1) / (every[label] + _WIDTH)
+        p = (seen.get((label, a, b), 0) + BACK_OFF * single) / (after[label, a] + BACK_OFF)
         return math.log((1 - UNIFORM) * p + UNIFORM / _WIDTH if label else p)
 
     return [log_p(1, a, b) - log_p(0, a, b) for a in range(_WIDTH) for b in range(_WIDTH)]

@@ -177,7 +177,10 @@ def opening_rows(
         F.last("__head", ignorenulls=True).over(later).alias("__later"),
         F.first("__hi").over(backward).alias("__final"),
     )
-    found = rows.join(blocks, [_GROUP, _BLOCK]).withColumn("__prev", F.coalesce("__prev", "__before"))
+    # null-safe: rows without an order value are a block of their own, the first one, as they are without a split
+    blocks = blocks.withColumnsRenamed({_GROUP: "__g", _BLOCK: "__b"})
+    same = F.col(_GROUP).eqNullSafe(F.col("__g")) & F.col(_BLOCK).eqNullSafe(F.col("__b"))
+    found = rows.join(blocks, same).drop("__g", "__b").withColumn("__prev", F.coalesce("__prev", "__before"))
     found = found.filter(opens(F.col("__prev"), F.col(_VALUE)))
     following = F.coalesce(F.lead(opening).over(inside), F.col("__later"))
     return found.withColumn("__next", following).drop(_GROUP, _BLOCK, _VALUE, "__prev", "__before", "__later")

@@ -13,9 +13,6 @@ from feedweir.functions.filters import condition
 from feedweir.functions.literals import literal
 from feedweir.operators.ordering import opening_rows
 
-MAX_DIMENSIONS = 9
-MAX_METRICS = 10
-
 # Upper bounds in seconds of the session length histogram.
 SESSION_BUCKETS = ((60, "0s-60s"), (300, "60s-300s"), (900, "300s-900s"), (3600, "900s-3600s"))
 SESSION_REST = "3600s+"
@@ -45,11 +42,17 @@ def report(
     available_dims: Sequence[str] | None = None,
     dim_filter: Mapping | Sequence | None = None,
     metric_filter: Mapping | Sequence | None = None,
+    max_dimensions: int | None = None,
+    max_metrics: int | None = None,
 ) -> DataFrame:
-    """Metrics by dimensions over a range of whole days; filters on dimensions act before, on metrics after."""
+    """Metrics by dimensions over a range of whole days; filters on dimensions act before, on metrics after.
+
+    ``max_dimensions`` and ``max_metrics`` refuse larger reports, as a server does; there is no limit by default.
+    """
     named = dims if isinstance(dims, Mapping) else {d: F.col(d) for d in dims}
-    if len(named) > MAX_DIMENSIONS or len(metrics) > MAX_METRICS:
-        raise ValueError(f"at most {MAX_DIMENSIONS} dimensions and {MAX_METRICS} metrics")
+    for kind, given, most in (("dimensions", named, max_dimensions), ("metrics", metrics, max_metrics)):
+        if most is not None and len(given) > most:
+            raise ValueError(f"at most {most} {kind}")
     known = set(available_dims if available_dims is not None else named)
     unknown = sorted(set(named) - known)
     if unknown:

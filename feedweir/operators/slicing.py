@@ -160,14 +160,13 @@ def _up_to(df: DataFrame, cursor: str, stop: DataFrame) -> DataFrame:
 def batch_trim(df: DataFrame, cursor: str, cap: int) -> tuple[DataFrame, DataFrame]:
     """At most ``cap`` rows with a cursor, cut between two cursor values so a strict ``>`` resumes without loss.
 
-    When more rows wait, the whole last tie group is left for the next run. A single tie group larger than the cap
-    cannot be cut and fails.
+    When more rows wait, the whole last tie group is left for the next run. A first tie group larger than the cap
+    cannot be cut and is taken whole.
     """
     head = _head(df, cursor, cap)
     last = F.max(F.when(F.col("n") <= cap, F.col("c"))).over(Window.partitionBy())
     before = F.max(F.when(F.col("c") < F.col("last"), F.col("c")))
-    stuck = F.raise_error(F.lit(f"all {cap} rows share one {cursor}; raise the cap")).cast(df.schema[cursor].dataType)
-    stop = F.when(F.count("c") <= cap, F.max("c")).when(before.isNull(), stuck).otherwise(before)
+    stop = F.when(F.count("c") <= cap, F.max("c")).otherwise(F.coalesce(before, F.max("last")))
     state = head.withColumn("last", last).agg(stop.alias("cursor"))
     return _up_to(df, cursor, state), state
 
@@ -184,17 +183,23 @@ def batch_soft(df: DataFrame, cursor: str, cap: int, is_sorted: bool = True) ->
 
 
 def batch_groups(df: DataFrame, group: str, cap: int) -> tuple[DataFrame, DataFrame]:
-    """Whole groups (a message and its parts), in group order, until ``cap`` rows are reached."""
-    last = leading_groups(df, group, cap).agg(F.max(group).alias("last"))
-    rows = df.filter(F.col(group) <= last.scalar())
+    """Whole groups (a message and its parts), in group order, until ``cap`` rows are reached.
+
+    Rows without a group cannot be resumed behind; they are all taken and do not count.
+    """
+    last = leading_groups(df.filter(F.col(group).isNotNull()), group, cap).agg(F.max(group).alias("last"))
+    rows = df.filter((F.col(group) <= last.scalar()) | F.col(group).isNull())
     return rows, last.withColumnRenamed("last", "cursor")
 
 
 def batch_by_group(
     df: DataFrame, group: str, cap: int, after: object = None
 ) -> tuple[DataFrame, DataFrame]:
-    """As ``batch_groups``, resuming at the last group of the run before, which is read again."""
-    rest = df if after is None else df.filter(F.col(group) >= _bound(df, group, after))
+    """As ``batch_groups``, resuming after the last group of the run before, which was taken whole.
+
+    Rows without a group come with the first run only.
+    """
+    rest = df if after is None else df.filter(F.col(group) > _bound(df, group, after))
     return batch_groups(rest, group, cap)
 
 
@@ -236,14 +241,18 @@ def slice_window(
     seconds: int,
     run_start: object,
     cap: int | None = None,
+    closed: bool = True,
 ) -> tuple[DataFrame, DataFrame]:
     """Rows in ``[since, since + seconds]``, never past ``run_start``.
 
-    A drained window moves the cursor to its end, so empty windows still make progress; a capped one to its last row.
+    A drained window moves the cursor to its end, so empty windows still make progress; a capped one to its last row,
+    with all rows tied with it. The run after a capped one passes ``closed=False`` and starts behind ``since``, or it
+    would read the same tie for ever.
     """
     low = _bound(df, cursor, since)
     end = F.least(low + F.make_dt_interval(secs=F.lit(seconds)), _bound(df, cursor, run_start))
-    inside = df.filter((F.col(cursor) >= low) & (F.col(cursor) <= end))
+    begin = F.col(cursor) >= low if closed else F.col(cursor) > low
+    inside = df.filter(begin & (F.col(cursor) <= end))
     if cap is None:
         return inside, df.sparkSession.range(1).select(end.alias("cursor"))
     last = F.max(F.when(F.col("n") <= cap, F.col("c")))
@@ -350,13 +359,16 @@ def compact_windows(
 def day_chunks(
     df: DataFrame, ts: str, start: dt.date, cap: int, days: int = 7
 ) -> tuple[DataFrame, DataFrame]:
-    """Whole chunks of ``days`` days from ``start`` until ``cap`` rows are reached; the state is the next first day."""
+    """Whole chunks of ``days`` days from ``start`` until ``cap`` rows are reached; the state is the next first day.
+
+    A read without rows leaves ``start`` as it is.
+    """
     day = F.col(ts).cast("date")
     chunk = F.floor(F.datediff(day, F.lit(start)) / days).cast("int")
     rest = df.filter(day >= F.lit(start)).withColumn("__chunk", chunk)
     last = leading_groups(rest, "__chunk", cap).agg(F.max("__chunk").alias("last"))
     rows = rest.filter(F.col("__chunk") <= last.scalar()).drop("__chunk")
-    return rows, last.select(F.date_add(F.lit(start), (F.col("last") + 1) * days).alias("start_date"))
+    return rows, last.select(F.date_add(F.lit(start), F.coalesce((F.col("last") + 1) * days, F.lit(0))).alias("start_date"))
 
 
 def date_watermark(df: DataFrame, ts: str, queried_end: dt.date, run_start: dt.date) -> DataFrame:
@@ -406,27 +418,33 @@ def composite_key(*columns: Column) -> Column:
     return F.to_json(F.array(*[c.cast("string") for c in columns]), {"ignoreNullFields": "false"})
 
 
-def row_digest(df: DataFrame, columns: Sequence[str] | None = None) -> Column:
-    """16 hex digits over the whole row, with names sorted and nulls written out."""
+def row_hash(df: DataFrame, columns: Sequence[str] | None = None) -> Column:
+    """SHA-1 over the whole row, with names sorted and nulls written out."""
     names = sorted(columns or df.columns)
-    return F.substring(F.sha1(F.to_json(F.struct(*names), {"ignoreNullFields": "false"})), 1, 16)
+    return F.sha1(F.to_json(F.struct(*names), {"ignoreNullFields": "false"}))
+
+
+def row_digest(df: DataFrame, columns: Sequence[str] | None = None) -> Column:
+    """The first 16 hex digits of ``row_hash``, to show; rows are compared by the whole hash."""
+    return F.substring(row_hash(df, columns), 1, 16)
 
 
 def drop_delivered(
-    df: DataFrame, seen: DataFrame | None, keys: Sequence[str], cursor: str, cap: int = 5000
+    df: DataFrame, seen: DataFrame | None, keys: Sequence[str], cursor: str, cap: int | None = None
 ) -> tuple[DataFrame, DataFrame]:
     """Rows of an overlapping read that are new or changed since they were delivered.
 
-    ``seen`` has ``row_key``, ``digest``, ``cursor``. Only the ``cap`` newest entries are kept for the next run:
-    forgetting one means a row may be delivered twice, never lost.
+    ``seen`` has ``row_key``, ``digest`` (``row_hash``), ``cursor``. All entries of this read are kept for the next
+    run, as many as the lookback holds; a ``cap`` keeps the newest, and forgets that others were delivered.
     """
     names = df.columns
     tagged = df.withColumn("row_key", composite_key(*[F.col(k) for k in keys])).withColumn(
-        "digest", row_digest(df, names)
+        "digest", row_hash(df, names)
     )
     fresh = tagged if seen is None else tagged.join(seen.select("row_key", "digest"), ["row_key", "digest"], "left_anti")
     entries = tagged.select("row_key", "digest", F.col(cursor).alias("cursor"))
-    entries = entries.orderBy(F.col("cursor").desc(), "row_key", "digest").limit(cap)
+    if cap is not None:
+        entries = entries.orderBy(F.col("cursor").desc(), "row_key", "digest").limit(cap)
     return fresh.select(*names), entries
 
 

@@ -8,7 +8,8 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedweir.operators.changes import END, START, apply_snapshot, cluster_columns, extend_history, scd1, scd2
+from feedweir.operators.changes import END, START, cluster_columns, extend_history, scd1, scd2
+from feedweir.operators.slicing import row_hash
 from feedweir.sources.catalog import INGESTION_TYPES, table_name
 from feedweir.sources.sinks import current_version, read_target, write_target
 
@@ -70,6 +71,21 @@ def flow_of(entry: Mapping[str, object], metadata: Mapping[str, object]) -> Flow
     )
 
 
+def undelivered(feed: DataFrame, target: DataFrame, cursor: str | None) -> DataFrame:
+    """Rows of an append feed that the target does not hold: after its newest cursor, or else by whole-row hash.
+
+    Rows without a cursor are compared by hash in either case.
+    """
+    names = [c for c in feed.columns if c in target.columns]
+    known = target.select(row_hash(target, names).alias("__seen")).distinct()
+    if cursor is not None and cursor in names:
+        reached = target.agg(F.max(cursor).alias("c"))
+        later = feed.filter(F.col(cursor).isNotNull() & F.coalesce(F.col(cursor) > reached.scalar(), F.lit(True)))
+        rest = feed.filter(F.col(cursor).isNull())
+        return later.unionByName(rest.join(known, row_hash(feed, names) == F.col("__seen"), "left_anti"))
+    return feed.join(known, row_hash(feed, names) == F.col("__seen"), "left_anti")
+
+
 def apply_flow(
     flow: Flow,
     feed: DataFrame,
@@ -80,6 +96,8 @@ def apply_flow(
 ) -> DataFrame:
     """The table after this load."""
     if flow.kind == "append":
+        if target is not None:
+            feed = undelivered(feed, target, flow.sequence)
         return feed if target is None else target.unionByName(feed, allowMissingColumns=True)
     if flow.kind == "snapshot":
         if flow.scd_type == "2":
@@ -87,7 +105,7 @@ def apply_flow(
                 first = F.lit(version)
                 return feed.withColumns({START: first, END: F.lit(None).cast(feed.select(first).schema[0].dataType)})
             return extend_history(target, feed, flow.keys, version)
-        return feed if target is None else apply_snapshot(target, feed, flow.keys).drop("_change")
+        return feed
     removed = deletes if flow.with_deletes else None
     if flow.scd_type == "2":
         return scd2(feed, flow.keys, flow.sequence, deletes=removed, split=split)
@@ -108,7 +126,7 @@ def ingest(
     """Load every table of a specification below ``warehouse`` and return where each one landed.
 
     The loop runs over table names; rows stay on the executors. Feeds are read whole, so a load can be repeated;
-    appends and snapshots continue from the newest version of their target.
+    appends take only what their target does not hold, and snapshots continue from its newest version.
     """
     landed = {}
     for item in spec["objects"]:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -116,9 +117,8 @@ def _(spark: SparkSession, d: str) -> DataFrame:
     before = rows.filter("ts < TIMESTAMP_NTZ '2024-01-15 00:00:00'").withColumn(
         "value", F.when(F.col("event_type") == "error", F.col("value") + 1).otherwise(F.col("value"))
     )
-    # The cap covers everything delivered here; the entries kept under a small cap are another query.
     seen = before.select(
-        S.composite_key(F.col("event_id")).alias("row_key"), S.row_digest(before).alias("digest"), F.col("ts").alias("cursor")
+        S.composite_key(F.col("event_id")).alias("row_key"), S.row_hash(before).alias("digest"), F.col("ts").alias("cursor")
     )
     return S.drop_delivered(rows, seen, ["event_id"], "ts")[0]
 
@@ -142,7 +142,7 @@ def _(spark: SparkSession, d: str) -> DataFrame:
     finished = rows.filter("o_orderstatus = 'F'")
     stale = rows.filter("o_orderstatus = 'O'").withColumn("o_totalprice", F.col("o_totalprice") + 1)
     delivered = finished.unionByName(stale)
-    seen = delivered.select(S.composite_key(F.col("o_orderkey")).alias("row_key"), S.row_digest(delivered).alias("digest"))
+    seen = delivered.select(S.composite_key(F.col("o_orderkey")).alias("row_key"), S.row_hash(delivered).alias("digest"))
     return S.exclude_seen(rows, seen, ["o_orderkey"])
 
 
@@ -309,7 +309,7 @@ def _(spark: SparkSession, d: str) -> DataFrame:
     "batch_by_group",
     "O-195",
     sql="""
-WITH counts AS (SELECT l_suppkey, count(*) AS n FROM lineitem WHERE l_suppkey >= 3 GROUP BY 1),
+WITH counts AS (SELECT l_suppkey, count(*) AS n FROM lineitem WHERE l_suppkey > 3 GROUP BY 1),
 running AS (SELECT *, sum(n) OVER (ORDER BY l_suppkey) - n AS before FROM counts)
 SELECT l_orderkey, l_linenumber, l_suppkey, l_partkey FROM lineitem
 WHERE l_suppkey IN (SELECT l_suppkey FROM running WHERE before < 1500)
@@ -619,3 +619,64 @@ SELECT o_orderkey, o_orderdate FROM orders UNION ALL
 def _(spark: SparkSession, d: str) -> DataFrame:
     rows = table(spark, d, "orders").select("o_orderkey", "o_orderdate")
     return with_future_rows(rows, "o_orderdate", RUN_START, ["o_orderkey"], 5)
+
+
+# ---------------------------------------------------------------- ties, nulls and loops
+
+
+def by_day(spark: SparkSession, d: str) -> DataFrame:
+    """Events with a day as cursor: every tie outgrows a cap of 10."""
+    day = F.date_trunc("day", F.col("ts").cast("timestamp")).cast("timestamp_ntz").alias("day")
+    return table(spark, d, "events").select("event_id", day)
+
+
+_DAYS = "WITH days AS (SELECT event_id, date_trunc('day', ts) AS day FROM events)"
+
+
+@query(
+    "batch_trim_large_tie",
+    "O-121",
+    sql=f"{_DAYS} SELECT event_id, day, day AS cursor FROM days WHERE day = (SELECT min(day) FROM days)",
+)
+def _(spark: SparkSession, d: str) -> DataFrame:
+    rows, state = S.batch_trim(by_day(spark, d), "day", 10)
+    return rows.withColumn("cursor", state.scalar())
+
+
+@query(
+    "slice_window_tie_at_start",
+    "O-127",
+    sql=f"{_DAYS} SELECT event_id, day, day AS cursor FROM days WHERE day = (SELECT min(day) FROM days WHERE day > TIMESTAMP '2024-01-10')",
+)
+def _(spark: SparkSession, d: str) -> DataFrame:
+    rows, state = S.slice_window(by_day(spark, d), "day", SINCE, 8 * 86_400, RUN_START, cap=10, closed=False)
+    return rows.withColumn("cursor", state.scalar())
+
+
+@query(
+    "batch_null_group",
+    "O-123",
+    sql="""
+WITH g AS (SELECT event_id, CASE WHEN user_id % 5 <> 0 THEN user_id END AS grp FROM events),
+counts AS (SELECT grp, count(*) AS n FROM g WHERE grp IS NOT NULL GROUP BY 1),
+running AS (SELECT grp, sum(n) OVER (ORDER BY grp) - n AS before FROM counts)
+SELECT event_id, grp FROM g WHERE grp IS NULL OR grp IN (SELECT grp FROM running WHERE before < 100)
+""",
+)
+def _(spark: SparkSession, d: str) -> DataFrame:
+    rows = table(spark, d, "events").selectExpr("event_id", "CASE WHEN user_id % 5 <> 0 THEN user_id END AS grp")
+    return S.batch_groups(rows, "grp", 100)[0]
+
+
+@query("batch_by_group_loop", "O-195", sql="SELECT s_nationkey, s_suppkey FROM supplier")
+def _(spark: SparkSession, d: str) -> DataFrame:
+    rows = table(spark, d, "supplier").select("s_nationkey", "s_suppkey")
+    cap = max(1, rows.count() // 4)
+    out, after = [], None
+    while True:
+        part, state = S.batch_by_group(rows, "s_nationkey", cap, after)
+        reached = state.first()["cursor"]
+        if reached is None:
+            return reduce(DataFrame.unionByName, out)
+        out.append(part)
+        after = reached

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -25,13 +26,16 @@ def configure(spark: SparkSession) -> SparkSession:
 def checkpoint_dir(spark: SparkSession) -> str:
     """The folder checkpoints go to: the cluster's ``spark.checkpoint.dir``.
 
-    Only a session that names none (tests, a laptop) gets a local scratch folder.
+    Only a local session that names none (tests, a laptop) gets a local scratch folder; on a cluster no executor would
+    see it, so that is an error.
     """
     shared = spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if shared:
         return shared
     current = spark.sparkContext.getCheckpointDir()
     if current is None:
+        if not re.match(r"local($|\[)", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="feedweir-checkpoint-"))
         current = spark.sparkContext.getCheckpointDir()
     return current

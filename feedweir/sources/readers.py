@@ -104,6 +104,7 @@ def read_zipped_ndjson(spark: SparkSession, path: str, schema: T.StructType) ->
 
     files = spark.read.format("binaryFile").load(path).select("path", "content")
     lines = files.mapInPandas(unpack, "source_file string, line string")
+    lines = lines.filter(F.get_json_object("line", "$").isNotNull())
     return lines.select("source_file", F.from_json("line", schema).alias("r")).select("source_file", "r.*")
 
 

@@ -128,7 +128,7 @@ def test_split_gives_the_same_as_one_window(spark, rows, ahead):
 
 def test_opening_rows_split(spark, rows):
     rng = random.Random(5)
-    df = spark.createDataFrame([(rng.choice(["hot", "hot", None]), i, rng.randint(0, 2)) for i in range(150)], "k string, t bigint, v int")
+    df = spark.createDataFrame([(rng.choice(["hot", "hot", None]), i, rng.randint(0, 2)) for i in range(150)] + [("hot", None, 7)], "k string, t bigint, v int")
 
     def opens(was, now):
         return was.isNull() | (was["v"] != now["v"])

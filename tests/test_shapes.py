@@ -181,7 +181,7 @@ def test_zipped_json(spark, tmp_path, rows):
     buffer = io.BytesIO()
     with zipfile.ZipFile(buffer, "w") as archive:
         for name in ("a", "b"):
-            archive.writestr(f"{name}.json.gz", gzip.compress(json.dumps({"id": 1, "kind": name}).encode() + b"\n\n"))
+            archive.writestr(f"{name}.json.gz", gzip.compress(json.dumps({"id": 1, "kind": name}).encode() + b"\n{bad\n\n"))
     (tmp_path / "e.zip").write_bytes(buffer.getvalue())
     found = readers.read_zipped_ndjson(spark, str(tmp_path / "e.zip"), ddl("id bigint, kind string"))
     assert rows(found.drop("source_file")) == [(1, "a"), (1, "b")]

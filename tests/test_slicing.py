@@ -64,11 +64,37 @@ def test_keyset_loop_loses_nothing(spark):
     assert balance(run_until_stable(step), df) == (0, 0)
 
 
-def test_trim_refuses_one_large_tie_group(spark):
-    df = spark.range(20).select("id", F.lit(1).alias("c"))
+def test_trim_takes_a_large_tie_group_whole(spark):
+    df = spark.range(20).select("id", F.when(F.col("id") < 15, 1).otherwise(2).alias("c"))
     assert S.batch_trim(df, "c", 20)[0].count() == 20
-    with pytest.raises(Exception, match="raise the cap"):
-        S.batch_trim(df, "c", 10)[0].collect()
+    rows, state = S.batch_trim(df, "c", 10)
+    assert rows.count() == 15 and state.first()["cursor"] == 1
+    assert S.batch_trim(S.slice_after(df, "c", 1), "c", 10)[0].count() == 5
+
+
+def test_capped_window_passes_a_tie_at_its_start(spark):
+    day = dt.datetime(2024, 1, 1)
+    data = [(i, day) for i in range(10)] + [(10, day + dt.timedelta(hours=1))]
+    df = spark.createDataFrame(data, "id int, ts timestamp_ntz")
+    end = day + dt.timedelta(days=2)
+    rows, state = S.slice_window(df, "ts", day, 86_400, end, cap=5)
+    assert rows.count() == 10 and state.first()["cursor"] == day
+    rows, state = S.slice_window(df, "ts", day, 86_400, end, cap=5, closed=False)
+    assert [r["id"] for r in rows.collect()] == [10] and state.first()["cursor"] == day + dt.timedelta(days=1)
+
+
+def test_null_groups_and_whole_groups(spark):
+    df = spark.createDataFrame([(None, 1), (None, 2), (1, 3), (1, 4), (2, 5)], "g int, id int")
+    rows, state = S.batch_groups(df, "g", 1)
+    assert sorted(r["id"] for r in rows.collect()) == [1, 2, 3, 4] and state.first()["cursor"] == 1
+    rows, state = S.batch_by_group(df, "g", 1, after=1)
+    assert [r["id"] for r in rows.collect()] == [5] and state.first()["cursor"] == 2
+    assert S.batch_by_group(df, "g", 1, after=2)[1].first()["cursor"] is None
+
+
+def test_empty_day_chunk_keeps_its_start(spark):
+    df = spark.createDataFrame([], "ts timestamp_ntz")
+    assert S.day_chunks(df, "ts", dt.date(2024, 1, 2), 10)[1].first()["start_date"] == dt.date(2024, 1, 2)
 
 
 def test_keyset_null_tiebreak_fails(spark):

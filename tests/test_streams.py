@@ -113,7 +113,7 @@ def test_ingest_loop(spark, rows, tmp_path):
     landed = ingest(spark, spec, metadata, read, read_deletes, str(tmp_path))
     assert rows(spark.read.parquet(landed["cdc"])) == [("b", 1, "x"), ("c", 2, "z")]
     assert rows(spark.read.parquet(landed["snap"])) == [(1, "x", 1, 2), (1, "x2", 2, None), (2, "y", 1, 2)]
-    assert spark.read.parquet(landed["log"]).count() == 4
+    assert spark.read.parquet(landed["log"]).count() == 2
 
 
 def test_snapshot_flow_type_1(spark, rows):
@@ -208,8 +208,10 @@ def test_report_limits(spark):
     df = spark.createDataFrame([(1, 2)], "a int, b int")
     with pytest.raises(ValueError, match="unknown dimensions"):
         reports.report(df, ["a", "zz"], {"n": F.count(F.lit(1))}, available_dims=["a", "b"])
-    with pytest.raises(ValueError, match="at most"):
-        reports.report(df, {f"d{i}": F.col("a") for i in range(10)}, {"n": F.count(F.lit(1))})
+    many = {f"d{i}": F.col("a") for i in range(10)}
+    assert reports.report(df, many, {"n": F.count(F.lit(1))}).count() == 1
+    with pytest.raises(ValueError, match="at most 9 dimensions"):
+        reports.report(df, many, {"n": F.count(F.lit(1))}, max_dimensions=9)
 
 
 def test_batch_session_window(spark, rows):

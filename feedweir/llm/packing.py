@@ -17,7 +17,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from feedweir.llm.common import free_name
+from feedweir.llm.common import free_name, settle
 from feedweir.llm.ranking import running
 
 # Permitted lengths, and the cost of a bin: a fixed part, its tokens, and attention, which is quadratic in its length.
@@ -149,6 +149,7 @@ def pack(
     pieces = rows.where(F.col(whole) > 0).withColumn("piece", F.explode(cuts))
     pieces = pieces.withColumn("start", F.col("piece") * most)
     pieces = pieces.withColumn("length", F.least(F.lit(most), F.col(whole) - F.col("start")).cast("int")).drop(whole)
+    pieces = settle(pieces)  # read three times, and the length may be dear to compute
     # at most one row per length up to the largest size
     counts = {r["length"]: r["n"] for r in pieces.groupBy("length").agg(F.count("*").alias("n")).collect()}
     empty = rows.where(F.col(whole) == 0).drop(whole)

@@ -17,7 +17,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from feedweir.llm.common import settle, text_key
+from feedweir.llm.common import free_name, settle, text_key
 from feedweir.llm.fmindex import Index
 from feedweir.llm.sketches import _mix
 
@@ -90,47 +90,73 @@ _FOUND = "sa long, sb long, hits array<int>"
 
 
 def repeated(shard: pd.DataFrame) -> pd.DataFrame:
-    """Windows of a shard's segments that occur twice or more in it: (sa, sb, hits = their offsets)."""
+    """Windows of a shard's segments that occur twice or more in it: (sa, sb, hits = their offsets).
+
+    A segment of weight 2 or more is its own second occurrence, so it is indexed but not searched for; one that shares
+    its minimizer with no other segment needs no index either.
+    """
+    shard = shard.sort_values(["sa", "sb", "base"])
     pieces = [s.split(" ") for s in shard["segment"]]
-    codes: dict[str, int] = {}
-    text = []
-    for p in pieces:
-        text.extend(codes.setdefault(w, len(codes) + 1) for w in p)
-        text.append(0)
-    text = np.array(text, np.int64)
-    lengths = np.array([len(p) for p in pieces], np.int64)
-    ends = np.cumsum(lengths + 1) - 1
-    index = Index(text, np.repeat(shard["weight"].to_numpy(np.int64), lengths + 1))
-    long = index.matching(text, ends, lengths, 2)
-    rows = []
-    for sa, sb, base, end, n in zip(shard["sa"], shard["sb"], shard["base"], ends, lengths, strict=True):
-        hits = np.flatnonzero(long[end - n : end] >= WINDOW)
-        if len(hits):
-            rows.append((sa, sb, (hits + base).astype(np.int32)))
+    size = np.array([len(p) for p in pieces], np.int64)
+    weight = shard["weight"].to_numpy(np.int64)
+    company = shard.groupby("deal")["deal"].transform("size").to_numpy() > 1
+    hits: list[np.ndarray] = [np.arange(n - WINDOW + 1) if w > 1 else np.empty(0, int) for n, w in zip(size, weight, strict=True)]
+    if (company & (weight == 1)).any():
+        indexed = np.flatnonzero(company)
+        codes: dict[str, int] = {}
+        text = []
+        for i in indexed:
+            text.extend(codes.setdefault(w, len(codes) + 1) for w in pieces[i])
+            text.append(0)
+        text = np.array(text, np.int64)
+        lengths = size[indexed]
+        ends = np.cumsum(lengths + 1) - 1
+        index = Index(text, np.repeat(weight[indexed], lengths + 1))
+        asked = np.flatnonzero(weight[indexed] == 1)
+        long = index.matching(text, ends[asked], lengths[asked], 2)
+        for k in asked:
+            hits[indexed[k]] = np.flatnonzero(long[ends[k] - lengths[k] : ends[k]] >= WINDOW)
+    rows = [
+        (sa, sb, (h + base).astype(np.int32))
+        for sa, sb, base, h in zip(shard["sa"], shard["sb"], shard["base"], hits, strict=True)
+        if len(h)
+    ]
     return pd.DataFrame(rows, columns=["sa", "sb", "hits"])
 
 
-_KEPT = "ka long, kb long, n_removed long, kept_sha256 string, kept_text string"
+_KEPT = "ka long, kb long, n_removed long, kept_sha256 string"
+_KEPT_TEXT = "ka long, kb long, kept string"
+
+
+def _left(text: str, found: list) -> tuple[list[bytes], int]:
+    """The words outside all found windows, and how many are inside."""
+    ws = text.encode().split()
+    edge = np.zeros(len(ws) + 1, np.int32)
+    for f in found:
+        at = f["start"] + np.asarray(f["hits"], np.int64)
+        np.add.at(edge, at, 1)
+        np.add.at(edge, at + WINDOW, -1)
+    gone = np.cumsum(edge[:-1]) > 0
+    return [ws[i] for i in np.flatnonzero(~gone)], int(gone.sum())
 
 
 def _kept(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         rows = []
         for ka, kb, text, found in zip(batch["ka"], batch["kb"], batch["text"], batch["found"], strict=True):
-            ws = text.encode().split()
-            edge = np.zeros(len(ws) + 1, np.int32)
-            for f in found:
-                at = f["start"] + np.asarray(f["hits"], np.int64)
-                np.add.at(edge, at, 1)
-                np.add.at(edge, at + WINDOW, -1)
-            gone = np.cumsum(edge[:-1]) > 0
-            left = [w for w, g in zip(ws, gone, strict=True) if not g]
-            rows.append((ka, kb, int(gone.sum()), _digest(left), b" ".join(left).decode()))
-        yield pd.DataFrame(rows, columns=["ka", "kb", "n_removed", "kept_sha256", "kept_text"])
+            left, gone = _left(text, found)
+            rows.append((ka, kb, gone, _digest(left)))
+        yield pd.DataFrame(rows, columns=["ka", "kb", "n_removed", "kept_sha256"])
+
+
+def _kept_text(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for batch in batches:
+        left = [b" ".join(_left(t, f)[0]).decode() for t, f in zip(batch["text"], batch["found"], strict=True)]
+        yield batch[["ka", "kb"]].assign(kept=left)
 
 
 def _removals(df: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Documents (doc_id, ka, kb, n_words, whole), and what is left of the different texts that lose words."""
+    """Documents (doc_id, ka, kb, n_words, whole), and of the different texts that lose words the windows found."""
     docs = df.select(F.col("doc_id").cast("long").alias("doc_id"), "text", text_key(F.col("text")).alias("k"))
     docs = docs.select("doc_id", F.col("k.a").alias("ka"), F.col("k.b").alias("kb"), "text")
     known = settle(docs.mapInPandas(_documents, _DOCS))
@@ -170,14 +196,14 @@ def _removals(df: DataFrame) -> tuple[DataFrame, DataFrame]:
     pieces = settle(plain.unionByName(cut))
     size = pieces.agg(F.sum(F.size(F.split("segment", " ")))).first()[0] or 0
     shards = max(1, size // SHARD_WORDS)
-    dealt = pieces.withColumn("shard", F.pmod("deal", F.lit(shards))).drop("deal")
+    dealt = pieces.withColumn("shard", F.pmod("deal", F.lit(shards)))
     found = dealt.groupBy("shard").applyInPandas(repeated, _FOUND)
     found = found.groupBy("sa", "sb").agg(F.array_distinct(F.flatten(F.collect_list("hits"))).alias("hits"))
 
     marks = segments.select("ka", "kb", "start", "sa", "sb").join(found, ["sa", "sb"])
     marks = marks.groupBy("ka", "kb").agg(F.collect_list(F.struct("start", "hits")).alias("found"))
-    kept = bodies.select("ka", "kb", "text").join(marks, ["ka", "kb"]).mapInPandas(_kept, _KEPT)
-    return known.select("doc_id", "ka", "kb", "n_words", "whole"), kept
+    found = bodies.select("ka", "kb", "text").join(marks, ["ka", "kb"])
+    return known.select("doc_id", "ka", "kb", "n_words", "whole"), found
 
 
 def removals(df: DataFrame) -> DataFrame:
@@ -187,11 +213,21 @@ def removals(df: DataFrame) -> DataFrame:
     are compared by the bytes between ASCII spaces. Null, empty and short texts lose nothing, except that nothing is
     left of the second copy or of the first where whole texts of a window or more are equal. Other columns are ignored.
     """
-    docs, kept = _removals(df)
-    out = docs.join(kept.drop("kept_text"), ["ka", "kb"], "left")
+    docs, found = _removals(df)
+    out = docs.join(found.mapInPandas(_kept, _KEPT), ["ka", "kb"], "left")
     return out.select(
         "doc_id",
         "n_words",
         F.coalesce("n_removed", F.lit(0).cast("long")).alias("n_removed"),
         F.coalesce("kept_sha256", "whole").alias("kept_sha256"),
     )
+
+
+def without_repeats(df: DataFrame) -> DataFrame:
+    """``df`` with ``text`` reduced to the words that ``removals`` keeps, joined by one space, where any go."""
+    _, found = _removals(df)
+    k, cut, ka, kb = (free_name(df, x) for x in ("_k", "kept", "ka", "kb"))
+    left = found.mapInPandas(_kept_text, _KEPT_TEXT).toDF(ka, kb, cut)
+    out = df.withColumn(k, text_key(F.col("text")))
+    out = out.join(left, (F.col(f"{k}.a") == F.col(ka)) & (F.col(f"{k}.b") == F.col(kb)), "left")
+    return out.withColumn("text", F.coalesce(cut, "text")).select(*df.columns)

@@ -129,14 +129,53 @@ def _confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return pairs.join(left, "a").join(right, "b").mapInPandas(_overlaps, "a long, b long")
 
 
+def _apart(members: DataFrame, parts: DataFrame) -> DataFrame:
+    """Rows (band, rep, bits, star, main) of the buckets whose classes are in more than one component (star).
+
+    main is the component with the most classes of the bucket.
+    """
+    parts = parts.withColumnsRenamed({"node": "rep", "component": "star"})
+    placed = members.join(parts, "rep", "left").withColumn("star", F.coalesce("star", "rep"))
+    groups = placed.groupBy("band", "star").agg(F.count("*").alias("n"))
+    split = groups.groupBy("band").agg(F.max(F.struct("n", "star")).alias("m"), F.count("*").alias("stars"))
+    return settle(placed.join(split.where("stars > 1").select("band", F.col("m.star").alias("main")), "band"))
+
+
+def _shingle_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for batch in batches:
+        for rep, text in zip(batch["rep"], batch["text"], strict=True):
+            items = shingle_set(text).view(np.int64)
+            yield pd.DataFrame({"rep": np.full(len(items), rep), "n": np.full(len(items), len(items)), "item": items})
+
+
+def _linkable(loose: DataFrame, texts: DataFrame) -> DataFrame:
+    """Rows (rep, n, shared) of the classes that may still have a link: set size, and how much of it others hold too.
+
+    A link needs four fifths of a set in the other one. A class with more than a fifth of its shingles in no other
+    class that is left has none, and without it more shingles are alone; a second pass looks again.
+    """
+    left = texts.join(loose.select("rep").distinct(), "rep", "left_semi")
+    items = settle(left.mapInPandas(_shingle_rows, "rep long, n long, item long"))
+    sizes = items.select("rep", "n").distinct()
+    out = None
+    for _ in range(2):
+        here = items if out is None else items.join(out.select("rep"), "rep", "left_semi")
+        alone = here.groupBy("item").agg(F.count("*").alias("times"), F.min("rep").alias("rep")).where("times = 1")
+        alone = alone.groupBy("rep").agg(F.count("*").alias("alone"))
+        out = sizes.join(alone, "rep", "left").selectExpr("rep", "n", "n - coalesce(alone, 0) as shared")
+        out = settle(out.where("100 * shared >= 80 * n"))
+    return out
+
+
 def link(df: DataFrame) -> DataFrame:
     """Near-duplicate groups of ``df`` (doc_id long, text): rows (doc_id, n_shingles, component_id, kept), one per row.
 
     Documents whose sets of two-word shingles have 100 x intersection >= 80 x union are linked; a component is all that
-    links reach. Texts with equal sets are one class, joined to its smallest doc_id without pairs. Per band, every
-    class is compared with the bucket's smallest one that it shares most bands with; classes that a bucket still holds
-    in different components afterwards are all compared with each other, except pairs that the sketch bits rule out,
-    so no bucket is cut and no candidate is dropped. Every link is confirmed on the sets of the whole texts.
+    links reach. Texts with equal sets are one class, joined to its smallest doc_id without pairs. Every class is
+    compared with the smallest class of a bucket that it shares most bands with; classes that a bucket still holds in
+    different components afterwards are all compared with each other, except pairs that the sketch bits or the parts
+    of their sets that no other class holds rule out, so no bucket is cut and no candidate is dropped. Every link is
+    confirmed on the sets of the whole texts.
 
     Null, empty and blank texts have n_shingles 0 and are linked with nothing. Rows with a null doc_id are linked with
     nothing, have no component and are kept. Rows that share a doc_id are one document. An empty table gives an empty
@@ -166,18 +205,17 @@ def link(df: DataFrame) -> DataFrame:
     texts = settle(texts.groupBy(F.col("doc_id").alias("rep")).agg(F.min("text").alias("text")))
     links = settle(_confirmed(pairs, texts))
 
-    # what the stars have not joined: every pair of a bucket's classes that are still in different components
-    stars = components(links).withColumnsRenamed({"node": "rep", "component": "star"})
-    placed = members.drop("head").join(stars, "rep", "left").withColumn("star", F.coalesce("star", "rep"))
-    groups = placed.groupBy("band", "star").agg(F.count("*").alias("n"))
-    split = groups.groupBy("band").agg(F.max(F.struct("n", "star")).alias("m"), F.count("*").alias("stars"))
-    split = split.where("stars > 1").select("band", F.col("m.star").alias("main"))
-    loose = settle(placed.join(split, "band").join(sketches, "rep"))
-    others = loose.where("star <> main").selectExpr("band", "rep as a", "star as sa", "bits as x")
-    everyone = loose.selectExpr("band", "rep as b", "star as sb", "main", "bits as y")
+    # What the stars have not joined: every pair of a bucket's classes that are still in different components, if its
+    # sketch bits and its sets leave room for a link.
+    loose = _apart(members.select("band", "rep").join(sketches, "rep"), components(links))
+    loose = settle(loose.join(_linkable(loose, texts), "rep"))
+    others = loose.where("star <> main").selectExpr("band", "rep as a", "star as sa", "bits as x", "n as na", "shared as pa")
+    everyone = loose.selectExpr("band", "rep as b", "star as sb", "main", "bits as y", "n as nb", "shared as pb")
+    most = F.least("pa", "pb")
+    room = 100 * most >= 80 * (F.col("na") + F.col("nb") - most)
     crossing = (F.col("sa") != F.col("sb")) & ((F.col("sb") == F.col("main")) | (F.col("a") < F.col("b")))
     close = _equal_bits(F.col("x"), F.col("y")) >= LEAST_BITS
-    more = others.join(everyone, (others["band"] == everyone["band"]) & crossing & close)
+    more = others.join(everyone, (others["band"] == everyone["band"]) & crossing & room & close)
     more = _confirmed(more.select("a", "b").distinct(), texts)
 
     found = components(links.unionByName(more).unionByName(copies))

@@ -203,3 +203,10 @@ def test_removals_on_odd_tables(docs):
     assert substrings.removals(docs([])).count() == 0
     df = docs([(1, None), (2, "a b")]).withColumnsRenamed({"lang": "ka", "source": "key"})
     assert sorted(r["n_words"] for r in substrings.removals(df).collect()) == [0, 2]
+
+
+def test_texts_without_repeats(docs):
+    shared = " ".join(f"s{i}" for i in range(40))
+    df = docs([(1, f"a  b {shared}"), (2, f"{shared}\nc"), (3, "d  e"), (4, None)]).withColumnRenamed("lang", "kept")
+    out = {r["doc_id"]: r["text"] for r in substrings.without_repeats(df).collect()}
+    assert out == {1: "a b", 2: "c", 3: "d  e", 4: None}

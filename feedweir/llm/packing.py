@@ -62,11 +62,11 @@ class Plan:
 def plan_with(counts: dict[int, int], sizes: tuple[int, ...], least: int, largest: int) -> Plan:
     """Best fit, longest pieces first; sizes outside ``least`` to ``largest`` are opened only for pieces that need them."""
     plan, made = Plan(), 0
-    open_bins: dict[int, list[Bins]] = {}  # by room left
-    rooms: list[int] = []
+    open_bins: dict[tuple[int, int], list[Bins]] = {}  # by room left and size
+    rooms: list[tuple[int, int]] = []
 
     def put(b: Bins) -> None:
-        room = b.size - b.used
+        room = (b.size - b.used, b.size)
         if room not in open_bins:
             open_bins[room] = []
             insort(rooms, room)
@@ -75,7 +75,7 @@ def plan_with(counts: dict[int, int], sizes: tuple[int, ...], least: int, larges
     for length in sorted(counts, reverse=True):
         placed, total = 0, counts[length]
         while placed < total:
-            i = bisect_left(rooms, length)
+            i = bisect_left(rooms, (length, 0))
             if i < len(rooms):
                 room = rooms[i]
                 run = open_bins[room].pop()
@@ -85,10 +85,10 @@ def plan_with(counts: dict[int, int], sizes: tuple[int, ...], least: int, larges
                 fitting = [s for s in sizes if s >= length]
                 allowed = [s for s in fitting if least <= s <= largest] or fitting[:1]
                 size = min(allowed, key=lambda s: (cost(s) / s, s))
-                # as many bins as the rest of the pieces fill, or else one: best fit fills them one after the other
                 run = Bins(made, max(1, (total - placed) // (size // length)), size, 0)
                 made += run.count
-            taken = min(run.count, total - placed)
+            # as many bins as the rest of the pieces fill, or else one: best fit fills them one after the other
+            taken = min(run.count, max(1, (total - placed) // ((run.size - run.used) // length)))
             if taken < run.count:
                 put(Bins(run.first + taken, run.count - taken, run.size, run.used))
             plan.steps.append(Step(length, placed, placed + taken - 1, run.first, run.used))

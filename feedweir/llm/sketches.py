@@ -26,6 +26,9 @@ BANDS = SIZE // BAND
 # deviation of 0.019 over 256 bits; 0.78 is more than six deviations lower.
 LEAST_BITS = int(0.78 * SIZE)
 
+# Bits of the marks of a set: the more, the fewer shingles of different sets fall on the same mark.
+MARKS = 2048
+
 _U = np.uint64
 
 
@@ -148,8 +151,29 @@ def _shingle_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             yield pd.DataFrame({"rep": np.full(len(items), rep), "n": np.full(len(items), len(items)), "item": items})
 
 
+def marks(items: np.ndarray) -> np.ndarray:
+    """A bit for every value of the last bits of a set's hashes, packed: a mark that is not set rules a shingle out."""
+    out = np.zeros(MARKS, np.uint8)
+    out[(items & _U(MARKS - 1)).astype(np.intp)] = 1
+    return np.packbits(out).view(np.int64)
+
+
+def _marks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for batch in batches:
+        yield pd.DataFrame({"rep": batch["rep"], "marks": [marks(shingle_set(text)) for text in batch["text"]]})
+
+
+def _only_left(x: Column, y: Column) -> Column:
+    """How many marks of ``x`` are not set in ``y``: no more than the shingles that the second set lacks."""
+    lacking = [
+        F.bit_count(F.get(x, F.lit(i)).bitwiseAND(F.bitwise_not(F.get(y, F.lit(i))))) for i in range(MARKS // 64)
+    ]
+    return sum(lacking[1:], lacking[0])
+
+
 def _linkable(loose: DataFrame, texts: DataFrame) -> DataFrame:
-    """Rows (rep, n, shared) of the classes that may still have a link: set size, and how much of it others hold too.
+    """Rows (rep, n, shared, marks) of the classes that may still have a link: set size, how much of it others hold
+    too, and the set's marks.
 
     A link needs four fifths of a set in the other one. A class with more than a fifth of its shingles in no other
     class that is left has none, and without it more shingles are alone; a second pass looks again.
@@ -164,7 +188,7 @@ def _linkable(loose: DataFrame, texts: DataFrame) -> DataFrame:
         alone = alone.groupBy("rep").agg(F.count("*").alias("alone"))
         out = sizes.join(alone, "rep", "left").selectExpr("rep", "n", "n - coalesce(alone, 0) as shared")
         out = settle(out.where("100 * shared >= 80 * n"))
-    return out
+    return out.join(left.mapInPandas(_marks, "rep long, marks array<long>"), "rep")
 
 
 def link(df: DataFrame) -> DataFrame:
@@ -173,9 +197,9 @@ def link(df: DataFrame) -> DataFrame:
     Documents whose sets of two-word shingles have 100 x intersection >= 80 x union are linked; a component is all that
     links reach. Texts with equal sets are one class, joined to its smallest doc_id without pairs. Every class is
     compared with the smallest class of a bucket that it shares most bands with; classes that a bucket still holds in
-    different components afterwards are all compared with each other, except pairs that the sketch bits or the parts
-    of their sets that no other class holds rule out, so no bucket is cut and no candidate is dropped. Every link is
-    confirmed on the sets of the whole texts.
+    different components afterwards are all compared with each other by sketch bits, by the parts of their sets that no
+    other class holds, and by marks that bound the intersection of two sets from above; what these rule out is no
+    link, so no bucket is cut and no candidate is dropped. Every link is confirmed on the sets of the whole texts.
 
     Null, empty and blank texts have n_shingles 0 and are linked with nothing. Rows with a null doc_id are linked with
     nothing, have no component and are kept. Rows that share a doc_id are one document. An empty table gives an empty
@@ -209,13 +233,17 @@ def link(df: DataFrame) -> DataFrame:
     # sketch bits and its sets leave room for a link.
     loose = _apart(members.select("band", "rep").join(sketches, "rep"), components(links))
     loose = settle(loose.join(_linkable(loose, texts), "rep"))
-    others = loose.where("star <> main").selectExpr("band", "rep as a", "star as sa", "bits as x", "n as na", "shared as pa")
-    everyone = loose.selectExpr("band", "rep as b", "star as sb", "main", "bits as y", "n as nb", "shared as pb")
-    most = F.least("pa", "pb")
-    room = 100 * most >= 80 * (F.col("na") + F.col("nb") - most)
+    others = loose.where("star <> main").selectExpr("band", "rep as a", "star as sa", "bits as x", "n as na", "shared as pa", "marks as ma")
+    everyone = loose.selectExpr("band", "rep as b", "star as sb", "main", "bits as y", "n as nb", "shared as pb", "marks as mb")
+
+    def room(most: Column) -> Column:
+        return 100 * most >= 80 * (F.col("na") + F.col("nb") - most)
+
     crossing = (F.col("sa") != F.col("sb")) & ((F.col("sb") == F.col("main")) | (F.col("a") < F.col("b")))
     close = _equal_bits(F.col("x"), F.col("y")) >= LEAST_BITS
-    more = others.join(everyone, (others["band"] == everyone["band"]) & crossing & room & close)
+    met = F.least(F.col("na") - _only_left(F.col("ma"), F.col("mb")), F.col("nb") - _only_left(F.col("mb"), F.col("ma")))
+    same = others["band"] == everyone["band"]
+    more = others.join(everyone, same & crossing & room(F.least("pa", "pb")) & close & room(met))
     more = _confirmed(more.select("a", "b").distinct(), texts)
 
     found = components(links.unionByName(more).unionByName(copies))

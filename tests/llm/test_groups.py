@@ -112,6 +112,22 @@ def brute_vectors(rows):
     return sorted((r[0], n[i], label[r[0]], label[r[0]] == r[0]) for i, r in enumerate(rows))
 
 
+def test_marks_never_rule_out_a_link(spark):
+    rng = np.random.default_rng(5)
+    rows = []
+    for size in (3, 40, 400, 9000):
+        for share in (0.0, 0.5, 0.8, 1.0):
+            a = rng.integers(0, 2**63, size, dtype=np.uint64)
+            b = np.concatenate([a[: int(size * share)], rng.integers(0, 2**63, size, dtype=np.uint64)])
+            marks = [sketches.marks(x).tolist() for x in (a, b)]
+            rows.append((*marks, len(np.setdiff1d(a, b)), size, share))
+    df = spark.createDataFrame(rows, "x array<long>, y array<long>, lacking long, size long, share double")
+    df = df.withColumn("seen", sketches._only_left(df["x"], df["y"]))
+    assert df.where("seen > lacking").count() == 0
+    # sets that are small against the marks are told apart almost exactly
+    assert df.where("size <= 400 and share < 1 and seen < 0.6 * lacking").count() == 0
+
+
 def test_vectors(spark, monkeypatch):
     """Small shards and few vectors per centroid, so that all steps run: several centroids, sub-shards, blocks."""
     monkeypatch.setattr(vectors, "SHARD", 60)

@@ -217,6 +217,131 @@ def _(spark: SparkSession, d: str) -> DataFrame:
     return rows.select("o_orderkey", "order_control", placer["entity_identifier"].alias("placer"), placer["namespace_id"].alias("namespace"), "set_id")
 
 
+def _hl7_orders(spark: SparkSession, d: str) -> DataFrame:
+    """One message per order with the segments of orders, specimens, relatives, visits and billing."""
+    key, cust, at = F.col("o_orderkey"), F.col("o_custkey"), F.date_format("o_orderdate", "yyyyMMdd")
+    price = F.col("o_totalprice").cast("decimal(12,2)")
+    lines = [
+        _text("MSH|^~\\&|LAB|HOSP|HIS|HIS|", at, "||ORM^O01|M", key, "|P|2.5.1"),
+        _text("PD1|A~B|||P", cust, "^Gray^Ann~Q"),
+        _text("PV2|W1^", cust, "^2||R", key, "^Reason||ring~watch|safe|||||", key),
+        _text("MRG|O", cust, "^^^HOSP~P", cust),
+        _text("NK1|1|Doe^Jane~Roe^Jim|SPO^Spouse|||||", "|", at, "||||E", cust, "^^^ACME"),
+        _text("IAM|3|DA|", cust, "^Pollen||rash~itch|||", "why"),
+        _text("PR1||C4|", key, "^Graft||", at, "||", cust, "|S1^One~S2^Two"),
+        _text("ORC|NW|", key, "^LAB|F", key, "|||||a&n^b&m"),
+        _text("ORC|CA|", key, "^LAB", "|" * 34, at, "^", at),
+        _text("OBR|2|", key, "^LAB|F", key, "|GLU^Glucose^LN||", "|", at, "||9^ml|", "|" * 15, "F"),
+        _text("SPM|1|a&n^b&m||BLD^Blood|||||||||4|note~more|||", at, "^", at),
+        _text("IN1|1|PLAN^Gold|C1~C2|||||G", cust, "||||", at, "||A", key, "^", at, "|", "|" * 22, price, "&USD^UP"),
+        _text("GT1|1|G", cust, "|Doe^Jane||||", "|", at, "|||||||", cust),
+        _text("FT1|1|T", key, "||", at, "^", at, "||CG|X1|||", cust, "|", price, "&USD"),
+        _text("RXA|0|1|", at, "||", "CVX^Shot||||||||||L1~L2|", at, "~", at),
+        _text("SCH|", key, "^S||", cust),
+        _text("TXA||DS^Summary|AP|", at, "||||", at, "~", at, "||||D", key),
+    ]
+    text = F.array_join(F.array(*lines), "\r").alias("text")
+    return hl7.segments(hl7.messages(table(spark, d, "orders").select("o_orderkey", text)))
+
+
+DAY = "strftime(o_orderdate, '%Y-%m-%dT00:00:00')"
+
+
+def _segment_query(segment: str, columns: dict[str, str], sql: str) -> None:
+    """A query on one segment of the order messages: names with the expression over the segment's table."""
+
+    @query(f"hl7_segment_{segment.lower()}", "O-104", "O-105", "O-107", sql=f"SELECT o_orderkey, {sql} FROM orders")
+    def _(spark: SparkSession, d: str) -> DataFrame:
+        rows = hl7.segment_table(_hl7_orders(spark, d), segment, keep=KEEP)
+        return rows.selectExpr("o_orderkey", *[f"{value} AS {name}" for name, value in columns.items()])
+
+
+_segment_query(
+    "PD1",
+    {"dependencies": "size(living_dependency)", "doctor": "patient_primary_care_provider.id", "bill": "separate_bill"},
+    "2 AS dependencies, 'P' || o_custkey AS doctor, NULL::VARCHAR AS bill",
+)
+_segment_query(
+    "PV2",
+    {"place": "prior_pending_location.point_of_care", "reason": "admit_reason.code", "valuables": "array_join(patient_valuables, ',')",
+     "kept": "patient_valuables_location", "stay": "actual_length_of_inpatient_stay"},
+    "'W1' AS place, 'R' || o_orderkey AS reason, 'ring,watch' AS valuables, 'safe' AS kept, o_orderkey::BIGINT AS stay",
+)
+_segment_query(
+    "MRG",
+    {"old_id": "prior_patient_id[0].id", "second_id": "prior_patient_id[1].id", "names": "prior_patient_names"},
+    "'O' || o_custkey AS old_id, 'P' || o_custkey AS second_id, NULL::VARCHAR AS names",
+)
+_segment_query(
+    "NK1",
+    {"set_id": "set_id", "family": "names[1].family_name", "relation": "relationship.text", "ends": "end_date", "employee": "employee_number.id"},
+    f"1::BIGINT AS set_id, 'Roe' AS family, 'Spouse' AS relation, {DAY} AS ends, NULL::VARCHAR AS employee",
+)
+_segment_query(
+    "IAM",
+    {"set_id": "set_id", "allergen": "allergen_code.code", "reactions": "size(allergy_reaction)", "reason": "action_reason"},
+    "3::BIGINT AS set_id, o_custkey::VARCHAR AS allergen, 2 AS reactions, 'why' AS reason",
+)
+_segment_query(
+    "PR1",
+    {"set_id": "set_id", "code": "procedure_code.code", "done": "procedure_datetime", "minutes": "procedure_minutes", "second": "anesthesiologist[1].family_name"},
+    f"1::BIGINT AS set_id, o_orderkey::VARCHAR AS code, {DAY} AS done, o_custkey::BIGINT AS minutes, 'Two' AS second",
+)
+_segment_query(
+    "ORC",
+    {"set_id": "set_id", "control": "order_control", "placer": "placer_order_number.entity_identifier",
+     "filler_parent": "parent_order[0].filler_assigned_identifier.namespace_id", "starts": "order_status_date_range_start", "ends": "order_status_date_range_end"},
+    f"""unnest([1, 2])::BIGINT AS set_id, unnest(['NW', 'CA']) AS control, o_orderkey::VARCHAR AS placer, unnest(['m', NULL]) AS filler_parent,
+    unnest([NULL, {DAY}]) AS starts, unnest([NULL, {DAY}]) AS ends""",
+)
+_segment_query(
+    "OBR",
+    {"set_id": "set_id", "filler": "filler_order_number.entity_identifier", "service": "service.text", "seen": "observation_datetime", "status": "result_status"},
+    f"2::BIGINT AS set_id, 'F' || o_orderkey AS filler, 'Glucose' AS service, {DAY} AS seen, 'F' AS status",
+)
+_segment_query(
+    "SPM",
+    {"placer": "specimen_id.placer_assigned_identifier.entity_identifier", "kind": "specimen_type.text", "n": "grouped_specimen_count",
+     "notes": "array_join(specimen_description, ',')", "starts": "specimen_collection_datetime_start", "ends": "specimen_collection_datetime_end"},
+    f"'a' AS placer, 'Blood' AS kind, 4::BIGINT AS n, 'note,more' AS notes, {DAY} AS starts, {DAY} AS ends",
+)
+_segment_query(
+    "IN1",
+    {"plan": "insurance_plan.text", "companies": "size(insurance_company)", "grp": "group_number", "since": "plan_effective_date",
+     "permit": "authorization_information.number", "deductible": "policy_deductible.price", "currency": "policy_deductible.currency"},
+    f"""'Gold' AS plan, 2 AS companies, 'G' || o_custkey AS grp, {DAY} AS since, 'A' || o_orderkey AS permit,
+    o_totalprice::DECIMAL(12,2)::VARCHAR AS deductible, 'USD' AS currency""",
+)
+_segment_query(
+    "GT1",
+    {"number": "guarantor_number[0].id", "family": "guarantor_names[0].family_name", "born": "guarantor_date_of_birth", "priority": "guarantor_priority"},
+    f"'G' || o_custkey AS number, 'Doe' AS family, {DAY} AS born, o_custkey::BIGINT AS priority",
+)
+_segment_query(
+    "FT1",
+    {"id": "transaction_id.id", "starts": "transaction_date_start", "kind": "transaction_type.code", "code": "transaction_code.code",
+     "quantity": "transaction_quantity", "price": "transaction_amount_extended.price"},
+    f"'T' || o_orderkey AS id, {DAY} AS starts, 'CG' AS kind, 'X1' AS code, o_custkey::BIGINT AS quantity, o_totalprice::DECIMAL(12,2)::VARCHAR AS price",
+)
+_segment_query(
+    "RXA",
+    {"set_id": "set_id", "starts": "datetime_start_of_administration", "code": "administered_code.code",
+     "lots": "array_join(substance_lot_number, ',')", "expiries": "size(substance_expiration_date)"},
+    f"0::BIGINT AS set_id, {DAY} AS starts, 'CVX' AS code, 'L1,L2' AS lots, 2 AS expiries",
+)
+_segment_query(
+    "SCH",
+    {"id": "placer_appointment_id.entity_identifier", "filler": "filler_appointment_id", "n": "occurrence_number"},
+    "o_orderkey::VARCHAR AS id, NULL::VARCHAR AS filler, o_custkey::BIGINT AS n",
+)
+_segment_query(
+    "TXA",
+    {"set_id": "set_id", "kind": "document_type.text", "shown": "document_content_presentation", "edits": "size(edit_datetime)",
+     "document": "unique_document_number.entity_identifier"},
+    "1::BIGINT AS set_id, 'Summary' AS kind, 'AP' AS shown, 2 AS edits, 'D' || o_orderkey AS document",
+)
+
+
 @query(
     "hl7_timestamps",
     "O-108",

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -15,6 +18,7 @@ DATE_FORMATS = ("yyyy-M-d", "M/d/yyyy", "d-M-yyyy", "yyyy/M/d")
 TIMESTAMP_FORMATS = ("yyyy-M-d H:m:s", "yyyy/M/d H:m:s")
 
 ERRORS = "_errors"
+BROKEN = "__broken"
 _WHOLE = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
 _REAL = (T.FloatType, T.DoubleType, T.DecimalType)
 
@@ -113,19 +117,60 @@ def _struct(c: Column, source: T.StructType, kind: T.StructType, mode: str) -> C
     return F.when(c.isNotNull(), F.struct(*parts))
 
 
+def _parse(c: Column, kind: T.DataType) -> tuple[Column, Callable[[Column], Column]]:
+    """JSON text with text leaves, and a test whether such a parsed value holds all that the text says.
+
+    A struct that is read in part carries the broken text in an extra field.
+    """
+    if isinstance(kind, T.StructType):
+        shape = T.StructType([*_texts_only(kind).fields, T.StructField(BROKEN, T.StringType())])
+        parsed = F.from_json(c, shape, {"columnNameOfCorruptRecord": BROKEN})
+        return parsed, lambda v: v.isNotNull() & v[BROKEN].isNull()
+    if isinstance(kind, T.ArrayType) and kind.containsNull:
+        single = F.when(c.rlike(r"^\s*\{"), F.concat(F.lit("["), c, F.lit("]"))).otherwise(F.to_json(F.array(c)))
+        c = F.when(c.rlike(r"^\s*\["), c).otherwise(single)
+    return F.from_json(c, _texts_only(kind)), lambda v: v.isNotNull()
+
+
+def loses(c: Column, source: T.DataType, kind: T.DataType) -> Column:
+    """Whether a part of ``c`` that is not null, at any depth, becomes null as ``kind``; never null itself."""
+    if isinstance(kind, (T.StructType, T.ArrayType, T.MapType)):
+        if isinstance(source, T.StringType):
+            parsed, whole = _parse(c, kind)
+            shape = _texts_only(kind)
+            return c.isNotNull() & F.coalesce(once(parsed, lambda v: ~whole(v) | loses(v, shape, kind)), F.lit(True))
+        if isinstance(kind, T.ArrayType):
+            if not isinstance(source, T.ArrayType):
+                return loses(c, source, kind.elementType)
+            return F.coalesce(F.exists(c, lambda v: loses(v, source.elementType, kind.elementType)), F.lit(False))
+        if isinstance(kind, T.MapType) and isinstance(source, T.MapType):
+            keys = F.exists(F.map_keys(c), lambda v: loses(v, source.keyType, kind.keyType))
+            values = F.exists(F.map_values(c), lambda v: loses(v, source.valueType, kind.valueType))
+            return F.coalesce(keys | values, F.lit(False))
+        if isinstance(kind, T.StructType) and isinstance(source, T.StructType):
+            parts = [loses(c[f.name], source[f.name].dataType, f.dataType) for f in kind.fields if f.name in source.names]
+            return F.coalesce(reduce(Column.__or__, parts, F.lit(False)), F.lit(False))
+        return c.isNotNull()
+    if isinstance(source, (T.StructType, T.ArrayType, T.MapType)):
+        return F.lit(False) if isinstance(kind, T.StringType) else c.isNotNull()
+    return c.isNotNull() & _scalar(c, source, kind).isNull()
+
+
 def coerce_value(c: Column, source: T.DataType, kind: T.DataType, mode: str = "fail") -> Column:
     """``c`` of type ``source`` as ``kind``; a value that does not fit fails or becomes null, by ``mode``."""
     if isinstance(kind, (T.StructType, T.ArrayType, T.MapType)):
         if isinstance(source, T.StringType):
-            wrapped = c
-            if isinstance(kind, T.ArrayType) and kind.containsNull:
-                single = F.when(c.rlike(r"^\s*\{"), F.concat(F.lit("["), c, F.lit("]"))).otherwise(F.to_json(F.array(c)))
-                wrapped = F.when(c.rlike(r"^\s*\["), c).otherwise(single)
-            if isinstance(kind, T.StructType) and mode == "fail":
-                empty = F.raise_error(F.lit("an empty object is no struct; use null")).cast("string")
-                wrapped = F.when(c.rlike(r"^\s*\{\s*\}\s*$"), empty).otherwise(c)
             shape = _texts_only(kind)
-            return once(F.from_json(wrapped, shape), lambda v: coerce_value(v, shape, kind, mode))
+            parsed, whole = _parse(c, kind)
+            if mode != "fail":
+                return once(parsed, lambda v: coerce_value(v, shape, kind, mode))
+            if isinstance(kind, T.StructType):
+                empty = F.raise_error(F.lit("an empty object is no struct; use null")).cast("string")
+                parsed, whole = _parse(F.when(c.rlike(r"^\s*\{\s*\}\s*$"), empty).otherwise(c), kind)
+            problem = F.raise_error(F.concat(F.lit("no JSON of the expected shape: "), c)).cast(kind)
+            return once(
+                parsed, lambda v: F.when(c.isNotNull() & ~whole(v), problem).otherwise(coerce_value(v, shape, kind, mode))
+            )
         if isinstance(kind, T.ArrayType):
             if not isinstance(source, T.ArrayType):
                 if not kind.containsNull:
@@ -150,7 +195,8 @@ def coerce_value(c: Column, source: T.DataType, kind: T.DataType, mode: str = "f
 def coerce(df: DataFrame, schema: T.StructType, mode: str = "fail") -> DataFrame:
     """Records coerced to ``schema``.
 
-    ``fail`` stops at the first value that does not fit; ``permissive`` nulls it and lists the field in ``_errors``.
+    ``fail`` stops at the first value that does not fit, broken JSON included; ``permissive`` nulls it and lists the
+    column in ``_errors``, wherever in the column the value was.
     """
     columns, errors = [], []
     for field in schema.fields:
@@ -161,9 +207,9 @@ def coerce(df: DataFrame, schema: T.StructType, mode: str = "fail") -> DataFrame
             continue
         source = F.col(f"`{field.name}`")
         value = coerce_value(source, df.schema[field.name].dataType, field.dataType, mode)
-        bad = source.isNotNull() & value.isNull()
+        bad = loses(source, df.schema[field.name].dataType, field.dataType) if mode == "permissive" else F.lit(False)
         if not field.nullable:
-            bad = value.isNull()
+            bad = bad | value.isNull()
             if mode == "fail":
                 missing = F.raise_error(F.lit(f"required field {field.name} is missing")).cast(field.dataType)
                 value = F.when(source.isNull(), missing).otherwise(value)

@@ -2,7 +2,9 @@
 
 A target folder holds ``delta/batch=<n>`` for every micro-batch and, after compaction, ``v=<n>``: everything up to
 batch n in one table. Writing costs what the batch costs, not what the table costs. A batch that is retried overwrites
-its own folder, and readers only see folders with a success marker, so every batch counts exactly once.
+its own folder, and readers only see folders with a success marker, so every batch counts exactly once. A checkpoint
+counts its batches from the first number that was free in the target when it began, so a new checkpoint continues the
+log. One stream at a time may write a target.
 """
 
 from __future__ import annotations
@@ -37,14 +39,28 @@ def read_log(spark: SparkSession, target: str) -> DataFrame:
     return spark.read.parquet(*paths)
 
 
+def _first_number(spark: SparkSession, target: str, checkpoint: str) -> int:
+    """The number of a checkpoint's first batch in the target, kept beside the checkpoint's own files."""
+    fs, path = _hadoop(spark, checkpoint)
+    kept = path(f"{checkpoint}/first_numbers")
+    if fs.exists(kept):
+        return int(next(s.getPath().getName() for s in fs.listStatus(kept)))
+    taken = [*_batches(spark, target), current_version(spark, target)]
+    first = max((n + 1 for n in taken if n is not None), default=0)
+    fs.mkdirs(path(f"{checkpoint}/first_numbers/{first}"))
+    return first
+
+
 def _marked(feed: DataFrame, deletes: DataFrame | None) -> DataFrame:
     rows = feed.withColumn(DELETED, F.lit(False))
     return rows if deletes is None else rows.unionByName(deletes.withColumn(DELETED, F.lit(True)), allowMissingColumns=True)
 
 
 def _log_stream(rows: DataFrame, target: str, checkpoint: str, reduce_batch) -> StreamingQuery:
+    first = _first_number(rows.sparkSession, target, checkpoint)
+
     def save(batch: DataFrame, number: int) -> None:
-        reduce_batch(batch).write.mode("overwrite").parquet(f"{target}/delta/batch={number}")
+        reduce_batch(batch).write.mode("overwrite").parquet(f"{target}/delta/batch={first + number}")
 
     writer = rows.writeStream.foreachBatch(save).option("checkpointLocation", checkpoint)
     return writer.trigger(availableNow=True).start()
@@ -133,9 +149,10 @@ def stream_watermarks(
 
     Batch n always starts from the state before n, so a retry delivers the same rows again.
     """
+    first = _first_number(feed.sparkSession, state, checkpoint)
 
     def save(batch: DataFrame, number: int) -> None:
-        spark = batch.sparkSession
+        spark, number = batch.sparkSession, first + number
         before = spark.read.parquet(f"{state}/v={number - 1}") if number > 0 else None
         fresh, after = slice_per_key(batch, key, cursor, before)
         fresh.write.mode("overwrite").parquet(f"{out}/delta/batch={number}")

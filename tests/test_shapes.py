@@ -74,6 +74,22 @@ def test_coerce_nested_json(spark):
         V.coerce(empty, schema).collect()
 
 
+def test_broken_json_is_an_error(spark):
+    schema = ddl("s struct<a: int, b: array<double>>, m map<string, int>")
+    texts = ['{"a": 1, "b": [2]}', '{"a": 1', "no json", '{"a": "x"}', '{"a": 1, "b": {"c": 1}}', None]
+    df = spark.createDataFrame([(t, '{"k": 1}') for t in texts], "s string, m string")
+    found = V.coerce(df, schema, "permissive").collect()
+    assert [r[V.ERRORS] for r in found] == [[], ["s"], ["s"], ["s"], ["s"], []]
+    assert found[0]["s"].asDict() == {"a": 1, "b": [2.0]} and found[5]["s"] is None and found[0]["m"] == {"k": 1}
+    good = spark.createDataFrame([(texts[0], None)], "s string, m string")
+    assert V.coerce(good, schema).first()["s"].asDict() == {"a": 1, "b": [2.0]}
+    for broken in texts[1:5]:
+        with pytest.raises(Exception, match="no JSON of the expected shape|cannot convert"):
+            V.coerce(spark.createDataFrame([(broken,)], "s string"), ddl("s struct<a: int, b: array<double>>")).collect()
+    bad = spark.createDataFrame([("[1, x", '{"k": "y"}')], "l string, m string")
+    assert V.coerce(bad, ddl("l array<int>, m map<string, int>"), "permissive").first()[V.ERRORS] == ["l", "m"]
+
+
 def test_predicates_and_nulls(spark, rows):
     df = spark.createDataFrame([(1, "a"), (2, None), (3, "c")], "n int, s string")
     assert rows(P.apply_predicates(df, [("s", "ne", "a")])) == [(2, None), (3, "c")]

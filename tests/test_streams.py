@@ -45,6 +45,28 @@ def test_scd1_stream_equals_batch(spark, rows, files, tmp_path):
     assert rows(Z.read_scd1(spark, out, ["k"], "seq").select("k", "seq", "v")) == want
 
 
+@pytest.mark.parametrize("compacted", [False, True])
+def test_new_checkpoint_continues_the_log(spark, rows, files, tmp_path, compacted):
+    out, more = str(tmp_path / "t"), str(tmp_path / "more")
+    Z.run_to_end(Z.stream_scd1(stream(spark, files), out, ["k"], "seq", out + "-log"), 120)
+    if compacted:
+        Z.compact(spark, out, ["k"], "seq")
+    spark.createDataFrame([("d", 1, "new"), ("a", 9, "newer")], SCHEMA).write.parquet(more)
+    want = rows(C.scd1(spark.read.parquet(files, more), ["k"], "seq"))
+    for _ in range(2):
+        Z.run_to_end(Z.stream_scd1(stream(spark, more), out, ["k"], "seq", out + "-log2"), 120)
+        assert rows(Z.read_scd1(spark, out, ["k"], "seq").select("k", "seq", "v")) == want
+
+
+def test_new_checkpoint_keeps_watermarks(spark, rows, files, tmp_path):
+    out = str(tmp_path / "w")
+    for log in ("-log", "-log2"):
+        Z.run_to_end(Z.stream_watermarks(stream(spark, files), out, out + "-state", "k", "seq", out + log), 120)
+    assert rows(sinks.read_target(spark, out + "-state")) == [("a", 3), ("b", 1), ("c", 2)]
+    newest = max(Z._batches(spark, out))
+    assert newest >= 3 and spark.read.parquet(f"{out}/delta/batch={newest}").count() == 0
+
+
 def test_scd2_stream_equals_batch(spark, rows, files, tmp_path):
     want = rows(C.scd2(spark.read.parquet(files), ["k"], "seq"))
     out = str(tmp_path / "t")

@@ -18,10 +18,22 @@ def _folder(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+FILES = 3
+
+
+def file_stream(spark: SparkSession, rows: DataFrame, name: str) -> DataFrame:
+    """Rows written as several files in no order of time, read as a stream of one file per micro-batch.
+
+    So every batch but the first brings rows older than some that were there before.
+    """
+    folder = _folder(spark, name)
+    rows.repartition(FILES, "event_id").write.parquet(folder)
+    return readers.read_stream(spark, folder, rows.schema, max_files=1)
+
+
 def events_stream(spark: SparkSession, d: str) -> DataFrame:
-    """The events table as a stream."""
-    schema = table(spark, d, "events").schema
-    return readers.read_stream(spark, d, schema, max_files=1, pathGlobFilter="events.parquet")
+    """The events table as a stream of several micro-batches."""
+    return file_stream(spark, table(spark, d, "events"), "events")
 
 
 EVENTS = "SELECT event_id, ts, user_id, event_type, value FROM events"
@@ -37,7 +49,7 @@ def _(spark: SparkSession, d: str) -> DataFrame:
 
 @query(
     "stream_scd1_deletes",
-    "O-166", "O-170",
+    "O-166",
     sql="""
 SELECT user_id, ts, event_type, value FROM events
 QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC) = 1 AND event_type <> 'error'
@@ -53,6 +65,18 @@ def _(spark: SparkSession, d: str) -> DataFrame:
     return Z.read_scd1(spark, out, ["user_id"], "ts").select("user_id", "ts", "event_type", "value")
 
 
+@query("stream_overlapping_slices", "O-170", "O-18", "O-166", sql="SELECT event_id, ts, user_id, event_type, value FROM events")
+def _(spark: SparkSession, d: str) -> DataFrame:
+    """Each read reaches two days back behind the one before; the merge takes every row once."""
+    out, folder = _folder(spark, "slices"), _folder(spark, "slices-in")
+    rows, day = table(spark, d, "events").select(*COLUMNS), F.dayofmonth("ts")
+    for first, end in ((1, 11), (11, 21), (21, 32)):
+        rows.filter((day >= first - 2) & (day < end)).coalesce(1).write.mode("append").parquet(folder)
+    feed = readers.read_stream(spark, folder, rows.schema, max_files=1)
+    Z.run_to_end(Z.stream_scd1(feed, out, ["event_id"], "ts", out + "-log"))
+    return Z.read_scd1(spark, out, ["event_id"], "ts").select(*COLUMNS)
+
+
 @query(
     "stream_scd2",
     "O-167",

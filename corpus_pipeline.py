@@ -7,6 +7,7 @@ reread rows to the next stage. All stages but the last return the columns of ``d
 from __future__ import annotations
 
 import uuid
+from math import gcd
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,6 +19,9 @@ from feedweir.session import checkpoint_dir, configure
 
 # A document stays if its language is known and no less likely than this; with four languages 0.25 is no knowledge.
 LEAST_SCORE = 0.3
+# Slots of the mix that are packed together: its shortest stretch with every source's exact share, some 1.5 million
+# characters.
+MIX_RANGE = sum(MIX_WEIGHTS.values()) // gcd(*MIX_WEIGHTS.values())
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -38,17 +42,28 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return out.withColumn("n_chars", F.coalesce(F.char_length("text").cast("long"), "n_chars")).select(*docs.columns)
 
 
+def _mixed(docs: DataFrame) -> DataFrame:
+    """``docs`` (doc_id, source, content, chars) with their places in the mix, the same whenever it is made."""
+    return mixing.mix(docs, MIX_WEIGHTS, F.col("chars"), MIX_BLOCK, key=("doc_id", "content"))
+
+
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, in files that hold them in the order of the mix."""
-    mixed = mixing.mix(docs, MIX_WEIGHTS, F.char_length("text"), MIX_BLOCK)
+    mixed = _mixed(docs.withColumns({"content": F.xxhash64("text"), "chars": F.char_length("text")}))
     files = int(spark.conf.get("spark.sql.shuffle.partitions"))
     return mixing.in_order(mixed, files).select(*docs.columns)
 
 
 def sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Where the pieces of every document lie in the packed sequences."""
-    counted = docs.select("doc_id", "lang", "source", F.size(words(F.col("text"))).alias("tokens"))
-    return packing.pack(counted, F.col("tokens"))
+    """Where the pieces of every document lie in the packed sequences, which are numbered in the order of the mix.
+
+    Rows read again have no order, so the places in the mix are made again; every ``MIX_RANGE`` slots are packed alone.
+    """
+    tokens = F.size(words(F.col("text"))).alias("tokens")
+    content = [F.xxhash64("text").alias("content"), F.char_length("text").alias("chars")]
+    counted = _mixed(docs.select("doc_id", "lang", "source", tokens, *content))
+    packed = packing.pack(counted, F.col("tokens"), within=F.floor(F.col("slot") / MIX_RANGE))
+    return packed.drop("content", "chars", "block", "slot", "at")
 
 
 STAGES = [

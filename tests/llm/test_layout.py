@@ -154,3 +154,78 @@ def test_pipeline(spark, tmp_path, sample):
 def test_pipeline_of_nothing(spark, tmp_path, sample):
     sample.limit(0).write.parquet(str(tmp_path / "documents.parquet"))
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+
+
+def test_pack_within_ranges(docs):
+    """Every range is packed as if it were alone, and its bins come after those of the ranges before it."""
+    rows = [(i, "w " * (i * 13 % 45)) for i in range(200)] + [(500, "w " * 333), (501, None), (None, "w")]
+    df = docs(rows).withColumn("tokens", F.size(F.array_remove(F.split(F.coalesce("text", F.lit("")), " "), "")))
+    df = df.withColumns({"g": F.col("doc_id") % 5 * 1000, "_range": F.lit("x")})
+    out = packing.pack(df, F.col("tokens"), SIZES, within=F.col("g")).collect()
+    assert all(r["_range"] == "x" for r in out)
+    tokens, bins = Counter(), defaultdict(list)
+    for r in out:
+        tokens[r["doc_id"]] += r["length"]
+        if r["length"]:
+            bins[r["bin_id"]].append(r)
+    assert tokens == Counter({d: len((t or "").split()) for d, t in rows}) and sorted(bins) == list(range(len(bins)))
+    for b, inside in bins.items():
+        inside.sort(key=lambda r: r["offset"])
+        ends = list(itertools.accumulate(r["length"] for r in inside))
+        assert [r["offset"] for r in inside] == [0, *ends[:-1]]
+        assert {r["bin_size"] for r in inside} == {next(s for s in SIZES if s >= ends[-1])}
+    owners = [{r["g"] or 0 for r in bins[b]} for b in sorted(bins)]
+    assert all(len(x) == 1 for x in owners)
+    order = [x.pop() for x in owners]
+    assert order == sorted(order)
+    for g, count in Counter(order).items():
+        lengths = Counter(r["length"] for r in out if (r["g"] or 0) == g and r["length"])
+        assert count == sum(b.count for b in packing.best_plan(lengths, SIZES).bins)
+
+
+def test_bins_follow_the_mix(spark, docs, tmp_path, monkeypatch):
+    """Source shares of every prefix of bins, and the bins of ``run`` against a plain mix of the documents."""
+    weights, block, span = {"a": 3, "b": 1, None: 1}, 200, 5
+    monkeypatch.setattr(corpus_pipeline, "MIX_WEIGHTS", weights)
+    monkeypatch.setattr(corpus_pipeline, "MIX_BLOCK", block)
+    monkeypatch.setattr(corpus_pipeline, "MIX_RANGE", span)
+    keep = [s for s in corpus_pipeline.STAGES if s[0] in ("mixture", "packing")]
+    monkeypatch.setattr(corpus_pipeline, "STAGES", keep)
+    # a third of the rows each, so that the mix is far from the table; "c" documents are the longest
+    rows = [(i, "w " * (5 + i % 7 + 20 * (i % 3 == 2)), "en", "abc"[i % 3], 1) for i in range(900)]
+    df = docs(rows)
+    df.write.parquet(str(tmp_path / "documents.parquet"))
+    out = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    assert Counter({r["doc_id"]: r["length"] for r in out}) == Counter({d: len(t.split()) for d, t, *_ in rows})
+
+    hashes = {r[0]: r[1] for r in df.select("doc_id", F.xxhash64("doc_id", F.xxhash64("text"))).collect()}
+    blocks = {}
+    for k, source in enumerate("abc"):
+        at, mine = 0, sorted((r for r in rows if r[3] == source), key=lambda r: hashes[r[0]])
+        for d, t, *_ in mine:
+            blocks[d] = (k, at // block)
+            at += len(t)
+    last = Counter()
+    for k, j in blocks.values():
+        last[k] = max(last[k], j + 1)
+    slot = {}
+    for s in mixing.schedule({0: 3, 1: 1, 2: 1}, dict(last)):
+        for j in range(s.first, s.end):
+            turn, i = divmod(j - s.first, len(s.slots))
+            slot[s.source, j] = s.start + turn * s.period + s.slots[i]
+    bins = defaultdict(set)
+    for r in out:
+        bins[r["bin_id"]].add(slot[blocks[r["doc_id"]]] // span)
+    assert all(len(x) == 1 for x in bins.values())
+    order = [bins[b].pop() for b in sorted(bins)]
+    assert order == sorted(order) and len(set(order)) > 5
+
+    # until the first source runs out, a prefix is off by the blocks of one range and the documents across its edge
+    chars, got, until = {d: len(t) for d, t, *_ in rows}, Counter(), min(max(s for (k, _), s in slot.items() if k == x) for x in range(3))
+    for r in sorted(out, key=lambda r: r["bin_id"]):
+        if slot[blocks[r["doc_id"]]] // span >= until // span:
+            break
+        got[r["source"]] += chars[r["doc_id"]]
+        for source, w in (("a", 3), ("b", 1), ("c", 1)):
+            assert abs(got[source] - sum(got.values()) * w / 5) <= span * block + 100
+    assert got["a"] > 2000

@@ -19,6 +19,8 @@ from feedweir.session import checkpoint_dir, configure
 
 # A document stays if its language is known and no less likely than this; with four languages 0.25 is no knowledge.
 LEAST_SCORE = 0.3
+# Words of a shingle of the near-duplicate stage; the op7 query has two.
+SHINGLE = 5
 # Slots of the mix that are packed together: its shortest stretch with every source's exact share, some 1.5 million
 # characters.
 MIX_RANGE = sum(MIX_WEIGHTS.values()) // gcd(*MIX_WEIGHTS.values())
@@ -32,8 +34,8 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The smallest doc_id of every group of near duplicates."""
-    return sketches.keep_one(docs)
+    """The smallest doc_id of every group of near duplicates: texts alike in four fifths of their five-word shingles."""
+    return sketches.keep_one(docs, SHINGLE)
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -39,17 +39,19 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> _U(31))
 
 
-def shingle_set(text: str | None) -> np.ndarray:
-    """Sorted 64-bit hashes of the different two-word shingles of a text; of the whole sequence if it is one word."""
+def shingle_set(text: str | None, width: int = 2) -> np.ndarray:
+    """Sorted 64-bit hashes of the different shingles of ``width`` words; of the whole sequence if it is shorter."""
     if not text:
         return np.empty(0, _U)
     ws = text.encode().lower().split()
     if not ws:
         return np.empty(0, _U)
     h = np.fromiter((xxhash.xxh3_64_intdigest(w) for w in ws), _U, len(ws))
-    if len(ws) == 1:
-        return _mix(h + _U(1))
-    return np.unique(_mix(h[:-1] ^ _mix(h[1:] + _U(0x9E3779B97F4A7C15))))
+    long = min(width, len(ws))
+    out = h[long - 1 :]
+    for i in range(long - 2, -1, -1):
+        out = _mix(h[i : i + len(out)] ^ _mix(out + _U(0x9E3779B97F4A7C15)))
+    return np.unique(out if len(ws) >= width > 1 else _mix(out + _U(1)))
 
 
 _ROUND = _mix(np.arange(1, 2 * SIZE + 1, dtype=_U) * _U(0x9E3779B97F4A7C15))
@@ -91,12 +93,12 @@ def bits(coordinates: np.ndarray) -> np.ndarray:
 _SKETCHES = "doc_id long, n_shingles long, digest binary, bands array<long>, bits array<long>"
 
 
-def _sketches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _sketches(batches: Iterator[pd.DataFrame], width: int) -> Iterator[pd.DataFrame]:
     for batch in batches:
         rows = []
         for doc, text in zip(batch["doc_id"], batch["text"], strict=True):
             doc = None if pd.isna(doc) else int(doc)
-            items = shingle_set(text)
+            items = shingle_set(text, width)
             if len(items):
                 s = sketch(items)
                 digest = xxhash.xxh3_128_digest(items.tobytes())
@@ -107,14 +109,14 @@ def _sketches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield frame.astype({"doc_id": "Int64"})
 
 
-def _overlaps(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _overlaps(batches: Iterator[pd.DataFrame], width: int) -> Iterator[pd.DataFrame]:
     for batch in batches:
         keep = []
         centre, centre_set = None, None
         for a, b in zip(batch["ta"], batch["tb"], strict=True):
             if b is not centre and b != centre:
-                centre, centre_set = b, shingle_set(b)
-            mine = shingle_set(a)
+                centre, centre_set = b, shingle_set(b, width)
+            mine = shingle_set(a, width)
             both = len(np.intersect1d(mine, centre_set, assume_unique=True))
             keep.append(100 * both >= 80 * (len(mine) + len(centre_set) - both))
         yield batch.loc[keep, ["a", "b"]]
@@ -125,11 +127,11 @@ def _equal_bits(x: Column, y: Column) -> Column:
     return F.lit(SIZE) - sum(differ[1:], differ[0])
 
 
-def _confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+def _confirmed(pairs: DataFrame, texts: DataFrame, width: int) -> DataFrame:
     """Pairs (a, b) of classes that are linked by their full sets."""
     left = texts.select(F.col("rep").alias("a"), F.col("text").alias("ta"))
     right = texts.select(F.col("rep").alias("b"), F.col("text").alias("tb"))
-    return pairs.join(left, "a").join(right, "b").mapInPandas(_overlaps, "a long, b long")
+    return pairs.join(left, "a").join(right, "b").mapInPandas(lambda x: _overlaps(x, width), "a long, b long")
 
 
 def _apart(members: DataFrame, parts: DataFrame) -> DataFrame:
@@ -144,10 +146,10 @@ def _apart(members: DataFrame, parts: DataFrame) -> DataFrame:
     return settle(placed.join(split.where("stars > 1").select("band", F.col("m.star").alias("main")), "band"))
 
 
-def _shingle_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _shingle_rows(batches: Iterator[pd.DataFrame], width: int) -> Iterator[pd.DataFrame]:
     for batch in batches:
         for rep, text in zip(batch["rep"], batch["text"], strict=True):
-            items = shingle_set(text).view(np.int64)
+            items = shingle_set(text, width).view(np.int64)
             yield pd.DataFrame({"rep": np.full(len(items), rep), "n": np.full(len(items), len(items)), "item": items})
 
 
@@ -158,9 +160,9 @@ def marks(items: np.ndarray) -> np.ndarray:
     return np.packbits(out).view(np.int64)
 
 
-def _marks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _marks(batches: Iterator[pd.DataFrame], width: int) -> Iterator[pd.DataFrame]:
     for batch in batches:
-        yield pd.DataFrame({"rep": batch["rep"], "marks": [marks(shingle_set(text)) for text in batch["text"]]})
+        yield pd.DataFrame({"rep": batch["rep"], "marks": [marks(shingle_set(text, width)) for text in batch["text"]]})
 
 
 def _only_left(x: Column, y: Column) -> Column:
@@ -171,7 +173,7 @@ def _only_left(x: Column, y: Column) -> Column:
     return sum(lacking[1:], lacking[0])
 
 
-def _linkable(loose: DataFrame, texts: DataFrame) -> DataFrame:
+def _linkable(loose: DataFrame, texts: DataFrame, width: int) -> DataFrame:
     """Rows (rep, n, shared, marks) of the classes that may still have a link: set size, how much of it others hold
     too, and the set's marks.
 
@@ -179,7 +181,7 @@ def _linkable(loose: DataFrame, texts: DataFrame) -> DataFrame:
     class that is left has none, and without it more shingles are alone; a second pass looks again.
     """
     left = texts.join(loose.select("rep").distinct(), "rep", "left_semi")
-    items = settle(left.mapInPandas(_shingle_rows, "rep long, n long, item long"))
+    items = settle(left.mapInPandas(lambda x: _shingle_rows(x, width), "rep long, n long, item long"))
     sizes = items.select("rep", "n").distinct()
     out = None
     for _ in range(2):
@@ -188,14 +190,14 @@ def _linkable(loose: DataFrame, texts: DataFrame) -> DataFrame:
         alone = alone.groupBy("rep").agg(F.count("*").alias("alone"))
         out = sizes.join(alone, "rep", "left").selectExpr("rep", "n", "n - coalesce(alone, 0) as shared")
         out = settle(out.where("100 * shared >= 80 * n"))
-    return out.join(left.mapInPandas(_marks, "rep long, marks array<long>"), "rep")
+    return out.join(left.mapInPandas(lambda x: _marks(x, width), "rep long, marks array<long>"), "rep")
 
 
-def link(df: DataFrame) -> DataFrame:
+def link(df: DataFrame, width: int = 2) -> DataFrame:
     """Near-duplicate groups of ``df`` (doc_id long, text): rows (doc_id, n_shingles, component_id, kept), one per row.
 
-    Documents whose sets of two-word shingles have 100 x intersection >= 80 x union are linked; a component is all that
-    links reach. Texts with equal sets are one class, joined to its smallest doc_id without pairs. Every class is
+    Documents whose sets of shingles of ``width`` words have 100 x intersection >= 80 x union are linked; a component
+    is all that links reach. Texts with equal sets are one class, joined to its smallest doc_id without pairs. Every class is
     compared with the smallest class of a bucket that it shares most bands with; classes that a bucket still holds in
     different components afterwards are all compared with each other by sketch bits, by the parts of their sets that no
     other class holds, and by marks that bound the intersection of two sets from above; what these rule out is no
@@ -206,7 +208,7 @@ def link(df: DataFrame) -> DataFrame:
     table; other columns are ignored.
     """
     docs = df.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    rows = settle(docs.mapInPandas(_sketches, _SKETCHES))
+    rows = settle(docs.mapInPandas(lambda x: _sketches(x, width), _SKETCHES))
     known = rows.where("doc_id is not null and n_shingles > 0")
     first = known.groupBy("digest").agg(F.min(F.struct("doc_id", "bands", "bits")).alias("m"))
     classes = settle(first.select("digest", F.col("m.doc_id").alias("rep"), "m.bands", "m.bits"))
@@ -227,12 +229,12 @@ def link(df: DataFrame) -> DataFrame:
     wanted = members.select("rep").distinct()
     texts = docs.join(wanted, docs["doc_id"] == wanted["rep"], "left_semi")
     texts = settle(texts.groupBy(F.col("doc_id").alias("rep")).agg(F.min("text").alias("text")))
-    links = settle(_confirmed(pairs, texts))
+    links = settle(_confirmed(pairs, texts, width))
 
     # What the stars have not joined: every pair of a bucket's classes that are still in different components, if its
     # sketch bits and its sets leave room for a link.
     loose = _apart(members.select("band", "rep").join(sketches, "rep"), components(links))
-    loose = settle(loose.join(_linkable(loose, texts), "rep"))
+    loose = settle(loose.join(_linkable(loose, texts, width), "rep"))
     others = loose.where("star <> main").selectExpr("band", "rep as a", "star as sa", "bits as x", "n as na", "shared as pa", "marks as ma")
     everyone = loose.selectExpr("band", "rep as b", "star as sb", "main", "bits as y", "n as nb", "shared as pb", "marks as mb")
 
@@ -244,7 +246,7 @@ def link(df: DataFrame) -> DataFrame:
     met = F.least(F.col("na") - _only_left(F.col("ma"), F.col("mb")), F.col("nb") - _only_left(F.col("mb"), F.col("ma")))
     same = others["band"] == everyone["band"]
     more = others.join(everyone, same & crossing & room(F.least("pa", "pb")) & close & room(met))
-    more = _confirmed(more.select("a", "b").distinct(), texts)
+    more = _confirmed(more.select("a", "b").distinct(), texts, width)
 
     found = components(links.unionByName(more).unionByName(copies))
     out = rows.select("doc_id", "n_shingles")
@@ -253,9 +255,9 @@ def link(df: DataFrame) -> DataFrame:
     return out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
 
 
-def keep_one(df: DataFrame) -> DataFrame:
+def keep_one(df: DataFrame, width: int = 2) -> DataFrame:
     """The rows of ``df`` that ``link`` keeps, one of each group; a row that is there several times stays once."""
-    judged = link(df).where("kept")
+    judged = link(df, width).where("kept")
     ids = judged.where("doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("rows"))
     once = ids.where("rows = 1").select("doc_id")
     often = ids.where("rows > 1").select("doc_id")

@@ -8,6 +8,7 @@ from collections import Counter
 import numpy as np
 import pytest
 
+import corpus_pipeline
 from feedweir.llm import fmindex, sketches, substrings, vectors
 from feedweir.llm.common import components
 
@@ -70,6 +71,36 @@ def test_near_duplicates(docs, sample):
     assert got == brute_groups(rows)
 
 
+def brute_links(rows, width):
+    """Linked pairs by sets of shingles of ``width`` words."""
+    sets = {}
+    for d, t in rows:
+        ws = t.lower().split()
+        sets[d] = {tuple(ws[i : i + width]) for i in range(max(1, len(ws) - width + 1))}
+    return {
+        (a, b) for a, b in itertools.combinations(sorted(sets), 2)
+        if 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])
+    }
+
+
+def test_near_duplicates_of_five_words(spark, docs):
+    """Texts linked by two words and not by five, of which the pipeline's stage keeps both; and short texts."""
+    rng = random.Random(7)
+    rows = []
+    for g in range(30):
+        base = [f"g{g}w{i}" for i in range(200)]
+        rows += [(10 * g + i, " ".join(edited(base, 0.008 * i, rng))) for i in range(5)]
+    rows += [(900, "One two three"), (901, "one TWO three"), (902, "one two"), (903, "one"), (904, "one two three four five")]
+    two, five = brute_links(rows, 2), brute_links(rows, 5)
+    assert five < two and len(two - five) > 10
+    for width, links in ((2, two), (5, five)):
+        label = connected([d for d, _ in rows], links)
+        got = {r["doc_id"]: r["component_id"] for r in sketches.link(docs(rows), width).collect()}
+        assert got == label
+    kept = {r["doc_id"] for r in corpus_pipeline.near_duplicates(spark, docs(rows), "").collect()}
+    assert kept == {d for d, c in label.items() if d == c}
+
+
 def test_near_duplicates_on_odd_tables(docs):
     rows = [(1, None), (2, ""), (3, " \n"), (4, "a b"), (4, "a b"), (None, "a b"), (5, "a b"), (6, "x y " * 50000)]
     out = sketches.link(docs(rows).withColumnRenamed("lang", "rep")).collect()

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from feedweir.operators.changes import END, START, cluster_columns, extend_history, scd1, scd2
@@ -71,19 +71,28 @@ def flow_of(entry: Mapping[str, object], metadata: Mapping[str, object]) -> Flow
     )
 
 
-def undelivered(feed: DataFrame, target: DataFrame, cursor: str | None) -> DataFrame:
-    """Rows of an append feed that the target does not hold: after its newest cursor, or else by whole-row hash.
+def undelivered(feed: DataFrame, target: DataFrame) -> DataFrame:
+    """Rows of an append feed, read whole, that the target does not hold: its multiset difference by whole-row hash.
 
-    Rows without a cursor are compared by hash in either case.
+    Of rows that are equal in the columns both have, as many copies are returned as the target lacks, whenever they
+    come and whatever their cursor is: late rows, rows tied with delivered ones and repeated rows all arrive.
     """
     names = [c for c in feed.columns if c in target.columns]
-    known = target.select(row_hash(target, names).alias("__seen")).distinct()
-    if cursor is not None and cursor in names:
-        reached = target.agg(F.max(cursor).alias("c"))
-        later = feed.filter(F.col(cursor).isNotNull() & F.coalesce(F.col(cursor) > reached.scalar(), F.lit(True)))
-        rest = feed.filter(F.col(cursor).isNull())
-        return later.unionByName(rest.join(known, row_hash(feed, names) == F.col("__seen"), "left_anti"))
-    return feed.join(known, row_hash(feed, names) == F.col("__seen"), "left_anti")
+    have = target.select(row_hash(target, names).alias("__seen")).groupBy("__seen").agg(F.count("*").alias("__have"))
+    hashed = feed.withColumn("__seen", row_hash(feed, names))
+    want = hashed.groupBy("__seen").agg(F.count("*").alias("__want")).join(have, "__seen", "left")
+    want = want.withColumn("__have", F.coalesce("__have", F.lit(0))).where(F.col("__want") > F.col("__have"))
+    lacking = hashed.join(want.drop("__want"), "__seen")
+    fresh = lacking.where(F.col("__have") == 0).select(*feed.columns)
+    # Copies of delivered rows: one row per hash, or per row that differs in columns the target does not have.
+    rows = lacking.where(F.col("__have") > 0).withColumn("__row", row_hash(feed))
+    held = F.first(F.struct(*feed.columns)).alias("__held")
+    rows = rows.groupBy("__seen", "__row").agg(held, F.first("__have").alias("__have"), F.count("*").alias("__n"))
+    upto = F.sum("__n").over(Window.partitionBy("__seen").orderBy("__row"))
+    copies = F.least(F.col("__n"), upto - F.col("__have"))
+    rows = rows.withColumn("__copies", copies).where(F.col("__copies") > 0)
+    rows = rows.select("__held", F.explode(F.sequence(F.lit(1).cast("long"), "__copies")))
+    return fresh.unionByName(rows.select("__held.*"))
 
 
 def apply_flow(
@@ -97,7 +106,7 @@ def apply_flow(
     """The table after this load."""
     if flow.kind == "append":
         if target is not None:
-            feed = undelivered(feed, target, flow.sequence)
+            feed = undelivered(feed, target)
         return feed if target is None else target.unionByName(feed, allowMissingColumns=True)
     if flow.kind == "snapshot":
         if flow.scd_type == "2":

@@ -3,6 +3,9 @@
 A bidirectional window network predicts every token from the two before it and the two after it, without seeing it;
 the sum of the log-probabilities scores a document. The vocabulary is counted over the whole corpus. Every partition
 of the corpus trains a copy of the network, in numpy, on all of its documents; the copies are averaged by a grouping.
+
+The network knows the most frequent words by number and the others by bucket. The counts of all words stay in a table,
+and a word's share of its bucket, joined to the documents' words, makes the probability of a bucket that of a word.
 """
 
 from __future__ import annotations
@@ -13,10 +16,10 @@ import numpy as np
 import pandas as pd
 import xxhash
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from feedweir.llm.common import words
+from feedweir.llm.common import free_name, settle, text_key, words
 
 # Tokens are numbered 0 .. DIGIT * DIGIT - 1: 0 stands outside the text, then the most frequent words, then buckets
 # that all other words are hashed into. A token is predicted as two digits, the second given the first.
@@ -51,7 +54,7 @@ def numbers(text: str | None, vocabulary: dict[bytes, int]) -> np.ndarray:
     buckets = TOKENS - FREQUENT - 1
     known = vocabulary.get
     return np.array(
-        [known(w) or FREQUENT + 1 + xxhash.xxh3_64_intdigest(w) % buckets for w in text.lower().encode().split()],
+        [known(w) or FREQUENT + 1 + xxhash.xxh64_intdigest(w, 42) % buckets for w in text.lower().encode().split()],
         np.int64,
     )
 
@@ -142,9 +145,14 @@ class Trainer:
             p -= _F(rate) * m / (np.sqrt(v) + _F(1e-8))
 
 
-def vocabulary_of(df: DataFrame, text: str = "text") -> dict[bytes, int]:
-    """The most frequent words of all texts, numbered from 1; counted by a grouping over every word."""
-    counts = df.select(F.explode(words(F.lower(text))).alias("w")).groupBy("w").agg(F.count("*").alias("n"))
+def word_counts(df: DataFrame, text: str = "text") -> DataFrame:
+    """Rows (w, n) of all words of all texts, lower-cased, as a written table."""
+    return settle(df.select(F.explode(words(F.lower(text))).alias("w")).groupBy("w").agg(F.count("*").alias("n")))
+
+
+def vocabulary_of(df: DataFrame, text: str = "text", counts: DataFrame | None = None) -> dict[bytes, int]:
+    """The most frequent words of all texts, numbered from 1, by their ``counts``."""
+    counts = word_counts(df, text) if counts is None else counts
     top = counts.orderBy(F.desc("n"), "w").limit(FREQUENT).collect()
     return {r["w"].encode(): i + 1 for i, r in enumerate(top)}
 
@@ -157,7 +165,11 @@ def _common_start(df: DataFrame, vocabulary: dict[bytes, int], text: str) -> lis
     if cut is None:
         return trainer.net
     sample = df.where((F.col(text) != "") & (F.xxhash64(text) <= cut))
-    sample = sample.groupBy(F.xxhash64(text).alias("h")).agg(F.min(F.substring(text, 1, START_CHARS)).alias("t"))
+    # the piece begins at a hashed place, so that ends of texts are met as often as beginnings
+    places = F.greatest(F.char_length(text) - START_CHARS + 1, F.lit(1))
+    begin = (F.pmod(F.xxhash64(text, F.lit("piece")), places) + 1).cast("int")
+    piece = F.substring(F.col(text), begin, F.lit(START_CHARS))
+    sample = sample.groupBy(F.xxhash64(text).alias("h")).agg(F.min(piece).alias("t"))
     row, at = _laid_out([numbers(r["t"], vocabulary) for r in sample.orderBy("h").limit(START_TEXTS).collect()])
     rng = np.random.default_rng(2)
     for _ in range(START_STEPS if len(at) else 0):
@@ -211,13 +223,13 @@ def _mean(parts: pd.DataFrame) -> pd.DataFrame:
     })
 
 
-def fit(df: DataFrame, text: str = "text") -> tuple[list[np.ndarray], dict[bytes, int]]:
+def fit(df: DataFrame, text: str = "text", counts: DataFrame | None = None) -> tuple[list[np.ndarray], dict[bytes, int]]:
     """Network and vocabulary from all texts of ``df``.
 
     The copies of the partitions are averaged in two steps, so that no group holds more than a 256th of them; only the
-    mean, whose size is fixed, comes to the driver. A table without words gives an untrained network.
+    mean, whose size is fixed, comes to the driver. ``counts`` are the ``word_counts`` of ``df``, if known. A table without words gives an untrained network.
     """
-    vocabulary = vocabulary_of(df, text)
+    vocabulary = vocabulary_of(df, text, counts)
     net = _common_start(df, vocabulary, text)
     parts = df.select(text).mapInPandas(_local_training(net, vocabulary, text), _PARTS)
     half = parts.groupBy("chunk", "deal").applyInPandas(_mean, _PARTS)
@@ -254,3 +266,37 @@ def score(df: DataFrame, net: list[np.ndarray], vocabulary: dict[bytes, int], te
     out = out.withColumns({"n_tokens": F.col(name)["n_tokens"], "log_prob": F.col(name)["log_prob"]})
     mean = F.when(F.col("n_tokens") > 0, F.col("log_prob") / F.col("n_tokens"))
     return out.withColumn("score", mean).drop(name)
+
+
+def _bucket(word: Column) -> Column:
+    """The bucket of a word, as ``numbers`` hashes it: Spark's hash is XXH64 with seed 42."""
+    return F.pmod(F.xxhash64(word), F.lit(TOKENS - FREQUENT - 1)).cast("int")
+
+
+def score_words(
+    df: DataFrame, net: list[np.ndarray], vocabulary: dict[bytes, int], counts: DataFrame, text: str = "text"
+) -> DataFrame:
+    """``score`` with the probabilities of words instead of buckets: log_prob and score include every word's share.
+
+    A word that is not in the vocabulary has the share (n + 1) / (N + V + 1) of its bucket, where n is its count, N the
+    sum and V the number of the counted words of the bucket; 1 / (N + V + 1) is left for the words never seen.
+    """
+    frequent = [w.decode() for w in vocabulary]
+    rare = counts.where(~F.col("w").isin(frequent)) if frequent else counts
+    rare = rare.select("w", "n", _bucket(F.col("w")).alias("bucket"))
+    sums = rare.groupBy("bucket").agg((F.sum("n") + F.count("*") + 1).alias("whole"))  # one row per bucket
+
+    key, share = free_name(df, "_key"), free_name(df, "_share")
+    texts = df.where(F.col(text) != "").select(text_key(F.col(text)).alias("key"), words(F.lower(text)).alias("w"))
+    mine = texts.dropDuplicates(["key"]).select("key", F.explode("w").alias("w"))
+    mine = mine.where(~F.col("w").isin(frequent)) if frequent else mine
+    mine = mine.groupBy("key", "w").agg(F.count("*").alias("times"))
+    mine = mine.join(rare.select("w", "n"), "w", "left").withColumn("bucket", _bucket(F.col("w")))
+    mine = mine.join(F.broadcast(sums), "bucket", "left")
+    log = F.log(F.coalesce("n", F.lit(0)) + 1) - F.log(F.coalesce("whole", F.lit(1)))
+    shares = mine.groupBy("key").agg(F.sum(F.col("times") * log).alias(share)).withColumnRenamed("key", key)
+
+    out = score(df, net, vocabulary, text).withColumn(key, text_key(F.col(text))).join(shares, key, "left")
+    out = out.withColumn("log_prob", F.col("log_prob") + F.coalesce(share, F.lit(0.0)))
+    mean = F.when(F.col("n_tokens") > 0, F.col("log_prob") / F.col("n_tokens"))
+    return out.withColumn("score", mean).drop(key, share)

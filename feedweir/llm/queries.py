@@ -41,8 +41,9 @@ def op2_byte_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op3_masked_likelihood(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(configure(spark), sf_dir, "documents").select("doc_id", "text")
-    net, vocabulary = pseudolikelihood.fit(docs)
-    return pseudolikelihood.score(docs, net, vocabulary).select("doc_id", "n_tokens", "log_prob", "score")
+    counts = pseudolikelihood.word_counts(docs)
+    net, vocabulary = pseudolikelihood.fit(docs, counts=counts)
+    return pseudolikelihood.score_words(docs, net, vocabulary, counts).select("doc_id", "n_tokens", "log_prob", "score")
 
 
 def op4_line_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -105,3 +105,36 @@ def test_scores_on_odd_tables(docs):
     assert out[3]["score"] == out[4]["score"] and out[5]["n_tokens"] == 120000 and out[5]["_scored"] == 1
     net, vocabulary = pseudolikelihood.fit(docs([]))
     assert vocabulary == {} and pseudolikelihood.score(docs([]), net, vocabulary).count() == 0
+
+
+def test_scores_tell_words_of_a_bucket_apart(docs, monkeypatch):
+    """Every word's share of its bucket against plain Python; a word never seen scores less than known ones."""
+    monkeypatch.setattr(pseudolikelihood, "START_STEPS", 2)
+    corpus = [(i, " ".join(f"w{j}" for j in range(3000) if i % (j % 7 + 1) == 0)) for i in range(12)]
+    df = docs(corpus)
+    counts = pseudolikelihood.word_counts(df)
+    net, vocabulary = pseudolikelihood.fit(df, counts=counts)
+    known = {r["w"]: r["n"] for r in counts.collect()}
+    buckets = {}
+    for w, n in known.items():
+        if w.encode() not in vocabulary:
+            b = buckets.setdefault(int(pseudolikelihood.numbers(w, vocabulary)[0]), [0, {}])
+            b[0] += n + 1
+            b[1][w] = n
+    word = max(buckets.items(), key=lambda x: len(x[1][1]))[0]
+    junk = next(f"junk{i}" for i in range(10**6) if pseudolikelihood.numbers(f"junk{i}", vocabulary)[0] == word)
+    real = min(buckets[word][1])
+    asked = [*corpus, (100, real), (101, junk), (101, junk), (102, None), (103, f"W1 {junk}  {real} {real}")]
+    plain = pseudolikelihood.score(docs(asked), net, vocabulary).collect()
+    got = pseudolikelihood.score_words(docs(asked), net, vocabulary, counts).collect()
+    assert sorted(str(r["doc_id"]) for r in got) == sorted(str(r[0]) for r in asked)
+    base, result = {r["doc_id"]: r["log_prob"] for r in plain}, {r["doc_id"]: r for r in got}
+    for d, t in asked:
+        expected = base[d]
+        for w in (t or "").lower().split():
+            if w.encode() not in vocabulary:
+                whole, inside = buckets[int(pseudolikelihood.numbers(w, vocabulary)[0])]
+                expected += np.log((inside.get(w, 0) + 1) / (whole + 1))
+        assert abs(result[d]["log_prob"] - expected) < 1e-6 * max(1, abs(expected))
+    assert base[100] == base[101] and result[100]["score"] > result[101]["score"]
+    assert result[102]["score"] is None and result[102]["log_prob"] == 0

@@ -7,8 +7,10 @@ from pyspark.sql import functions as F
 
 from feedweir.llm import (
     langid,
+    linededup,
     lines,
     mixing,
+    negatives,
     packing,
     pseudolikelihood,
     pseudonyms,
@@ -16,6 +18,7 @@ from feedweir.llm import (
     sketches,
     substrings,
     vectors,
+    whitening,
 )
 from feedweir.llm.common import Query, table, words
 from feedweir.session import configure
@@ -88,6 +91,68 @@ def op10_markov_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_qd_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(configure(spark), sf_dir, "embeddings"))
+
+
+def op12_line_bitmaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(configure(spark), sf_dir, "documents").select("doc_id", "text")
+    found = linededup.keep_bitmaps(docs)
+    kept = F.sha2(linededup.kept_text(F.col("text"), F.col("keep")), 256)
+    return found.select("doc_id", "n_lines", "n_dropped", kept.alias("kept_sha256"))
+
+
+OP12_SQL = """
+WITH split AS (
+    SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents
+), line AS (
+    SELECT doc_id, unnest(lines) AS line, generate_subscripts(lines, 1) AS place FROM split
+), keyed AS (
+    SELECT *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
+    FROM line
+), gone AS (
+    SELECT key FROM keyed WHERE length(key) >= 1 GROUP BY key HAVING count(DISTINCT doc_id) >= 10
+)
+SELECT doc_id, count(*) AS n_lines, count(gone.key) AS n_dropped,
+    sha256(coalesce(string_agg(line, chr(10) ORDER BY place) FILTER (WHERE gone.key IS NULL), '')) AS kept_sha256
+FROM keyed LEFT JOIN gone USING (key)
+GROUP BY doc_id
+"""
+
+
+def op13_segment_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(configure(spark), sf_dir, "embeddings")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = whitening.prepared(vectors, 256, 0, moved.alias("label"))
+    return negatives.mine(rows, F.col("vec_id") % 100 == 0)
+
+
+OP13_SQL = """
+WITH rows AS (
+    SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+        [floor(256 * c::DOUBLE) FOR c IN embedding] AS x
+    FROM embeddings
+    WHERE label IS NOT NULL AND embedding IS NOT NULL
+        AND len([c FOR c IN embedding IF c IS NULL OR NOT isfinite(c)]) = 0
+), pairs AS (
+    SELECT a.vec_id AS anchor_id, b.vec_id AS other_id, a.label = b.label AS same,
+        list_inner_product(a.x, b.x)::BIGINT AS score
+    FROM rows a, rows b
+    WHERE a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id
+), positives AS (
+    SELECT anchor_id, other_id AS positive_id, score AS positive_score FROM pairs WHERE same
+    QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other_id) <= 5
+)
+SELECT anchor_id, positive_id, (row_number() OVER best)::INTEGER AS rank, other_id AS negative_id, positive_score,
+    score AS negative_score
+FROM positives JOIN pairs USING (anchor_id)
+WHERE NOT same AND 80 * positive_score <= 100 * score AND score <= positive_score
+WINDOW best AS (PARTITION BY anchor_id, positive_id ORDER BY score DESC, other_id)
+QUALIFY row_number() OVER best <= 5
+"""
+
+
 QUERIES = {
     "op1_best_fit_packing": Query(op1_best_fit_packing),
     "op2_byte_language": Query(op2_byte_language),
@@ -99,4 +164,7 @@ QUERIES = {
     "op8_flat_graph": Query(op8_flat_graph),
     "op9_fm_index": Query(op9_fm_index),
     "op10_markov_secrets": Query(op10_markov_secrets),
+    "op11_qd_whitening": Query(op11_qd_whitening),
+    "op12_line_bitmaps": Query(op12_line_bitmaps, OP12_SQL),
+    "op13_segment_negatives": Query(op13_segment_negatives, OP13_SQL),
 }

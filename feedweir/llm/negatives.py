@@ -81,7 +81,8 @@ class Shard:
             if seeds and level == 0 and len(at) > 4 * seeds:
                 likely = at[np.argpartition(-(middle + spread), 4 * seeds)[: 4 * seeds]]
                 least = max(least, float(np.sort(self.exact(likely, anchor))[-seeds]))
-            keep = (middle + spread >= least) & (middle - spread <= most)
+            # scores stop at the ends of the longs, and so do their bounds
+            keep = (np.maximum(middle + spread, -float(LARGEST)) >= least) & (np.minimum(middle - spread, float(LARGEST)) <= most)
             at = at[keep]
         scores = self.exact(at, anchor)
         keep = (scores >= least) & (scores <= most)

@@ -16,7 +16,7 @@ ROUNDS = 8
 
 # What may be personal data. A pattern starts and ends where no letter or digit of a longer run goes on, and each run
 # is tried once, so a text of any length costs one pass.
-EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)+"
+EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++"
 ADDRESS = r"(?<![\w.])\d{1,3}(?:\.\d{1,3}){3}(?![\w]|\.\d)"
 ISO_DATE = r"(?<![\w-])\d{4}-\d{2}-\d{2}(?![\w]|-\d)"
 DAY_DATE = r"(?<![\w./])\d{1,2}[./]\d{1,2}[./]\d{4}(?![\w]|[./]\d)"

@@ -139,7 +139,7 @@ def test_pipeline(spark, tmp_path, sample):
         now = spark.read.parquet(str(tmp_path / name))
     gone = before["language_id"].select("doc_id").subtract(before["near_duplicates"].select("doc_id"))
     assert {r[0] for r in gone.collect()} == {900, 901}
-    kept = sketches.link(before["near_duplicates"]).where("kept").select("doc_id")
+    kept = sketches.link(before["near_duplicates"], corpus_pipeline.SHINGLE).where("kept").select("doc_id")
     assert sorted(kept.collect()) == sorted(before["personal_data"].select("doc_id").collect())
     texts = {r["doc_id"]: r for r in before["mixture"].collect()}
     assert "Ann.Lee99" not in texts[902]["text"] and all(r["n_chars"] == len(r["text"]) for r in texts.values())

@@ -106,6 +106,15 @@ def test_pseudonyms_keep_formats(docs):
     assert out[7].endswith(".com!") and "Ann.Lee99" not in out[7] and "+1 (319) 555-5132" not in out[8]
 
 
+@pytest.mark.parametrize("labels", [2_000, 50_000])
+def test_addresses_of_any_length(docs, labels):
+    """Patterns neither recurse nor backtrack per character, whatever is repeated."""
+    long = ["x@" + "ab." * labels + "com", "1 " * labels, "+1 " * labels, "1." * labels, "1/2/" * labels, "a.b@" * labels, "x@" * labels]
+    out = pseudonyms_of(docs, long)
+    assert len(out[0]) == len(long[0]) and out[0].endswith(".com") and out[0] != long[0]
+    assert out[5] == long[5] and out[6] == long[6]
+
+
 def test_permutations_are_bijections(spark):
     n = 17 * 4297
     days = spark.range(n).select(pseudonyms.permute_pair(F.col("id"), (17, 4297), "k", "date").alias("p"))

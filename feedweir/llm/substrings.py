@@ -26,6 +26,8 @@ RUN = 8
 # Words of a shard, and different segments of one minimizer above which its windows are dealt out by their own hash.
 SHARD_WORDS = 200_000
 HOT_SEGMENTS = 2000
+# Segments, and words of documents, that a task makes before it hands them on.
+OUT_ROWS, OUT_WORDS = 4096, 500_000
 
 _U = np.uint64
 
@@ -61,20 +63,25 @@ _DOCS = "doc_id long, ka long, kb long, n_words long, whole string, starts array
 
 
 def _documents(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    columns = ["doc_id", "ka", "kb", "n_words", "whole", "starts", "keys"]
     for batch in batches:
-        rows = []
+        rows, words = [], 0
         for doc, ka, kb, text in zip(batch["doc_id"], batch["ka"], batch["kb"], batch["text"], strict=True):
             ws = text.encode().split() if text else []
             starts, keys = minimizers(ws)
             rows.append((None if pd.isna(doc) else int(doc), ka, kb, len(ws), _digest(ws), starts, keys))
-        frame = pd.DataFrame(rows, columns=["doc_id", "ka", "kb", "n_words", "whole", "starts", "keys"])
-        yield frame.astype({"doc_id": "Int64"})
+            words += len(ws)
+            if words >= OUT_WORDS:
+                yield pd.DataFrame(rows, columns=columns).astype({"doc_id": "Int64"})
+                rows, words = [], 0
+        yield pd.DataFrame(rows, columns=columns).astype({"doc_id": "Int64"})
 
 
 _SEGMENTS = "ka long, kb long, start int, key long, sa long, sb long, segment string"
 
 
 def _segments(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    columns = ["ka", "kb", "start", "key", "sa", "sb", "segment"]
     for batch in batches:
         rows = []
         for ka, kb, text, refs in zip(batch["ka"], batch["kb"], batch["text"], batch["refs"], strict=True):
@@ -83,7 +90,11 @@ def _segments(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 segment = b" ".join(ws[ref["start"] : ref["end"] + WINDOW - 1])
                 sa, sb = np.frombuffer(xxhash.xxh3_128_digest(segment), np.int64)
                 rows.append((ka, kb, ref["start"], ref["key"], sa, sb, segment.decode()))
-        yield pd.DataFrame(rows, columns=["ka", "kb", "start", "key", "sa", "sb", "segment"])
+                # a batch of texts has many times its rows in segments: never all of them at once
+                if len(rows) >= OUT_ROWS:
+                    yield pd.DataFrame(rows, columns=columns)
+                    rows = []
+        yield pd.DataFrame(rows, columns=columns)
 
 
 _FOUND = "sa long, sb long, hits array<int>"

@@ -1,21 +1,31 @@
-"""From a plain specification to tables: which operator a source table goes through, and where it lands."""
+"""From a plain specification to tables: which operator a source table goes through, and where it lands.
+
+Loads are incremental. What a load is going to read is noted before it, what it has read after it, and a table is a
+log of changes (``sources.batchlog``): a load adds the rows that are news and rewrites none. A load that broke off is
+repeated with the bounds it had noted, over its own files, so nothing is lost or delivered twice.
+"""
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable, Mapping
-from dataclasses import dataclass, field
+from dataclasses import asdict, dataclass, field
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
-from feedweir.operators.changes import END, START, cluster_columns, extend_history, scd1, scd2
+from feedweir.operators.changes import DELETED, END, START, cluster_columns, extend_history, scd1, scd2, snapshot_diff
+from feedweir.operators.changes import row_hash as short_hash
+from feedweir.operators.ordering import block_of
 from feedweir.operators.slicing import row_hash
+from feedweir.sources import batchlog
 from feedweir.sources.catalog import INGESTION_TYPES, table_name
-from feedweir.sources.sinks import current_version, read_target, write_target
 
 # Options of a table's configuration that steer the load and are not passed to the reader.
-RESERVED = ("primary_keys", "sequence_by", "scd_type", "cluster_by")
+RESERVED = ("primary_keys", "sequence_by", "scd_type", "cluster_by", "lookback")
 SCD_TYPES = ("SCD_TYPE_1", "SCD_TYPE_2", "APPEND_ONLY")
+# The load that a change came with, in the log of a snapshot table.
+LOAD = "__load"
 
 
 @dataclass(frozen=True)
@@ -30,6 +40,7 @@ class Flow:
     scd_type: str
     with_deletes: bool
     cluster_by: list[str] | None
+    lookback: float | None = None
     options: dict[str, str] = field(default_factory=dict)
 
 
@@ -67,6 +78,7 @@ def flow_of(entry: Mapping[str, object], metadata: Mapping[str, object]) -> Flow
         scd_type="2" if scd == "SCD_TYPE_2" else "1",
         with_deletes=kind == "cdc_with_deletes",
         cluster_by=cluster_columns(config.get("cluster_by")),
+        lookback=None if config.get("lookback") is None else float(config["lookback"]),
         options={k: str(v) for k, v in config.items() if k not in RESERVED},
     )
 
@@ -124,6 +136,161 @@ def apply_flow(
 Reader = Callable[[SparkSession, str, Mapping[str, str]], DataFrame]
 
 
+def _after(df: DataFrame, flow: Flow, since: str | None) -> DataFrame:
+    """Rows that a load has to look at: those without a cursor, and those from ``since`` less the lookback on."""
+    if since is None or flow.sequence is None or flow.lookback is None:
+        return df
+    kind = df.schema[flow.sequence].dataType
+    bound = F.lit(since).cast(kind)
+    if flow.lookback and kind.typeName() in ("timestamp", "timestamp_ntz", "date"):
+        bound = (bound.cast("timestamp_ntz") - F.make_dt_interval(secs=F.lit(flow.lookback).cast("decimal(18,6)"))).cast(kind)
+    elif flow.lookback:
+        bound = (bound - F.lit(flow.lookback)).cast(kind)
+    return df.where((F.col(flow.sequence) >= bound) | F.col(flow.sequence).isNull())
+
+
+def _until(df: DataFrame, flow: Flow, until: str | None) -> DataFrame:
+    if until is None or flow.sequence is None:
+        return df
+    limit = F.lit(until).cast(df.schema[flow.sequence].dataType)
+    return df.where((F.col(flow.sequence) <= limit) | F.col(flow.sequence).isNull())
+
+
+def _identity(flow: Flow) -> tuple[list[str], str]:
+    """The columns that tell the rows of a table's log apart, and the one whose greatest value wins."""
+    if flow.kind == "snapshot":
+        return (flow.keys if flow.scd_type == "1" else [*flow.keys, LOAD]), LOAD
+    return (flow.keys if flow.scd_type == "1" else [*flow.keys, flow.sequence]), str(flow.sequence)
+
+
+def _reduced(flow: Flow, rows: DataFrame) -> DataFrame:
+    """The rows of a log that can still matter; all rows of an append."""
+    if flow.kind == "append":
+        return rows
+    keys, seq = _identity(flow)
+    return scd1(rows, keys, seq, keep_deleted=True)
+
+
+def news(candidates: DataFrame, known: DataFrame, keys: list[str], seq: str) -> DataFrame:
+    """Of reduced ``candidates``, the rows that win against what the log ``known`` has for their keys."""
+
+    def rank(df: DataFrame) -> Column:
+        return F.struct(
+            F.col(seq).isNotNull().alias("dated"), F.col(seq).alias("at"), F.col(DELETED).alias("gone"),
+            short_hash(df, sorted(c for c in df.columns if c != DELETED)).alias("tie"),
+        )
+
+    shared = [c for c in known.columns if c in candidates.columns]
+    best = known.select(*shared).withColumn("__rank", rank(known.select(*shared)))
+    best = best.groupBy(*[F.col(k).alias(f"__key_{i}") for i, k in enumerate(keys)]).agg(F.max("__rank").alias("__rank"))
+    same = F.lit(True)
+    for i, k in enumerate(keys):
+        same = same & F.col(k).eqNullSafe(F.col(f"__key_{i}"))
+    mine = rank(candidates.select(*shared))
+    both = candidates.withColumn("__mine", mine).join(best, same, "left")
+    return both.where(F.col("__rank").isNull() | (F.col("__mine") > F.col("__rank"))).select(*candidates.columns)
+
+
+def changes_of(flow: Flow, feed: DataFrame, deletes: DataFrame | None, log: DataFrame | None, load: int, since: str | None) -> DataFrame:
+    """What a load adds to a table's log."""
+    if flow.kind == "append":
+        return feed if log is None else undelivered(feed, _after(log, flow, since))
+    if flow.kind == "snapshot":
+        if log is None:
+            return feed.withColumns({DELETED: F.lit(False), LOAD: F.lit(load)})
+        current = scd1(log, flow.keys, LOAD).drop(LOAD)
+        held = [c for c in feed.columns if c in current.columns]
+        added = {c: F.lit(None).cast(feed.schema[c].dataType) for c in feed.columns if c not in held}
+        moved = snapshot_diff(current.select(*held).withColumns(added), feed, flow.keys).where("_change <> 'unchanged'")
+        return moved.withColumns({DELETED: F.col("_change") == "delete", LOAD: F.lit(load)}).drop("_change")
+    rows = feed.withColumn(DELETED, F.lit(False))
+    if deletes is not None:
+        rows = rows.unionByName(deletes.withColumn(DELETED, F.lit(True)), allowMissingColumns=True)
+    keys, seq = _identity(flow)
+    candidates = scd1(rows, keys, seq, keep_deleted=True)
+    return candidates if log is None else news(candidates, log, keys, seq)
+
+
+def table_of(flow: Flow, log: DataFrame, split: Column | None = None) -> DataFrame:
+    """The table that a log of changes stands for."""
+    if flow.kind == "append":
+        return log
+    seq = _identity(flow)[1]
+    if flow.scd_type == "1":
+        table = scd1(log, flow.keys, seq)
+        return table.drop(LOAD) if flow.kind == "snapshot" else table
+    split = block_of(log, seq) if split is None else split
+    tracked = [c for c in log.columns if c not in {*flow.keys, seq, DELETED}]
+    history = scd2(log, flow.keys, seq, track=tracked, split=split)
+    return history.drop(LOAD) if flow.kind == "snapshot" else history
+
+
+def ingested(spark: SparkSession, target: str, split: Column | None = None) -> DataFrame:
+    """A table that ``ingest`` has loaded, as of its newest finished load."""
+    done = batchlog.last_done(spark, target)
+    if done is None:
+        raise FileNotFoundError(f"nothing loaded into {target} yet")
+    flow = Flow(**batchlog.noted(spark, target, done, "done")["flow"])
+    return table_of(flow, batchlog.read(spark, target, done), split)
+
+
+def _cursor_of(flow: Flow, feeds: list[DataFrame], since: str | None) -> str | None:
+    """The newest cursor of the feeds, never older than the one before; None without a cursor column."""
+    if flow.sequence is None or flow.kind == "snapshot":
+        return None
+    tops = None
+    for df in feeds:
+        top = df.agg(F.max(flow.sequence).alias("top"))
+        tops = top if tops is None else tops.unionByName(top)
+    if since is not None:
+        kind = tops.schema["top"].dataType
+        tops = tops.unionByName(feeds[0].sparkSession.range(1).select(F.lit(since).cast(kind).alias("top")))
+    return tops.agg(F.max("top").cast("string")).first()[0]
+
+
+def load_table(
+    spark: SparkSession,
+    flow: Flow,
+    feed: DataFrame,
+    deletes: DataFrame | None,
+    target: str,
+    keep_seconds: float = 24 * 3600,
+    before_commit: Callable[[], None] = lambda: None,
+) -> int:
+    """One load of a table: note the bounds, write the news, note that it is done. Returns the rows that were added.
+
+    With ``lookback`` (seconds, or units of a number cursor) only rows from the stored cursor less that are read;
+    without one the feed is read whole, so rows may come as late as they like. Either way nothing but news is written,
+    and a load without news leaves no file.
+    """
+    done = batchlog.last_done(spark, target)
+    state = {} if done is None else batchlog.noted(spark, target, done, "done")
+    load, since = (0 if done is None else done) + 1, state.get("cursor")
+    feeds = [_after(df, flow, since) for df in (feed, deletes) if df is not None]
+    plan = batchlog.noted(spark, target, load, "planned")
+    if plan is None:
+        plan = {"since": since, "until": _cursor_of(flow, feeds, since), "begun": time.time()}
+        batchlog.note(spark, target, load, "planned", plan)
+    feeds = [_until(df, flow, plan["until"]) for df in feeds]
+    log = None if done is None else batchlog.read(spark, target, done)
+    added = changes_of(flow, feeds[0], feeds[1] if len(feeds) > 1 else None, log, load, since)
+    if flow.cluster_by:
+        added = added.repartitionByRange(*flow.cluster_by).sortWithinPartitions(*flow.cluster_by)
+    counted = Observation(f"load {load}")
+    batchlog.write(added.observe(counted, F.count(F.lit(1)).alias("rows")), target, load)
+    rows = counted.get["rows"]
+    if not rows and done is not None:
+        batchlog.drop(spark, target, load)
+        batchlog.forget(spark, target, load, "planned")
+        return 0
+    before_commit()
+    note = {"cursor": plan["until"], "rows": rows, "since": since, "flow": asdict(flow)}
+    batchlog.note(spark, target, load, "done", note)
+    batchlog.merge(spark, target, lambda log: _reduced(flow, log), load)
+    batchlog.trim(spark, target, keep_seconds)
+    return rows
+
+
 def ingest(
     spark: SparkSession,
     spec: Mapping[str, object],
@@ -132,10 +299,9 @@ def ingest(
     read_deletes: Reader | None,
     warehouse: str,
 ) -> dict[str, str]:
-    """Load every table of a specification below ``warehouse`` and return where each one landed.
+    """Load the news of every table of a specification below ``warehouse``; the folder of each, for ``ingested``.
 
-    The loop runs over table names; rows stay on the executors. Feeds are read whole, so a load can be repeated;
-    appends take only what their target does not hold, and snapshots continue from its newest version.
+    The loop runs over table names; rows stay on the executors.
     """
     landed = {}
     for item in spec["objects"]:
@@ -144,11 +310,6 @@ def ingest(
         feed = read(spark, flow.source, flow.options)
         deletes = read_deletes(spark, flow.source, flow.options) if flow.with_deletes and read_deletes else None
         target = f"{warehouse}/{flow.destination.replace('`', '').replace('.', '/')}"
-        version = (current_version(spark, target) or 0) + 1
-        before = read_target(spark, target) if flow.kind in ("append", "snapshot") else None
-        table = apply_flow(flow, feed, deletes, before, version)
-        if flow.cluster_by:
-            table = table.repartitionByRange(*flow.cluster_by).sortWithinPartitions(*flow.cluster_by)
-        write_target(table, target, version)
-        landed[flow.source] = f"{target}/v={version}"
+        load_table(spark, flow, feed, deletes, target)
+        landed[flow.source] = target
     return landed

@@ -4,13 +4,13 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from feedweir.operators.ordering import block_of
 from feedweir.plans.registry import query, table
 from feedweir.session import checkpoint_dir
-from feedweir.sources import readers, sinks
+from feedweir.sources import batchlog, readers, sinks
 from feedweir.streaming import tables as Z
 
 
@@ -94,20 +94,92 @@ def _(spark: SparkSession, d: str) -> DataFrame:
     return Z.read_scd2(spark, out, ["user_id"], "ts", track=["event_type"], split=block_of(log, "ts", "day"))
 
 
-@query("stream_dedup", "O-171", sql="SELECT DISTINCT user_id, event_type FROM events")
+def sliced_stream(spark: SparkSession, rows: DataFrame, name: str, slices: list[tuple[int, int]]) -> DataFrame:
+    """Rows as a stream of one file per span of days (first, end) of the month; spans may overlap."""
+    folder, day = _folder(spark, name), F.dayofmonth("ts")
+    for first, end in slices:
+        rows.filter((day >= first) & (day < end)).coalesce(1).write.mode("append").parquet(folder)
+    return readers.read_stream(spark, folder, rows.schema, max_files=1)
+
+
+@query(
+    "stream_dedup",
+    "O-171",
+    "O-120",
+    sql="""
+WITH RECURSIVE kept AS (
+    SELECT user_id, event_type, min(ts) AS ts FROM events GROUP BY 1, 2
+    UNION ALL
+    SELECT k.user_id, k.event_type, min(e.ts) FROM kept k JOIN events e
+    ON e.user_id = k.user_id AND e.event_type = k.event_type AND e.ts >= k.ts + INTERVAL 3 DAY
+    GROUP BY k.user_id, k.event_type, k.ts
+)
+SELECT user_id, event_type, ts, count(*) OVER (PARTITION BY user_id, event_type) AS times FROM kept
+""",
+)
 def _(spark: SparkSession, d: str) -> DataFrame:
+    """A user's event is delivered again three days after it was, and not before; every read reaches two days back."""
     out = _folder(spark, "dedup")
-    rows = events_stream(spark, d).select("user_id", "event_type", "ts")
-    Z.run_to_end(Z.stream_append(Z.stream_dedup(rows, ["user_id", "event_type"], "ts", "60 days"), out, out + "-log"))
-    return spark.read.parquet(out).select("user_id", "event_type")
+    rows = table(spark, d, "events").select("user_id", "event_type", "ts")
+    feed = sliced_stream(spark, rows, "dedup-in", [(1, 9), (7, 17), (15, 25), (23, 32)])
+    Z.run_to_end(Z.stream_append(Z.stream_dedup(feed, ["user_id"], "ts", "3 days"), out, out + "-log"))
+    times = F.count("*").over(Window.partitionBy("user_id", "event_type"))
+    return spark.read.parquet(out).select("user_id", "event_type", F.col("ts").cast("timestamp_ntz").alias("ts"), times.alias("times"))
 
 
-@query("stream_key_watermarks", "O-172", sql="SELECT user_id, max(ts) AS cursor FROM events GROUP BY 1")
+@query(
+    "stream_key_watermarks",
+    "O-172",
+    "O-132",
+    sql="""
+WITH batches AS (
+    SELECT *, greatest(least((day(ts) - 1) // 8, 3), 0) AS batch FROM events
+), known AS (
+    SELECT *, max(ts) OVER (PARTITION BY user_id ORDER BY batch RANGE BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS since FROM batches
+)
+SELECT event_id, user_id, ts, max(ts) OVER (PARTITION BY user_id) AS cursor FROM known WHERE since IS NULL OR ts > since
+""",
+)
 def _(spark: SparkSession, d: str) -> DataFrame:
+    """Four batches, each of which reads all days before again: rows come once, and the state says the newest per user."""
     out = _folder(spark, "watermarks")
-    rows = events_stream(spark, d).select("user_id", "ts")
-    Z.run_to_end(Z.stream_watermarks(rows, out + "/rows", out + "/state", "user_id", "ts", out + "/log"))
-    return sinks.read_target(spark, out + "/state")
+    rows = table(spark, d, "events").select("event_id", "user_id", "ts")
+    feed = sliced_stream(spark, rows, "watermarks-in", [(1, 9), (1, 17), (1, 25), (1, 32)])
+    Z.run_to_end(Z.stream_watermarks(feed, out, "user_id", "ts", out + "-state"))
+    newest = Z.newest_per_key(spark, out + "-state")
+    return Z.read_log(spark, out).join(newest, "user_id").select("event_id", "user_id", "ts", "cursor")
+
+
+@query(
+    "stream_levels",
+    "O-166",
+    "O-167",
+    sql="""
+SELECT o_custkey, max(o_orderkey) AS o_orderkey, count(*) OVER () AS customers, true AS few_folders, true AS whole_before
+FROM orders GROUP BY o_custkey
+""",
+)
+def _(spark: SparkSession, d: str) -> DataFrame:
+    """A stream of 13 batches, merged by levels as it runs; what a reader planned before the trim reads the same."""
+    out, folder = _folder(spark, "levels"), _folder(spark, "levels-in")
+    rows = table(spark, d, "orders").select("o_custkey", "o_orderkey")
+    rows.repartition(13, "o_orderkey").write.parquet(folder)
+    feed = readers.read_stream(spark, folder, rows.schema, max_files=1)
+    Z.run_to_end(Z.stream_scd1(feed, out, ["o_custkey"], "o_orderkey", out + "-log"))
+    planned = Z.read_scd1(spark, out, ["o_custkey"], "o_orderkey")
+    before = planned.agg(F.count("*"), F.sum(F.xxhash64("o_custkey", "o_orderkey").cast("decimal(38,0)"))).first()
+    held = batchlog.cover(batchlog.folders(spark, out))
+    batchlog.trim(spark, out, 0)
+    left = batchlog.folders(spark, out)
+    now = Z.read_scd1(spark, out, ["o_custkey"], "o_orderkey")
+    after = now.agg(F.count("*"), F.sum(F.xxhash64("o_custkey", "o_orderkey").cast("decimal(38,0)"))).first()
+    return now.select(
+        "o_custkey",
+        "o_orderkey",
+        F.lit(after[0]).cast("long").alias("customers"),
+        F.lit(len(left) == len(held) <= 6 and left[-1].last == 12).alias("few_folders"),
+        F.lit(before == after).alias("whole_before"),
+    )
 
 
 @query(

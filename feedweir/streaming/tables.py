@@ -1,42 +1,37 @@
 """Streams into slowly changing tables, as a log of batches that is merged when read.
 
-A target folder holds ``delta/batch=<n>`` for every micro-batch and, after compaction, ``v=<n>``: everything up to
-batch n in one table. Writing costs what the batch costs, not what the table costs. A batch that is retried overwrites
-its own folder, and readers only see folders with a success marker, so every batch counts exactly once. A checkpoint
-counts its batches from the first number that was free in the target when it began, so a new checkpoint continues the
-log. One stream at a time may write a target.
+A target is a ``batchlog``: writing costs what the batch costs, not what the table costs, batches are merged by levels
+while the stream runs, and a batch that is retried overwrites its own folder, so every batch counts exactly once. A
+checkpoint counts its batches from the first number that was free in the target when it began, so a new checkpoint
+continues the log. One stream at a time may write a target.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
-from feedweir.operators.changes import DELETED, scd1, scd2
-from feedweir.operators.slicing import slice_per_key
-from feedweir.sources.sinks import _hadoop, current_version, read_target, write_target
+from feedweir.operators.changes import DELETED, row_hash, scd1, scd2
+from feedweir.sources import batchlog
+from feedweir.sources.sinks import _hadoop, read_target, write_target
 
-
-def _batches(spark: SparkSession, target: str) -> list[int]:
-    fs, path = _hadoop(spark, target)
-    folder = path(f"{target}/delta")
-    if not fs.exists(folder):
-        return []
-    names = [status.getPath().getName() for status in fs.listStatus(folder)]
-    return sorted(int(n[6:]) for n in names if n.startswith("batch=") and fs.exists(path(f"{target}/delta/{n}/_SUCCESS")))
+# Seconds that merged folders of a log are kept for readers that planned before the merge.
+KEEP_SECONDS = 24 * 3600
+STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
 def read_log(spark: SparkSession, target: str) -> DataFrame:
-    """The compacted table and the batches after it, tombstones included."""
-    base = current_version(spark, target)
-    paths = [] if base is None else [f"{target}/v={base}"]
-    paths += [f"{target}/delta/batch={n}" for n in _batches(spark, target) if base is None or n > base]
-    if not paths:
+    """All batches of a target, tombstones included."""
+    rows = batchlog.read(spark, target)
+    if rows is None:
         raise FileNotFoundError(f"nothing written to {target} yet")
-    return spark.read.parquet(*paths)
+    return rows
 
 
 def _first_number(spark: SparkSession, target: str, checkpoint: str) -> int:
@@ -45,8 +40,8 @@ def _first_number(spark: SparkSession, target: str, checkpoint: str) -> int:
     kept = path(f"{checkpoint}/first_numbers")
     if fs.exists(kept):
         return int(next(s.getPath().getName() for s in fs.listStatus(kept)))
-    taken = [*_batches(spark, target), current_version(spark, target)]
-    first = max((n + 1 for n in taken if n is not None), default=0)
+    newest = batchlog.last_batch(spark, target)
+    first = 0 if newest is None else newest + 1
     fs.mkdirs(path(f"{checkpoint}/first_numbers/{first}"))
     return first
 
@@ -56,11 +51,15 @@ def _marked(feed: DataFrame, deletes: DataFrame | None) -> DataFrame:
     return rows if deletes is None else rows.unionByName(deletes.withColumn(DELETED, F.lit(True)), allowMissingColumns=True)
 
 
-def _log_stream(rows: DataFrame, target: str, checkpoint: str, reduce_batch) -> StreamingQuery:
+def _log_stream(rows: DataFrame, target: str, checkpoint: str, reduce: batchlog.Reduce, keep_seconds: float) -> StreamingQuery:
+    """Every batch is reduced, written and merged with its neighbours once there are enough of one level."""
     first = _first_number(rows.sparkSession, target, checkpoint)
 
     def save(batch: DataFrame, number: int) -> None:
-        reduce_batch(batch).write.mode("overwrite").parquet(f"{target}/delta/batch={first + number}")
+        spark = batch.sparkSession
+        batchlog.write(reduce(batch), target, first + number)
+        batchlog.merge(spark, target, reduce)
+        batchlog.trim(spark, target, keep_seconds)
 
     writer = rows.writeStream.foreachBatch(save).option("checkpointLocation", checkpoint)
     return writer.trigger(availableNow=True).start()
@@ -74,10 +73,15 @@ def stream_scd1(
     checkpoint: str,
     deletes: DataFrame | None = None,
     tiebreak: Sequence[str] = (),
+    keep_seconds: float = KEEP_SECONDS,
 ) -> StreamingQuery:
     """Feed (and delete feed) into a type 1 table; every batch is reduced to one row per key before it is written."""
     return _log_stream(
-        _marked(feed, deletes), target, checkpoint, lambda b: scd1(b, keys, seq, tiebreak=tiebreak, keep_deleted=True)
+        _marked(feed, deletes),
+        target,
+        checkpoint,
+        lambda b: scd1(b, keys, seq, tiebreak=tiebreak, keep_deleted=True),
+        keep_seconds,
     )
 
 
@@ -94,10 +98,15 @@ def stream_scd2(
     checkpoint: str,
     deletes: DataFrame | None = None,
     tiebreak: Sequence[str] = (),
+    keep_seconds: float = KEEP_SECONDS,
 ) -> StreamingQuery:
     """Feed into a type 2 table; a batch keeps one row per key and sequence value, late ones included."""
     return _log_stream(
-        _marked(feed, deletes), target, checkpoint, lambda b: scd1(b, [*keys, seq], seq, tiebreak=tiebreak, keep_deleted=True)
+        _marked(feed, deletes),
+        target,
+        checkpoint,
+        lambda b: scd1(b, [*keys, seq], seq, tiebreak=tiebreak, keep_deleted=True),
+        keep_seconds,
     )
 
 
@@ -115,16 +124,13 @@ def read_scd2(
 
 
 def compact(spark: SparkSession, target: str, keys: Sequence[str], seq: str, tiebreak: Sequence[str] = ()) -> int | None:
-    """Write everything up to the newest batch as one version and return its number.
+    """Merge everything up to the newest batch into one folder and return that batch's number.
 
     ``keys`` are the table's keys for type 1, keys and sequence for type 2. Tombstones stay, so an older row that
-    arrives later still loses to them.
+    arrives later still loses to them. A running stream merges by levels by itself; this is for tables at rest.
     """
-    batches = _batches(spark, target)
-    if not batches or batches[-1] == current_version(spark, target):
-        return current_version(spark, target)
-    write_target(scd1(read_log(spark, target), keys, seq, tiebreak=tiebreak, keep_deleted=True), target, batches[-1])
-    return batches[-1]
+    batchlog.merge(spark, target, lambda b: scd1(b, keys, seq, tiebreak=tiebreak, keep_deleted=True), whole=True)
+    return batchlog.last_batch(spark, target)
 
 
 def stream_append(feed: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
@@ -142,30 +148,127 @@ def run_to_end(query: StreamingQuery, timeout: int | None = None) -> StreamingQu
     return query
 
 
+def _with_state_store(spark: SparkSession) -> None:
+    """State that is kept per key and written as changes needs the store that does so."""
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", STATE_STORE)
+    spark.conf.set("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")
+
+
+class _Watermark(StatefulProcessor):
+    """Of the rows of a key, those newer than the key's newest row of earlier batches."""
+
+    def __init__(self, schema: T.StructType, cursor: str) -> None:
+        # names that begin with an underscore do not reach the rows
+        self.names, self.cursor, self.kind = schema.names, cursor, schema[cursor].dataType
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.newest = handle.getValueState("newest", T.StructType([T.StructField("cursor", self.kind)]))
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
+        since = self.newest.get()[0] if self.newest.exists() else None
+        newest = since
+        for part in rows:
+            batch = part.set_axis(self.names, axis=1)
+            known = batch[self.cursor].dropna()
+            top = known.max() if len(known) else None
+            if top is not None and (newest is None or top > newest):
+                newest = top
+            yield batch if since is None else batch[batch[self.cursor] > since]
+        if newest is not None and newest != since:
+            self._keep(newest)
+
+    def handleInitialState(self, key, initialState: pd.DataFrame, timerValues) -> None:  # noqa: N802, N803
+        self._keep(initialState.iloc[0, -1])
+
+    def _keep(self, newest) -> None:
+        plain = newest.to_pydatetime() if isinstance(newest, pd.Timestamp) else getattr(newest, "item", lambda: newest)()
+        self.newest.update((plain,))
+
+    def close(self) -> None:
+        pass
+
+
 def stream_watermarks(
-    feed: DataFrame, out: str, state: str, key: str, cursor: str, checkpoint: str
+    feed: DataFrame, out: str, key: str, cursor: str, checkpoint: str, before: DataFrame | None = None, keep_seconds: float = KEEP_SECONDS
 ) -> StreamingQuery:
-    """Rows newer than their own key's watermark, with the watermarks kept per batch in ``state``.
+    """Rows newer than their own key's newest row of earlier batches, as a log of batches in ``out``.
 
-    Batch n always starts from the state before n, so a retry delivers the same rows again.
+    The newest cursors are values of a state store: a batch reads and writes the state of its own keys only, and a
+    retried batch starts from the state before it. All rows of a key's first batch are delivered, those with a null
+    cursor too; later on, rows without a cursor are not newer than anything. A new checkpoint starts from ``before``,
+    what ``newest_per_key`` says of the checkpoint it follows.
     """
-    first = _first_number(feed.sparkSession, state, checkpoint)
-
-    def save(batch: DataFrame, number: int) -> None:
-        spark, number = batch.sparkSession, first + number
-        before = spark.read.parquet(f"{state}/v={number - 1}") if number > 0 else None
-        fresh, after = slice_per_key(batch, key, cursor, before)
-        fresh.write.mode("overwrite").parquet(f"{out}/delta/batch={number}")
-        write_target(after, state, number)
-
-    writer = feed.writeStream.foreachBatch(save).option("checkpointLocation", checkpoint)
-    return writer.trigger(availableNow=True).start()
+    _with_state_store(feed.sparkSession)
+    known = None if before is None else before.where("cursor is not null").groupBy(key)
+    kept = feed.groupBy(key).transformWithStateInPandas(
+        _Watermark(feed.schema, cursor), feed.schema, "Append", "None", initialState=known
+    )
+    return _log_stream(kept, out, checkpoint, lambda b: b, keep_seconds)
+
+
+def newest_per_key(spark: SparkSession, checkpoint: str) -> DataFrame:
+    """Rows (key columns, cursor) of the state that ``stream_watermarks`` has kept."""
+    state = spark.read.format("statestore").option("stateVarName", "newest").load(checkpoint)
+    return state.select("key.*", F.col("value.cursor").alias("cursor"))
+
+
+class _Delivered(StatefulProcessor):
+    """One row per content within the delay after the row delivered last; what is older is forgotten."""
+
+    def __init__(self, names: list[str], ts: str, digest: str, delay: int) -> None:
+        # names that begin with an underscore do not reach the rows
+        self.names, self.ts, self.digest, self.delay = names, ts, digest, delay
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.until = handle.getMapState("until", "digest long", "until long")
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
+        parts = [part for part in rows if len(part)]
+        if not parts:
+            return
+        batch = pd.concat(parts).set_axis(self.names, axis=1)
+        times = batch[self.ts].astype("datetime64[us]").astype("int64")
+        keep, known = [], {}
+        for place in times.argsort(kind="stable"):
+            at, digest = int(times.iloc[place]), int(batch[self.digest].iloc[place])
+            if digest not in known:
+                known[digest] = self.until.getValue((digest,))[0] if self.until.containsKey((digest,)) else None
+            until = known[digest]
+            if until is None or at >= until:
+                keep.append(place)
+                known[digest] = at + self.delay
+                self.until.updateValue((digest,), (known[digest],))
+                self.handle.registerTimer(-(-known[digest] // 1000))
+        yield batch.iloc[keep].drop(columns=[self.digest])
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
+        """What was delivered the delay ago, by the watermark, may come again and need not be known."""
+        now = 1000 * timerValues.getCurrentWatermarkInMs()
+        for digest in [d for d, until in self.until.iterator() if until[0] <= now]:
+            self.until.removeKey(digest)
+        return iter(())
+
+    def close(self) -> None:
+        pass
 
 
 def stream_dedup(df: DataFrame, keys: Sequence[str], ts: str, delay: str) -> DataFrame:
-    """Each key once within the delay; state older than the watermark is dropped."""
-    timed = df.withColumn(ts, F.col(ts).cast("timestamp"))
-    return timed.withWatermark(ts, delay).dropDuplicatesWithinWatermark(list(keys))
+    """Rows of a stream without those that repeat a delivered row of their key in all columns but ``ts``.
+
+    A row comes again when ``delay`` has passed since it was delivered. Within a batch, rows are taken in order of
+    ``ts``; a batch may bring rows up to ``delay`` older than the newest one before. State older than that leaves the
+    store by timers, so it holds what one delay delivers, not the stream.
+    """
+    spark = df.sparkSession
+    _with_state_store(spark)
+    micros = spark.sql(f"SELECT unix_micros(TIMESTAMP'1970-01-01 00:00:00Z' + INTERVAL '{delay}')").first()[0]
+    content = [c for c in df.columns if c != ts]
+    timed = df.withColumn(ts, F.col(ts).cast("timestamp")).withColumn("__digest", row_hash(df, content))
+    timed = timed.withWatermark(ts, delay)
+    schema = T.StructType([f for f in timed.schema.fields if f.name != "__digest"])
+    grouped = timed.groupBy(*keys)
+    return grouped.transformWithStateInPandas(_Delivered(timed.columns, ts, "__digest", micros), schema, "Append", "EventTime")
 
 
 def stream_windows(

@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 from feedweir.operators import changes as C
 from feedweir.operators import joins, reports, timeseries
 from feedweir.plans import extensions
-from feedweir.plans.ingest import apply_flow, flow_of, ingest, undelivered
-from feedweir.sources import readers, sinks
+from feedweir.plans.ingest import apply_flow, flow_of, ingest, ingested, load_table, undelivered
+from feedweir.sources import batchlog, readers, sinks
 from feedweir.streaming import tables as Z
 
 FEED = [("a", 1, "x"), ("b", 1, "x"), ("a", 3, "y"), ("a", 2, "late"), ("c", 2, "z"), ("c", 2, "z")]
@@ -59,12 +59,14 @@ def test_new_checkpoint_continues_the_log(spark, rows, files, tmp_path, compacte
 
 
 def test_new_checkpoint_keeps_watermarks(spark, rows, files, tmp_path):
-    out = str(tmp_path / "w")
+    out, known = str(tmp_path / "w"), None
     for log in ("-log", "-log2"):
-        Z.run_to_end(Z.stream_watermarks(stream(spark, files), out, out + "-state", "k", "seq", out + log), 120)
-    assert rows(sinks.read_target(spark, out + "-state")) == [("a", 3), ("b", 1), ("c", 2)]
-    newest = max(Z._batches(spark, out))
-    assert newest >= 3 and spark.read.parquet(f"{out}/delta/batch={newest}").count() == 0
+        Z.run_to_end(Z.stream_watermarks(stream(spark, files), out, "k", "seq", out + log, before=known), 120)
+        known = Z.newest_per_key(spark, out + log)
+        assert rows(known) == [("a", 3), ("b", 1), ("c", 2)]
+    # the second checkpoint read all files again and delivered nothing
+    assert batchlog.last_batch(spark, out) >= 3
+    assert rows(Z.read_log(spark, out)) == sorted(FEED)
 
 
 def test_scd2_stream_equals_batch(spark, rows, files, tmp_path):
@@ -77,12 +79,69 @@ def test_scd2_stream_equals_batch(spark, rows, files, tmp_path):
 
 def test_unfinished_batch_is_not_read(spark, tmp_path):
     out = str(tmp_path / "t")
-    spark.createDataFrame([("a", 1, "x", False)], SCHEMA + ", _deleted boolean").write.parquet(out + "/delta/batch=0")
-    spark.createDataFrame([("a", 9, "half", False)], SCHEMA + ", _deleted boolean").write.parquet(out + "/delta/batch=1")
-    (tmp_path / "t" / "delta" / "batch=1" / "_SUCCESS").unlink()
+    spark.createDataFrame([("a", 1, "x", False)], SCHEMA + ", _deleted boolean").write.parquet(out + "/log/0-0")
+    spark.createDataFrame([("a", 9, "half", False)], SCHEMA + ", _deleted boolean").write.parquet(out + "/log/1-1")
+    (tmp_path / "t" / "log" / "1-1" / "_SUCCESS").unlink()
     assert Z.read_scd1(spark, out, ["k"], "seq").first()["v"] == "x"
 
 
+def test_levels(spark, rows, tmp_path):
+    """The folders that are read grow with the logarithm of the batches, and a reader that planned before stays whole."""
+    out, kept, planned = str(tmp_path / "t"), {}, []
+    for n in range(22):
+        batch = [(f"k{(n * i) % 5}", n, f"v{n}", n % 7 == 3) for i in range(3)]
+        for k, seq, v, gone in batch:
+            kept[k] = (k, seq, v, gone)
+        df = spark.createDataFrame(batch, SCHEMA + ", _deleted boolean").dropDuplicates().coalesce(1)
+        batchlog.write(df, out, n)
+        planned.append((batchlog.read(spark, out), {r for r in kept.values() if not r[3]}))
+        holds = batchlog.merge(spark, out, lambda log: C.scd1(log, ["k"], "seq", keep_deleted=True))
+        assert len(holds) <= 3 * (1 + n.bit_length() / 2) and holds[-1].last == n
+        assert {tuple(r) for r in Z.read_scd1(spark, out, ["k"], "seq").select("k", "seq", "v").collect()} == {
+            r[:3] for r in kept.values() if not r[3]
+        }
+    assert batchlog.trim(spark, out, 3600) == 0
+    old, want = planned[14]
+    assert {tuple(r) for r in C.scd1(old, ["k"], "seq").select("k", "seq", "v").collect()} == {r[:3] for r in want}
+    before = rows(Z.read_scd1(spark, out, ["k"], "seq"))
+    assert batchlog.trim(spark, out, 0) == 24 and len(batchlog.folders(spark, out)) == len(holds)
+    assert rows(Z.read_scd1(spark, out, ["k"], "seq")) == before
+    assert Z.compact(spark, out, ["k"], "seq") == 21 and batchlog.cover(batchlog.folders(spark, out))[0].first == 0
+    assert rows(Z.read_scd1(spark, out, ["k"], "seq")) == before
+
+
+def test_cover():
+    folder = batchlog.Folder
+    found = [folder(0, 0), folder(0, 3), folder(1, 1), folder(2, 2), folder(3, 3), folder(4, 4), folder(6, 6)]
+    assert batchlog.cover(found) == [folder(0, 3), folder(4, 4), folder(6, 6)]
+    assert batchlog.cover(found, 2) == [folder(0, 0), folder(1, 1), folder(2, 2)]
+    assert [folder(0, n - 1).level for n in (1, 3, 4, 15, 16, 64)] == [0, 0, 1, 1, 2, 3]
+
+
+def test_dedup_forgets_after_the_delay(spark, rows, tmp_path):
+    """A row comes again when the delay has passed since it was delivered, within a batch and between batches."""
+    day = dt.datetime(2024, 1, 1)
+    batches = [
+        [("a", 0, "x"), ("a", 1, "x"), ("a", 1, "y"), ("b", 2, "x")],
+        [("a", 1, "x"), ("a", 2, "x"), ("a", 3, "x"), ("a", 4, "x"), ("b", 4, "x"), ("b", 4, "x")],
+        [("a", 9, "x"), ("a", 9, "y"), ("a", 11, "x"), ("a", 12, "x")],
+        [("c", 30, "x")],
+        [("a", 31, "x")],
+    ]
+    schema = "k string, ts timestamp, v string"
+    for batch in batches:
+        part = [(k, day + dt.timedelta(days=d), v) for k, d, v in batch]
+        spark.createDataFrame(part, schema).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    out = str(tmp_path / "out")
+    found = Z.stream_dedup(stream(spark, str(tmp_path / "in")), ["k"], "ts", "3 days")
+    Z.run_to_end(Z.stream_append(found, out, out + "-log"), 240)
+    got = sorted((r["k"], (r["ts"] - day).days, r["v"]) for r in spark.read.parquet(out).collect())
+    again = [("a", 0, "x"), ("a", 1, "y"), ("a", 3, "x"), ("a", 9, "x"), ("a", 9, "y"), ("a", 12, "x"), ("a", 31, "x")]
+    assert got == [*again, ("b", 2, "x"), ("c", 30, "x")]
+    left = spark.read.format("statestore").option("stateVarName", "until").load(out + "-log")
+    assert {r[0] for r in left.select("key.k").distinct().collect()} <= {"a", "c"}
+
+
 def test_append_takes_each_file_once(spark, rows, files, tmp_path):
     out = str(tmp_path / "a")
     for _ in range(2):
@@ -92,8 +151,10 @@ def test_append_takes_each_file_once(spark, rows, files, tmp_path):
 
 def test_key_watermarks_drop_late_rows(spark, rows, files, tmp_path):
     out = str(tmp_path / "w")
-    Z.run_to_end(Z.stream_watermarks(stream(spark, files), out, out + "-state", "k", "seq", out + "-log"), 120)
-    assert rows(sinks.read_target(spark, out + "-state")) == [("a", 3), ("b", 1), ("c", 2)]
+    spark.createDataFrame([("d", None, "undated"), ("a", None, "undated")], SCHEMA).coalesce(1).write.mode("append").parquet(files)
+    Z.run_to_end(Z.stream_watermarks(stream(spark, files), out, "k", "seq", out + "-log"), 120)
+    assert rows(Z.newest_per_key(spark, out + "-log")) == [("a", 3), ("b", 1), ("c", 2)]
+    assert rows(Z.read_log(spark, out)) == sorted([*FEED, ("d", None, "undated")], key=repr)
 
 
 def test_flow_rules():
@@ -133,9 +194,9 @@ def test_ingest_loop(spark, rows, tmp_path):
     ingest(spark, spec, metadata, read, read_deletes, str(tmp_path))
     tables["snap"] = spark.createDataFrame([(1, "x2")], "id int, v string")
     landed = ingest(spark, spec, metadata, read, read_deletes, str(tmp_path))
-    assert rows(spark.read.parquet(landed["cdc"])) == [("b", 1, "x"), ("c", 2, "z")]
-    assert rows(spark.read.parquet(landed["snap"])) == [(1, "x", 1, 2), (1, "x2", 2, None), (2, "y", 1, 2)]
-    assert spark.read.parquet(landed["log"]).count() == 2
+    assert rows(ingested(spark, landed["cdc"])) == [("b", 1, "x"), ("c", 2, "z")]
+    assert rows(ingested(spark, landed["snap"])) == [(1, "x", 1, 2), (1, "x2", 2, None), (2, "y", 1, 2)]
+    assert ingested(spark, landed["log"]).count() == 2
 
 
 @pytest.mark.parametrize("cursor", ["c", None])
@@ -147,7 +208,7 @@ def test_append_delivers_late_tied_and_repeated_rows(spark, rows, tmp_path, curs
     def load():
         df = spark.createDataFrame(feed, "c int, v string")
         landed = ingest(spark, spec, metadata, lambda *_: df, None, str(tmp_path))
-        return rows(spark.read.parquet(landed["log"]))
+        return rows(ingested(spark, landed["log"]))
 
     assert load() == sorted(feed, key=repr)
     # tied with the newest, older than it, equal to delivered rows, and null cursors; then nothing new
@@ -156,6 +217,73 @@ def test_append_delivers_late_tied_and_repeated_rows(spark, rows, tmp_path, curs
     assert load() == sorted(feed, key=repr)
 
 
+LOADS = [
+    [("a", 1, "x"), ("b", 1, "x"), ("c", None, "undated")],
+    [("a", 3, "y"), ("b", 1, "tied"), ("a", 2, "late"), ("d", 3, "p")],
+    [("d", 3, "p"), ("e", 4, "q"), ("c", None, "undated"), ("b", 0, "older")],
+]
+
+
+def config_of(kind, scd, lookback):
+    entry = {"source_table": "t", "table_configuration": {"scd_type": scd} | ({} if lookback is None else {"lookback": lookback})}
+    return flow_of(entry, {"primary_keys": ["k"], "cursor_field": "seq", "ingestion_type": kind})
+
+
+@pytest.mark.parametrize("scd", ["SCD_TYPE_1", "SCD_TYPE_2", "APPEND_ONLY"])
+@pytest.mark.parametrize("lookback", [None, 100])
+def test_loads_in_steps_equal_one_load(spark, rows, tmp_path, scd, lookback):
+    """Late, tied, repeated and undated rows; a load that breaks off; a load without news."""
+    flow = config_of("cdc_with_deletes", scd, lookback)
+    gone = spark.createDataFrame([("a", 3), ("zz", 1)], "k string, seq bigint")
+    steps, once = str(tmp_path / "steps"), str(tmp_path / "once")
+
+    def feed(upto):
+        return spark.createDataFrame([r for load in LOADS[:upto] for r in load], SCHEMA)
+
+    def broken():
+        raise InterruptedError
+
+    assert load_table(spark, flow, feed(1), None, steps) == 3
+    with pytest.raises(InterruptedError):
+        load_table(spark, flow, feed(2), gone, steps, before_commit=broken)
+    first = rows(ingested(spark, steps).select("k", "seq", "v"))
+    assert first == rows(feed(1))
+    assert load_table(spark, flow, feed(2), gone, steps) > 0
+    assert load_table(spark, flow, feed(3), gone, steps) > 0
+    files = sorted(p for p in (tmp_path / "steps").rglob("*"))
+    assert load_table(spark, flow, feed(3), gone, steps) == 0
+    assert sorted(p for p in (tmp_path / "steps").rglob("*")) == files
+    load_table(spark, flow, feed(3), gone, once)
+    assert rows(ingested(spark, steps)) == rows(ingested(spark, once))
+    if scd != "APPEND_ONLY":
+        batch = C.scd1 if scd == "SCD_TYPE_1" else C.scd2
+        assert rows(ingested(spark, steps)) == rows(batch(feed(3), ["k"], "seq", deletes=gone))
+    else:
+        assert rows(ingested(spark, steps)) == rows(feed(3))
+
+
+@pytest.mark.parametrize("scd", ["SCD_TYPE_1", "SCD_TYPE_2"])
+def test_snapshot_loads(spark, rows, tmp_path, scd):
+    flow, out = config_of("snapshot", scd, None), str(tmp_path / "t")
+    snaps = [[("a", 1, "x"), ("b", 1, "x")], [("a", 1, "x"), ("b", 1, "x")], [("b", 2, "y"), ("c", 1, None)], [("a", 1, "x"), ("c", 1, None)]]
+    counts = [load_table(spark, flow, spark.createDataFrame(s, SCHEMA), None, out) for s in snaps]
+    assert counts == [2, 0, 3, 2]
+    if scd == "SCD_TYPE_1":
+        assert rows(ingested(spark, out)) == rows(spark.createDataFrame(snaps[-1], SCHEMA))
+    else:
+        assert rows(ingested(spark, out)) == sorted(
+            [("a", 1, "x", 1, 2), ("b", 1, "x", 1, 2), ("b", 2, "y", 2, 3), ("c", 1, None, 2, None), ("a", 1, "x", 3, None)], key=repr
+        )
+
+
+def test_many_loads_stay_few_folders(spark, rows, tmp_path):
+    flow, out = config_of("cdc", "SCD_TYPE_1", 0), str(tmp_path / "t")
+    feed = [(f"k{i % 4}", i, f"v{i}") for i in range(12)]
+    for i in range(1, 13):
+        load_table(spark, flow, spark.createDataFrame(feed[:i], SCHEMA), None, out, keep_seconds=0)
+    assert len(batchlog.folders(spark, out)) <= 6 and rows(ingested(spark, out)) == sorted(feed[8:])
+
+
 def test_append_with_a_new_column(spark, rows):
     """Copies of a delivered row that differ in a column the target lacks: as many as are missing."""
     target = spark.createDataFrame([(1,), (1,)], "n int")

@@ -260,14 +260,24 @@ def repeated(n: int, kind: str) -> Column:
 # ---------------------------------------------------------------- rows
 
 
+def no_line(line: Column) -> Column:
+    """Blank lines and batch envelopes, which belong to no message."""
+    return (F.trim(line) == "") | F.upper(F.substring(line, 1, 3)).isin(*ENVELOPE_SEGMENTS)
+
+
+def opens_message(line: Column) -> Column:
+    """Whether a line is a message's first."""
+    return F.upper(F.substring(line, 1, 3)) == "MSH"
+
+
 def messages(df: DataFrame, text: str = "text", into: str = "message") -> DataFrame:
     """One row per message of each text: batch envelopes are dropped, line ends become CR, text before the first
     MSH is no message. ``message_no`` counts from 0 within a text."""
     ends = F.replace(F.replace(F.col(text), F.lit("\r\n"), F.lit("\r")), F.lit("\n"), F.lit("\r"))
     lines = F.split(ends, "\r")
-    kept = F.filter(lines, lambda line: (F.trim(line) != "") & ~F.upper(F.substring(line, 1, 3)).isin(*ENVELOPE_SEGMENTS))
+    kept = F.filter(lines, lambda line: ~no_line(line))
     pieces = F.split(F.array_join(kept, "\r"), r"\r(?=[Mm][Ss][Hh])")
-    found = F.filter(pieces, lambda m: F.upper(F.substring(m, 1, 3)) == "MSH")
+    found = F.filter(pieces, opens_message)
     others = [c for c in df.columns if c != text]
     return df.select(*others, F.posexplode(found).alias("message_no", into))
 
@@ -345,7 +355,8 @@ def segment_table(df: DataFrame, segment: str, fields: str | None = None, keep:
 
 
 def generic_table(df: DataFrame, segment: str, keep: tuple[str, ...] = ()) -> DataFrame:
-    """Segments without a field list: ``field_1`` … ``field_25`` as they stand."""
+    """Segments without a field list: ``field_1`` … ``field_25`` as they stand, and all fields in ``all_fields``."""
     rows = df.filter(F.col("segment_type") == segment.upper())
     numbered = [field(i).alias(f"field_{i}") for i in range(1, GENERIC_FIELDS + 1)]
-    return rows.select(*keep, *METADATA, "segment_type", *numbered, "raw_segment")
+    every = F.expr(f"transform(slice(decoded, 2, greatest(size(decoded) - 1, 0)), f -> {_shown('f')})").alias("all_fields")
+    return rows.select(*keep, *METADATA, "segment_type", *numbered, every, "raw_segment")

@@ -308,26 +308,48 @@ def grid_names(df: DataFrame, values: str, place: str) -> list[str]:
 # ---------------------------------------------------------------- hierarchy
 
 
-def hierarchy(df: DataFrame, key: str, parent: str, max_rounds: int = 32) -> DataFrame:
-    """``key, parent, depth`` of every node that hangs below a root (a node without parent).
+ROOTED, ORPHAN, BELOW, CYCLE = "rooted", "missing parent", "below a cycle", "cycle"
 
-    Each round doubles the distance every node has climbed, so a tree of depth d takes log2(d) joins; each round is
-    written to the checkpoint folder. Nodes on a cycle, or below a missing parent, are not reached from a root.
+
+def hierarchy_states(df: DataFrame, key: str, parent: str) -> DataFrame:
+    """``key, parent, depth, state`` of every node: below a root (a node without parent), a missing parent or a cycle.
+
+    ``depth`` is null unless the state is ``rooted``. Each round doubles the distance every node has climbed, so depth
+    d takes log2(d) joins, each written to the checkpoint folder. While a node is on its way to a root, every round ends
+    the way of some node; so once a round ends none, all that still climb do so on cycles. And once the nodes that they
+    stand on do not get fewer either, those are the cycles.
     """
     nodes = df.select(F.col(key).alias("key"), F.col(parent).alias("parent"))
-    # `up` is the ancestor reached so far and `steps` how far away it is; `up` is null once the root was passed.
-    first_step = F.when(F.col("parent").isNull(), 0).otherwise(1).cast("bigint")
-    climb = nodes.select("key", "parent", F.col("parent").alias("up"), first_step.alias("steps"))
-    for _ in range(max_rounds):
-        if climb.filter("up IS NOT NULL").isEmpty():
+    known = nodes.select(F.col("key").alias("__key")).distinct()
+    nodes = nodes.join(known, F.col("parent") == F.col("__key"), "left")
+    # `up` is the ancestor reached so far, null once the way has ended, and `steps` how far away it is
+    lost = F.col("parent").isNotNull() & F.col("__key").isNull()
+    first_step = F.when(F.col("__key").isNull(), 0).otherwise(1).cast("bigint")
+    climb = settle(nodes.select("key", "parent", F.col("__key").alias("up"), first_step.alias("steps"), lost.alias("lost")))
+    on_the_way, standing = None, None
+    while True:
+        counts = climb.agg(F.count("up").alias("open"), F.count_distinct("up").alias("standing")).first()
+        if not counts["open"] or (counts["open"], counts["standing"]) == (on_the_way, standing):
             break
+        on_the_way, standing = counts["open"], counts["standing"]
         above = climb.select(
-            F.col("key").alias("__key"), F.col("up").alias("__up"), F.col("steps").alias("__steps")
-        )
-        open_rows = climb.filter("up IS NOT NULL").join(above, F.col("up") == F.col("__key"))
-        moved = open_rows.select(
-            "key", "parent", F.col("__up").alias("up"), (F.col("steps") + F.col("__steps")).alias("steps")
+            F.col("key").alias("__key"), F.col("up").alias("__up"), F.col("steps").alias("__steps"), F.col("lost").alias("__lost")
         )
+        moved = climb.filter("up IS NOT NULL").join(above, F.col("up") == F.col("__key"))
+        steps = (F.col("steps") + F.col("__steps")).alias("steps")
+        moved = moved.select("key", "parent", F.col("__up").alias("up"), steps, F.col("__lost").alias("lost"))
         climb = settle(climb.filter("up IS NULL").unionByName(moved))
-    done = climb.filter("up IS NULL")
-    return done.select(F.col("key").alias(key), F.col("parent").alias(parent), F.col("steps").alias("depth"))
+    left, done = climb.filter("up IS NOT NULL"), climb.filter("up IS NULL")
+    on_cycle = left.select(F.col("up").alias("__on")).distinct()
+    stuck = left.join(on_cycle, F.col("key") == F.col("__on"), "left")
+    state = F.when(F.col("__on").isNotNull(), CYCLE).otherwise(BELOW)
+    stuck = stuck.select("key", "parent", F.lit(None).cast("bigint").alias("depth"), state.alias("state"))
+    fine = done.select(
+        "key", "parent", F.when(~F.col("lost"), F.col("steps")).alias("depth"), F.when(F.col("lost"), ORPHAN).otherwise(ROOTED).alias("state")
+    )
+    return fine.unionByName(stuck).withColumnsRenamed({"key": key, "parent": parent})
+
+
+def hierarchy(df: DataFrame, key: str, parent: str) -> DataFrame:
+    """``key, parent, depth`` of every node that hangs below a root, however deep; ``hierarchy_states`` has the others."""
+    return hierarchy_states(df, key, parent).filter(F.col("state") == ROOTED).drop("state")

@@ -8,7 +8,7 @@ rows wide, so they never pull a table into one task.
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -226,6 +226,45 @@ def page(df: DataFrame, order_by: Sequence[str], offset: int, limit: int) -> Dat
     return df.orderBy(*order_by).offset(max(offset, 0)).limit(limit)
 
 
+@dataclass(frozen=True)
+class SortedFiles:
+    """Rows written in a total order: the files in that order and how many rows each holds."""
+
+    files: tuple[tuple[str, int], ...]
+    order: tuple[str, ...]
+
+    @property
+    def total(self) -> int:
+        """Rows of all files."""
+        return sum(rows for _, rows in self.files)
+
+    def page(self, spark: SparkSession, offset: int, limit: int) -> DataFrame | None:
+        """Rows ``offset`` to ``offset + limit``; opens only the files that hold some of them. None out of range."""
+        offset = max(offset, 0)
+        chosen, first, at = [], None, 0
+        for name, rows in self.files:
+            if at < offset + limit and at + rows > offset:
+                first = at if first is None else first
+                chosen.append(name)
+            at += rows
+        if first is None or limit <= 0:
+            return None
+        return spark.read.parquet(*chosen).orderBy(*self.order).offset(offset - first).limit(limit)
+
+
+def sorted_files(df: DataFrame, order_by: Sequence[str], folder: str) -> SortedFiles:
+    """Write ``df`` in ranges of ``order_by``, a total order, and say how many rows each file holds.
+
+    One shuffle for any number of pages: a page then costs its own files, wherever it lies.
+    """
+    df.orderBy(*order_by).write.parquet(folder)
+    spark = df.sparkSession
+    # one row per file; files are named in the order of their ranges
+    counts = spark.read.parquet(folder).groupBy(F.col("_metadata.file_path").alias("f")).agg(F.count("*").alias("n"))
+    found = sorted((r["f"], r["n"]) for r in counts.collect())
+    return SortedFiles(tuple(found), tuple(order_by))
+
+
 def has_news(df: DataFrame, cursor: str, since: object) -> DataFrame:
     """One row ``has_news``: false when the greatest cursor is behind ``since`` and a read can be skipped."""
     return df.agg(F.coalesce(F.max(cursor) >= _bound(df, cursor, since), F.lit(False)).alias("has_news"))
@@ -483,6 +522,66 @@ def pack(df: DataFrame, weight: str, n: int, order_by: Sequence[str], into: str
     return running.withColumn(into, bin_number).drop("__load", "__through")
 
 
+def rounded_weight(weight: Column, digits: int = 4) -> Column:
+    """A whole weight of at least 1 with so many significant digits that few different ones are left."""
+    whole = F.greatest(F.coalesce(F.ceil(weight), F.lit(1)), F.lit(1)).cast("bigint")
+    unit = F.pow(F.lit(10), F.greatest(F.floor(F.log10(whole)) - (digits - 1), F.lit(0))).cast("bigint")
+    return F.when(whole < 10**digits, whole).otherwise(F.ceil(whole / unit).cast("bigint") * unit)
+
+
+def least_loaded_plan(counts: Sequence[tuple[int, int]], n: int) -> list[tuple[int, int, int, list[int]]]:
+    """Where longest-first into the least-loaded bin puts items: rows (weight, first, past, bins).
+
+    ``counts`` says how many items there are of each weight. Of the items of a weight, numbered from 0, those from
+    ``first`` to ``past`` go to ``bins`` in turn. Equal items fill the bins level by level, a level being as high as an
+    item, so a run needs one row for every time that a higher bin joins in, at most ``n``, however many items it has.
+    """
+    loads, plan = [0] * n, []
+    for weight, count in sorted(counts, reverse=True):
+        level = [load // weight for load in loads]
+        steps, runs = sorted(set(level)), []
+        at = 0
+        for i, low in enumerate(steps):
+            bins = sorted((b for b in range(n) if level[b] <= low), key=lambda b: (loads[b] % weight, b))
+            room = count - at if i + 1 == len(steps) else min(count - at, len(bins) * (steps[i + 1] - low))
+            if room > 0:
+                runs.append((weight, at, at + room, bins))
+                at += room
+        plan += runs
+        for _, first, past, bins in runs:
+            whole, rest = divmod(past - first, len(bins))
+            for place, b in enumerate(bins):
+                loads[b] += weight * (whole + (place < rest))
+    return plan
+
+
+def pack_least_loaded(
+    df: DataFrame, weight: str, n: int, order_by: Sequence[str], into: str = "bin", digits: int = 4
+) -> DataFrame:
+    """Put items into ``n`` bins, the longest first, each into the least-loaded bin (of equal ones, the first).
+
+    Items of one weight go in the order of ``order_by``. Weights are compared with ``digits`` significant digits, which
+    bounds how many different ones there are (some 9,000 per power of ten): the driver plans on how many items each
+    weight has, and no task holds all items or those of a weight. Items without a positive weight count as one.
+    """
+    items = df.withColumn("__weight", rounded_weight(F.col(weight), digits))
+    counts = [(r["__weight"], r["n"]) for r in items.groupBy("__weight").agg(F.count("*").alias("n")).collect()]
+    if not counts:
+        return df.withColumn(into, F.lit(None).cast("int"))
+    plan = least_loaded_plan(counts, n)
+    starts, at = [], 0
+    for w, count in sorted(counts, reverse=True):
+        starts.append((w, at))
+        at += count
+    start_of = dict(starts)
+    rows = [(w, start_of[w] + first, start_of[w] + past, bins) for w, first, past, bins in plan]
+    found = df.sparkSession.createDataFrame(rows, "__w bigint, __first bigint, __past bigint, __bins array<int>")
+    placed = with_ordinal(items, [F.col("__weight").desc(), *order_by], "__at", start=0)
+    here = (F.col("__weight") == F.col("__w")) & (F.col("__at") >= F.col("__first")) & (F.col("__at") < F.col("__past"))
+    turn = ((F.col("__at") - F.col("__first")) % F.size("__bins")).cast("int")
+    return placed.join(found, here).withColumn(into, F.get("__bins", turn)).select(*df.columns, into)
+
+
 def with_sequence(df: DataFrame, order_by: Sequence[str], batch_id: int = 0, into: str = "_sequence") -> DataFrame:
     """Sequence for feeds without a cursor: grows along ``order_by`` in a batch and from batch to batch."""
     return with_ordinal(df, order_by, into, start=(batch_id << 40) + 1)
@@ -541,8 +640,23 @@ def page_pinned(
         until, first = run_start, 1
     pages = max(1, -(-cap // limit))
     span = slice_range(df, cursor, since, until, low_inclusive=True)
-    rows = page(span, [cursor, key], (first - 1) * limit, pages * limit)
-    if rows.count() < pages * limit:
+    # a page without a last row is not full, so the range is drained; the page itself is not counted
+    start = (first - 1) * limit
+    rows = page(span, [cursor, key], start, pages * limit)
+    if page(span.select(cursor, key), [cursor, key], start + pages * limit - 1, 1).isEmpty():
         return rows, {"cursor": until}
     following = {"until": until, "page": first + pages}
     return rows, following if since is None else {**following, "since": since}
+
+
+def drain_pinned(
+    df: DataFrame, cursor: str, key: str, until: object, since: object, cap: int, folder: str
+) -> Iterator[DataFrame]:
+    """All pages of a pinned range, ``cap`` rows each, out of one sorted copy: every row of the range once.
+
+    The bounds are fixed when the copy is written, so rows that come meanwhile are for the next range. A page reads the
+    files that hold it, and none is counted or sorted as a whole.
+    """
+    held = sorted_files(slice_range(df, cursor, since, until, low_inclusive=True), [cursor, key], folder)
+    for offset in range(0, held.total, cap):
+        yield held.page(df.sparkSession, offset, cap)

@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from feedweir.domains import dicom, fhir, hl7, osdu
 from feedweir.plans.registry import query, table
+from feedweir.session import checkpoint_dir, settle
+from feedweir.sources import readers
 
 
 def _text(*parts: str | Column) -> Column:
@@ -67,6 +71,36 @@ def _(spark: SparkSession, d: str) -> DataFrame:
     return rows.select("o_orderkey", "message_no", F.size(F.split("message", "\r")).cast("bigint").alias("lines"))
 
 
+@query(
+    "hl7_cut_files",
+    "O-30", "O-100",
+    sql="""
+SELECT 'M' || o_orderkey AS message_id, 9::BIGINT AS lines, true AS many_tasks, true AS numbered FROM orders
+UNION ALL SELECT 'N' || o_orderkey, 3, true, true FROM orders WHERE o_orderstatus = 'F'
+""",
+)
+def _(spark: SparkSession, d: str) -> DataFrame:
+    """All orders' messages in one batch file, which is cut anywhere and read by many tasks."""
+    folder, size = f"{checkpoint_dir(spark)}/hl7-{uuid.uuid4().hex}", spark.conf.get("spark.sql.files.maxPartitionBytes")
+    hl7_texts(spark, d).select("text").coalesce(1).write.option("lineSep", "\n").text(folder)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "32k")
+    try:
+        rows = readers.read_hl7(spark, folder, "*.txt")
+        parts = spark.read.text(folder).rdd.getNumPartitions()
+        rows = settle(rows)
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+    numbers = rows.agg((F.count_distinct("message_no") == F.max("message_no") + 1).alias("ok")).scalar()
+    mark = F.split(F.substring("message", 4, 1), "")[0]
+    head = F.split_part(F.split("message", "\r")[0], mark, F.lit(10))
+    return rows.select(
+        head.alias("message_id"),
+        F.size(F.split("message", "\r")).cast("bigint").alias("lines"),
+        F.lit(parts >= 8).alias("many_tasks"),
+        numbers.alias("numbered"),
+    )
+
+
 @query(
     "hl7_segments",
     "O-101",
@@ -198,11 +232,12 @@ def _(spark: SparkSession, d: str) -> DataFrame:
 @query(
     "hl7_generic_segment",
     "O-106",
-    sql="SELECT o_orderkey, 'ZXX' AS segment_type, 'a' AS field_1, o_orderkey::VARCHAR AS field_2, NULL::VARCHAR AS field_3, 'd' AS field_4, NULL::VARCHAR AS field_25 FROM orders",
+    sql="SELECT o_orderkey, 'ZXX' AS segment_type, 'a' AS field_1, o_orderkey::VARCHAR AS field_2, NULL::VARCHAR AS field_3, 'd' AS field_4, NULL::VARCHAR AS field_25, 4::BIGINT AS places FROM orders",
 )
 def _(spark: SparkSession, d: str) -> DataFrame:
     rows = hl7.segment_table(hl7_segments(spark, d), "ZXX", keep=KEEP)
-    return rows.select("o_orderkey", "segment_type", "field_1", "field_2", "field_3", "field_4", "field_25")
+    places = F.size("all_fields").cast("bigint").alias("places")
+    return rows.select("o_orderkey", "segment_type", "field_1", "field_2", "field_3", "field_4", "field_25", places)
 
 
 @query(

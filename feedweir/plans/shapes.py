@@ -595,6 +595,30 @@ def _(spark: SparkSession, d: str) -> DataFrame:
     return H.hierarchy(table(spark, d, "part").select("p_partkey", parent.alias("parent")), "p_partkey", "parent")
 
 
+@query(
+    "hierarchy_cycles",
+    "O-73",
+    sql="""
+WITH RECURSIVE n AS (SELECT max(event_id) AS n FROM events),
+edges AS (
+  SELECT event_id, CASE WHEN event_id = 0 THEN NULL WHEN event_id = n - 7 THEN n - 5 WHEN event_id = n THEN -5 ELSE event_id - 1 END AS parent
+  FROM events, n),
+walk AS (
+  SELECT event_id, parent, 0 AS depth FROM edges WHERE parent IS NULL
+  UNION ALL SELECT e.event_id, e.parent, w.depth + 1 FROM edges e JOIN walk w ON e.parent = w.event_id)
+SELECT event_id, e.parent, w.depth::BIGINT AS depth,
+  CASE WHEN w.depth IS NOT NULL THEN 'rooted' WHEN event_id = n THEN 'missing parent' WHEN event_id BETWEEN n - 7 AND n - 5 THEN 'cycle' ELSE 'below a cycle' END AS state
+FROM edges e LEFT JOIN walk w USING (event_id), n
+""",
+)
+def _(spark: SparkSession, d: str) -> DataFrame:
+    """A chain as deep as the table is long, with a cycle of three near its end and one node below nothing."""
+    events, last = table(spark, d, "events"), table(spark, d, "events").agg(F.max("event_id").alias("n")).scalar()
+    at = F.col("event_id")
+    parent = F.when(at == 0, None).when(at == last - 7, last - 5).when(at == last, -5).otherwise(at - 1)
+    return H.hierarchy_states(events.select("event_id", parent.cast("bigint").alias("parent")), "event_id", "parent")
+
+
 @query("tag_access", "O-74", sql="SELECT p_partkey, p_brand AS modality, p_size AS number FROM part")
 def _(spark: SparkSession, d: str) -> DataFrame:
     text = F.concat(
@@ -1043,6 +1067,40 @@ def _(spark: SparkSession, d: str) -> DataFrame:
     return found.select(parts[0].cast("bigint").alias("c_custkey"), parts[1].alias("value"))
 
 
+@query(
+    "skipped_files",
+    "O-29",
+    "O-26",
+    sql="""
+SELECT 'whole' AS file, 'read' AS status, count(*) AS rows FROM customer
+UNION ALL SELECT 'broken.gz', 'partly', 0
+UNION ALL SELECT 'none.gz', 'unread', 0
+""",
+)
+def _(spark: SparkSession, d: str) -> DataFrame:
+    """Lines of gzip files, one of which is cut off and one is none at all: rows, and the files that are not all there."""
+    import gzip
+    import uuid
+
+    from feedweir.session import checkpoint_dir
+    from feedweir.sources.sinks import _hadoop
+
+    folder = f"{checkpoint_dir(spark)}/skipped-{uuid.uuid4().hex}"
+    line = F.concat(F.col("c_custkey"), F.lit("|"), F.col("c_name")).alias("value")
+    table(spark, d, "customer").select(line).write.option("compression", "gzip").text(folder)
+    fs, path = _hadoop(spark, folder)
+    lines = gzip.compress(b"".join(b"line %d\n" % i for i in range(50_000)))
+    for name, content in (("broken.gz", lines[: len(lines) // 2]), ("none.gz", b"no archive at all")):
+        out = fs.create(path(f"{folder}/{name}"), True)
+        out.write(bytearray(content))
+        out.close()
+    found = readers.scan_files(spark, folder, "*.gz", wholetext="false")
+    skipped = readers.skipped_files(spark, found, folder, "*.gz")
+    rows = found.filter("value LIKE '%|%'").agg(F.lit("whole").alias("file"), F.lit("read").alias("status"), F.count("*").alias("rows"))
+    names = F.regexp_extract("source_file", "[^/]+$", 0)
+    return rows.unionByName(skipped.select(names.alias("file"), "status", F.lit(0).cast("bigint").alias("rows")))
+
+
 @query("named_operation", "O-177", sql="SELECT DISTINCT p_name AS name FROM part WHERE regexp_matches(p_name, '(?i)widget$')")
 def _(spark: SparkSession, d: str) -> DataFrame:
     from feedweir.plans.extensions import operation, run_operation

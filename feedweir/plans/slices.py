@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,6 +15,7 @@ from feedweir.operators import reports as R
 from feedweir.operators import slicing as S
 from feedweir.operators.checks import with_future_rows
 from feedweir.plans.registry import query, table
+from feedweir.session import checkpoint_dir
 
 SINCE = dt.datetime(2024, 1, 10)
 RUN_START = dt.datetime(2024, 1, 20)
@@ -37,6 +39,10 @@ HOURLY = "hourly AS (SELECT event_id, date_trunc('hour', ts) AS hour, user_id FR
 # ---------------------------------------------------------------- plain bounds
 
 
+def _folder(spark: SparkSession, name: str) -> str:
+    return f"{checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
 @query("slice_after", "O-114", sql="SELECT event_id, ts, user_id, event_type, value FROM events WHERE ts > TIMESTAMP '2024-01-10'")
 def _(spark: SparkSession, d: str) -> DataFrame:
     return S.slice_after(events(spark, d), "ts", SINCE)
@@ -549,6 +555,51 @@ def _(spark: SparkSession, d: str) -> DataFrame:
     return S.pack(weights, "weight", 6, ["l_orderkey"])
 
 
+@query(
+    "least_loaded_bins",
+    "O-131",
+    sql="""
+WITH RECURSIVE w AS (
+    SELECT o_custkey, count(*) AS weight, row_number() OVER (ORDER BY count(*) DESC, o_custkey) AS place FROM orders GROUP BY 1
+), placed AS (
+    SELECT 0::BIGINT AS place, [0, 0, 0, 0, 0]::BIGINT[] AS loads, NULL::BIGINT AS o_custkey, NULL::BIGINT AS weight, -1::BIGINT AS bin
+    UNION ALL
+    SELECT w.place, [loads[i] + CASE WHEN i = list_position(loads, list_min(loads)) THEN w.weight ELSE 0 END FOR i IN [1, 2, 3, 4, 5]],
+        w.o_custkey, w.weight, list_position(loads, list_min(loads)) - 1
+    FROM placed p JOIN w ON w.place = p.place + 1
+)
+SELECT o_custkey, weight, bin::INT AS bin FROM placed WHERE place > 0
+""",
+)
+def _(spark: SparkSession, d: str) -> DataFrame:
+    """Customers by their number of orders, the largest first, each into the bin that holds least so far."""
+    weights = table(spark, d, "orders").groupBy("o_custkey").agg(F.count(F.lit(1)).alias("weight"))
+    return S.pack_least_loaded(weights, "weight", 5, ["o_custkey"])
+
+
+@query(
+    "page_loop",
+    "O-145",
+    "O-193",
+    sql="""
+SELECT event_id, ts, (row_number() OVER (ORDER BY ts, event_id) - 1) // 150 AS page, true AS few_files
+FROM events WHERE ts <= TIMESTAMP '2024-01-20'
+""",
+)
+def _(spark: SparkSession, d: str) -> DataFrame:
+    """All pages of a pinned range one after the other; each opens only the files that hold its rows."""
+    held = S.sorted_files(S.slice_range(events(spark, d, "event_id", "ts"), "ts", None, RUN_START), ["ts", "event_id"], _folder(spark, "pages"))
+    pages, opened = None, 0
+    for number, offset in enumerate(range(0, held.total, 150)):
+        rows = held.page(spark, offset, 150)
+        opened += len(rows.inputFiles())
+        rows = rows.withColumn("page", F.lit(number).cast("bigint"))
+        pages = rows if pages is None else pages.unionByName(rows)
+    # pages that share a file at their border open it both
+    few = opened <= len(held.files) + number
+    return pages.withColumn("few_files", F.lit(few)).select("event_id", "ts", "page", "few_files")
+
+
 @query(
     "batch_sequence",
     "O-142",

@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -195,17 +195,20 @@ def scan_files(
     since: dt.datetime | None = None,
     until: dt.datetime | None = None,
     fmt: str = "text",
+    strict: bool = False,
     **options: str,
 ) -> DataFrame:
     """Files of a folder and below, changed in ``(since, until]``, with ``source_file`` and ``create_time``.
 
-    Files that vanish or cannot be read are skipped. Only the chosen files are opened: the time is file metadata.
+    Files that vanish or cannot be read are skipped, which ``skipped_files`` tells, or stop the job if ``strict``. Only
+    the chosen files are opened: the time is file metadata.
     """
     if fmt == "text":
         options = {"wholetext": "true", **options}
+    lenient = "false" if strict else "true"
     rows = (
         spark.read.format(fmt)
-        .options(pathGlobFilter=glob, recursiveFileLookup="true", ignoreMissingFiles="true", ignoreCorruptFiles="true")
+        .options(pathGlobFilter=glob, recursiveFileLookup="true", ignoreMissingFiles=lenient, ignoreCorruptFiles=lenient)
         .options(**options)
         .load(path)
     )
@@ -218,12 +221,102 @@ def scan_files(
     return rows.select("*", F.col("_metadata.file_path").alias("source_file"), changed.alias("create_time"))
 
 
+def list_files(
+    spark: SparkSession, path: str, glob: str = "*", since: dt.datetime | None = None, until: dt.datetime | None = None
+) -> DataFrame:
+    """Names, lengths and times of the files that ``scan_files`` chooses, without opening one."""
+    files = spark.read.format("binaryFile").options(pathGlobFilter=glob, recursiveFileLookup="true").load(path)
+    if since is not None:
+        files = files.filter(F.col("modificationTime") > literal(since, "timestamp"))
+    if until is not None:
+        files = files.filter(F.col("modificationTime") <= literal(until, "timestamp"))
+    return files.select(F.col("path").alias("source_file"), "length", F.col("modificationTime").alias("create_time"))
+
+
+def _unpacked(batches):
+    """Bytes that a gzip file holds up to its end or to the first fault, and whether there is a fault."""
+    import io
+    import zlib
+
+    import pandas as pd
+
+    for batch in batches:
+        rows = []
+        for name, content in zip(batch["source_file"], batch["content"]):
+            stream, size, whole = io.BytesIO(content), 0, False
+            try:
+                part = zlib.decompressobj(31)
+                while chunk := stream.read(1 << 20):
+                    while chunk:
+                        size += len(part.decompress(chunk))
+                        whole, chunk = part.eof, part.unused_data
+                        if whole and chunk:
+                            part = zlib.decompressobj(31)
+            except zlib.error:
+                whole = False
+            rows.append((name, size, whole))
+        yield pd.DataFrame(rows, columns=["source_file", "unpacked", "whole"])
+
+
+def skipped_files(
+    spark: SparkSession, rows: DataFrame, path: str, glob: str = "*", since: dt.datetime | None = None, until: dt.datetime | None = None
+) -> DataFrame:
+    """Files of a ``scan_files`` of texts that are missing in its ``rows`` or only half there: one row per such file.
+
+    Rows (source_file, length, bytes_read, status): ``unread`` if nothing came of a file that is not empty, ``partly``
+    if less came than the listing has. Line ends, which lines come without, count as one byte each. Gzip files are
+    measured unpacked, and one that breaks off or fails its check sum is ``partly`` whatever was read of it.
+    """
+    listed = list_files(spark, path, glob, since, until)
+    size = F.octet_length("value") + 1
+    came = rows.groupBy("source_file").agg(F.sum(size).alias("bytes_read"))
+    # names of one file differ in how many slashes follow the scheme
+    plain = F.regexp_replace("source_file", "^file:/+", "file:/")
+    zipped = spark.read.format("binaryFile").options(pathGlobFilter=glob, recursiveFileLookup="true").load(path)
+    zipped = zipped.filter(F.col("path").endswith(".gz")).select(F.col("path").alias("source_file"), "content")
+    inside = zipped.mapInPandas(_unpacked, "source_file string, unpacked long, whole boolean")
+    found = listed.withColumn("__file", plain).join(came.withColumn("__file", plain).drop("source_file"), "__file", "left")
+    found = found.join(inside.withColumn("__file", plain).drop("source_file"), "__file", "left")
+    expected = F.coalesce("unpacked", "length")
+    whole, read = F.coalesce("whole", F.lit(True)), F.coalesce("bytes_read", F.lit(0))
+    lacking = ~whole | (read < expected)
+    status = F.when(lacking, F.when(F.col("bytes_read").isNull(), "unread").otherwise("partly"))
+    found = found.withColumn("status", status).filter(F.col("status").isNotNull())
+    return found.select("source_file", "length", F.coalesce("bytes_read", F.lit(0)).alias("bytes_read"), "status")
+
+
+def cut_messages(lines: DataFrame, starts: Column, skip: Column) -> DataFrame:
+    """Messages out of the lines of text files that several tasks read: (source_file, create_time, message_no, message).
+
+    ``lines`` is a scan by lines with ``value``, ``source_file``, ``create_time``, and ``block``, where the task's part
+    of the file begins. A line that ``starts`` opens a message, which may go on in later parts; lines before the first one
+    and lines to ``skip`` are none's. Lines are numbered within their part, and one count per part carries the number
+    of the open message over to the next, so that no task holds a file.
+    """
+    kept = lines.filter(~skip).withColumn("__line", F.monotonically_increasing_id()).withColumn("__opens", starts)
+    part = ["source_file", "block"]
+    opened = kept.groupBy(*part).agg(F.count_if("__opens").alias("__n"))
+    # one row per part of a file
+    earlier = Window.partitionBy("source_file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    opened = opened.select(*part, F.coalesce(F.sum("__n").over(earlier), F.lit(0)).alias("__before"))
+    here = Window.partitionBy(*part).orderBy("__line").rowsBetween(Window.unboundedPreceding, 0)
+    numbered = kept.withColumn("__here", F.count_if("__opens").over(here)).join(opened, part)
+    numbered = numbered.withColumn("message_no", (F.col("__before") + F.col("__here") - 1).cast("int"))
+    text = F.sort_array(F.collect_list(F.struct("block", "__line", "value")))
+    whole = numbered.filter("message_no >= 0").groupBy("source_file", "message_no").agg(F.min("create_time").alias("create_time"), text.alias("__t"))
+    return whole.select("source_file", "create_time", "message_no", F.array_join("__t.value", "\r").alias("message"))
+
+
 def read_hl7(spark: SparkSession, path: str, glob: str = "*.hl7", **bounds) -> DataFrame:
-    """Messages of HL7 files, which may hold several each."""
+    """Messages of HL7 files, which may hold any number: a large file is read by as many tasks as it has parts.
+
+    A message is what ``domains.hl7.messages`` makes of the whole text of the file, with the same ``message_no``.
+    """
     from feedweir.domains import hl7
 
-    files = scan_files(spark, path, glob, **bounds).withColumnRenamed("value", "text")
-    return hl7.messages(files)
+    lines = scan_files(spark, path, glob, wholetext="false", **bounds)
+    lines = lines.select("*", F.col("_metadata.file_block_start").alias("block"))
+    return cut_messages(lines, hl7.opens_message(F.col("value")), hl7.no_line(F.col("value")))
 
 
 def grid_header(df: DataFrame, values: str) -> Column:

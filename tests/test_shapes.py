@@ -17,6 +17,7 @@ from feedweir.functions import nested as N
 from feedweir.functions import scalars as L
 from feedweir.operators import checks
 from feedweir.operators import shaping as H
+from feedweir.domains import hl7
 from feedweir.sources import catalog, readers, sinks
 
 
@@ -125,10 +126,13 @@ def test_null_ancestor_key_fails(spark):
 def test_hierarchy_any_shape(spark, rows):
     chain = [(i, i - 1 if i else None) for i in range(40)]
     fan = [(100 + i, 3) for i in range(50)]
-    lost = [(500, 501), (600, 601), (601, 600)]
+    lost = [(500, 501), (510, 500), (600, 601), (601, 600), (700, 700)] + [(800 + i, 799 + i if i else 600) for i in range(21)]
     df = spark.createDataFrame(chain + fan + lost, "id bigint, parent bigint")
-    found = {r[0]: r[2] for r in rows(H.hierarchy(df, "id", "parent", max_rounds=8))}
+    found = {r[0]: r[2] for r in rows(H.hierarchy(df, "id", "parent"))}
     assert found == {i: i for i in range(40)} | {100 + i: 4 for i in range(50)}
+    states = {r["id"]: r["state"] for r in H.hierarchy_states(df, "id", "parent").filter("depth IS NULL").collect()}
+    assert states == {500: H.ORPHAN, 510: H.ORPHAN, 600: H.CYCLE, 601: H.CYCLE, 700: H.CYCLE} | {800 + i: H.BELOW for i in range(21)}
+    assert H.hierarchy_states(df.limit(0), "id", "parent").count() == 0
 
 
 def test_series_tolerates_short_rows(spark, rows):
@@ -229,6 +233,40 @@ def test_file_scan(spark, tmp_path):
     assert readers.scan_files(spark, str(tmp_path), "*.hl7", until=future).count() == 1
 
 
+@pytest.mark.parametrize("size", ["64b", "100b", "1k", "1m"])
+def test_hl7_files_cut_anywhere(spark, tmp_path, size):
+    """Parts of a file that begin within a line, at a line end, between messages or before the first one."""
+    end = {"a": "\r", "b": "\n", "c": "\r\n"}
+    for name, cut in end.items():
+        lines = ["FHS|x", "junk", ""]
+        for i in range(30):
+            lines += [f"{'msh' if i % 7 == 3 else 'MSH'}|^~\\&|{name}{i}", *[f"OBX|{j}|{'x' * (i * j % 23)}" for j in range(i % 4)], "" if i % 5 else "BTS|1"]
+        (tmp_path / f"{name}.hl7").write_bytes(cut.join(lines).encode())
+    whole = hl7.messages(readers.scan_files(spark, str(tmp_path), "*.hl7").withColumnRenamed("value", "text"))
+    want = sorted((r["source_file"], r["message_no"], r["message"]) for r in whole.collect())
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+    try:
+        found = readers.read_hl7(spark, str(tmp_path)).collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert sorted((r["source_file"], r["message_no"], r["message"]) for r in found) == want and len(want) == 90
+
+
+def test_skipped_files(spark, tmp_path):
+    import gzip
+
+    whole = gzip.compress(b"".join(b"line %d\n" % i for i in range(20_000)))
+    files = {"a.gz": whole, "b.gz": whole[: len(whole) // 2], "c.gz": b"none", "d.txt": b"x\ny\n", "e.txt": b"", "f.gz": whole + whole}
+    for name, content in files.items():
+        (tmp_path / name).write_bytes(content)
+    found = readers.scan_files(spark, str(tmp_path), wholetext="false")
+    skipped = {r["source_file"].rsplit("/")[-1]: r["status"] for r in readers.skipped_files(spark, found, str(tmp_path)).collect()}
+    assert skipped == {"b.gz": "partly", "c.gz": "unread"}
+    with pytest.raises(Exception, match="(?i)eof|gzip|unexpected end|FAILED_READ_FILE"):
+        readers.scan_files(spark, str(tmp_path), wholetext="false", strict=True).count()
+
+
 def test_payload_files(spark, tmp_path, rows):
     df = spark.createDataFrame([("1.2.3", b"abc"), ("../x", b"no"), ("1.4", None)], "uid string, body binary")
     found = rows(sinks.write_payloads(df, str(tmp_path / "out"), "uid", "body", ".dcm"))

@@ -245,3 +245,44 @@ def test_split_and_pack(spark):
     bins = S.pack(spark.range(100).withColumn("w", F.col("id") % 7), "w", 5, ["id"])
     loads = [r["s"] for r in bins.groupBy("bin").agg(F.sum(F.greatest("w", F.lit(1))).alias("s")).collect()]
     assert len(loads) == 5 and max(loads) - min(loads) <= 12
+
+
+@pytest.mark.parametrize("seed", range(5))
+def test_least_loaded_plan_equals_one_by_one(seed):
+    rng = random.Random(seed)
+    n = rng.randint(1, 7)
+    weights = [rng.choice([1, 2, 3, 5, 8, 50, 1000, rng.randint(1, 400)]) for _ in range(300)]
+    counts = {w: weights.count(w) for w in weights}
+    loads, want = [0] * n, []
+    for w in sorted(weights, reverse=True):
+        best = min(range(n), key=lambda b: (loads[b], b))
+        loads[best] += w
+        want.append((w, best))
+    got = []
+    for w, first, past, bins in S.least_loaded_plan(list(counts.items()), n):
+        got += [(w, bins[i % len(bins)]) for i in range(past - first)]
+    assert got == want
+
+
+def test_pack_least_loaded(spark):
+    df = spark.createDataFrame([(i, w) for i, w in enumerate([7, None, 3, 3, 0, 9, -2, 3, 123_456, 99_999])], "id int, w int")
+    found = {r["id"]: r["bin"] for r in S.pack_least_loaded(df, "w", 3, ["id"]).collect()}
+    assert found == {8: 0, 9: 1, 5: 2, 0: 2, 2: 2, 3: 2, 7: 2, 1: 2, 4: 2, 6: 2}
+    rounded = df.select("id", S.rounded_weight(F.col("w"), 2).alias("w"))
+    assert {r["id"]: r["w"] for r in rounded.collect()}[8] == 130_000
+    assert S.pack_least_loaded(df.limit(0), "w", 3, ["id"]).count() == 0
+
+
+def test_sorted_pages(spark, tmp_path):
+    df = spark.range(1000).select(((F.col("id") * 7919) % 1000).alias("n"), "id")
+    held = S.sorted_files(df.repartition(4), ["n", "id"], str(tmp_path / "p"))
+    assert held.total == 1000
+    for offset, limit in ((0, 10), (995, 10), (333, 400), (-5, 3)):
+        got = [r["n"] for r in held.page(spark, offset, limit).collect()]
+        assert got == list(range(1000))[max(offset, 0) : max(offset, 0) + limit]
+    assert held.page(spark, 1000, 5) is None and held.page(spark, 3, 0) is None
+    start = dt.datetime(2024, 1, 1)
+    timed = df.select("id", F.make_timestamp_ntz(F.lit(2024), F.lit(1), (F.col("n") % 28 + 1).cast("int"), F.lit(0), F.lit(0), F.lit(0)).alias("ts"))
+    parts = list(S.drain_pinned(timed, "ts", "id", start + dt.timedelta(days=9), start + dt.timedelta(days=2), 70, str(tmp_path / "q")))
+    want = timed.filter("ts between '2024-01-03' and '2024-01-10'")
+    assert all(p.count() == 70 for p in parts[:-1]) and balance(parts, want) == (0, 0)

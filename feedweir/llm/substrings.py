@@ -28,16 +28,31 @@ SHARD_WORDS = 200_000
 HOT_SEGMENTS = 2000
 # Segments, and words of documents, that a task makes before it hands them on.
 OUT_ROWS, OUT_WORDS = 4096, 500_000
+# Words whose hashes a task keeps.
+HASHES = 300_000
 
 _U = np.uint64
 
 
+class _Hashes(dict):
+    """Hashes of words, kept as long as they are few: most words come again within a task."""
+
+    def __missing__(self, word: bytes) -> int:
+        if len(self) >= HASHES:
+            self.clear()
+        self[word] = found = xxhash.xxh3_64_intdigest(word)
+        return found
+
+
+_hashes = _Hashes()
+
+
 def minimizers(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """First windows of the runs of windows with the same minimizer, and the minimizers."""
     n = len(words)
     if n < WINDOW:
         return np.empty(0, np.int32), np.empty(0, np.int64)
-    h = np.fromiter((xxhash.xxh3_64_intdigest(w) for w in words), _U, n)
+    h = np.fromiter(map(_hashes.__getitem__, words), _U, n)
     runs = h[: n - RUN + 1]
     for j in range(1, RUN):
         runs = _mix(runs * _U(0x9E3779B97F4A7C15) ^ h[j : n - RUN + 1 + j])

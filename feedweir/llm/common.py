@@ -59,6 +59,28 @@ def free_name(df: DataFrame, name: str) -> str:
     return name
 
 
+def bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with ``value`` computed once."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
+def running(values: Column, join: Callable[[Column, Column], Column]) -> Column:
+    """Per place of an array, ``join`` (a sum, a maximum) over all places up to it: n log n steps for n entries.
+
+    Every round joins each entry with the one twice as far back as the round before did.
+    """
+
+    def all_rounds(first: Column) -> Column:
+        steps = F.filter(F.array(*[F.lit(1 << k) for k in range(31)]), lambda s: s < F.size(first))
+
+        def one(now: Column, step: Column) -> Column:
+            return F.transform(now, lambda x, i: F.when(i >= step, join(x, F.get(now, i - step))).otherwise(x))
+
+        return F.aggregate(steps, first, one)
+
+    return bound(values, all_rounds)
+
+
 def components(links: DataFrame) -> DataFrame:
     """Connected components of ``links`` (a long, b long): rows (node, component), component = smallest node.
 

@@ -11,7 +11,7 @@ from collections import Counter
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from feedweir.llm.common import free_name
+from feedweir.llm.common import bound, free_name, running
 
 # The base patterns. access and hex name their least lengths: a match of the open-ended pattern is the
 # rest of its run, so the matches that are long enough are the same ones.
@@ -36,35 +36,64 @@ LEAST_TOTAL = 12.0
 # The run characters lie between '+' and 'z'.
 _FIRST, _WIDTH = ord("+"), ord("z") - ord("+") + 1
 _SPANS = "array<struct<start:int,end:int>>"
+_LOCATED = "array<struct<start:int,end:int,hit:string>>"
 
 
-def matches(text: Column, pattern: str, least: int | None = None, group: int = 0) -> Column:
-    """Spans of the leftmost matches of ``pattern`` in code points, end exclusive.
+def located(text: Column, pattern: str, least: int | None = None, group: int = 0) -> Column:
+    """The leftmost matches of ``pattern`` as (start, end, hit), in code points, end exclusive.
 
     With ``least``, a match whose ``group`` is shorter is dropped after the search. Null and empty texts have none.
+    Positions are running sums of lengths, so a text is gone through once, however many matches it has.
     """
-    found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    parts = F.zip_with(
-        F.slice(F.split(text, pattern, -1), F.lit(1), F.size(found)),
-        found,
-        lambda gap, hit: F.struct(F.char_length(gap).alias("gap"), F.char_length(hit).alias("hit")),
-    )
-    if least is not None:
-        part = F.regexp_extract_all(text, F.lit(pattern), F.lit(group))
-        parts = F.zip_with(
-            parts, part, lambda p, g: F.struct(p["gap"], p["hit"], (F.char_length(g) >= least).alias("ok"))
+
+    def placed(found: Column) -> Column:
+        gaps = F.slice(F.split(text, pattern, -1), F.lit(1), F.size(found))
+        lengths = F.zip_with(gaps, found, lambda gap, hit: F.char_length(gap) + F.char_length(hit))
+        ends = running(lengths, lambda x, y: x + y)
+        return F.zip_with(
+            ends, found, lambda end, hit: F.struct((end - F.char_length(hit)).alias("start"), end.alias("end"), hit.alias("hit"))
         )
 
-    def step(acc: Column, p: Column) -> Column:
-        start = acc["at"] + p["gap"]
-        span = F.struct(start.alias("start"), (start + p["hit"]).alias("end"))
-        longer = F.concat(acc["spans"], F.array(span))
-        if least is not None:
-            longer = F.when(p["ok"], longer).otherwise(acc["spans"])
-        return F.struct((start + p["hit"]).alias("at"), longer.alias("spans"))
+    spans = bound(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), placed)
+    if least is not None:
+        parts = F.regexp_extract_all(text, F.lit(pattern), F.lit(group))
+        both = F.zip_with(spans, parts, lambda s, g: F.struct(s.alias("s"), (F.char_length(g) >= least).alias("ok")))
+        spans = F.transform(F.filter(both, lambda x: x["ok"]), lambda x: x["s"])
+    return F.when(text.rlike(pattern), spans).otherwise(F.array().cast(_LOCATED))
+
+
+def matches(text: Column, pattern: str, least: int | None = None, group: int = 0) -> Column:
+    """``located`` without the matches themselves."""
+    return F.transform(located(text, pattern, least, group), lambda s: F.struct(s["start"], s["end"]))
+
 
-    begin = F.struct(F.lit(0).alias("at"), F.array().cast(_SPANS).alias("spans"))
-    return F.when(text.rlike(pattern), F.aggregate(parts, begin, step)["spans"]).otherwise(F.array().cast(_SPANS))
+def clear_of(spans: Column, taken: Column) -> Column:
+    """The ``spans`` that overlap none of ``taken``, in order; both are arrays of (start, end).
+
+    All are sorted together. A span is clear if nothing taken before it reaches beyond its start and the next one taken
+    starts at its end or later.
+    """
+
+    def kind(of: Column, k: int) -> Column:
+        return F.transform(of, lambda s: F.struct(s["start"].alias("start"), F.lit(k).alias("kind"), s["end"].alias("end")))
+
+    def free(both: Column) -> Column:
+        ends = running(F.transform(both, lambda s: F.when(s["kind"] == 0, s["end"]).otherwise(-1)), F.greatest)
+        starts = F.reverse(F.transform(both, lambda s: F.when(s["kind"] == 0, s["start"]).otherwise(2**31 - 1)))
+        ahead = F.reverse(running(starts, F.least))
+
+        def judged(reach: Column) -> Column:
+            def with_ahead(after: Column) -> Column:
+                return F.filter(
+                    both, lambda s, i: (s["kind"] == 1) & (F.get(reach, i) <= s["start"]) & (F.get(after, i) >= s["end"])
+                )
+
+            return bound(ahead, with_ahead)
+
+        return F.transform(bound(ends, judged), lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end")))
+
+    some = (F.size(spans) > 0) & (F.size(taken) > 0)
+    return F.when(some, bound(F.sort_array(F.concat(kind(taken, 0), kind(spans, 1))), free)).otherwise(spans)
 
 
 def _may_assign(text: Column) -> Column:
@@ -162,16 +191,13 @@ def model_spans(text: Column, ratios: list[float] | None) -> Column:
     if ratios is None:
         return F.array().cast(_SPANS)
     table = F.split(F.lit(",".join(f"{r:.5f}" for r in ratios)), ",").cast("array<double>")
-    runs = matches(text, RUN + f"{{{TOKEN_LEAST},}}")
+    runs = located(text, RUN + f"{{{TOKEN_LEAST},}}")
 
     def random(span: Column) -> Column:
-        token = F.substring(text, span["start"] + 1, span["end"] - span["start"])
         pairs = span["end"] - span["start"] - 1
-        return F.element_at(
-            F.transform(F.array(log_ratio(token, table)), lambda s: (s >= LEAST_TOTAL) & (s >= LEAST_MEAN * pairs)), 1
-        )
+        return bound(log_ratio(span["hit"], table), lambda s: (s >= LEAST_TOTAL) & (s >= LEAST_MEAN * pairs))
 
-    return F.filter(runs, random)
+    return F.transform(F.filter(runs, random), lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end")))
 
 
 def scan(df: DataFrame, text: str = "text", sample_texts: int = SAMPLE_TEXTS) -> DataFrame:
@@ -188,10 +214,8 @@ def scan(df: DataFrame, text: str = "text", sample_texts: int = SAMPLE_TEXTS) ->
     found = df.withColumns(dict(zip(kinds[:3], base_spans(t), strict=True)))
     base = F.concat(*[F.col(k) for k in kinds[:3]])
 
-    def clear(span: Column) -> Column:
-        return ~F.exists(base, lambda b: (b["start"] < span["end"]) & (span["start"] < b["end"]))
+    found = found.withColumn(kinds[3], clear_of(model_spans(t, ratios), base))
 
-    found = found.withColumn(kinds[3], F.filter(model_spans(t, ratios), clear))
     def tagged(column: str, kind: int) -> Column:
         return F.transform(F.col(column), lambda s: F.struct(s["start"], F.lit(kind).alias("kind"), s["end"]))
 

@@ -30,8 +30,12 @@ NEAR, FAR, CANDIDATES, SLACK = 24, 8, 64, 1.2
 BEAM = 32
 # Cosine down to which a search goes on from what it has found.
 RANGE = 0.97
-# Queries of the audit, and the recall below which the search is repeated with more effort.
-AUDIT, TARGET = 128, 0.95
+# Queries of the audit, as many more until they have so many true links, at most so many; the recall below which the
+# search is repeated with more effort, and the one below which there is no result.
+AUDIT, AUDIT_LINKS, AUDIT_MOST = 128, 200, 2048
+TARGET, LEAST_RECALL = 0.95, 0.9
+# Values that a task gathers at once.
+GATHERED = 1 << 22
 
 
 def _unit(rows: pd.Series) -> np.ndarray:
@@ -97,6 +101,15 @@ def _padded(lists: list[np.ndarray]) -> np.ndarray:
     return out
 
 
+def _dots(x: np.ndarray, y: np.ndarray, xi: np.ndarray, yi: np.ndarray) -> np.ndarray:
+    """Inner products of the named pairs of rows, a bounded number of values at a time."""
+    out = np.empty(len(xi))
+    step = max(1, GATHERED // max(1, x.shape[1]))
+    for at in range(0, len(xi), step):
+        out[at : at + step] = np.einsum("ij,ij->i", x[xi[at : at + step]], y[yi[at : at + step]])
+    return out
+
+
 def search(x: np.ndarray, lists: list[np.ndarray], queries: np.ndarray, own: np.ndarray, beam: int) -> tuple[np.ndarray, np.ndarray]:
     """Pairs (query, node) in range: greedy from the medoids and the query's own node (or -1), then outwards."""
     n, table = len(x), _padded(lists)
@@ -136,7 +149,7 @@ def search(x: np.ndarray, lists: list[np.ndarray], queries: np.ndarray, own: np.
         seen[active[:, None], near] = True
         s = np.full(near.shape, -9.0)
         qi, ki = np.nonzero(new)
-        s[qi, ki] = np.einsum("ij,ij->i", queries[active[qi]], x[near[qi, ki]])
+        s[qi, ki] = _dots(queries, x, active[qi], near[qi, ki])
         keep(active[qi], near[qi, ki], s[qi, ki])
         all_ids = np.concatenate([ids[active], np.where(new, near, n)], axis=1)
         all_scores = np.concatenate([scores[active], s], axis=1)
@@ -152,8 +165,9 @@ def search(x: np.ndarray, lists: list[np.ndarray], queries: np.ndarray, own: np.
     out_q, out_n = [qi], [ni]
     while len(qi):
         next_q, next_n = [], []
-        for part in range(0, len(qi), 50_000):
-            a, b = qi[part : part + 50_000], ni[part : part + 50_000]
+        step = max(1, GATHERED // table.shape[1])
+        for part in range(0, len(qi), step):
+            a, b = qi[part : part + step], ni[part : part + step]
             near = table[b]
             pair_q = np.broadcast_to(a[:, None], near.shape)[near >= 0]
             pair_n = near[near >= 0]
@@ -161,7 +175,7 @@ def search(x: np.ndarray, lists: list[np.ndarray], queries: np.ndarray, own: np.
             pairs = np.unique(pair_q[new] * n + pair_n[new])
             pair_q, pair_n = pairs // n, pairs % n
             seen[pair_q, pair_n] = True
-            s = np.einsum("ij,ij->i", queries[pair_q], x[pair_n])
+            s = _dots(queries, x, pair_q, pair_n)
             next_q.append(pair_q[s >= RANGE])
             next_n.append(pair_n[s >= RANGE])
         qi, ni = np.concatenate(next_q), np.concatenate(next_n)
@@ -196,10 +210,15 @@ def _searcher(beam: int):
         ask = asked["rep"].to_numpy()
         other = ask[qi] != reps[ni]
         qi, ni = qi[other], ni[other]
-        dots = np.einsum("ij,ij->i", b[qi], a[ni])
+        dots = _dots(b, a, qi, ni)
         norms = np.linalg.norm(b, axis=1)[qi] * np.linalg.norm(a, axis=1)[ni]
         linked = dots / norms >= LEAST_COSINE
         qi, ni = qi[linked], ni[linked]
+        # where the block searches itself, a pair that either side has found counts for both
+        if len(ask) == len(reps) and np.array_equal(np.sort(ask), reps):
+            at, back = np.searchsorted(reps, ask), np.argsort(ask)
+            pairs = np.unique(np.concatenate([qi * len(reps) + ni, back[ni] * len(reps) + at[qi]]))
+            qi, ni = pairs // len(reps), pairs % len(reps)
         # a pair is counted in the first of the query's clusters that the node is in too
         cluster = int(nodes["cluster"].iloc[0])
         mine = np.stack(asked["clusters"].to_numpy())
@@ -298,7 +317,7 @@ def link(df: DataFrame) -> DataFrame:
     directly, copies included. Equal vectors are one class with a weight. Rows whose vector or label is null, or whose
     vector is empty, zero or holds null or non-finite components, are linked with nothing. Rows with a null vec_id are
     linked with nothing, have no component and are kept. The search is repeated with wider beams and more overlap until
-    the audited recall reaches ``TARGET``, at most twice. Other columns are ignored.
+    the audited recall reaches ``TARGET``, at most twice; below ``LEAST_RECALL`` it is an error. Other columns are ignored.
     """
     rows = df.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("embedding"), "label")
     finite = F.forall("embedding", lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < float("inf")))
@@ -323,11 +342,19 @@ def link(df: DataFrame) -> DataFrame:
         common = int(widths.mode()[0])
         x = _unit(pd.Series([v for v in vectors if len(v) == common]))
         centre = centroids(x, min(CENTROIDS, max(OVERLAP + 1, total // PER_CENTROID)))
+    recall, asked = 0.0, AUDIT
     for effort in (1, 2, 4):
         found = settle(_search_all(classes.drop("key"), centre, OVERLAP + effort - 1, BEAM * effort))
-        check = audit(classes, found).agg(F.sum("true_links"), F.sum(F.least("true_links", "found_links"))).first()
-        if not check[0] or check[1] >= TARGET * check[0]:
+        while True:
+            check = audit(classes, found, asked).agg(F.sum("true_links"), F.sum(F.least("true_links", "found_links"))).first()
+            if (check[0] or 0) >= AUDIT_LINKS or asked >= min(total, AUDIT_MOST):
+                break
+            asked *= 4
+        recall = check[1] / check[0] if check[0] else 1.0
+        if recall >= TARGET:
             break
+    if recall < LEAST_RECALL:
+        raise RuntimeError(f"the search found {recall:.3f} of the links of {asked} audited vectors, less than {LEAST_RECALL}")
     counts = found.groupBy("rep").agg(F.sum("n").alias("n"))
     parts = components(found.select(F.col("rep").alias("a"), F.col("root").alias("b")))
     known = classes.select("key", "rep", "weight").join(counts, "rep", "left")

@@ -219,10 +219,10 @@ def _removals(df: DataFrame) -> tuple[DataFrame, DataFrame]:
     cut = cut.select("sa", "sb", "weight", "base", F.array_join(F.slice("w", F.col("base") + 1, WINDOW), " ").alias("segment"))
     cut = cut.withColumn("deal", F.xxhash64("segment"))
     plain = parts.where("hot is null").select("sa", "sb", "weight", F.lit(0).alias("base"), "segment", F.xxhash64("key").alias("deal"))
-    pieces = settle(plain.unionByName(cut))
-    size = pieces.agg(F.sum(F.size(F.split("segment", " ")))).first()[0] or 0
+    windows = F.size(ws) - (WINDOW - 1)
+    size = parts.agg(F.sum(F.when(F.col("hot"), windows * WINDOW).otherwise(F.size(ws)))).first()[0] or 0
     shards = max(1, size // SHARD_WORDS)
-    dealt = pieces.withColumn("shard", F.pmod("deal", F.lit(shards)))
+    dealt = plain.unionByName(cut).withColumn("shard", F.pmod("deal", F.lit(shards)))
     found = dealt.groupBy("shard").applyInPandas(repeated, _FOUND)
     found = found.groupBy("sa", "sb").agg(F.array_distinct(F.flatten(F.collect_list("hits"))).alias("hits"))
 

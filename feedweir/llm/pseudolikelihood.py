@@ -5,21 +5,23 @@ the sum of the log-probabilities scores a document. The vocabulary is counted ov
 of the corpus trains a copy of the network, in numpy, on all of its documents; the copies are averaged by a grouping.
 
 The network knows the most frequent words by number and the others by bucket. The counts of all words stay in a table,
-and a word's share of its bucket, joined to the documents' words, makes the probability of a bucket that of a word.
+and a word's share of its bucket, looked up per shard of texts, makes the probability of a bucket that of a word.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from feedweir.llm.common import free_name, settle, text_key, words
+from feedweir.llm.common import free_name, settle, words
 
 # Tokens are numbered 0 .. DIGIT * DIGIT - 1: 0 stands outside the text, then the most frequent words, then buckets
 # that all other words are hashed into. A token is predicted as two digits, the second given the first.
@@ -35,6 +37,8 @@ START_TEXTS, START_CHARS, START_STEPS = 400, 2000, 120
 RATE = 0.01
 # Values of a row that carries a part of a network.
 CHUNK = 4096
+# Words whose numbers a task keeps, and characters of the texts that are scored together.
+CACHED, SHARD_CHARS = 500_000, 1 << 24
 
 _F = np.float32
 _SHAPES = [(len(OFFSETS), TOKENS, HIDDEN), (HIDDEN,), (HIDDEN, 2 * DIGIT), (2 * DIGIT,), (DIGIT, DIGIT)]
@@ -47,16 +51,38 @@ def start(seed: int = 11) -> list[np.ndarray]:
     return [(rng.standard_normal(s) * k).astype(_F) for s, k in zip(_SHAPES, scale, strict=True)]
 
 
-def numbers(text: str | None, vocabulary: dict[bytes, int]) -> np.ndarray:
-    """Token numbers of the whole text; words are lower-cased."""
-    if not text:
-        return np.empty(0, np.int64)
-    buckets = TOKENS - FREQUENT - 1
-    known = vocabulary.get
-    return np.array(
-        [known(w) or FREQUENT + 1 + xxhash.xxh64_intdigest(w, 42) % buckets for w in text.lower().encode().split()],
-        np.int64,
-    )
+class Codes(dict):
+    """Words to whole numbers: the number of a word of the vocabulary, or else the word's 64-bit hash.
+
+    Spark's ``xxhash64`` is the same hash. Words met are kept while they are few, since most come again within a task.
+    """
+
+    def __init__(self, vocabulary: dict[bytes, int]) -> None:
+        super().__init__(vocabulary)
+        self.vocabulary = vocabulary
+
+    def __missing__(self, word: bytes) -> int:
+        if len(self) >= CACHED:
+            self.clear()
+            self.update(self.vocabulary)
+        code = xxhash.xxh64_intdigest(word, 42)
+        self[word] = code = code - (1 << 64) if code >> 63 else code
+        return code
+
+
+def keys(text: str | None, codes: Codes) -> np.ndarray:
+    """What ``codes`` says of the words of the whole text, lower-cased."""
+    return np.fromiter(map(codes.__getitem__, text.lower().encode().split()), np.int64) if text else np.empty(0, np.int64)
+
+
+def tokens(found: np.ndarray) -> np.ndarray:
+    """Token numbers of ``keys``: hashes become buckets."""
+    return np.where((found > 0) & (found <= FREQUENT), found, FREQUENT + 1 + found % (TOKENS - FREQUENT - 1))
+
+
+def numbers(text: str | None, vocabulary: dict[bytes, int] | Codes) -> np.ndarray:
+    """Token numbers of the whole text."""
+    return tokens(keys(text, vocabulary if isinstance(vocabulary, Codes) else Codes(vocabulary)))
 
 
 def _laid_out(docs: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
@@ -191,11 +217,11 @@ _PARTS = "chunk int, deal int, weight double, v array<double>"
 
 def _local_training(net: list[np.ndarray], vocabulary: dict[bytes, int], text: str):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        trainer, seen = Trainer(net), 0
+        trainer, seen, codes = Trainer(net), 0, Codes(vocabulary)
         for batch in batches:
             docs, size = [], 0
             for i, t in enumerate(batch[text]):
-                docs.append(numbers(t, vocabulary))
+                docs.append(numbers(t, codes))
                 size += len(docs[-1])
                 # a few steps' worth of tokens at once, mixed
                 if size >= 8 * BATCH or i + 1 == len(batch):
@@ -237,6 +263,32 @@ def fit(df: DataFrame, text: str = "text", counts: DataFrame | None = None) -> t
     return (_shaped(np.concatenate([r["v"] for r in rows])) if rows else net), vocabulary
 
 
+def _scores(net: list[np.ndarray], texts: Iterable[str | None], codes: Codes, share=None) -> tuple[np.ndarray, np.ndarray]:
+    """Tokens and summed log-probabilities of every text; ``share`` adds something to each token's, by its key."""
+    counts, sums = [], []
+
+    def add(docs: list[np.ndarray]) -> None:
+        found = np.concatenate([*docs, np.empty(0, np.int64)])
+        row, at = _laid_out([tokens(d) for d in docs])
+        each = log_probabilities(net, row, at)
+        values = np.concatenate([[0.0], np.cumsum(each if share is None else each + share(found))])
+        ends = np.cumsum([len(d) for d in docs], dtype=np.int64)
+        begins = ends - [len(d) for d in docs]
+        counts.extend(ends - begins)
+        sums.extend(values[ends] - values[begins])
+
+    docs, size = [], 0
+    for text in texts:
+        docs.append(keys(text, codes))
+        size += len(docs[-1])
+        if size >= 16 * BATCH or len(docs) == 64:
+            add(docs)
+            docs, size = [], 0
+    if docs:
+        add(docs)
+    return np.array(counts, np.int64), np.array(sums, np.float64)
+
+
 def score(df: DataFrame, net: list[np.ndarray], vocabulary: dict[bytes, int], text: str = "text") -> DataFrame:
     """``df`` with n_tokens, log_prob (sum over all tokens) and score (its mean); columns of these names are replaced.
 
@@ -245,19 +297,10 @@ def score(df: DataFrame, net: list[np.ndarray], vocabulary: dict[bytes, int], te
 
     @F.pandas_udf("n_tokens long, log_prob double")
     def scored(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        codes = Codes(vocabulary)
         for texts in batches:
-            docs, counts, sums = [], [], []
-            for i, t in enumerate(texts):
-                docs.append(numbers(t, vocabulary))
-                if sum(map(len, docs[-64:])) >= 16 * BATCH or len(docs) == 64 or i + 1 == len(texts):
-                    row, at = _laid_out(docs)
-                    values = np.concatenate([[0.0], np.cumsum(log_probabilities(net, row, at))])
-                    ends = np.cumsum([len(d) for d in docs])
-                    begins = ends - [len(d) for d in docs]
-                    counts.extend(ends - begins)
-                    sums.extend(values[ends] - values[begins])
-                    docs = []
-            yield pd.DataFrame({"n_tokens": counts, "log_prob": sums}).astype({"n_tokens": "int64", "log_prob": "float64"})
+            counts, sums = _scores(net, texts, codes)
+            yield pd.DataFrame({"n_tokens": counts, "log_prob": sums})
 
     name = "_scored"
     while name in df.columns:
@@ -268,9 +311,45 @@ def score(df: DataFrame, net: list[np.ndarray], vocabulary: dict[bytes, int], te
     return out.withColumn("score", mean).drop(name)
 
 
-def _bucket(word: Column) -> Column:
-    """The bucket of a word, as ``numbers`` hashes it: Spark's hash is XXH64 with seed 42."""
-    return F.pmod(F.xxhash64(word), F.lit(TOKENS - FREQUENT - 1)).cast("int")
+def _bucket(key: Column) -> Column:
+    """The bucket of a word's hash."""
+    return F.pmod(key, F.lit(TOKENS - FREQUENT - 1)).cast("int")
+
+
+def _sharder(vocabulary: dict[bytes, int], text: int):
+    """Rows as they are, with the number of their shard, and on a shard's last row its rare words' hashes."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        codes, shard, size, met = Codes(vocabulary), TaskContext.get().partitionId() << 32, 0, []
+
+        def packed() -> bytes:
+            return np.unique(np.concatenate([*met, np.empty(0, np.int64)])).tobytes()
+
+        for batch in batches:
+            shards, words = [], []
+            for t in batch.column(text).to_pylist():
+                if size >= SHARD_CHARS:
+                    shard, size, met = shard + 1, 0, []
+                found = keys(t, codes)
+                size += len(t or "") + 1
+                met.append(np.unique(found[(found <= 0) | (found > FREQUENT)]))
+                shards.append(shard)
+                full = size >= SHARD_CHARS
+                words.append(packed() if full else None)
+            # a shard that is still open ends with each batch, too: what it had so far need not be told again
+            if words and words[-1] is None:
+                words[-1], met = packed(), []
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns, pa.array(shards, pa.int64()), pa.array(words, pa.binary())], names=[*batch.schema.names, "shard", "words"]
+            )
+
+    return run
+
+
+def _unpacked(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for batch in batches:
+        for shard, words in zip(batch["shard"], batch["words"], strict=True):
+            yield pd.DataFrame({"shard": shard, "h": np.frombuffer(words, np.int64)})
 
 
 def score_words(
@@ -280,23 +359,41 @@ def score_words(
 
     A word that is not in the vocabulary has the share (n + 1) / (N + V + 1) of its bucket, where n is its count, N the
     sum and V the number of the counted words of the bucket; 1 / (N + V + 1) is left for the words never seen.
+
+    Texts are dealt into shards of bounded size. A shard asks for the counts of its different rare words, by their
+    hashes, and gets them back as a table of its own, so a word travels once per shard and not once per document.
     """
     frequent = [w.decode() for w in vocabulary]
     rare = counts.where(~F.col("w").isin(frequent)) if frequent else counts
-    rare = rare.select("w", "n", _bucket(F.col("w")).alias("bucket"))
-    sums = rare.groupBy("bucket").agg((F.sum("n") + F.count("*") + 1).alias("whole"))  # one row per bucket
-
-    key, share = free_name(df, "_key"), free_name(df, "_share")
-    texts = df.where(F.col(text) != "").select(text_key(F.col(text)).alias("key"), words(F.lower(text)).alias("w"))
-    mine = texts.dropDuplicates(["key"]).select("key", F.explode("w").alias("w"))
-    mine = mine.where(~F.col("w").isin(frequent)) if frequent else mine
-    mine = mine.groupBy("key", "w").agg(F.count("*").alias("times"))
-    mine = mine.join(rare.select("w", "n"), "w", "left").withColumn("bucket", _bucket(F.col("w")))
-    mine = mine.join(F.broadcast(sums), "bucket", "left")
-    log = F.log(F.coalesce("n", F.lit(0)) + 1) - F.log(F.coalesce("whole", F.lit(1)))
-    shares = mine.groupBy("key").agg(F.sum(F.col("times") * log).alias(share)).withColumnRenamed("key", key)
-
-    out = score(df, net, vocabulary, text).withColumn(key, text_key(F.col(text))).join(shares, key, "left")
-    out = out.withColumn("log_prob", F.col("log_prob") + F.coalesce(share, F.lit(0.0)))
-    mean = F.when(F.col("n_tokens") > 0, F.col("log_prob") / F.col("n_tokens"))
-    return out.withColumn("score", mean).drop(key, share)
+    rare = rare.select(F.xxhash64("w").alias("h"), "n")
+    # one row per bucket
+    sums = rare.groupBy(_bucket(F.col("h")).alias("bucket")).agg((F.sum("n") + F.count("*") + 1).alias("whole")).collect()
+    whole = np.zeros(TOKENS - FREQUENT - 1)
+    for r in sums:
+        whole[r["bucket"]] = np.log(r["whole"])
+
+    plain = df.drop("n_tokens", "log_prob", "score")
+    shard, words = free_name(df, "_shard"), free_name(df, "_words")
+    kept = T.StructType([*plain.schema.fields, T.StructField(shard, T.LongType()), T.StructField(words, T.BinaryType())])
+    dealt = settle(plain.mapInArrow(_sharder(vocabulary, plain.columns.index(text)), kept))
+    asked = dealt.where(F.col(words).isNotNull()).select(F.col(shard).alias("shard"), F.col(words).alias("words"))
+    asked = asked.mapInPandas(_unpacked, "shard long, h long").join(rare, "h")
+
+    def scored(mine: pa.Table, known: pa.Table) -> pa.Table:
+        h, n = known.column("h").to_numpy(), known.column("n").to_numpy()
+        order = np.argsort(h)
+        h, n = h[order], np.log(n[order] + 1.0)
+
+        def share(found: np.ndarray) -> np.ndarray:
+            common = (found > 0) & (found <= FREQUENT)
+            at = np.minimum(np.searchsorted(h, found), max(len(h) - 1, 0))
+            count = np.where(h[at] == found, n[at], 0.0) if len(h) else np.zeros(len(found))
+            return np.where(common, 0.0, count - whole[found % len(whole)])
+
+        n_tokens, log_prob = _scores(net, mine.column(text).to_pylist(), Codes(vocabulary), share)
+        mine = mine.drop_columns([shard, words])
+        return mine.append_column("n_tokens", pa.array(n_tokens)).append_column("log_prob", pa.array(log_prob))
+
+    schema = T.StructType([*plain.schema.fields, T.StructField("n_tokens", T.LongType()), T.StructField("log_prob", T.DoubleType())])
+    out = dealt.groupBy(shard).cogroup(asked.groupBy("shard")).applyInArrow(scored, schema)
+    return out.withColumn("score", F.when(F.col("n_tokens") > 0, F.col("log_prob") / F.col("n_tokens")))

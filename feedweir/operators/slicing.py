@@ -612,11 +612,11 @@ def filter_check(df: DataFrame, cursor: Column, since: object) -> DataFrame:
 
 
 def assert_filter_honored(df: DataFrame, cursor: Column, since: object) -> DataFrame:
-    """Fail when a source ignored the cursor filter: rows came back but none is newer."""
-    check = filter_check(df, cursor, since).first()
-    if not check["honoured"]:
-        raise RuntimeError(f"{check['dated']} rows came back but none is newer than {since}")
-    return df
+    """Fail the job that reads the rows when a source ignored the cursor filter: rows came back but none is newer."""
+    check = filter_check(df, cursor, since)
+    message = F.concat(F.col("dated").cast("string"), F.lit(f" rows came back but none is newer than {since}"))
+    problem = check.select(F.when(~F.col("honoured"), message).alias("problem")).scalar()
+    return df.filter(F.when(problem.isNull(), F.lit(True)).otherwise(F.raise_error(problem).cast("boolean")))
 
 
 def page_pinned(

@@ -669,6 +669,98 @@ def _(spark: SparkSession, d: str) -> DataFrame:
         F.get("diagnosis", F.lit(0))["rank"].alias("rank"),
     )
 
+# What the elements of the resources below hold, out of an order, and the same read back: (element, column, SQL).
+_AT = "date_format(o_orderdate, \"yyyy-MM-dd'T'HH:mm:ss'Z'\")"
+_ELEMENTS = {
+    "text": ("o_orderstatus", "{}", "o_orderstatus"),
+    "texts": ("array(o_orderstatus, 'x')", "{}[0]", "o_orderstatus"),
+    "flag": ("o_orderkey % 2 = 0", "{}", "o_orderkey % 2 = 0"),
+    "count": ("o_custkey", "{}", "o_custkey"),
+    "at": (_AT, "CAST({} AS timestamp_ntz)", "o_orderdate"),
+    "ref": ("named_struct('reference', concat('Patient/', o_custkey))", "{}.reference", "'Patient/' || o_custkey"),
+    "cc": ("named_struct('coding', array(named_struct('code', o_orderpriority)))", "{}.coding[0].code", "o_orderpriority"),
+    "period": (f"named_struct('start', {_AT})", "CAST({}.start AS timestamp_ntz)", "o_orderdate"),
+    "note": ("named_struct('text', concat('note ', o_orderkey))", "{}.text", "'note ' || o_orderkey"),
+    "quantity": ("named_struct('value', o_totalprice, 'unit', 'EUR')", "{}.value", "o_totalprice"),
+}
+# Elements of a resource, as they are written (a struct within braces, an array within brackets) and read.
+_RESOURCES = {
+    "Condition": "clinicalStatus cc clinical_status; bodySite [cc] body_site[0]; subject ref subject; onsetDateTime at onset_datetime; "
+    "note [note] note[0]",
+    "AllergyIntolerance": "type text type; category texts category; patient ref patient; lastOccurrence at last_occurrence; "
+    "reaction [{substance cc,severity text}] reaction[0].substance,reaction[0].severity",
+    "Procedure": "status text status; code cc code; performedPeriod period performed_period; performer [{actor ref}] performer[0].actor; "
+    "outcome cc outcome",
+    "DiagnosticReport": "status text status; code cc code; effectiveDateTime at effective_datetime; result [ref] result[0]; conclusion text conclusion",
+    "MedicationRequest": "intent text intent; medicationCodeableConcept cc medication_codeable_concept; "
+    "dispenseRequest {validityPeriod period,numberOfRepeatsAllowed count} dispense_request.validity_period,dispense_request.number_of_repeats_allowed; "
+    "substitution {allowedBoolean flag} substitution_allowed_boolean",
+    "Immunization": "vaccineCode cc vaccine_code; occurrenceDateTime at occurrence_datetime; primarySource flag primary_source; "
+    "doseQuantity quantity dose_quantity; protocolApplied [{authority ref,doseNumberPositiveInt count}] "
+    "protocol_applied[0].authority,protocol_applied[0].dose_number_positive_int",
+    "Coverage": "subscriberId text subscriber_id; payor [ref] payor[0]; class [{type cc,value text}] class_coverage[0].type,class_coverage[0].value; "
+    "order count order; period period period; subrogation flag subrogation",
+    "CarePlan": "title text title; goal [ref] goal[0]; period period period; "
+    "activity [{reference ref,detail {status text,code cc}}] activity[0].reference,activity[0].detail_status,activity[0].detail_code",
+    "Goal": "lifecycleStatus text lifecycle_status; description cc description; startDate text start_date; "
+    "target [{measure cc,detailQuantity quantity,detailBoolean flag}] target[0].measure,target[0].detail_quantity,target[0].detail_boolean",
+    "Device": "manufacturer text manufacturer; deviceName [{name text}] device_name[0].name; type cc type; safety [cc] safety[0]; patient ref patient",
+    "DocumentReference": "date at date; relatesTo [{code text,target ref}] relates_to[0].code,relates_to[0].target; "
+    "content [{attachment {url text,title text},format {code text}}] content[0].attachment_url,content[0].attachment_title,content[0].format_code; "
+    "context {event [cc],period period} context.event[0],context.period",
+}
+
+
+def _parts(text: str, mark: str) -> list[str]:
+    """``text`` cut at the marks outside braces and brackets."""
+    out, depth = [""], 0
+    for c in text:
+        depth += (c in "[{") - (c in "]}")
+        if c == mark and not depth:
+            out.append("")
+        else:
+            out[-1] += c
+    return [p.strip() for p in out]
+
+
+def _written(kind: str) -> tuple[str, list[str]]:
+    """The SQL that writes an element, and the kinds of the values in it."""
+    if kind.startswith("["):
+        inner, kinds = _written(kind[1:-1])
+        return f"array({inner})", kinds
+    if not kind.startswith("{"):
+        return _ELEMENTS[kind][0], [kind]
+    fields, kinds = [], []
+    for part in _parts(kind[1:-1], ","):
+        name, inner = part.split(" ", 1)
+        value, more = _written(inner)
+        fields.append(f"'{name}', {value}")
+        kinds += more
+    return f"named_struct({', '.join(fields)})", kinds
+
+
+def _resource_query(name: str, spec: str) -> None:
+    body, reads, wants = [], [], []
+    for line in spec.split(";"):
+        element, kind, paths = _parts(line.strip(), " ")
+        value, kinds = _written(kind)
+        body.append(f"'{element}', {value}")
+        for path, each in zip(paths.split(","), kinds, strict=True):
+            label = f"v{len(reads)}"
+            reads.append(f"{_ELEMENTS[each][1].format(path)} AS {label}")
+            wants.append(f"{_ELEMENTS[each][2]} AS {label}")
+    json = f"to_json(named_struct('resourceType', '{name}', 'id', CAST(o_orderkey AS string), {', '.join(body)})) AS raw_json"
+
+    @query(f"fhir_{fhir._snake(name)}", "O-110b", sql=f"SELECT o_orderkey::VARCHAR AS id, {', '.join(wants)} FROM orders")
+    def _(spark: SparkSession, d: str) -> DataFrame:
+        rows = fhir.resource_rows(table(spark, d, "orders").selectExpr(json), name)
+        return rows.selectExpr("id", *reads)
+
+
+for _name, _spec in _RESOURCES.items():
+    _resource_query(_name, _spec)
+
+
 
 # ---------------------------------------------------------------- DICOM
 

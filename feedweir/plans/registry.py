@@ -41,7 +41,7 @@ def query(name: str, *operators: str, sql: str | None = None) -> Callable[[Plan]
 
 def all_queries() -> dict[str, Query]:
     """Every registered query; importing the plan modules registers them."""
-    from feedweir.plans import changes, domains, loads, reports, shapes, slices, streams  # noqa: F401
+    from feedweir.plans import changes, domains, files, loads, reports, shapes, slices, streams  # noqa: F401
 
     return dict(_QUERIES)
 

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from itertools import compress
 
 import numpy as np
 import pandas as pd
@@ -24,7 +25,7 @@ from feedweir.llm.sketches import _mix
 WINDOW = 35
 RUN = 8
 # Words of a shard, and different segments of one minimizer above which its windows are dealt out by their own hash.
-SHARD_WORDS = 200_000
+SHARD_WORDS = 600_000
 HOT_SEGMENTS = 2000
 # Segments, and words of documents, that a task makes before it hands them on.
 OUT_ROWS, OUT_WORDS = 4096, 500_000
@@ -47,12 +48,21 @@ class _Hashes(dict):
 _hashes = _Hashes()
 
 
-def minimizers(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """First windows of the runs of windows with the same minimizer, and the minimizers."""
-    n = len(words)
+def word_hashes(words: list[bytes]) -> np.ndarray:
+    """64-bit hashes of words."""
+    return np.fromiter(map(_hashes.__getitem__, words), _U, len(words))
+
+
+def minimizers_of(docs: list[np.ndarray]) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Per document (hashes of its words): first windows of the runs of windows with one minimizer, and the minimizers.
+
+    All documents lie in one row; windows that reach from one into the next are left out.
+    """
+    none = (np.empty(0, np.int32), np.empty(0, np.int64))
+    h = np.concatenate([*docs, np.empty(0, _U)])
+    n = len(h)
     if n < WINDOW:
-        return np.empty(0, np.int32), np.empty(0, np.int64)
-    h = np.fromiter(map(_hashes.__getitem__, words), _U, n)
+        return [none] * len(docs)
     runs = h[: n - RUN + 1]
     for j in range(1, RUN):
         runs = _mix(runs * _U(0x9E3779B97F4A7C15) ^ h[j : n - RUN + 1 + j])
@@ -66,8 +76,22 @@ def minimizers(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     if wide < span:
         a, b = at[: n - WINDOW + 1], at[span - wide :]
         at = np.where(runs[a] <= runs[b], a, b)
-    first = np.flatnonzero(np.concatenate([[True], at[1:] != at[:-1]]))
-    return first.astype(np.int32), runs[at[first]].view(np.int64)
+    change = np.flatnonzero(np.concatenate([[True], at[1:] != at[:-1]]))
+    ends = np.cumsum([len(d) for d in docs])
+    out = []
+    for begin, end in zip(ends - [len(d) for d in docs], ends, strict=True):
+        if end - begin < WINDOW:
+            out.append(none)
+            continue
+        lo, hi = np.searchsorted(change, [begin + 1, end - WINDOW + 1])
+        first = np.concatenate([[begin], change[lo:hi]])
+        out.append(((first - begin).astype(np.int32), runs[at[first]].view(np.int64)))
+    return out
+
+
+def minimizers(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """``minimizers_of`` one document."""
+    return minimizers_of([word_hashes(words)])[0]
 
 
 def _digest(words: list[bytes]) -> str:
@@ -79,17 +103,22 @@ _DOCS = "doc_id long, ka long, kb long, n_words long, whole string, starts array
 
 def _documents(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     columns = ["doc_id", "ka", "kb", "n_words", "whole", "starts", "keys"]
+
+    def frame(rows: list[tuple], hashes: list[np.ndarray]) -> pd.DataFrame:
+        whole = [(*r, *found) for r, found in zip(rows, minimizers_of(hashes), strict=True)]
+        return pd.DataFrame(whole, columns=columns).astype({"doc_id": "Int64"})
+
     for batch in batches:
-        rows, words = [], 0
+        rows, hashes, words = [], [], 0
         for doc, ka, kb, text in zip(batch["doc_id"], batch["ka"], batch["kb"], batch["text"], strict=True):
             ws = text.encode().split() if text else []
-            starts, keys = minimizers(ws)
-            rows.append((None if pd.isna(doc) else int(doc), ka, kb, len(ws), _digest(ws), starts, keys))
+            rows.append((None if pd.isna(doc) else int(doc), ka, kb, len(ws), _digest(ws)))
+            hashes.append(word_hashes(ws))
             words += len(ws)
             if words >= OUT_WORDS:
-                yield pd.DataFrame(rows, columns=columns).astype({"doc_id": "Int64"})
-                rows, words = [], 0
-        yield pd.DataFrame(rows, columns=columns).astype({"doc_id": "Int64"})
+                yield frame(rows, hashes)
+                rows, hashes, words = [], [], 0
+        yield frame(rows, hashes)
 
 
 _SEGMENTS = "ka long, kb long, start int, key long, sa long, sb long, segment string"
@@ -157,13 +186,10 @@ _KEPT_TEXT = "ka long, kb long, kept string"
 def _left(text: str, found: list) -> tuple[list[bytes], int]:
     """The words outside all found windows, and how many are inside."""
     ws = text.encode().split()
-    edge = np.zeros(len(ws) + 1, np.int32)
-    for f in found:
-        at = f["start"] + np.asarray(f["hits"], np.int64)
-        np.add.at(edge, at, 1)
-        np.add.at(edge, at + WINDOW, -1)
+    at = np.concatenate([f["start"] + np.asarray(f["hits"], np.int64) for f in found])
+    edge = np.bincount(at, minlength=len(ws) + 1) - np.bincount(at + WINDOW, minlength=len(ws) + 1)
     gone = np.cumsum(edge[:-1]) > 0
-    return [ws[i] for i in np.flatnonzero(~gone)], int(gone.sum())
+    return list(compress(ws, ~gone)), int(gone.sum())
 
 
 def _kept(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

@@ -3,15 +3,16 @@
 Every source is cut into blocks of equal size. Block j of a source with share w of the mix is released at slot
 floor(j / w) and due at slot ceil((j + 1) / w); each slot takes the released block with the earliest deadline. The
 shares add up to one, so every deadline is met, and after any number of slots every source is less than one block away
-from its share. When a source has run out, the others go on with their weights scaled up to the whole.
+from its share. When a source has run out, the others go on with their weights scaled up to the whole. What each of them
+was ahead or behind moves its windows from there on, so that what is owed is not forgotten: over the whole mix, however
+many sources run out, a source stays less than two blocks away.
 """
 
 from __future__ import annotations
 
-import heapq
-from bisect import bisect_left
 from dataclasses import dataclass
-from math import gcd
+from fractions import Fraction
+from math import ceil, floor, gcd
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -24,7 +25,7 @@ OTHER = None
 
 @dataclass(frozen=True)
 class Stretch:
-    """The slots between two sources running out: the blocks that one source has in them.
+    """Slots over which the schedule repeats: the blocks that one source has in them.
 
     Block j, for first <= j < end, has slot start + (j - first) // len(slots) * period + slots[(j - first) % len(slots)].
     """
@@ -37,43 +38,66 @@ class Stretch:
     slots: list[int]
 
 
-def one_period(weights: dict[int, int]) -> dict[int, list[int]]:
-    """Earliest deadline first over as many slots as the weights add up to; the schedule repeats after them."""
-    period = sum(weights.values())
-    released = [[] for _ in range(period)]
-    for s, w in weights.items():
-        for k in range(w):
-            released[k * period // w].append((-(-(k + 1) * period // w), s))
-    ready: list[tuple[int, int]] = []
-    slots: dict[int, list[int]] = {s: [] for s in weights}
-    for t in range(period):
-        for block in released[t]:
-            heapq.heappush(ready, block)
-        deadline, s = heapq.heappop(ready)
-        assert t < deadline
-        slots[s].append(t)
-    return slots
+class _Windows:
+    """Earliest deadline first between two sources running out; ``ahead`` moves each source's windows by its lag."""
+
+    def __init__(self, weights: dict[int, int], lag: dict[int, Fraction]) -> None:
+        self.weights, self.lag, self.total = weights, lag, sum(weights.values())
+        self.served, self.now = dict.fromkeys(weights, 0), 0
+
+    def window(self, s: int) -> tuple[int, int]:
+        """Release and deadline of the source's next block."""
+        j, step = self.served[s] - self.lag[s], Fraction(self.total, self.weights[s])
+        return floor(j * step), ceil((j + 1) * step)
+
+    def take(self) -> int:
+        """The source of the next slot."""
+        windows = {s: self.window(s) for s in self.weights}
+        released = [s for s, (first, _) in windows.items() if first <= self.now]
+        chosen = min(released or windows, key=lambda s: (windows[s][1], s))
+        self.served[chosen] += 1
+        self.now += 1
+        return chosen
+
+    def lags(self) -> dict[int, Fraction]:
+        """How many blocks each source is behind its share now."""
+        return {s: self.lag[s] + Fraction(self.now * w, self.total) - self.served[s] for s, w in self.weights.items()}
 
 
 def schedule(weights: dict[int, int], blocks: dict[int, int]) -> list[Stretch]:
-    """Slots of all blocks. Its size depends on the number of sources and their weights alone, not on the blocks."""
+    """Slots of all blocks. Its size depends on the number of sources and their weights alone, not on the blocks.
+
+    Slots are chosen one by one for a period, as many as the weights add up to. A period that gives every source its
+    weight leaves the lags as they were, so it is repeated until a source is about to run out.
+    """
     left = {s: n for s, n in blocks.items() if n > 0}
-    done = dict.fromkeys(left, 0)
+    done, lag = dict.fromkeys(left, 0), dict.fromkeys(left, Fraction(0))
     start, out = 0, []
     while left:
         shared = gcd(*[weights[s] for s in left])
-        slots = one_period({s: weights[s] // shared for s in left})
-        period = sum(len(x) for x in slots.values())
-        # the stretch ends after the last block of the source that runs out first
-        length = min((n - 1) // len(slots[s]) * period + slots[s][(n - 1) % len(slots[s])] + 1 for s, n in left.items())
-        for s in list(left):
-            n = length // period * len(slots[s]) + bisect_left(slots[s], length % period)
-            out.append(Stretch(s, done[s], done[s] + n, start, period, slots[s]))
-            done[s] += n
-            left[s] -= n
-            if not left[s]:
-                del left[s]
-        start += length
+        run = _Windows({s: weights[s] // shared for s in left}, {s: lag[s] for s in left})
+        while all(left.values()):
+            slots: dict[int, list[int]] = {s: [] for s in left}
+            length = 0
+            while length < run.total and all(left[s] > len(slots[s]) for s in left):
+                slots[run.take()].append(length)
+                length += 1
+            steady = length == run.total and all(len(slots[s]) == w for s, w in run.weights.items())
+            # the last blocks of a source are always placed one by one, to see when it runs out
+            times = max(1, min((left[s] - 1) // w for s, w in run.weights.items())) if steady else 1
+            for s, mine in slots.items():
+                if mine:
+                    out.append(Stretch(s, done[s], done[s] + times * len(mine), start, run.total, mine))
+                done[s] += times * len(mine)
+                left[s] -= times * len(mine)
+                run.served[s] += (times - 1) * len(mine)
+            run.now += (times - 1) * length
+            start += times * length
+        behind = run.lags()
+        over = sum(behind[s] for s in left if not left[s])
+        left = {s: n for s, n in left.items() if n}
+        rest = sum(weights[s] for s in left)
+        lag = {s: behind[s] + over * Fraction(weights[s], rest) for s in left}
     return out
 
 
@@ -113,7 +137,7 @@ def mix(
     source_, first, end, start, period, slots, last_ = (free_name(df, f"_plan_{x}") for x in names)
     fields = f"{source_} int, {first} long, {end} long, {start} long, {period} long, {slots} array<long>, {last_} long"
     rows_of_plan = [(s.source, s.first, s.end, s.start, s.period, s.slots, last[s.source]) for s in stretches]
-    # at most (sources + 1)^2 / 2 rows, and as many slots as sources times the sum of the weights
+    # some rows per source each time that one runs out, and as many slots as the weights add up to in each
     plan = F.broadcast(spark.createDataFrame(rows_of_plan, fields))
     order = [F.col(k) for k in key]
     placed = running(rows, [group], order, F.col(part), "at", sum(r["rows"] for r in totals))

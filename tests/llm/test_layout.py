@@ -1,7 +1,9 @@
 """Packing, mixing, running sums and the pipeline against brute force."""
 
 import itertools
+import random
 from collections import Counter, defaultdict
+from fractions import Fraction
 
 import pytest
 from pyspark.sql import functions as F
@@ -83,25 +85,48 @@ def test_pack(docs):
     assert packing.pack(docs([]).withColumn("tokens", F.lit(1)), F.col("tokens")).count() == 0
 
 
+def slots_of(stretches):
+    slot = {}
+    for s in stretches:
+        for j in range(s.first, s.end):
+            turn, k = divmod(j - s.first, len(s.slots))
+            assert slot.setdefault(s.start + turn * s.period + s.slots[k], (s.source, j))[1] == j
+    return slot
+
+
 def test_schedule_is_less_than_a_block_off():
-    weights = {0: 12, 1: 4, 2: 7, 3: 1}
-    for blocks in ({0: 40, 1: 40, 2: 5, 3: 9}, {0: 1, 1: 0, 2: 300, 3: 2}, {2: 4}):
-        stretches = mixing.schedule(weights, blocks)
-        slot = {}
-        for s in stretches:
-            for j in range(s.first, s.end):
-                turn, k = divmod(j - s.first, len(s.slots))
-                assert slot.setdefault(s.start + turn * s.period + s.slots[k], (s.source, j))[1] == j
+    """Every block has one slot; less than one block off until a source runs out, less than two over the whole mix."""
+    rng = random.Random(6)
+    mixes = [({0: 12, 1: 4, 2: 7, 3: 1}, b) for b in ({0: 40, 1: 40, 2: 5, 3: 9}, {0: 1, 1: 0, 2: 300, 3: 2}, {2: 4})]
+    for _ in range(150):
+        n = rng.randint(1, 12)
+        mixes.append(({s: rng.randint(1, 9) for s in range(n)}, {s: rng.randint(0, 60) for s in range(n)}))
+    for weights, blocks in mixes:
+        slot = slots_of(mixing.schedule(weights, blocks))
         assert sorted(slot) == list(range(sum(blocks.values())))
         assert Counter(s for s, _ in slot.values()) == Counter({s: n for s, n in blocks.items() if n})
-        for start, group in itertools.groupby(sorted(stretches, key=lambda s: s.start), lambda s: s.start):
-            group = list(group)
-            total = sum(weights[s.source] for s in group)
-            given = Counter()
-            for t in range(sum(s.end - s.first for s in group)):
-                given[slot[start + t][0]] += 1
-                for s in group:
-                    assert abs(given[s.source] - (t + 1) * weights[s.source] / total) < 1
+        left, share, given, ran_out = {s: n for s, n in blocks.items() if n}, Counter(), Counter(), False
+        for t in range(len(slot)):
+            total = sum(weights[s] for s in left)
+            for s in left:
+                share[s] += Fraction(weights[s], total)
+            s = slot[t][0]
+            given[s] += 1
+            for other in left:
+                assert abs(share[other] - given[other]) < (2 if ran_out else 1)
+            left[s] -= 1
+            if not left[s]:
+                # what the source leaves is shared out by weight
+                over, ran_out = share[s] - given[s], True
+                del left[s]
+                for other in left:
+                    share[other] += over * Fraction(weights[other], sum(weights[o] for o in left))
+
+
+def test_schedule_does_not_grow_with_the_blocks():
+    weights = {s: s % 4 + 1 for s in range(12)}
+    sizes = [len(mixing.schedule(weights, {s: n * (s + 3) for s in weights})) for n in (100, 1_000_000)]
+    assert sizes[1] <= 1.2 * sizes[0]
 
 
 def test_mix(docs):

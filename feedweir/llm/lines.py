@@ -12,9 +12,10 @@ from feedweir.llm.common import free_name, settle, words
 
 SYMBOLS = "[#*$%&|<>]"
 LEAST_WORDS = 50
-# A line is boilerplate if more documents of the host than this hold it; a document is depleted if less than this
-# share of its words is left without such lines.
-MOST_DOCS = 20
+# A line is boilerplate if more documents of the host hold it than this share of them, and than this many; so a
+# document is judged alike on hosts of any size, and lines that a few documents share are never boilerplate. A document
+# is depleted if less than LEAST_LEFT of its words is left without such lines.
+MOST_SHARE, MOST_DOCS = 0.002, 20
 LEAST_LEFT = 0.3
 # Copies of each boilerplate line that the join deals out, so that a line of every document of a host is no hot key.
 # A boilerplate line is in more than MOST_DOCS documents, so the copies are fewer than the lines that they meet.
@@ -86,7 +87,7 @@ def normal_line(line: Column) -> Column:
 
 
 def line_counts(df: DataFrame, text: str = "text", host: str = "source") -> DataFrame:
-    """Lines of the documents as hashes: rows (line, doc, n), n = words of the document in such lines, times copies.
+    """Lines of the documents as hashes: rows (host, line, doc, n), n = words of the document in such lines, times copies.
 
     A line is a 64-bit hash of host and normal form, a document a 128-bit hash of host and text. Equal texts of a host
     are one document here: copies are no sign of boilerplate. Null hosts are one host; null texts have no lines. The rows
@@ -100,8 +101,23 @@ def line_counts(df: DataFrame, text: str = "text", host: str = "source") -> Data
         F.explode(F.split("text", "\n", -1)).alias("line"),
     )
     lines = lines.select("host", "doc", normal_line(F.col("line")).alias("normal"), F.size(words(F.col("line"))).alias("n"))
-    lines = lines.where("normal <> ''").select(F.xxhash64("host", "normal").alias("line"), "doc", "n")
-    return settle(lines.groupBy("line", "doc").agg(F.sum("n").alias("n")))
+    lines = lines.where("normal <> ''").select(F.xxhash64("host").alias("host"), F.xxhash64("host", "normal").alias("line"), "doc", "n")
+    return settle(lines.groupBy("host", "line", "doc").agg(F.sum("n").alias("n")))
+
+
+def boilerplate(df: DataFrame, found: DataFrame, text: str, host: str, most_docs: int, most_share: float) -> DataFrame:
+    """The lines (line, salt) of ``found`` above the limits, ``SALTS`` copies of each.
+
+    Documents per line and per host are counted before anything is joined; only lines above ``most_docs`` meet the
+    sizes of their hosts.
+    """
+    key = F.coalesce(F.concat(F.lit("h:"), F.col(host).cast("string")), F.lit("n"))
+    docs = df.select(key.alias("host"), F.col(text).alias("text")).where("text is not null")
+    docs = docs.select(F.xxhash64("host").alias("host"), F.xxhash64("host", "text").alias("a"), F.xxhash64("text", "host").alias("b"))
+    sizes = docs.distinct().groupBy("host").agg(F.count("*").alias("size"))
+    often = found.groupBy("host", "line").agg(F.count("*").alias("docs")).where(F.col("docs") > most_docs)
+    above = often.join(sizes, "host").where(F.col("docs") > most_share * F.col("size")).select("line")
+    return above.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
 
 
 def judge(
@@ -110,6 +126,7 @@ def judge(
     host: str = "source",
     most_docs: int = MOST_DOCS,
     least_left: float = LEAST_LEFT,
+    most_share: float = MOST_SHARE,
 ) -> DataFrame:
     """``df`` with the counts, n_shared_words (words in lines above the limit) and kept.
 
@@ -125,8 +142,7 @@ def judge(
     )
     out = out.withColumn(doc, ident)
     found = line_counts(df, text, host)
-    above = found.groupBy("line").agg(F.count("*").alias("docs")).where(F.col("docs") > most_docs).select("line")
-    above = above.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    above = boilerplate(df, found, text, host, most_docs, most_share)
     salted = found.withColumn("salt", F.pmod(F.col("doc.a"), F.lit(SALTS)).cast("int"))
     shared = salted.join(above, ["line", "salt"]).groupBy("doc").agg(F.sum("n").alias("n"))
     copies = out.where(F.col(doc).isNotNull()).groupBy(F.col(doc).alias("doc")).agg(F.count("*").alias("copies"))
@@ -139,7 +155,9 @@ def judge(
     return out.withColumn("kept", ~F.col("base_failed") & (left >= least_left * F.col("n_words")))
 
 
-def without_shared(df: DataFrame, text: str = "text", host: str = "source", most_docs: int = MOST_DOCS) -> DataFrame:
+def without_shared(
+    df: DataFrame, text: str = "text", host: str = "source", most_docs: int = MOST_DOCS, most_share: float = MOST_SHARE
+) -> DataFrame:
     """``df`` with the lines above the limit taken out of ``text``; other rows and lines are unchanged.
 
     The shared lines of a document travel as hashes, so a text moves only with its own row.
@@ -147,8 +165,7 @@ def without_shared(df: DataFrame, text: str = "text", host: str = "source", most
     key = F.coalesce(F.concat(F.lit("h:"), F.col(host).cast("string")), F.lit("n"))
     doc, gone, match = free_name(df, "_doc"), free_name(df, "_gone"), free_name(df, "_key")
     found = line_counts(df, text, host)
-    above = found.groupBy("line").agg(F.count("*").alias("docs")).where(F.col("docs") > most_docs).select("line")
-    above = above.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    above = boilerplate(df, found, text, host, most_docs, most_share)
     salted = found.withColumn("salt", F.pmod(F.col("doc.a"), F.lit(SALTS)).cast("int"))
     lines = salted.join(above, ["line", "salt"]).groupBy("doc").agg(F.collect_set("line").alias(gone))
     lines = lines.withColumnRenamed("doc", match)

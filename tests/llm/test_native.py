@@ -63,6 +63,31 @@ def test_shared_lines(docs):
     assert cut[0] == rows[0][1].split("\n")[1] and cut[10] == rows[5][1] and cut[30] == rows[-1][1].split("\n")[-1]
 
 
+@pytest.mark.parametrize("size", [400, 4000])
+def test_depleted_documents_are_rejected_at_any_size(docs, size):
+    """Pages that are little but their host's navigation go, whatever the host's size; pages with text of their own stay."""
+
+    def own(i, n):
+        return " ".join("".join("abcdefghij"[int(c)] for c in str(i * 1009 + j)) for j in range(n))
+
+    menu = "\n".join(" ".join(f"menu{'abcdefgh'[k]}{'xyz'[j % 3] * (j + 1)}" for j in range(15)) for k in range(6))
+    rare = " ".join("rarely shared words of a notice that only some documents carry at the very end of the page".split())
+    rows = []
+    for i in range(size):
+        if i % 20 == 0:
+            rows.append((i, menu + "\n" + own(i, 12), "en", "big", 1))  # 90 words of the menu, 12 of its own
+        elif i % 20 == 1:
+            rows.append((i, menu + "\n" + own(i, 200), "en", "big", 1))
+        else:
+            rows.append((i, own(i, 80) + ("\n" + rare if i in (2, 3, 4, 5, 6) else ""), "en", "big", 1))
+    rows += [(size + i, menu + "\n" + own(size + i, 12), "en", "small", 1) for i in range(8)]
+    out = {r["doc_id"]: r for r in lines.judge(docs(rows)).collect()}
+    # on the host of 400, the menu is in 40 documents; five copies of a notice are no boilerplate, nor is a host of eight
+    assert all(out[i]["kept"] == (i % 20 != 0) for i in range(size))
+    assert all(out[i]["n_shared_words"] == (90 if i % 20 < 2 else 0) for i in range(size))
+    assert all(out[size + i]["kept"] for i in range(8))
+
+
 def test_line_rule_on_odd_tables(docs):
     clash = docs(ODD).withColumns({"kept": F.lit(7), "_doc": F.lit(1), "_words": F.lit("x"), "_key": F.lit(2)})
     out = lines.judge(clash)

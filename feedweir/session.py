@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import os
 import re
 import tempfile
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -17,12 +19,36 @@ SETTINGS = {
 
 
 def configure(spark: SparkSession) -> SparkSession:
-    """Apply the session settings every operator assumes."""
+    """Apply the session settings every operator assumes, and give Python workers this package."""
     for key, value in SETTINGS.items():
         spark.conf.set(key, value)
+    _ship(spark)
     return spark
 
 
+_SHIPPED: set[str] = set()
+
+
+def _ship(spark: SparkSession) -> None:
+    """Send the package's own files to the executors, once per application, wherever the driver was started.
+
+    An installed package is shadowed by the same files.
+    """
+    context = spark.sparkContext
+    if context.applicationId in _SHIPPED:
+        return
+    package = os.path.dirname(os.path.abspath(__file__))
+    target = os.path.join(tempfile.mkdtemp(prefix="feedweir-"), "feedweir.zip")
+    with zipfile.ZipFile(target, "w", zipfile.ZIP_DEFLATED) as archive:
+        for folder, _, names in os.walk(package):
+            for name in names:
+                if name.endswith(".py"):
+                    path = os.path.join(folder, name)
+                    archive.write(path, os.path.relpath(path, os.path.dirname(package)))
+    context.addPyFile(target)
+    _SHIPPED.add(context.applicationId)
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """The folder checkpoints go to: the cluster's ``spark.checkpoint.dir``.
 

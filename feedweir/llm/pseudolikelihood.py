@@ -15,13 +15,13 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-import xxhash
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from feedweir.llm.common import free_name, settle, words
+from feedweir.llm.wordhash import word_hashes
 
 # Tokens are numbered 0 .. DIGIT * DIGIT - 1: 0 stands outside the text, then the most frequent words, then buckets
 # that all other words are hashed into. A token is predicted as two digits, the second given the first.
@@ -37,8 +37,8 @@ START_TEXTS, START_CHARS, START_STEPS = 400, 2000, 120
 RATE = 0.01
 # Values of a row that carries a part of a network.
 CHUNK = 4096
-# Words whose numbers a task keeps, and characters of the texts that are scored together.
-CACHED, SHARD_CHARS = 500_000, 1 << 24
+# Characters of the texts that are scored together.
+SHARD_CHARS = 1 << 24
 
 _F = np.float32
 _SHAPES = [(len(OFFSETS), TOKENS, HIDDEN), (HIDDEN,), (HIDDEN, 2 * DIGIT), (2 * DIGIT,), (DIGIT, DIGIT)]
@@ -51,28 +51,22 @@ def start(seed: int = 11) -> list[np.ndarray]:
     return [(rng.standard_normal(s) * k).astype(_F) for s, k in zip(_SHAPES, scale, strict=True)]
 
 
-class Codes(dict):
-    """Words to whole numbers: the number of a word of the vocabulary, or else the word's 64-bit hash.
-
-    Spark's ``xxhash64`` is the same hash. Words met are kept while they are few, since most come again within a task.
-    """
+class Codes:
+    """The words of a vocabulary by their hashes."""
 
     def __init__(self, vocabulary: dict[bytes, int]) -> None:
-        super().__init__(vocabulary)
-        self.vocabulary = vocabulary
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= CACHED:
-            self.clear()
-            self.update(self.vocabulary)
-        code = xxhash.xxh64_intdigest(word, 42)
-        self[word] = code = code - (1 << 64) if code >> 63 else code
-        return code
+        found = np.array([h[0] for h in word_hashes(vocabulary)], np.uint64)
+        order = np.argsort(found)
+        # one entry more, so that every search ends at an entry
+        self.hashes = np.concatenate([found[order], np.zeros(1, np.uint64)])
+        self.numbers = np.concatenate([np.array(list(vocabulary.values()), np.int64)[order], np.zeros(1, np.int64)])
 
 
-def keys(text: str | None, codes: Codes) -> np.ndarray:
-    """What ``codes`` says of the words of the whole text, lower-cased."""
-    return np.fromiter(map(codes.__getitem__, text.lower().encode().split()), np.int64) if text else np.empty(0, np.int64)
+def keys(texts: Iterable[str | None], codes: Codes) -> Iterator[np.ndarray]:
+    """Per text, of all its words, lower-cased: the number of a word of the vocabulary, or else the word's hash."""
+    for h in word_hashes((t or "").lower().encode() for t in texts):
+        at = np.searchsorted(codes.hashes[:-1], h)
+        yield np.where(codes.hashes[at] == h, codes.numbers[at], h.view(np.int64))
 
 
 def tokens(found: np.ndarray) -> np.ndarray:
@@ -82,7 +76,7 @@ def tokens(found: np.ndarray) -> np.ndarray:
 
 def numbers(text: str | None, vocabulary: dict[bytes, int] | Codes) -> np.ndarray:
     """Token numbers of the whole text."""
-    return tokens(keys(text, vocabulary if isinstance(vocabulary, Codes) else Codes(vocabulary)))
+    return tokens(next(keys([text], vocabulary if isinstance(vocabulary, Codes) else Codes(vocabulary))))
 
 
 def _laid_out(docs: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
@@ -220,8 +214,8 @@ def _local_training(net: list[np.ndarray], vocabulary: dict[bytes, int], text: s
         trainer, seen, codes = Trainer(net), 0, Codes(vocabulary)
         for batch in batches:
             docs, size = [], 0
-            for i, t in enumerate(batch[text]):
-                docs.append(numbers(t, codes))
+            for i, found in enumerate(keys(batch[text], codes)):
+                docs.append(tokens(found))
                 size += len(docs[-1])
                 # a few steps' worth of tokens at once, mixed
                 if size >= 8 * BATCH or i + 1 == len(batch):
@@ -278,8 +272,8 @@ def _scores(net: list[np.ndarray], texts: Iterable[str | None], codes: Codes, sh
         sums.extend(values[ends] - values[begins])
 
     docs, size = [], 0
-    for text in texts:
-        docs.append(keys(text, codes))
+    for found in keys(texts, codes):
+        docs.append(found)
         size += len(docs[-1])
         if size >= 16 * BATCH or len(docs) == 64:
             add(docs)
@@ -311,6 +305,13 @@ def score(df: DataFrame, net: list[np.ndarray], vocabulary: dict[bytes, int], te
     return out.withColumn("score", mean).drop(name)
 
 
+@F.pandas_udf(T.LongType())
+def _word_key(words: pd.Series) -> pd.Series:
+    """The hash of a word, as ``keys`` has it."""
+    found = list(word_hashes(w.encode() for w in words))
+    return pd.Series(np.concatenate([*found, np.empty(0, np.uint64)]).view(np.int64))
+
+
 def _bucket(key: Column) -> Column:
     """The bucket of a word's hash."""
     return F.pmod(key, F.lit(TOKENS - FREQUENT - 1)).cast("int")
@@ -327,12 +328,12 @@ def _sharder(vocabulary: dict[bytes, int], text: int):
 
         for batch in batches:
             shards, words = [], []
-            for t in batch.column(text).to_pylist():
+            texts = batch.column(text).to_pylist()
+            for t, found in zip(texts, keys(texts, codes), strict=True):
                 if size >= SHARD_CHARS:
                     shard, size, met = shard + 1, 0, []
-                found = keys(t, codes)
                 size += len(t or "") + 1
-                met.append(np.unique(found[(found <= 0) | (found > FREQUENT)]))
+                met.append(found[(found <= 0) | (found > FREQUENT)])
                 shards.append(shard)
                 full = size >= SHARD_CHARS
                 words.append(packed() if full else None)
@@ -365,7 +366,7 @@ def score_words(
     """
     frequent = [w.decode() for w in vocabulary]
     rare = counts.where(~F.col("w").isin(frequent)) if frequent else counts
-    rare = rare.select(F.xxhash64("w").alias("h"), "n")
+    rare = settle(rare.select(_word_key("w").alias("h"), "n"))
     # one row per bucket
     sums = rare.groupBy(_bucket(F.col("h")).alias("bucket")).agg((F.sum("n") + F.count("*") + 1).alias("whole")).collect()
     whole = np.zeros(TOKENS - FREQUENT - 1)

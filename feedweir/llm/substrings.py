@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from feedweir.llm.common import free_name, settle, text_key
 from feedweir.llm.fmindex import Index
 from feedweir.llm.sketches import _mix
+from feedweir.llm.wordhash import word_hashes
 
 WINDOW = 35
 RUN = 8
@@ -29,30 +30,10 @@ SHARD_WORDS = 600_000
 HOT_SEGMENTS = 2000
 # Segments, and words of documents, that a task makes before it hands them on.
 OUT_ROWS, OUT_WORDS = 4096, 500_000
-# Words whose hashes a task keeps.
-HASHES = 300_000
 
 _U = np.uint64
 
 
-class _Hashes(dict):
-    """Hashes of words, kept as long as they are few: most words come again within a task."""
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= HASHES:
-            self.clear()
-        self[word] = found = xxhash.xxh3_64_intdigest(word)
-        return found
-
-
-_hashes = _Hashes()
-
-
-def word_hashes(words: list[bytes]) -> np.ndarray:
-    """64-bit hashes of words."""
-    return np.fromiter(map(_hashes.__getitem__, words), _U, len(words))
-
-
 def minimizers_of(docs: list[np.ndarray]) -> list[tuple[np.ndarray, np.ndarray]]:
     """Per document (hashes of its words): first windows of the runs of windows with one minimizer, and the minimizers.
 
@@ -91,7 +72,7 @@ def minimizers_of(docs: list[np.ndarray]) -> list[tuple[np.ndarray, np.ndarray]]
 
 def minimizers(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """``minimizers_of`` one document."""
-    return minimizers_of([word_hashes(words)])[0]
+    return minimizers_of(list(word_hashes([b" ".join(words)])))[0]
 
 
 def _digest(words: list[bytes]) -> str:
@@ -110,10 +91,11 @@ def _documents(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
     for batch in batches:
         rows, hashes, words = [], [], 0
-        for doc, ka, kb, text in zip(batch["doc_id"], batch["ka"], batch["kb"], batch["text"], strict=True):
-            ws = text.encode().split() if text else []
+        texts = [(t or "").encode() for t in batch["text"]]
+        for doc, ka, kb, text, found in zip(batch["doc_id"], batch["ka"], batch["kb"], texts, word_hashes(texts), strict=True):
+            ws = text.split()
             rows.append((None if pd.isna(doc) else int(doc), ka, kb, len(ws), _digest(ws)))
-            hashes.append(word_hashes(ws))
+            hashes.append(found)
             words += len(ws)
             if words >= OUT_WORDS:
                 yield frame(rows, hashes)

@@ -5,7 +5,7 @@ import zlib
 import numpy as np
 from pyspark.sql import functions as F
 
-from feedweir.llm import langid, pseudolikelihood
+from feedweir.llm import langid, pseudolikelihood, wordhash
 
 
 def test_language_gradients(monkeypatch):
@@ -138,3 +138,18 @@ def test_scores_tell_words_of_a_bucket_apart(docs, monkeypatch):
         assert abs(result[d]["log_prob"] - expected) < 1e-6 * max(1, abs(expected))
     assert base[100] == base[101] and result[100]["score"] > result[101]["score"]
     assert result[102]["score"] is None and result[102]["log_prob"] == 0
+
+
+def test_word_hashes():
+    """Equal for equal words, wherever they stand; different for all others; the words are those of bytes.split."""
+    rng = np.random.default_rng(9)
+    texts = [b"", b" \t\n", b"a", b" a b  a\x0bb\x0c\r", "é ß\u2003x é".encode(), b"ab ba aab aba baa \x00 \x00\x00", b"y" * 700_000 + b" a"]
+    texts += [b" ".join(rng.bytes(int(n)).translate(None, b" \t\n\x0b\x0c\r") for n in rng.integers(1, 9, 3000)) for _ in range(60)]
+    texts += [b"a b " * 400_000 + b"c", b"x" * 600_000]
+    found, seen = list(wordhash.word_hashes(texts)), {}
+    for text, hashes in zip(texts, found, strict=True):
+        words = text.split()
+        assert len(words) == len(hashes)
+        for w, h in zip(words, hashes.tolist(), strict=True):
+            assert seen.setdefault(w, h) == h
+    assert len(set(seen.values())) == len(seen) > 100_000

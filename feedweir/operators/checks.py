@@ -11,40 +11,52 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from feedweir.functions.literals import literal
+from feedweir.session import settle
 
 
-def _paths(kind: T.DataType, prefix: str = "") -> list[str]:
-    """Dotted paths of a type; arrays of structs are looked into, maps are not."""
-    if isinstance(kind, T.ArrayType):
-        return _paths(kind.elementType, prefix)
-    if not isinstance(kind, T.StructType):
-        return []
-    out = []
-    for field in kind.fields:
-        here = f"{prefix}{field.name}"
-        out.append(here)
-        if isinstance(field.dataType, T.StructType):
-            out += _paths(field.dataType, here + ".")
-    return out
+# Different keys of an object above which it is a map, whose keys are no fields.
+MOST_KEYS = 1000
 
 
-def _seen_paths(df: DataFrame, json_column: str) -> list[str]:
-    """Field paths of JSON documents. Schemas are merged on the map side; the driver gets the text of one schema."""
-    merged = df.agg(F.schema_of_variant_agg(F.try_parse_json(json_column)).alias("s")).first()["s"]
-    return sorted(set(_paths(_variant_type(merged))))
+def path_counts(df: DataFrame, json_column: str, most_keys: int = MOST_KEYS) -> DataFrame:
+    """Fields of JSON documents: one row per dotted ``path`` with how often it occurs (``n``) and its ``kind``.
+
+    Documents are opened level by level, arrays by their elements, until nothing is left to open. An object whose keys
+    at one path are more than ``most_keys`` different ones is a map (``kind`` map) and has one path, ``….*``, for all its
+    values; so documents keyed by an id make no more paths than others. Other kinds are struct, array and value, the
+    first of them that occurs. Keys are counted by sketches and values by paths, and nothing comes to the driver.
+    """
+    top = df.select(F.lit(None).cast("string").alias("path"), F.try_parse_json(json_column).alias("v"))
+    level, found = top.where("v IS NOT NULL"), None
+    while True:
+        level = settle(level)
+        if level.isEmpty():
+            break
+        keyed = level.select("path", F.explode(F.try_variant_get("v", "$", "map<string,variant>")).alias("key", "v"))
+        keys = keyed.groupBy("path").agg((F.approx_count_distinct("key") > most_keys).alias("open"))
+        # one row per path that holds objects
+        keys = settle(keys).withColumnRenamed("path", "__path")
+        here = F.when(F.col("open"), F.lit("*")).otherwise(F.col("key"))
+        kids = keyed.join(keys, F.col("path").eqNullSafe(F.col("__path")))
+        kids = kids.select(F.concat_ws(".", "path", here).alias("path"), "v")
+        kind = F.regexp_extract(F.schema_of_variant("v"), "^(OBJECT|ARRAY)", 1)
+        kids = kids.withColumn("kind", F.when(kind == "OBJECT", 0).when(kind == "ARRAY", 1).otherwise(2))
+        counted = kids.groupBy("path").agg(F.count("*").alias("n"), F.min("kind").alias("kind"))
+        maps = keys.where("open AND __path IS NOT NULL").select(F.col("__path").alias("path"), F.lit(True).alias("map"))
+        found = counted if found is None else found.unionByName(counted)
+        found = found.join(maps, "path", "left").withColumn("kind", F.when(F.col("map"), -1).otherwise(F.col("kind"))).drop("map")
+        found = settle(found)
+        inside = level.select("path", F.explode(F.try_variant_get("v", "$", "array<variant>")).alias("v"))
+        level = kids.where("kind < 2").select("path", "v").unionByName(inside)
+    names = F.element_at(F.array(*[F.lit(n) for n in ("map", "struct", "array", "value")]), F.col("kind") + 2)
+    if found is None:
+        return df.sparkSession.createDataFrame([], "path string, n bigint, kind string")
+    return found.groupBy("path").agg(F.sum("n").alias("n"), F.min("kind").alias("kind")).select("path", "n", names.alias("kind"))
 
 
 def field_paths(df: DataFrame, json_column: str) -> DataFrame:
     """Dotted paths of all fields that occur in JSON documents."""
-    return df.sparkSession.createDataFrame([(p,) for p in _seen_paths(df, json_column)], "path string")
-
-
-def _variant_type(text: str | None) -> T.DataType:
-    """Spark type of the schema text a variant aggregate returns."""
-    if not text or not text.startswith("OBJECT<"):
-        return T.StructType()
-    ddl = text.replace("OBJECT<", "STRUCT<").replace("VOID", "STRING").replace("VARIANT", "STRING")
-    return T.StructType.fromDDL(f"root {ddl}")["root"].dataType
+    return path_counts(df, json_column).select("path")
 
 
 def _declared(schema: T.StructType) -> list[tuple[str, bool]]:
@@ -77,11 +89,13 @@ def field_sets(declared: DataFrame, seen: DataFrame) -> DataFrame:
 
 
 def schema_drift(df: DataFrame, json_column: str, schema: T.StructType) -> DataFrame:
-    """Paths that occur in the documents and that no declared field covers; both lists are as short as a schema."""
+    """Paths that occur in the documents and that no declared field covers; what is declared is as short as a schema."""
     declared = _declared(schema)
-    names, opened = {p for p, _ in declared}, tuple(p + "." for p, is_open in declared if is_open)
-    loose = [(p,) for p in _seen_paths(df, json_column) if p not in names and not p.startswith(opened)]
-    return df.sparkSession.createDataFrame(loose, "path string")
+    names, opened = [p for p, _ in declared], [p + "." for p, is_open in declared if is_open]
+    loose = ~F.col("path").isin(names)
+    for start in opened:
+        loose = loose & ~F.col("path").startswith(start)
+    return field_paths(df, json_column).where(loose)
 
 
 def column_population(df: DataFrame, allow: Sequence[str] = ()) -> DataFrame:

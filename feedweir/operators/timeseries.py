@@ -25,6 +25,9 @@ SUMMARY_KINDS = ("Total", "Average", "Minimum", "Maximum", "Range", "StdDev", "C
 DEFAULT_KIND, DEFAULT_BASIS, DEFAULT_DURATION = "Total", "TimeWeighted", 3600
 DEFAULT_PLOT_INTERVALS = 300
 
+# Steps or bins that one array holds while a range is filled.
+GRID_BLOCK = 10_000
+
 
 def _micros(c: Column) -> Column:
     return F.unix_micros(c.cast("timestamp"))
@@ -83,12 +86,30 @@ def value_at(df: DataFrame, times: DataFrame, interpolate: bool = True) -> DataF
     return found.select(TAG, F.col(TS).alias("query_time"), result.alias(VALUE))
 
 
+def _each_number(df: DataFrame, first: Column, last: Column, into: str, deal: Sequence[str] = ()) -> DataFrame:
+    """One row of ``df`` for every whole number from ``first`` to ``last``, in two steps: blocks, then their numbers.
+
+    So no array is longer than a block, however long the range is. With ``deal`` the blocks are dealt out before they are
+    filled, so that a few rows with long ranges fill many tasks.
+    """
+    lo, hi = F.floor(first / GRID_BLOCK), F.floor(last / GRID_BLOCK)
+    out = df.withColumns({"__first": first, "__last": last}).withColumn("__block", F.explode(F.sequence(lo, hi)))
+    if deal:
+        out = out.repartition(*deal, "__block")
+    inside = F.sequence(
+        F.greatest(F.col("__first"), F.col("__block") * GRID_BLOCK), F.least(F.col("__last"), F.col("__block") * GRID_BLOCK + GRID_BLOCK - 1)
+    )
+    return out.withColumn(into, F.explode(inside)).drop("__first", "__last", "__block")
+
+
 def grid(tags: DataFrame, start: dt.datetime, end: dt.datetime, step_seconds: int) -> DataFrame:
     """Every tag at every step of the range."""
-    steps = F.sequence(
-        literal(start), literal(end), F.make_dt_interval(secs=F.lit(step_seconds))
-    )
-    return tags.select(TAG, F.explode(steps).alias("query_time"))
+    last = (end - start) // dt.timedelta(seconds=step_seconds)
+    if last < 0:
+        return tags.select(TAG, literal(start).alias("query_time")).limit(0)
+    steps = _each_number(tags.select(TAG), F.lit(0).cast("bigint"), F.lit(last).cast("bigint"), "__step", [TAG])
+    passed = F.make_dt_interval(secs=(F.col("__step") * step_seconds).cast("decimal(18,6)"))
+    return steps.select(TAG, (literal(start) + passed).alias("query_time"))
 
 
 def interpolated(df: DataFrame, start: dt.datetime, end: dt.datetime, step_seconds: int) -> DataFrame:
@@ -128,7 +149,7 @@ def _segments(df: DataFrame, start: dt.datetime, end: dt.datetime, duration: int
     stop = F.least(F.coalesce(_micros(F.col("__next.at")), high), high)
     cut = held.select(TAG, VALUE, begin.alias("b"), stop.alias("e")).filter("b < e")
     first, last = F.floor((F.col("b") - low) / width), F.floor((F.col("e") - 1 - low) / width)
-    pieces = cut.select("*", F.explode(F.sequence(first, last)).alias("bin"), low.alias("lo"))
+    pieces = _each_number(cut, first, last, "bin").withColumn("lo", low)
     held_for = F.least(F.col("e"), F.col("lo") + (F.col("bin") + 1) * width) - F.greatest(
         F.col("b"), F.col("lo") + F.col("bin") * width
     )

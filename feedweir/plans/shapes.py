@@ -975,6 +975,36 @@ def _(spark: SparkSession, d: str) -> DataFrame:
     return checks.field_sets(declared, checks.field_paths(_documents(spark, d), "document"))
 
 
+@query(
+    "path_counts",
+    "O-151",
+    "O-179",
+    "O-180",
+    sql="""
+SELECT 'id' AS path, count(*) AS n, 'value' AS kind FROM events
+UNION ALL SELECT 'by', count(*), 'map' FROM events
+UNION ALL SELECT 'by.*', count(*), 'struct' FROM events
+UNION ALL SELECT 'by.*.value', count(value), 'value' FROM events
+UNION ALL SELECT 'steps', count(*), 'array' FROM events WHERE event_id % 3 = 0
+UNION ALL SELECT 'steps.no', 2 * count(*), 'value' FROM events WHERE event_id % 3 = 0
+UNION ALL SELECT 'at_' || event_type, count(*), 'struct' FROM events GROUP BY event_type
+UNION ALL SELECT 'at_' || event_type || '.user', count(*), 'value' FROM events GROUP BY event_type
+""",
+)
+def _(spark: SparkSession, d: str) -> DataFrame:
+    """Documents with an object keyed by an id of its own, one whose name differs by kind, and lists of objects."""
+    steps = F.when(F.col("event_id") % 3 == 0, F.array(*[F.struct(F.lit(i).alias("no")) for i in (1, 2)]))
+    fields = {
+        "id": F.col("event_id"),
+        "by": F.create_map(F.concat(F.lit("e"), "event_id"), F.struct("value")),
+        "steps": steps,
+    }
+    document = F.to_json(F.struct(*[c.alias(n) for n, c in fields.items()]))
+    named = F.to_json(F.create_map(F.concat(F.lit("at_"), "event_type"), F.struct(F.col("user_id").alias("user"))))
+    both = F.concat(F.substring(document, F.lit(1), F.char_length(document) - 1), F.lit(","), F.substring(named, F.lit(2), F.char_length(named)))
+    return checks.path_counts(table(spark, d, "events").select(both.alias("document")), "document", most_keys=100)
+
+
 @query("schema_drift", "O-180", sql="SELECT 'seen' AS path")
 def _(spark: SparkSession, d: str) -> DataFrame:
     schema = T.StructType.fromDDL("id bigint, position map<string, double>, gone string")

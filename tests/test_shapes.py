@@ -275,6 +275,18 @@ def test_payload_files(spark, tmp_path, rows):
     assert [p.name for p in (tmp_path / "out").iterdir()] == ["1.2.3.dcm"]
 
 
+def test_paths_of_documents_keyed_by_an_id(spark, rows):
+    """Maps are told from structs at any depth; lists of lists, nulls, empty objects and texts that are no JSON."""
+    texts = [f'{{"byid": {{"k{i}": {{"n": {i}, "deep": {{"d{i}": [[{{"z": 1}}], []]}}}}}}, "s": {{"a": null}}}}' for i in range(300)]
+    texts += ["no json", "[]", "{}", '[{"top": 1}]', None, '{"s": 5}']
+    found = checks.path_counts(spark.createDataFrame([(t,) for t in texts], "j string"), "j", most_keys=50)
+    assert rows(found) == sorted([
+        ("byid", 300, "map"), ("byid.*", 300, "struct"), ("byid.*.n", 300, "value"), ("byid.*.deep", 300, "map"),
+        ("byid.*.deep.*", 300, "array"), ("byid.*.deep.*.z", 300, "value"), ("s", 301, "struct"), ("s.a", 300, "value"), ("top", 1, "value"),
+    ], key=repr)
+    assert checks.path_counts(spark.createDataFrame([], "j string"), "j").count() == 0
+
+
 def test_drift_and_population(spark, rows):
     df = spark.createDataFrame([('{"a": 1, "b": {"c": [1], "d": {"e": 2}}}',), ('{"m": {"x": 1}}',), ("not json",)], "j string")
     assert {r[0] for r in rows(checks.field_paths(df, "j"))} == {"a", "b", "b.c", "b.d", "b.d.e", "m", "m.x"}

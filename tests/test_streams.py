@@ -349,6 +349,19 @@ def test_interpolation_outside_and_on_points(spark):
     assert [r["value"] for r in found] == [None, None, 0.0, 2.0, 4.0, None]
 
 
+def test_grid_of_a_year_by_the_second(spark):
+    """No array holds more than a block of steps, and the steps of one tag come from many tasks."""
+    tags, start = spark.createDataFrame([("t",)], "tag string"), dt.datetime(2024, 1, 1)
+    found = timeseries.grid(tags, start, start + dt.timedelta(days=366), 1)
+    times = F.approx_count_distinct("query_time").alias("d")
+    r = found.agg(F.count("*").alias("n"), F.min("query_time").alias("a"), F.max("query_time").alias("b"), times).first()
+    assert (r["n"], r["a"], r["b"]) == (366 * 86400 + 1, start, start + dt.timedelta(days=366)) and abs(r["d"] / r["n"] - 1) < 0.1
+    assert found.select(F.spark_partition_id().alias("p")).distinct().count() > 4
+    assert timeseries.grid(tags, start, start - dt.timedelta(days=1), 1).count() == 0
+    few = timeseries.grid(tags, start, start + dt.timedelta(seconds=10), 3).collect()
+    assert sorted(x["query_time"].second for x in few) == [0, 3, 6, 9]
+
+
 def test_time_weighted_bins_carry_values(spark, rows):
     day = dt.datetime(2024, 1, 1)
     data = [("t", day - dt.timedelta(hours=5), 2.0), ("t", day + dt.timedelta(minutes=30), 4.0)]

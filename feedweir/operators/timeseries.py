@@ -95,7 +95,8 @@ def _each_number(df: DataFrame, first: Column, last: Column, into: str, deal: Se
     lo, hi = F.floor(first / GRID_BLOCK), F.floor(last / GRID_BLOCK)
     out = df.withColumns({"__first": first, "__last": last}).withColumn("__block", F.explode(F.sequence(lo, hi)))
     if deal:
-        out = out.repartition(*deal, "__block")
+        # a number of its own, or else the few small rows would be put together again
+        out = out.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *deal, "__block")
     inside = F.sequence(
         F.greatest(F.col("__first"), F.col("__block") * GRID_BLOCK), F.least(F.col("__last"), F.col("__block") * GRID_BLOCK + GRID_BLOCK - 1)
     )

@@ -2,7 +2,11 @@
 
 A window partitioned by key alone sends a hot key to one task. The helpers below take ``split``, a Column that
 never decreases along the row order (an hour, a day, a block of sequence numbers). Rows are windowed per
-``(key, split)``; only one edge row per block, pre-aggregated on the map side, is windowed per key.
+``(key, split)``; only one edge row per block is windowed per key.
+
+Rows are dealt out by ``(key, split)`` once, and both the windows and the edges are made from that one exchange. Rows go
+through it as one struct each and edges are picked as whole rows: were single columns picked, the two plans would read
+different columns of it and Spark would make it twice.
 """
 
 from __future__ import annotations
@@ -15,7 +19,7 @@ from pyspark.sql import types as T
 
 from feedweir.session import settle
 
-_GROUP, _BLOCK, _VALUE, _EDGE = "__group", "__block", "__value", "__edge"
+_GROUP, _BLOCK, _VALUE, _EDGE, _ROW = "__group", "__block", "__value", "__edge", "__row"
 # monotonically_increasing_id keeps the partition number above this bit and the row number below it.
 _ROW_BITS = 33
 
@@ -33,7 +37,29 @@ def block_of(df: DataFrame, column: str, width: str | int | None = None) -> Colu
 
 
 def _blocked(df: DataFrame, keys: Sequence[str], split: Column, value: Column) -> DataFrame:
-    return df.select("*", F.struct(*keys).alias(_GROUP), split.alias(_BLOCK), value.alias(_VALUE))
+    """Rows as structs, with their ``_VALUE`` inside, dealt out by group and block."""
+    row = F.struct(*[F.col(f"`{c}`") for c in df.columns], value.alias(_VALUE))
+    return df.select(row.alias(_ROW), F.struct(*keys).alias(_GROUP), split.alias(_BLOCK)).repartition(_GROUP, _BLOCK)
+
+
+def _at(order: Sequence[str]) -> Column:
+    """Where a packed row stands."""
+    return F.struct(*[F.col(_ROW)[c].alias(c) for c in order])
+
+
+def _sorted(order: Sequence[str], backward: bool = False) -> list[Column]:
+    return [F.col(_ROW)[c].desc() if backward else F.col(_ROW)[c].asc() for c in order]
+
+
+def _joined(rows: DataFrame, blocks: DataFrame) -> DataFrame:
+    """Rows with what their block knows of the others. Blocks may be null, which is a block of its own."""
+    blocks = blocks.withColumnsRenamed({_GROUP: "__g", _BLOCK: "__b"})
+    same = F.col(_GROUP).eqNullSafe(F.col("__g")) & F.col(_BLOCK).eqNullSafe(F.col("__b"))
+    return rows.join(blocks, same).drop("__g", "__b")
+
+
+def _unpacked(rows: DataFrame, names: Sequence[str], *others: str) -> DataFrame:
+    return rows.select(*[F.col(_ROW)[c].alias(c) for c in names], *others)
 
 
 def with_neighbour(
@@ -51,15 +77,12 @@ def with_neighbour(
         return df.withColumn(into, step(value).over(Window.partitionBy(*keys).orderBy(*order)))
     rows = _blocked(df, keys, split, value)
     pick = F.min_by if ahead else F.max_by
-    edges = rows.groupBy(_GROUP, _BLOCK).agg(pick(_VALUE, F.struct(*order)).alias(_EDGE))
+    edges = rows.groupBy(_GROUP, _BLOCK).agg(pick(_ROW, _at(order)).alias(_EDGE))
     along = Window.partitionBy(_GROUP).orderBy(_BLOCK)
-    edges = edges.select(_GROUP, _BLOCK, step(_EDGE).over(along).alias(_EDGE))
-    inside = Window.partitionBy(_GROUP, _BLOCK).orderBy(*order)
-    return (
-        rows.join(edges, [_GROUP, _BLOCK], "left")
-        .withColumn(into, F.coalesce(step(_VALUE).over(inside), F.col(_EDGE)))
-        .drop(_GROUP, _BLOCK, _VALUE, _EDGE)
-    )
+    edges = edges.select(_GROUP, _BLOCK, step(F.col(_EDGE)[_VALUE]).over(along).alias(_EDGE))
+    inside = Window.partitionBy(_GROUP, _BLOCK).orderBy(*_sorted(order))
+    found = _joined(rows, edges).withColumn(into, F.coalesce(step(F.col(_ROW)[_VALUE]).over(inside), F.col(_EDGE)))
+    return _unpacked(found, df.columns, into)
 
 
 def with_nearest(
@@ -84,16 +107,13 @@ def with_nearest(
         return df.withColumn(into, F.last(value, ignorenulls=True).over(up_to_here(keys, order, 0)))
     rows = _blocked(df, keys, split, value)
     pick = F.min_by if ahead else F.max_by
-    known = F.when(F.col(_VALUE).isNotNull(), F.struct(*order))
-    edges = rows.groupBy(_GROUP, _BLOCK).agg(pick(_VALUE, known).alias(_EDGE))
+    edges = rows.groupBy(_GROUP, _BLOCK).agg(pick(_ROW, F.when(F.col(_ROW)[_VALUE].isNotNull(), _at(order))).alias(_EDGE))
+    edges = edges.select(_GROUP, _BLOCK, F.col(_EDGE)[_VALUE].alias(_EDGE))
     carried = F.last(_EDGE, ignorenulls=True).over(up_to_here([_GROUP], [_BLOCK], -1))
     edges = edges.select(_GROUP, _BLOCK, carried.alias(_EDGE))
-    inside = F.last(_VALUE, ignorenulls=True).over(up_to_here([_GROUP, _BLOCK], order, 0))
-    return (
-        rows.join(edges, [_GROUP, _BLOCK], "left")
-        .withColumn(into, F.coalesce(inside, F.col(_EDGE)))
-        .drop(_GROUP, _BLOCK, _VALUE, _EDGE)
-    )
+    frame = Window.partitionBy(_GROUP, _BLOCK).orderBy(*_sorted(order, ahead)).rowsBetween(Window.unboundedPreceding, 0)
+    inside = F.last(F.col(_ROW)[_VALUE], ignorenulls=True).over(frame)
+    return _unpacked(_joined(rows, edges).withColumn(into, F.coalesce(inside, F.col(_EDGE))), df.columns, into)
 
 
 def with_bracket(
@@ -107,27 +127,27 @@ def with_bracket(
 ) -> DataFrame:
     """Add the latest non-null ``value`` at or before this row and the first one at or after it, in one pass."""
     rows = _blocked(df, keys, split, value)
-    known = F.when(F.col(_VALUE).isNotNull(), F.struct(*order))
-    blocks = rows.groupBy(_GROUP, _BLOCK).agg(F.min_by(_VALUE, known).alias("__lo"), F.max_by(_VALUE, known).alias("__hi"))
+    known = F.when(F.col(_ROW)[_VALUE].isNotNull(), _at(order))
+    blocks = rows.groupBy(_GROUP, _BLOCK).agg(F.min_by(_ROW, known).alias("__lo"), F.max_by(_ROW, known).alias("__hi"))
+    blocks = blocks.select(_GROUP, _BLOCK, F.col("__lo")[_VALUE].alias("__lo"), F.col("__hi")[_VALUE].alias("__hi"))
 
-    def latest(value: str, parts: Sequence[str], names: Sequence[str], backward: bool, end: int) -> Column:
-        sort = [F.col(n).desc() if backward else F.col(n).asc() for n in names]
+    def latest(value: Column, parts: Sequence[str], sort: Sequence[Column], end: int) -> Column:
         frame = Window.partitionBy(*parts).orderBy(*sort).rowsBetween(Window.unboundedPreceding, end)
         return F.last(value, ignorenulls=True).over(frame)
 
     blocks = blocks.select(
         _GROUP,
         _BLOCK,
-        latest("__hi", [_GROUP], [_BLOCK], False, -1).alias("__earlier"),
-        latest("__lo", [_GROUP], [_BLOCK], True, -1).alias("__later"),
+        latest(F.col("__hi"), [_GROUP], [F.col(_BLOCK).asc()], -1).alias("__earlier"),
+        latest(F.col("__lo"), [_GROUP], [F.col(_BLOCK).desc()], -1).alias("__later"),
     )
-    inside = [_GROUP, _BLOCK]
-    return (
-        rows.join(blocks, inside, "left")
-        .withColumn(before, F.coalesce(latest(_VALUE, inside, order, False, 0), F.col("__earlier")))
-        .withColumn(after, F.coalesce(latest(_VALUE, inside, order, True, 0), F.col("__later")))
-        .drop(_GROUP, _BLOCK, _VALUE, "__earlier", "__later")
+    inside, here = [_GROUP, _BLOCK], F.col(_ROW)[_VALUE]
+    found = (
+        _joined(rows, blocks)
+        .withColumn(before, F.coalesce(latest(here, inside, _sorted(order), 0), F.col("__earlier")))
+        .withColumn(after, F.coalesce(latest(here, inside, _sorted(order, True), 0), F.col("__later")))
     )
+    return _unpacked(found, df.columns, before, after)
 
 
 def opening_rows(
@@ -154,16 +174,16 @@ def opening_rows(
         following = F.lead(F.struct(F.col(_VALUE).alias("value"), F.col("__prev").alias("before"))).over(along)
         return found.withColumn("__next", following).drop(_VALUE, "__prev")
     rows = _blocked(df, keys, split, value)
-    inside = Window.partitionBy(_GROUP, _BLOCK).orderBy(*order)
-    rows = rows.withColumn("__prev", F.lag(_VALUE).over(inside))
-    at = F.struct(*order)
-    opening = F.struct(F.col(_VALUE).alias("value"), F.col("__prev").alias("before"))
-    opens_inside = F.col("__prev").isNotNull() & opens(F.col("__prev"), F.col(_VALUE))
+    inside, here = Window.partitionBy(_GROUP, _BLOCK).orderBy(*_sorted(order)), F.col(_ROW)[_VALUE]
+    rows = rows.withColumn("__prev", F.lag(here).over(inside))
+    opening = F.struct(here.alias("value"), F.col("__prev").alias("before"))
+    opens_inside = F.col("__prev").isNotNull() & opens(F.col("__prev"), here)
     blocks = rows.groupBy(_GROUP, _BLOCK).agg(
-        F.min_by(_VALUE, at).alias("__lo"),
-        F.max_by(_VALUE, at).alias("__hi"),
-        F.min_by(opening, F.when(opens_inside, at)).alias("__inner"),
+        F.min_by(_ROW, _at(order)).alias("__lo"),
+        F.max_by(_ROW, _at(order)).alias("__hi"),
+        F.min_by(opening, F.when(opens_inside, _at(order))).alias("__inner"),
     )
+    blocks = blocks.withColumns({"__lo": F.col("__lo")[_VALUE], "__hi": F.col("__hi")[_VALUE]})
     forward = Window.partitionBy(_GROUP).orderBy(_BLOCK)
     backward = Window.partitionBy(_GROUP).orderBy(F.col(_BLOCK).desc())
     later = backward.rowsBetween(Window.unboundedPreceding, -1)
@@ -177,13 +197,10 @@ def opening_rows(
         F.last("__head", ignorenulls=True).over(later).alias("__later"),
         F.first("__hi").over(backward).alias("__final"),
     )
-    # null-safe: rows without an order value are a block of their own, the first one, as they are without a split
-    blocks = blocks.withColumnsRenamed({_GROUP: "__g", _BLOCK: "__b"})
-    same = F.col(_GROUP).eqNullSafe(F.col("__g")) & F.col(_BLOCK).eqNullSafe(F.col("__b"))
-    found = rows.join(blocks, same).drop("__g", "__b").withColumn("__prev", F.coalesce("__prev", "__before"))
-    found = found.filter(opens(F.col("__prev"), F.col(_VALUE)))
+    found = _joined(rows, blocks).withColumn("__prev", F.coalesce("__prev", "__before"))
+    found = found.filter(opens(F.col("__prev"), here))
     following = F.coalesce(F.lead(opening).over(inside), F.col("__later"))
-    return found.withColumn("__next", following).drop(_GROUP, _BLOCK, _VALUE, "__prev", "__before", "__later")
+    return _unpacked(found.withColumn("__next", following), df.columns, "__final", "__next")
 
 
 def _placed(df: DataFrame, order: Sequence[Column]) -> DataFrame:

@@ -16,7 +16,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from feedweir.llm.common import components, settle
+from feedweir.llm.common import components, settle, text_key
 
 # Coordinates, and rows per band. A pair at similarity 0.8 shares no band with probability (1 - 0.8^6)^42 = 3e-6.
 SIZE = 256
@@ -204,10 +204,32 @@ def link(df: DataFrame, width: int = 2) -> DataFrame:
     link, so no bucket is cut and no candidate is dropped. Every link is confirmed on the sets of the whole texts.
 
     Null, empty and blank texts have n_shingles 0 and are linked with nothing. Rows with a null doc_id are linked with
-    nothing, have no component and are kept. Rows that share a doc_id are one document. An empty table gives an empty
+    nothing, have no component and are kept. Rows that share a doc_id are one document; where their texts differ, each
+    text is compared on its own and what it is linked to is linked to the document. An empty table gives an empty
     table; other columns are ignored.
     """
     docs = df.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    keyed = docs.where("doc_id is not null").select("doc_id", text_key(F.col("text")).alias("k"))
+    first = keyed.groupBy("doc_id").agg(F.min("k").alias("k0"), F.max("k").alias("k1")).where("k0 <> k1").select("doc_id", "k0")
+    others = keyed.join(first, "doc_id").where("k <> k0").select("doc_id", "k").distinct()
+    others = settle(others)
+    if others.isEmpty():
+        return _link(docs, width, None)
+    # every further text of a document is a node of its own, numbered above all documents and linked to its document
+    top = docs.agg(F.max("doc_id")).first()[0]
+    others = settle(others.withColumn("node", F.lit(top + 1) + F.monotonically_increasing_id()))
+    here, there = docs.withColumn("k", text_key(F.col("text"))), others.withColumnRenamed("doc_id", "of")
+    split = here.join(there, (here["doc_id"] == there["of"]) & (here["k"] == there["k"]), "left")
+    split = settle(split.select(F.coalesce("node", "doc_id").alias("doc_id"), "text"))
+    out = _link(split, width, others.select(F.col("node").alias("a"), F.col("doc_id").alias("b")))
+    back = others.select(F.col("doc_id").alias("of"), "node")
+    out = out.join(back, out["doc_id"] == back["node"], "left")
+    out = out.select(F.coalesce("of", "doc_id").alias("doc_id"), "n_shingles", "component_id")
+    return out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
+
+
+def _link(docs: DataFrame, width: int, known_links: DataFrame | None) -> DataFrame:
+    """``link`` for documents of one text each; ``known_links`` (a, b) are joined to those that are found."""
     rows = settle(docs.mapInPandas(lambda x: _sketches(x, width), _SKETCHES))
     known = rows.where("doc_id is not null and n_shingles > 0")
     first = known.groupBy("digest").agg(F.min(F.struct("doc_id", "bands", "bits")).alias("m"))
@@ -248,7 +270,8 @@ def link(df: DataFrame, width: int = 2) -> DataFrame:
     more = others.join(everyone, same & crossing & room(F.least("pa", "pb")) & close & room(met))
     more = _confirmed(more.select("a", "b").distinct(), texts, width)
 
-    found = components(links.unionByName(more).unionByName(copies))
+    every = links.unionByName(more).unionByName(copies)
+    found = components(every if known_links is None else every.unionByName(known_links))
     out = rows.select("doc_id", "n_shingles")
     out = out.join(found.withColumnRenamed("node", "doc_id"), "doc_id", "left")
     out = out.select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))

@@ -51,6 +51,15 @@ def brute_groups(rows):
     return sorted((d, len(sets[d]), label[d], label[d] == d) for d in sets)
 
 
+def test_a_document_with_several_texts_loses_no_link(docs):
+    """Rows that share a doc_id are one document: what is like any of their texts is linked to it."""
+    a, b, c = (" ".join(f"{x}{i}" for i in range(200)) for x in "abc")
+    rows = [(4, a), (4, b), (4, a), (5, b + " more"), (6, a + " more"), (7, c), (8, c), (9, None), (9, ""), (10, None), (None, a)]
+    got = sorted((tuple(r) for r in sketches.link(docs(rows)).collect()), key=repr)
+    want = [(4, 199, 4, True)] * 3 + [(5, 200, 4, False), (6, 200, 4, False), (7, 199, 7, True), (8, 199, 7, False)]
+    assert got == sorted([*want, (9, 0, 9, True), (9, 0, 9, True), (10, 0, 10, True), (None, 199, None, True)], key=repr)
+
+
 def edited(words, share, rng):
     return [rng.choice("abcdefgh") * rng.randrange(3, 9) if rng.random() < share else w for w in words]
 

@@ -103,19 +103,19 @@ def _documents(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield frame(rows, hashes)
 
 
-_SEGMENTS = "ka long, kb long, start int, key long, sa long, sb long, segment string"
+_SEGMENTS = "ka long, kb long, weight long, start int, key long, sa long, sb long, segment string"
 
 
 def _segments(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    columns = ["ka", "kb", "start", "key", "sa", "sb", "segment"]
+    columns = ["ka", "kb", "weight", "start", "key", "sa", "sb", "segment"]
     for batch in batches:
         rows = []
-        for ka, kb, text, refs in zip(batch["ka"], batch["kb"], batch["text"], batch["refs"], strict=True):
+        for ka, kb, weight, text, refs in zip(batch["ka"], batch["kb"], batch["weight"], batch["text"], batch["refs"], strict=True):
             ws = text.encode().split()
             for ref in refs:
                 segment = b" ".join(ws[ref["start"] : ref["end"] + WINDOW - 1])
                 sa, sb = np.frombuffer(xxhash.xxh3_128_digest(segment), np.int64)
-                rows.append((ka, kb, ref["start"], ref["key"], sa, sb, segment.decode()))
+                rows.append((ka, kb, weight, ref["start"], ref["key"], sa, sb, segment.decode()))
                 # a batch of texts has many times its rows in segments: never all of them at once
                 if len(rows) >= OUT_ROWS:
                     yield pd.DataFrame(rows, columns=columns)
@@ -214,8 +214,7 @@ def _removals(df: DataFrame) -> tuple[DataFrame, DataFrame]:
     bodies = docs.select("ka", "kb", "text").join(shared.select("ka", "kb"), ["ka", "kb"], "left_semi")
     bodies = bodies.groupBy("ka", "kb").agg(F.min("text").alias("text")).join(shared, ["ka", "kb"])
     bodies = settle(bodies)
-    weights = bodies.select("ka", "kb", "weight")
-    segments = settle(bodies.mapInPandas(_segments, _SEGMENTS).join(weights, ["ka", "kb"]))
+    segments = settle(bodies.mapInPandas(_segments, _SEGMENTS))
 
     # different segments; those of a minimizer with very many are cut into windows, dealt out by their own hash
     different = segments.groupBy("key", "sa", "sb").agg(F.sum("weight").alias("weight"), F.min("segment").alias("segment"))
@@ -227,10 +226,10 @@ def _removals(df: DataFrame) -> tuple[DataFrame, DataFrame]:
     cut = cut.select("sa", "sb", "weight", "base", F.array_join(F.slice("w", F.col("base") + 1, WINDOW), " ").alias("segment"))
     cut = cut.withColumn("deal", F.xxhash64("segment"))
     plain = parts.where("hot is null").select("sa", "sb", "weight", F.lit(0).alias("base"), "segment", F.xxhash64("key").alias("deal"))
-    windows = F.size(ws) - (WINDOW - 1)
-    size = parts.agg(F.sum(F.when(F.col("hot"), windows * WINDOW).otherwise(F.size(ws)))).first()[0] or 0
+    pieces = settle(plain.unionByName(cut))
+    size = pieces.agg(F.sum(F.size(F.split("segment", " ")))).first()[0] or 0
     shards = max(1, size // SHARD_WORDS)
-    dealt = plain.unionByName(cut).withColumn("shard", F.pmod("deal", F.lit(shards)))
+    dealt = pieces.withColumn("shard", F.pmod("deal", F.lit(shards)))
     found = dealt.groupBy("shard").applyInPandas(repeated, _FOUND)
     found = found.groupBy("sa", "sb").agg(F.array_distinct(F.flatten(F.collect_list("hits"))).alias("hits"))
 

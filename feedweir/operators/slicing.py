@@ -10,6 +10,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
+from itertools import accumulate
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -251,6 +252,23 @@ class SortedFiles:
             return None
         return spark.read.parquet(*chosen).orderBy(*self.order).offset(offset - first).limit(limit)
 
+    def pages(self, spark: SparkSession, size: int) -> DataFrame | None:
+        """All pages of ``size`` rows in one scan: every row with its ``page``, from 0, and the ``file`` that holds it.
+
+        A file's rows lie in order, so a row's place is its place in the file after the rows of the files before; none is
+        sorted again, and the plan is the same for any number of pages. None without rows.
+        """
+        if not self.files:
+            return None
+        before = list(accumulate((rows for _, rows in self.files), initial=0))[:-1]
+        # one row per file
+        starts = spark.createDataFrame(list(zip((name for name, _ in self.files), before)), "__file string, __before bigint")
+        held = spark.read.parquet(*[name for name, _ in self.files])
+        rows = held.select("*", F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("__row"))
+        rows = rows.join(F.broadcast(starts), F.col("file") == F.col("__file"))
+        place = F.col("__before") + F.col("__row")
+        return rows.select(*held.columns, F.floor(place / size).cast("bigint").alias("page"), "file")
+
 
 def sorted_files(df: DataFrame, order_by: Sequence[str], folder: str) -> SortedFiles:
     """Write ``df`` in ranges of ``order_by``, a total order, and say how many rows each file holds.

@@ -587,17 +587,16 @@ FROM events WHERE ts <= TIMESTAMP '2024-01-20'
 """,
 )
 def _(spark: SparkSession, d: str) -> DataFrame:
-    """All pages of a pinned range one after the other; each opens only the files that hold its rows."""
-    held = S.sorted_files(S.slice_range(events(spark, d, "event_id", "ts"), "ts", None, RUN_START), ["ts", "event_id"], _folder(spark, "pages"))
-    pages, opened = None, 0
-    for number, offset in enumerate(range(0, held.total, 150)):
-        rows = held.page(spark, offset, 150)
-        opened += len(rows.inputFiles())
-        rows = rows.withColumn("page", F.lit(number).cast("bigint"))
-        pages = rows if pages is None else pages.unionByName(rows)
+    """All pages of a pinned range in one scan; each opens only the files that hold its rows."""
+    span = S.slice_range(events(spark, d, "event_id", "ts"), "ts", None, RUN_START)
+    held = S.sorted_files(span, ["ts", "event_id"], _folder(spark, "pages"))
+    pages = held.pages(spark, 150)
+    if pages is None:
+        return span.limit(0).select("event_id", "ts", F.lit(0).cast("bigint").alias("page"), F.lit(True).alias("few_files"))
     # pages that share a file at their border open it both
-    few = opened <= len(held.files) + number
-    return pages.withColumn("few_files", F.lit(few)).select("event_id", "ts", "page", "few_files")
+    opened = pages.select("page", "file").distinct()
+    few = opened.agg((F.count("*") <= F.max("page") + len(held.files)).alias("few")).scalar()
+    return pages.withColumn("few_files", few).select("event_id", "ts", "page", "few_files")
 
 
 @query(

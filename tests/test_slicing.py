@@ -286,3 +286,18 @@ def test_sorted_pages(spark, tmp_path):
     parts = list(S.drain_pinned(timed, "ts", "id", start + dt.timedelta(days=9), start + dt.timedelta(days=2), 70, str(tmp_path / "q")))
     want = timed.filter("ts between '2024-01-03' and '2024-01-10'")
     assert all(p.count() == 70 for p in parts[:-1]) and balance(parts, want) == (0, 0)
+
+
+def test_all_pages_in_one_scan(spark, tmp_path):
+    """Every page as ``page`` reads it, empty files and equal rows among them, and one plan for any number of pages."""
+    df = spark.range(900).select((F.col("id") * 7919 % 300).alias("n"), (F.col("id") % 7).alias("k"))
+    held = S.sorted_files(df.repartition(5), ["n", "k"], str(tmp_path / "p"))
+    for size in (1, 7, 900, 5000):
+        found = held.pages(spark, size)
+        got = sorted((r["page"], r["n"], r["k"]) for r in found.collect())
+        want = sorted((r["n"], r["k"]) for r in df.collect())
+        assert got == [(i // size, *row) for i, row in enumerate(want)]
+    assert {f for f, _ in held.files} == {r["file"] for r in found.select("file").distinct().collect()}
+    one = held.pages(spark, 7).where("page = 3").select("n", "k")
+    assert sorted(map(tuple, one.collect())) == sorted(map(tuple, held.page(spark, 21, 7).collect()))
+    assert S.sorted_files(df.limit(0), ["n", "k"], str(tmp_path / "q")).pages(spark, 7) is None

@@ -210,6 +210,5 @@ def _(spark: SparkSession, d: str) -> DataFrame:
         return table(session, d, "customer").select("c_custkey", "c_name", "c_acctbal")
 
     running = Z.stream_snapshot(spark, read, out, out + "-log", interval="1 second")
-    running.processAllAvailable()
-    running.stop()
+    Z.stop_after_snapshot(running, spark, out)
     return Z.newest_snapshot(spark, out)

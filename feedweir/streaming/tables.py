@@ -8,6 +8,7 @@ continues the log. One stream at a time may write a target.
 
 from __future__ import annotations
 
+import time
 from collections.abc import Iterator, Sequence
 
 import pandas as pd
@@ -19,7 +20,7 @@ from pyspark.sql.streaming.stateful_processor import StatefulProcessor, Stateful
 
 from feedweir.operators.changes import DELETED, row_hash, scd1, scd2
 from feedweir.sources import batchlog
-from feedweir.sources.sinks import _hadoop, read_target, write_target
+from feedweir.sources.sinks import _hadoop, current_version, read_target, write_target
 
 # Seconds that merged folders of a log are kept for readers that planned before the merge.
 KEEP_SECONDS = 24 * 3600
@@ -301,6 +302,23 @@ def stream_snapshot(spark: SparkSession, read, target: str, checkpoint: str, int
     return writer.trigger(availableNow=True).start() if once else writer.trigger(processingTime=interval).start()
 
 
+def stop_after_snapshot(running: StreamingQuery, spark: SparkSession, target: str, timeout: float | None = None) -> None:
+    """Wait for the first whole version that ``running`` writes, then stop it; errors of the stream are raised.
+
+    New triggers come for as long as the stream runs, so there is no end of what is available to wait for: a read that
+    takes longer than the interval would be repeated for ever. A version broken off by the stop is never read.
+    """
+    before, begin = current_version(spark, target), time.monotonic()
+    while running.isActive and current_version(spark, target) == before:
+        if timeout is not None and time.monotonic() - begin > timeout:
+            running.stop()
+            raise TimeoutError(f"no snapshot after {timeout} s")
+        running.awaitTermination(0.2)
+    running.stop()
+    if running.exception() is not None:
+        raise running.exception()
+
+
 def newest_snapshot(spark: SparkSession, target: str) -> DataFrame | None:
     """What the last trigger of ``stream_snapshot`` read."""
     return read_target(spark, target)

@@ -1,6 +1,7 @@
 """Streams against their batch forms, retries, compaction, and the ingest loop."""
 
 import datetime as dt
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -142,6 +143,22 @@ def test_dedup_forgets_after_the_delay(spark, rows, tmp_path):
     assert {r[0] for r in left.select("key.k").distinct().collect()} <= {"a", "c"}
 
 
+def test_snapshot_slower_than_its_interval(spark, rows, tmp_path):
+    """A read that takes longer than the interval never catches up with its triggers; the first whole version is enough."""
+    out = str(tmp_path / "s")
+
+    def read(session):
+        time.sleep(1.5)
+        return session.range(5)
+
+    running = Z.stream_snapshot(spark, read, out, out + "-log", interval="1 second")
+    Z.stop_after_snapshot(running, spark, out, 120)
+    assert not running.isActive and rows(Z.newest_snapshot(spark, out)) == [(i,) for i in range(5)]
+    failing = Z.stream_snapshot(spark, lambda session: session.range(5).select("nothing"), out + "2", out + "2-log", interval="1 second")
+    with pytest.raises(Exception, match="nothing"):
+        Z.stop_after_snapshot(failing, spark, out + "2", 120)
+
+
 def test_append_takes_each_file_once(spark, rows, files, tmp_path):
     out = str(tmp_path / "a")
     for _ in range(2):

@@ -98,7 +98,8 @@ def sliced_stream(spark: SparkSession, rows: DataFrame, name: str, slices: list[
     """Rows as a stream of one file per span of days (first, end) of the month; spans may overlap."""
     folder, day = _folder(spark, name), F.dayofmonth("ts")
     for first, end in slices:
-        rows.filter((day >= first) & (day < end)).coalesce(1).write.mode("append").parquet(folder)
+        # the rows of a span become one file; the table is read by all tasks
+        rows.filter((day >= first) & (day < end)).repartition(1).write.mode("append").parquet(folder)
     return readers.read_stream(spark, folder, rows.schema, max_files=1)
 
 

@@ -12,7 +12,7 @@ import time
 from collections.abc import Iterator, Sequence
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
@@ -214,42 +214,52 @@ def newest_per_key(spark: SparkSession, checkpoint: str) -> DataFrame:
 
 
 class _Delivered(StatefulProcessor):
-    """One row per content within the delay after the row delivered last; what is older is forgotten."""
+    """One row per content within the delay after the row delivered last; what is older is forgotten.
 
-    def __init__(self, names: list[str], ts: str, digest: str, delay: int) -> None:
+    What a key has delivered is one value, read once and written once a batch, and a key with such a value has one timer:
+    every access to the store is a call out of the worker. Keys come with few rows each, so rows are taken as they are; a
+    frame per key would cost more than its rows.
+    """
+
+    def __init__(self, names: list[str], delay: int) -> None:
         # names that begin with an underscore do not reach the rows
-        self.names, self.ts, self.digest, self.delay = names, ts, digest, delay
+        self.row, self.delay = Row(*names), delay
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.until = handle.getMapState("until", "digest long", "until long")
-
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
-        parts = [part for part in rows if len(part)]
-        if not parts:
-            return
-        batch = pd.concat(parts).set_axis(self.names, axis=1)
-        times = batch[self.ts].astype("datetime64[us]").astype("int64")
-        keep, known = [], {}
-        for place in times.argsort(kind="stable"):
-            at, digest = int(times.iloc[place]), int(batch[self.digest].iloc[place])
-            if digest not in known:
-                known[digest] = self.until.getValue((digest,))[0] if self.until.containsKey((digest,)) else None
-            until = known[digest]
+        self.until = handle.getValueState("until", "digests array<bigint>, untils array<bigint>")
+
+    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:  # noqa: N802, N803
+        """Rows end with their digest and their time in microseconds."""
+        held = self.until.get()
+        keep, known = [], dict(zip(*held)) if held is not None else {}
+        for row in sorted(rows, key=lambda r: r[-1]):
+            digest, at = row[-2:]
+            until = known.get(digest)
             if until is None or at >= until:
-                keep.append(place)
+                keep.append(self.row(*row[:-2]))
                 known[digest] = at + self.delay
-                self.until.updateValue((digest,), (known[digest],))
-                self.handle.registerTimer(-(-known[digest] // 1000))
-        yield batch.iloc[keep].drop(columns=[self.digest])
+        if keep:
+            self._keep(known, timerValues, timed=held is not None)
+        return iter(keep)
 
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:  # noqa: N802, N803
         """What was delivered the delay ago, by the watermark, may come again and need not be known."""
-        now = 1000 * timerValues.getCurrentWatermarkInMs()
-        for digest in [d for d, until in self.until.iterator() if until[0] <= now]:
-            self.until.removeKey(digest)
+        held = self.until.get()
+        if held is not None and not self._keep(dict(zip(*held)), timerValues, timed=False):
+            self.until.clear()
         return iter(())
 
+    def _keep(self, known: dict[int, int], timerValues, timed: bool) -> bool:  # noqa: N803
+        """Write what the watermark has not passed, with a timer for its end unless there is one already."""
+        now = 1000 * timerValues.getCurrentWatermarkInMs()
+        left = {digest: until for digest, until in known.items() if until > now}
+        if left or timed:
+            self.until.update((list(left), list(left.values())))
+        if left and not timed:
+            self.handle.registerTimer(-(-max(left.values()) // 1000))
+        return bool(left)
+
     def close(self) -> None:
         pass
 
@@ -265,11 +275,11 @@ def stream_dedup(df: DataFrame, keys: Sequence[str], ts: str, delay: str) -> Dat
     _with_state_store(spark)
     micros = spark.sql(f"SELECT unix_micros(TIMESTAMP'1970-01-01 00:00:00Z' + INTERVAL '{delay}')").first()[0]
     content = [c for c in df.columns if c != ts]
-    timed = df.withColumn(ts, F.col(ts).cast("timestamp")).withColumn("__digest", row_hash(df, content))
-    timed = timed.withWatermark(ts, delay)
-    schema = T.StructType([f for f in timed.schema.fields if f.name != "__digest"])
-    grouped = timed.groupBy(*keys)
-    return grouped.transformWithStateInPandas(_Delivered(timed.columns, ts, "__digest", micros), schema, "Append", "EventTime")
+    timed = df.withColumn(ts, F.col(ts).cast("timestamp")).withWatermark(ts, delay)
+    # a row without a time comes before all others
+    at = F.coalesce(F.unix_micros(F.col(ts)), F.lit(-(2**63)))
+    marked = timed.select("*", row_hash(df, content).alias("__digest"), at.alias("__at"))
+    return marked.groupBy(*keys).transformWithState(_Delivered(timed.columns, micros), timed.schema, "Append", "EventTime")
 
 
 def stream_windows(

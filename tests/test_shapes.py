@@ -287,6 +287,27 @@ def test_paths_of_documents_keyed_by_an_id(spark, rows):
     assert checks.path_counts(spark.createDataFrame([], "j string"), "j").count() == 0
 
 
+def test_values_are_not_dealt_out_by_path(spark, monkeypatch):
+    """However large the tables are, no exchange sends the values of a path to one task; counts may be exchanged."""
+    plans, settle = [], checks.settle
+
+    def noted(df):
+        if "v" in df.columns:
+            plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return settle(df)
+
+    monkeypatch.setattr(checks, "settle", noted)
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        texts = [(f'{{"id": {i}, "by": {{"k{i}": {{"text": "x"}}}}}}',) for i in range(200)]
+        found = checks.path_counts(spark.createDataFrame(texts, "j string"), "j", most_keys=50).collect()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    assert {r["path"]: r["n"] for r in found} == dict.fromkeys(["id", "by", "by.*", "by.*.text"], 200)
+    assert len(plans) >= 3 and not any("SortMergeJoin" in p or "Exchange hashpartitioning" in p for p in plans)
+
+
 def test_drift_and_population(spark, rows):
     df = spark.createDataFrame([('{"a": 1, "b": {"c": [1], "d": {"e": 2}}}',), ('{"m": {"x": 1}}',), ("not json",)], "j string")
     assert {r[0] for r in rows(checks.field_paths(df, "j"))} == {"a", "b", "b.c", "b.d", "b.d.e", "m", "m.x"}

@@ -167,3 +167,22 @@ def test_osdu_kinds(spark):
     row = osdu.rows(spark.createDataFrame([(json.dumps(doc),)], "raw_json string")).first()
     assert (row["version"], row["legal_legaltags"], row["RunNumber"], row["TopDepth"], row["AcquisitionStartDate"]) == (12, ["one"], "5", None, "d")
     assert json.loads(row["SampleAcquisition_json"])["AcquisitionStartDate"] == "d" and row["FacilityID"] is None
+
+
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_resources_are_parsed_once(spark, rows):
+    """A filter on a typed column does not parse the text again, and a resource of a bundle is written once."""
+    made = spark.range(3).select(F.format_string('{"id": "%s", "code": {"coding": [{"code": "R%s"}]}}', "id", "id").alias("raw_json"))
+    found = fhir.resource_rows(made, "Observation", columns=["code", "component"]).filter("code.coding[0].code = 'R1'").select("id")
+    assert rows(found) == [("1",)] and _plan(found).count("from_json(") == 1
+    texts = ['{"resourceType": "Bundle", "entry": [{"resource": {"id": "a"}}, {"fullUrl": "x"}, {"resource": {}}, {"resource": {"id": "b"}}]}']
+    texts += ['{"resourceType": "Bundle"}', '{"resourceType": "Bundle", "entry": 5}']
+    entries = fhir.bundle_entries(spark.createDataFrame([(t,) for t in texts], "bundle string").repartition(2))
+    assert _plan(entries).count("StructsToJsonEvaluator") == 1
+    assert rows(entries) == [('{"id":"a"}',), ('{"id":"b"}',)]
+    for text in ("[]", "no json", '{"resourceType": 5}', '{"resourceType": "Bundle", "entry": ['):
+        with pytest.raises(Exception, match="not a Bundle"):
+            fhir.bundle_entries(spark.createDataFrame([(text,)], "bundle string")).collect()

@@ -186,3 +186,25 @@ def test_resources_are_parsed_once(spark, rows):
     for text in ("[]", "no json", '{"resourceType": 5}', '{"resourceType": "Bundle", "entry": ['):
         with pytest.raises(Exception, match="not a Bundle"):
             fhir.bundle_entries(spark.createDataFrame([(text,)], "bundle string")).collect()
+
+
+def test_parts_of_batch_files_are_bounded(spark, tmp_path, monkeypatch):
+    """The parts that batch files are cut into do not get more with every order, and messages are numbered in each file."""
+    from feedweir.plans.registry import all_queries
+    from feedweir.sources import readers
+
+    orders = "id AS o_orderkey, id % 9 AS o_custkey, substring('OFP', CAST(id % 3 AS int) + 1, 1) AS o_orderstatus, id * 1.5D AS o_totalprice"
+    orders += ", TIMESTAMP_NTZ'2024-01-02 03:04:05' AS o_orderdate, '1-URGENT' AS o_orderpriority"
+    spark.range(0, 30_000, 1, 3).createOrReplaceTempView("made_ids")
+    spark.sql(f"SELECT {orders} FROM made_ids").write.parquet(str(tmp_path / "orders.parquet"))
+    parts, read = [], readers.read_hl7
+
+    def noted(session, path, *args, **kw):
+        parts.append(session.read.text(path).rdd.getNumPartitions())
+        return read(session, path, *args, **kw)
+
+    monkeypatch.setattr(readers, "read_hl7", noted)
+    found = all_queries()["hl7_cut_files"].plan(spark, str(tmp_path))
+    got = found.groupBy("many_tasks", "numbered").agg(F.count("*"), F.count_distinct("message_id"), F.sum("lines")).collect()
+    assert [tuple(r) for r in got] == [(True, True, 40_000, 40_000, 300_000)]
+    assert 8 <= parts[0] <= 300

@@ -8,6 +8,7 @@ hundreds of them.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
@@ -327,6 +328,21 @@ def _column(at: str, kind: str) -> str:
     return simple[kind]() if kind in simple else _composite(n, kind.removesuffix("1"), first=kind.endswith("1"))
 
 
+def _packed(rows: DataFrame, keep: Sequence[str]) -> DataFrame:
+    """Segment rows as they are sorted: fields as one text, and those with escapes decoded only where they differ.
+
+    Arrays of mostly empty fields take many times the room of their text.
+    """
+    fields, decoded = [F.array_join(c, FIELD, "") for c in ("fields", "decoded")]
+    rows = rows.select(*keep, *METADATA, "seps", "raw_segment", "line_no", fields.alias("fields"), decoded.alias("decoded"))
+    return rows.withColumn("decoded", F.nullif("decoded", "fields"))
+
+
+def _unpacked(name: str) -> str:
+    text = "coalesce(decoded, fields)" if name == "decoded" else name
+    return f"transform(split({text}, '{FIELD}', -1), f -> CASE WHEN f <> '' THEN f END)"
+
+
 def segment_table(df: DataFrame, segment: str, fields: str | None = None, keep: tuple[str, ...] = ()) -> DataFrame:
     """One typed row per segment of a kind, with the message's metadata.
 
@@ -349,7 +365,8 @@ def segment_table(df: DataFrame, segment: str, fields: str | None = None, keep:
             raise ValueError(f"{name} is numbered within its message: name the message's key columns in keep")
         # A window holds the segments of one message, which was one row before.
         order = Window.partitionBy(*keep).orderBy("line_no")
-        rows = rows.withColumn("set_id", F.row_number().over(order).cast("bigint"))
+        rows = _packed(rows, keep).withColumn("set_id", F.row_number().over(order).cast("bigint"))
+        rows = rows.withColumns({c: F.expr(_unpacked(c)) for c in ("decoded", "fields")})
         columns.append("set_id")
     return rows.selectExpr(*keep, *METADATA, *columns, "raw_segment")
 

@@ -208,3 +208,17 @@ def test_parts_of_batch_files_are_bounded(spark, tmp_path, monkeypatch):
     got = found.groupBy("many_tasks", "numbered").agg(F.count("*"), F.count_distinct("message_id"), F.sum("lines")).collect()
     assert [tuple(r) for r in got] == [(True, True, 40_000, 40_000, 300_000)]
     assert 8 <= parts[0] <= 300
+
+
+def test_numbered_segments_are_sorted_as_text(spark, rows):
+    """Fields survive being packed for the window: escapes, empty fields, other separators and subcomponents."""
+    texts = ["MSH|^~\\&|A|||||||M1\rORC|a\\F\\b|x^y&z~w||\rORC||\rORC|\\T\\", "MSH#*~\\%#A#######M2\rORC#\\F\\#x*y%z\rORC"]
+    df = spark.createDataFrame(list(enumerate(texts)), "k int, text string")
+    made = hl7.segments(hl7.messages(df)).filter("segment_type = 'ORC'")
+    want = rows(made.select("k", "line_no", "fields", "decoded"))
+    back = hl7._packed(made, ["k"])
+    assert dict(back.dtypes)["fields"] == dict(back.dtypes)["decoded"] == "string"
+    back = back.withColumns({c: F.expr(hl7._unpacked(c)) for c in ("decoded", "fields")})
+    assert rows(back.select("k", "line_no", "fields", "decoded")) == want and len(want) == 5
+    found = rows(hl7.segment_table(hl7.segments(hl7.messages(df)), "ORC", "1 st one\n2 ei two", keep=("k",)).select("k", "set_id", "one"))
+    assert [r[:2] for r in found] == [(0, 1), (0, 2), (0, 3), (1, 1), (1, 2)]

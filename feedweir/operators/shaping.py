@@ -4,14 +4,15 @@ from __future__ import annotations
 
 import re
 from collections.abc import Callable, Mapping, Sequence
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from feedweir.functions import nested
 from feedweir.operators.ordering import with_ordinal
-from feedweir.session import settle
+from feedweir.session import stored
 
 # ---------------------------------------------------------------- columns
 
@@ -309,45 +310,141 @@ def grid_names(df: DataFrame, values: str, place: str) -> list[str]:
 
 
 ROOTED, ORPHAN, BELOW, CYCLE = "rooted", "missing parent", "below a cycle", "cycle"
+# More nodes than these are made fewer before the rest is climbed by doubling.
+FEW_NODES = 250_000
 
 
-def hierarchy_states(df: DataFrame, key: str, parent: str) -> DataFrame:
-    """``key, parent, depth, state`` of every node: below a root (a node without parent), a missing parent or a cycle.
-
-    ``depth`` is null unless the state is ``rooted``. Each round doubles the distance every node has climbed, so depth
-    d takes log2(d) joins, each written to the checkpoint folder. While a node is on its way to a root, every round ends
-    the way of some node; so once a round ends none, all that still climb do so on cycles. And once the nodes that they
-    stand on do not get fewer either, those are the cycles.
+def _first_steps(df: DataFrame, key: str, parent: str) -> DataFrame:
+    """Nodes one step up: ``up`` is the ancestor reached so far, null once the way has ended, and ``steps`` how far away
+    it is. ``state`` says where the way ended; ``many`` and ``up_many`` whether several rows share the key.
     """
     nodes = df.select(F.col(key).alias("key"), F.col(parent).alias("parent"))
-    known = nodes.select(F.col("key").alias("__key")).distinct()
-    nodes = nodes.join(known, F.col("parent") == F.col("__key"), "left")
-    # `up` is the ancestor reached so far, null once the way has ended, and `steps` how far away it is
-    lost = F.col("parent").isNotNull() & F.col("__key").isNull()
-    first_step = F.when(F.col("__key").isNull(), 0).otherwise(1).cast("bigint")
-    climb = settle(nodes.select("key", "parent", F.col("__key").alias("up"), first_step.alias("steps"), lost.alias("lost")))
+    held = stored(nodes.filter("key IS NOT NULL").groupBy(F.col("key").alias("__key")).agg((F.count("*") > 1).alias("__many")))
+    nodes = nodes.join(held, F.col("parent") == F.col("__key"), "left")
+    nodes = nodes.withColumnsRenamed({"__key": "up", "__many": "up_many"})
+    repeated = held.filter("__many")
+    if repeated.isEmpty():
+        nodes = nodes.withColumn("many", F.lit(False))
+    else:
+        nodes = nodes.join(repeated, F.col("key") == F.col("__key"), "left").drop("__key").withColumnRenamed("__many", "many")
+    steps = F.when(F.col("up").isNull(), 0).otherwise(1).cast("bigint")
+    state = F.when(F.col("parent").isNull(), ROOTED).when(F.col("up").isNull(), ORPHAN)
+    many, up_many = [F.coalesce(c, F.lit(False)).alias(c) for c in ("many", "up_many")]
+    return stored(_closed(nodes.select("key", "parent", "up", steps.alias("steps"), state.alias("state"), many, up_many)))
+
+
+def _closed(climb: DataFrame) -> DataFrame:
+    """A node that has come back to itself has ended its way: it stands for its cycle."""
+    back = (F.col("up") == F.col("key")) & ~F.col("many")
+    return climb.withColumn("state", F.when(back, CYCLE).otherwise(F.col("state"))).withColumn("up", F.when(~F.coalesce(back, F.lit(False)), F.col("up")))
+
+
+def _beyond(climb: DataFrame, above: DataFrame, how: str) -> DataFrame:
+    """Nodes that have gone on to where the node they stood on stands; with ``how`` left, those that found it."""
+    names = ("key", "up", "steps", "state", "up_many")
+    above = above.select(*[F.col(c).alias(f"__{c}") for c in names])
+    found = F.col("__key").isNotNull()
+    state = F.when(F.col("__state") == CYCLE, BELOW).otherwise(F.col("__state"))
+    moved = {
+        "up": F.when(found, F.col("__up")).otherwise(F.col("up")),
+        "steps": F.col("steps") + F.coalesce("__steps", F.lit(0)),
+        "state": F.when(found, state).otherwise(F.col("state")),
+        "up_many": F.coalesce("__up_many", "up_many"),
+    }
+    return climb.join(above, F.col("up") == F.col("__key"), how).withColumns(moved).select(*climb.columns)
+
+
+def _without_leaves(climb: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The nodes that others stand on, and the others."""
+    stood_on = climb.filter("up IS NOT NULL").select(F.col("up").alias("__on")).distinct()
+    marked = stored(climb.join(stood_on, F.col("key") == F.col("__on"), "left").withColumn("__on", F.col("__on").isNotNull()))
+    return marked.filter("__on").drop("__on"), marked.filter("NOT __on").drop("__on")
+
+
+def _heads(node: str, turn: int) -> Column:
+    return F.xxhash64(F.col(node), F.lit(turn)).bitwiseAND(1) == 1
+
+
+def _thinned(climb: DataFrame, turn: int) -> tuple[DataFrame, DataFrame]:
+    """The nodes without one in four, and those. Every key has a coin, which who stands on it knows as well.
+
+    A node leaves on tails if the one it stands on has heads, and so stays; who stood on it takes over its way. Nodes
+    that share their key stay, as they have several ways.
+    """
+    leaves = ~F.col("many") & ~_heads("key", turn) & (F.col("up").isNull() | F.col("up_many") | _heads("up", turn))
+    left, stays = climb.filter(leaves), climb.filter(~leaves)
+    asks = F.col("up").isNotNull() & ~F.col("up_many") & ~_heads("up", turn)
+    moved = _closed(_beyond(stays.filter(asks), left, "left"))
+    return stored(stays.filter(~asks).unionByName(moved)), left
+
+
+def _doubled(climb: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """All ways climbed to their ends, and the nodes on cycles.
+
+    Each round doubles the distance every node has climbed, so depth d takes log2(d) joins. While a node is on its way
+    to a root, every round ends the way of some node; so once a round ends none, all that still climb do so on cycles.
+    And once the nodes that they stand on do not get fewer either, those are the cycles.
+    """
     on_the_way, standing = None, None
     while True:
         counts = climb.agg(F.count("up").alias("open"), F.count_distinct("up").alias("standing")).first()
         if not counts["open"] or (counts["open"], counts["standing"]) == (on_the_way, standing):
             break
         on_the_way, standing = counts["open"], counts["standing"]
-        above = climb.select(
-            F.col("key").alias("__key"), F.col("up").alias("__up"), F.col("steps").alias("__steps"), F.col("lost").alias("__lost")
-        )
-        moved = climb.filter("up IS NOT NULL").join(above, F.col("up") == F.col("__key"))
-        steps = (F.col("steps") + F.col("__steps")).alias("steps")
-        moved = moved.select("key", "parent", F.col("__up").alias("up"), steps, F.col("__lost").alias("lost"))
-        climb = settle(climb.filter("up IS NULL").unionByName(moved))
-    left, done = climb.filter("up IS NOT NULL"), climb.filter("up IS NULL")
-    on_cycle = left.select(F.col("up").alias("__on")).distinct()
-    stuck = left.join(on_cycle, F.col("key") == F.col("__on"), "left")
-    state = F.when(F.col("__on").isNotNull(), CYCLE).otherwise(BELOW)
-    stuck = stuck.select("key", "parent", F.lit(None).cast("bigint").alias("depth"), state.alias("state"))
-    fine = done.select(
-        "key", "parent", F.when(~F.col("lost"), F.col("steps")).alias("depth"), F.when(F.col("lost"), ORPHAN).otherwise(ROOTED).alias("state")
-    )
-    return fine.unionByName(stuck).withColumnsRenamed({"key": key, "parent": parent})
+        moved = _beyond(climb.filter("up IS NOT NULL"), climb, "inner")
+        climb = stored(climb.filter("up IS NULL").unionByName(moved))
+    on_cycle = climb.filter("up IS NOT NULL").select("up").union(climb.filter(F.col("state") == CYCLE).select("key"))
+    return climb.withColumn("state", F.coalesce("state", F.lit(BELOW))), on_cycle.distinct().toDF("__on")
+
+
+def hierarchy_states(df: DataFrame, key: str, parent: str, few: int = FEW_NODES) -> DataFrame:
+    """``key, parent, depth, state`` of every node: below a root (a node without parent), a missing parent or a cycle.
+
+    ``depth`` is null unless the state is ``rooted``. Round by round nodes leave, the leaves where they are the most and
+    else one in four, until ``few`` are left, and those climb by doubling. Then the others look up, last first, the
+    node on which they stood when they left. So all rounds together join some multiple of the nodes, however deep they
+    are. Every round is written to the checkpoint folder.
+    """
+    climb, rounds, cycles = _first_steps(df, key, parent), [], 0
+
+    def counted(nodes: DataFrame) -> Row:
+        back = F.count_if(F.col("state") == CYCLE)
+        return nodes.agg(F.count("*").alias("n"), F.approx_count_distinct("up").alias("standing"), back.alias("cycles")).first()
+
+    now = counted(climb)
+    while now["n"] > few:
+        turn = None if 2 * now["standing"] < now["n"] else len(rounds)
+        fewer, left = _without_leaves(climb) if turn is None else _thinned(climb, turn)
+        then = counted(fewer)
+        if then["n"] > 0.95 * now["n"]:  # most share their keys
+            break
+        rounds.append((climb, left, turn))
+        cycles += now["cycles"]
+        climb, now = fewer, then
+    first, on_cycle = _doubled(climb)
+    names = ("key", "parent", "steps", "state", "many")
+    ended, on_cycle = [stored(first.select(*names))], stored(on_cycle)
+    cycles += on_cycle.count()
+    for climb, left, turn in reversed(rounds):
+        known = reduce(DataFrame.unionByName, ended)
+        known = known if turn is None else known.filter(F.col("many") | _heads("key", turn))
+        known = known.select(*[F.col(c).alias(f"__{c}") for c in ("key", "steps", "state")])
+        state = F.when(F.col("__state") == CYCLE, BELOW).otherwise(F.col("__state")).alias("state")
+        late = left.filter("up IS NOT NULL").join(known, F.col("up") == F.col("__key"))
+        late = late.select("key", "parent", (F.col("steps") + F.col("__steps")).alias("steps"), state, "many")
+        ended.append(stored(left.filter("up IS NULL").select(*names).unionByName(late)))
+        if cycles:
+            # Who left a cycle left it to a node that stayed on it.
+            passed = climb.join(on_cycle, F.col("key") == F.col("__on")).filter("up IS NOT NULL").select("up")
+            own = climb.filter(F.col("state") == CYCLE).select("key")
+            on_cycle = stored(on_cycle.union(passed).union(own).distinct())
+    nodes = reduce(DataFrame.unionByName, ended)
+    stuck = F.col("state").isin(BELOW, CYCLE)
+    fine = nodes.filter(~stuck).select("key", "parent", F.when(F.col("state") == ROOTED, F.col("steps")).alias("depth"), "state")
+    state = F.when(F.col("__on").isNotNull(), CYCLE).otherwise(BELOW).alias("state")
+    caught = nodes.filter(stuck).join(on_cycle, F.col("key") == F.col("__on"), "left")
+    caught = caught.select("key", "parent", F.lit(None).cast("bigint").alias("depth"), state)
+    return fine.unionByName(caught).withColumnsRenamed({"key": key, "parent": parent})
 
 
 def hierarchy(df: DataFrame, key: str, parent: str) -> DataFrame:

@@ -5,6 +5,7 @@ import datetime as dt
 import gzip
 import io
 import json
+import random
 import zipfile
 
 import pytest
@@ -135,6 +136,58 @@ def test_hierarchy_any_shape(spark, rows):
     assert H.hierarchy_states(df.limit(0), "id", "parent").count() == 0
 
 
+def _walked(edges):
+    """State and depth of every node, climbed one by one."""
+    parent, found = dict(edges), {}
+    for key in parent:
+        seen, at = [], key
+        while at is not None and at in parent and at not in seen:
+            seen.append(at)
+            at = parent[at]
+        if at is None:
+            found[key] = (H.ROOTED, len(seen) - 1)
+        elif at not in parent:
+            found[key] = (H.ORPHAN, None)
+        else:
+            found[key] = (H.CYCLE if parent[seen[-1]] == key or key in seen[seen.index(at):] else H.BELOW, None)
+    return found
+
+
+@pytest.fixture(scope="module")
+def few_tasks(spark):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "2")
+    yield
+    spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def test_hierarchy_of_many_nodes_thins_out_first(spark, few_tasks, monkeypatch):
+    """A deep chain is not climbed by all its nodes; cycles of any length, trees, orphans and shared keys come out as before."""
+    dice = random.Random(5)
+    ring = [(2000 + i, 2000 + (i + 1) % 60) for i in range(60)]
+    hung = [(3000 + i, dice.choice([2000 + dice.randrange(60), 3000 + dice.randrange(max(i, 1)) if i else 2000])) for i in range(80)]
+    chain = [(i, i - 1 if i else None) for i in range(300)]
+    bush = [(1000 + i, 1000 + (i - 1) // 5 if i else 250) for i in range(200)]
+    lost = [(4000 + i, 3999 + i if i else -1) for i in range(70)]
+    edges = chain + ring + hung + bush + lost + [(5000, 5000), (5001, 5000), (5002, 5003), (5003, 5002), (5004, 5003)]
+    dice.shuffle(edges)
+    climbed, doubled = [], H._doubled
+    monkeypatch.setattr(H, "_doubled", lambda climb: climbed.append(climb.count()) or doubled(climb))
+    df = spark.createDataFrame(edges, "id string, up string")
+    found = H.hierarchy_states(df, "id", "up", few=60).collect()
+    assert climbed[0] <= 60
+    assert {int(r["id"]): (r["state"], r["depth"]) for r in found} == _walked(edges) and len(found) == len(edges)
+
+
+def test_hierarchy_keeps_a_row_for_each_way(spark, few_tasks, rows):
+    """A key of two rows gives every node below it two; a null key is a node that none hangs below."""
+    chain = [(i, i - 1 if i else None) for i in range(60)]
+    df = spark.createDataFrame(chain + [(20, 10), (None, 30), (None, None), (40, 39)], "id bigint, up bigint")
+    expected = H.hierarchy_states(df, "id", "up")
+    assert expected.filter("id = 59").count() == 4 and expected.count() == 60 + 40 + 20 * 2 + 3
+    assert rows(H.hierarchy_states(df, "id", "up", few=20)) == rows(expected)
+
+
 def test_series_tolerates_short_rows(spark, rows):
     df = spark.createDataFrame([(["d1", "d2"], [[1, 2], [3]], ["a"])], "x array<string>, s array<array<int>>, l array<string>")
     assert rows(H.series_to_rows(df, "x", "s", "l")) == [("d1", 1, "a"), ("d1", 3, "Totals"), ("d2", 2, "a")]

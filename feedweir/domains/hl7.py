@@ -297,16 +297,21 @@ def segments(df: DataFrame, message: str = "message") -> DataFrame:
     """
     others = [c for c in df.columns if c != message]
     rows = df.select(*others, F.col(message), separators(F.col(message)).alias("seps"))
-    rows = rows.select(*others, "seps", _hide(F.col(message), F.col("seps")).alias("__hidden"))
-    rows = rows.withColumn("__head", F.split(F.substring_index("__hidden", "\r", 1), FIELD, -1))
+    seps = F.col("seps")
+    # Lines are cut out as they stand, so that those of segments nobody asks for are not rewritten.
+    lines = F.when(seps["field"] == "\r", F.array(message)).otherwise(F.split(message, "\r"))
+    rows = rows.select(*others, "seps", lines.alias("__lines"))
+    rows = rows.withColumn("__head", F.split(_hide(F.get("__lines", F.lit(0)), seps), FIELD, -1))
     carried = [F.expr(_shown(_some(f"get(__head, {at})"))).alias(name) for name, at in METADATA_PLACES.items()]
-    rows = rows.select(*others, "seps", *carried, F.posexplode(F.split("__hidden", "\r")).alias("line_no", "__line"))
-    kind = F.upper(F.trim(F.substring_index("__line", FIELD, 1)))
+    rows = rows.select(*others, "seps", *carried, F.posexplode("__lines").alias("line_no", "__raw"))
+    start = F.expr("CASE WHEN seps.field = '' THEN __raw ELSE substring_index(__raw, seps.field, 1) END")
+    kind = F.upper(F.trim(F.substring_index(_hide(start, seps), FIELD, 1)))
+    rows = rows.withColumn("__line", _hide(F.col("__raw"), seps))
     raw = F.expr(f"replace({_shown('__line')}, '{FIELD}', seps.field)")
     rows = rows.select("*", raw.alias("raw_segment"), kind.alias("segment_type")).filter("segment_type <> ''")
     rows = rows.withColumn("__decoded", unescape(F.col("__line"), F.col("seps")))
     cells = {"fields": F.expr(_cells("__line")), "decoded": F.expr(_cells("__decoded"))}
-    return rows.withColumns(cells).drop("__line", "__decoded")
+    return rows.withColumns(cells).drop("__raw", "__line", "__decoded")
 
 
 def _column(at: str, kind: str) -> str:

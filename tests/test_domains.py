@@ -1,6 +1,7 @@
 """Clinical and subsurface formats on hand-written documents."""
 
 import json
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -222,3 +223,21 @@ def test_numbered_segments_are_sorted_as_text(spark, rows):
     assert rows(back.select("k", "line_no", "fields", "decoded")) == want and len(want) == 5
     found = rows(hl7.segment_table(hl7.segments(hl7.messages(df)), "ORC", "1 st one\n2 ei two", keep=("k",)).select("k", "set_id", "one"))
     assert [r[:2] for r in found] == [(0, 1), (0, 2), (0, 3), (1, 1), (1, 2)]
+
+
+def test_only_lines_of_the_wanted_segment_are_rewritten(spark, rows):
+    """Messages are cut into lines before separators are exchanged, so that a filter on the segment comes first."""
+    texts = ["MSH|^~\\&|A|||||||M1\rPID|1|x^y&z~w\rZ^1|a", "MSH#*~\\%#A#######M2\rpid #1#x*y%z", "MSH", "MSH\rPID\rb"]
+    made = hl7.segments(spark.createDataFrame(list(enumerate(texts)), "k int, message string"))
+    assert not re.search(r"replace\(message#", _plan(made.filter("segment_type = 'PID'")))
+    got = rows(made.select("k", "line_no", "segment_type", "message_id", "raw_segment", F.size("fields")))
+    assert [r[:2] + r[3:] for r in got] == [
+        (0, 0, "M1", "MSH|^~\\&|A|||||||M1", 11),
+        (0, 1, "M1", "PID|1|x^y&z~w", 3),
+        (0, 2, "M1", "Z^1|a", 2),
+        (1, 0, "M2", "MSH#*~\\%#A#######M2", 11),
+        (1, 1, "M2", "pid #1#x*y%z", 3),
+        (2, 0, None, "MSH", 2),
+        (3, 0, None, "MSH\rPID\rb", 4),
+    ]
+    assert [r[2] for r in got] == ["MSH", "PID", "Z\x1d1", "MSH", "PID", "MSH", "MSH"]

@@ -20,8 +20,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from feedweir.llm.common import free_name, settle, words
-from feedweir.llm.wordhash import word_hashes
+from feedweir.llm.common import SPACES, free_name, settle
+from feedweir.llm.wordhash import Places, hashes_in_rows, split_rows, word_hashes
 
 # Tokens are numbered 0 .. DIGIT * DIGIT - 1: 0 stands outside the text, then the most frequent words, then buckets
 # that all other words are hashed into. A token is predicted as two digits, the second given the first.
@@ -31,6 +31,8 @@ FREQUENT = 767
 REACH = 2
 OFFSETS = (-2, -1, 1, 2)
 HIDDEN = 16
+# Tokens that go through the network at a time, so that what is computed of them stays in a processor's cache.
+BLOCK = 1024
 # Tokens of a step; documents and characters of each that the common start is trained on, a bounded sample; its steps.
 BATCH = 8192
 START_TEXTS, START_CHARS, START_STEPS = 400, 2000, 120
@@ -57,16 +59,20 @@ class Codes:
     def __init__(self, vocabulary: dict[bytes, int]) -> None:
         found = np.array([h[0] for h in word_hashes(vocabulary)], np.uint64)
         order = np.argsort(found)
-        # one entry more, so that every search ends at an entry
-        self.hashes = np.concatenate([found[order], np.zeros(1, np.uint64)])
-        self.numbers = np.concatenate([np.array(list(vocabulary.values()), np.int64)[order], np.zeros(1, np.int64)])
+        self.places = Places(found[order])
+        # the last entry of the places is no word: its key is the hash
+        self.numbers = np.array([*vocabulary.values(), -1], np.int64)[np.append(order, len(order))]
+
+    def keys(self, h: np.ndarray) -> np.ndarray:
+        """The number of a word of the vocabulary, or else the word's hash."""
+        at = self.places.of(h)
+        return np.where(self.places.hashes[at] == h, self.numbers[at], h.view(np.int64))
 
 
 def keys(texts: Iterable[str | None], codes: Codes) -> Iterator[np.ndarray]:
-    """Per text, of all its words, lower-cased: the number of a word of the vocabulary, or else the word's hash."""
-    for h in word_hashes((t or "").lower().encode() for t in texts):
-        at = np.searchsorted(codes.hashes[:-1], h)
-        yield np.where(codes.hashes[at] == h, codes.numbers[at], h.view(np.int64))
+    """Per text, the ``codes.keys`` of all its words, lower-cased."""
+    for h, lengths in hashes_in_rows((t or "").lower().encode() for t in texts):
+        yield from split_rows(codes.keys(h), lengths)
 
 
 def tokens(found: np.ndarray) -> np.ndarray:
@@ -81,44 +87,63 @@ def numbers(text: str | None, vocabulary: dict[bytes, int] | Codes) -> np.ndarra
 
 def _laid_out(docs: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     """All documents in one row with ``REACH`` empty places around each, and the places of the tokens."""
-    row = np.zeros(sum(map(len, docs)) + REACH * (len(docs) + 1), np.int64)
-    places, at = [], REACH
-    for d in docs:
-        row[at : at + len(d)] = d
-        places.append(np.arange(at, at + len(d)))
-        at += len(d) + REACH
-    return row, np.concatenate([*places, np.empty(0, np.int64)])
+    return _spread(np.concatenate([*docs, np.empty(0, np.int64)]), np.array([len(d) for d in docs], np.int64))
+
+
+def _spread(found: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """``_laid_out`` of documents that stand one after the other, by their lengths."""
+    places = np.arange(len(found)) + np.repeat(REACH * np.arange(1, len(lengths) + 1), lengths)
+    row = np.zeros(len(found) + REACH * (len(lengths) + 1), np.int64)
+    row[places] = found
+    return row, places
 
 
 _ONES = np.ones(DIGIT, _F)
 
 
-def _forward(net: list[np.ndarray], row: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, ...]:
-    """Hidden layer at the places ``at``, and of both digits the exponentials of the scores and their sums."""
+def _blocks(size: int) -> Iterator[slice]:
+    """The places of the blocks of every batch; what is less than a block goes with the block before."""
+    for begin in range(0, size, BATCH):
+        end = min(begin + BATCH, size)
+        edges = [*range(begin, max(end - BLOCK, begin) + 1, BLOCK), end]
+        yield from map(slice, edges[:-1], edges[1:])
+
+
+def _forward(
+    net: list[np.ndarray], row: np.ndarray, at: np.ndarray, h: np.ndarray, scores: np.ndarray
+) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Hidden layer ``h`` at the places ``at``, and of both digits the exponentials of the ``scores``.
+
+    Returns the sums of these per digit, and the places of the tokens' own digits in the flat scores.
+    """
     tables, bias, out, out_bias, given = net
-    h = np.take(tables[0], row[at + OFFSETS[0]], axis=0)
+    # "clip" only for writing into ``h``: all tokens are in the tables
+    np.take(tables[0], row[at + OFFSETS[0]], axis=0, out=h, mode="clip")
     for k, o in enumerate(OFFSETS[1:], 1):
         h += np.take(tables[k], row[at + o], axis=0)
     h += bias
     np.tanh(h, out=h)
-    scores = h @ out
+    np.matmul(h, out, out=scores)
     scores += out_bias
-    scores[:, DIGIT:] += np.take(given, row[at] // DIGIT, axis=0)
+    digit, rest = np.divmod(row[at], DIGIT)
+    # whole rows, with nothing to add to the first digit, are faster than halves of them
+    scores += np.take(np.hstack([np.zeros_like(given), given]), digit, axis=0)
     # far from any score that training reaches; keeps the sums finite
     np.clip(scores, -40, 40, out=scores)
     np.exp(scores, out=scores)
-    return h, scores, scores[:, :DIGIT] @ _ONES, scores[:, DIGIT:] @ _ONES
+    begin = np.arange(0, scores.size, 2 * DIGIT)
+    return scores[:, :DIGIT] @ _ONES, scores[:, DIGIT:] @ _ONES, begin + digit, begin + DIGIT + rest
 
 
 def log_probabilities(net: list[np.ndarray], row: np.ndarray, at: np.ndarray) -> np.ndarray:
     """Log-probability of every token at ``at``, given its neighbours only."""
     out = np.empty(len(at), np.float64)
-    for i in range(0, len(at), BATCH):
-        part = at[i : i + BATCH]
-        _, e, first, second = _forward(net, row, part)
-        n, token = np.arange(len(part)), row[part]
-        chosen = e[n, token // DIGIT] / first * (e[n, DIGIT + token % DIGIT] / second)
-        out[i : i + BATCH] = np.log(chosen + 1e-30)
+    all_h, all_e = np.empty((2 * BLOCK, HIDDEN), _F), np.empty((2 * BLOCK, 2 * DIGIT), _F)
+    for block in _blocks(len(at)):
+        part = at[block]
+        h, e = all_h[: len(part)], all_e[: len(part)]
+        first, second, digit, rest = _forward(net, row, part, h, e)
+        out[block] = np.log(np.take(e, digit) / first * (np.take(e, rest) / second) + 1e-30)
     return out
 
 
@@ -133,16 +158,19 @@ def _scattered(rows: np.ndarray, values: np.ndarray, size: int) -> np.ndarray:
 
 def gradients(net: list[np.ndarray], row: np.ndarray, at: np.ndarray) -> list[np.ndarray]:
     """Gradients of the mean negative log-probability over the places ``at``."""
-    out = net[2]
-    h, ds, first, second = _forward(net, row, at)
-    n, token = np.arange(len(at)), row[at]
-    ds[:, :DIGIT] /= first[:, None]
-    ds[:, DIGIT:] /= second[:, None]
-    ds[n, token // DIGIT] -= 1
-    ds[n, DIGIT + token % DIGIT] -= 1
-    ds *= _F(1 / len(at))
-    dh = ds @ out.T
-    dh *= 1 - h * h
+    out, token = net[2], row[at]
+    all_h, all_dh, all_ds = (np.empty((len(at), k), _F) for k in (HIDDEN, HIDDEN, 2 * DIGIT))
+    for block in _blocks(len(at)):
+        part, h, dh, ds = (x[block] for x in (at, all_h, all_dh, all_ds))
+        first, second, digit, rest = _forward(net, row, part, h, ds)
+        both, flat = ds.reshape(-1, 2, DIGIT), ds.reshape(-1)
+        both /= np.stack([first, second], axis=1)[:, :, None]
+        flat[digit] -= 1
+        flat[rest] -= 1
+        ds *= _F(1 / len(at))
+        np.matmul(ds, out.T, out=dh)
+        dh *= 1 - h * h
+    h, dh, ds = all_h, all_dh, all_ds
     dt = np.stack([_scattered(row[at + o], dh, TOKENS) for o in OFFSETS])
     return [dt, dh.sum(axis=0), h.T @ ds, ds.sum(axis=0), _scattered(token // DIGIT, ds[:, DIGIT:], DIGIT)]
 
@@ -167,7 +195,8 @@ class Trainer:
 
 def word_counts(df: DataFrame, text: str = "text") -> DataFrame:
     """Rows (w, n) of all words of all texts, lower-cased, as a written table."""
-    return settle(df.select(F.explode(words(F.lower(text))).alias("w")).groupBy("w").agg(F.count("*").alias("n")))
+    cut = df.select(F.explode(F.split(F.lower(text), SPACES, -1)).alias("w")).where("w <> ''")
+    return settle(cut.groupBy("w").agg(F.count("*").alias("n")))
 
 
 def vocabulary_of(df: DataFrame, text: str = "text", counts: DataFrame | None = None) -> dict[bytes, int]:
@@ -215,11 +244,11 @@ def _local_training(net: list[np.ndarray], vocabulary: dict[bytes, int], text: s
         for batch in batches:
             docs, size = [], 0
             for i, found in enumerate(keys(batch[text], codes)):
-                docs.append(tokens(found))
+                docs.append(found)
                 size += len(docs[-1])
                 # a few steps' worth of tokens at once, mixed
                 if size >= 8 * BATCH or i + 1 == len(batch):
-                    row, at = _laid_out(docs)
+                    row, at = _spread(tokens(np.concatenate(docs)), np.array([len(d) for d in docs]))
                     at = np.random.default_rng(seen).permutation(at)
                     for j in range(0, len(at), BATCH):
                         trainer.step(row, at[j : j + BATCH])
@@ -262,14 +291,13 @@ def _scores(net: list[np.ndarray], texts: Iterable[str | None], codes: Codes, sh
     counts, sums = [], []
 
     def add(docs: list[np.ndarray]) -> None:
-        found = np.concatenate([*docs, np.empty(0, np.int64)])
-        row, at = _laid_out([tokens(d) for d in docs])
-        each = log_probabilities(net, row, at)
+        found = np.concatenate(docs)
+        lengths = np.array([len(d) for d in docs], np.int64)
+        each = log_probabilities(net, *_spread(tokens(found), lengths))
         values = np.concatenate([[0.0], np.cumsum(each if share is None else each + share(found))])
-        ends = np.cumsum([len(d) for d in docs], dtype=np.int64)
-        begins = ends - [len(d) for d in docs]
-        counts.extend(ends - begins)
-        sums.extend(values[ends] - values[begins])
+        ends = np.cumsum(lengths)
+        counts.extend(lengths)
+        sums.extend(values[ends] - values[ends - lengths])
 
     docs, size = [], 0
     for found in keys(texts, codes):
@@ -308,8 +336,7 @@ def score(df: DataFrame, net: list[np.ndarray], vocabulary: dict[bytes, int], te
 @F.pandas_udf(T.LongType())
 def _word_key(words: pd.Series) -> pd.Series:
     """The hash of a word, as ``keys`` has it."""
-    found = list(word_hashes(w.encode() for w in words))
-    return pd.Series(np.concatenate([*found, np.empty(0, np.uint64)]).view(np.int64))
+    return pd.Series(next(word_hashes([" ".join(words).encode()])).view(np.int64))
 
 
 def _bucket(key: Column) -> Column:
@@ -324,7 +351,8 @@ def _sharder(vocabulary: dict[bytes, int], text: int):
         codes, shard, size, met = Codes(vocabulary), TaskContext.get().partitionId() << 32, 0, []
 
         def packed() -> bytes:
-            return np.unique(np.concatenate([*met, np.empty(0, np.int64)])).tobytes()
+            found = np.sort(np.concatenate([*met, np.empty(0, np.int64)]))
+            return found[np.diff(found, prepend=found[:1] - 1) != 0].tobytes()
 
         for batch in batches:
             shards, words = [], []
@@ -381,15 +409,16 @@ def score_words(
     asked = asked.mapInPandas(_unpacked, "shard long, h long").join(rare, "h")
 
     def scored(mine: pa.Table, known: pa.Table) -> pa.Table:
-        h, n = known.column("h").to_numpy(), known.column("n").to_numpy()
+        h, n = known.column("h").to_numpy().view(np.uint64), known.column("n").to_numpy()
         order = np.argsort(h)
-        h, n = h[order], np.log(n[order] + 1.0)
+        places, n = Places(h[order]), np.append(np.log(n[order] + 1.0), 0.0)
 
         def share(found: np.ndarray) -> np.ndarray:
-            common = (found > 0) & (found <= FREQUENT)
-            at = np.minimum(np.searchsorted(h, found), max(len(h) - 1, 0))
-            count = np.where(h[at] == found, n[at], 0.0) if len(h) else np.zeros(len(found))
-            return np.where(common, 0.0, count - whole[found % len(whole)])
+            out, at_rare = np.zeros(len(found)), np.flatnonzero((found <= 0) | (found > FREQUENT))
+            found = found[at_rare]
+            at = places.of(found.view(np.uint64))
+            out[at_rare] = np.where(places.hashes[at] == found.view(np.uint64), n[at], 0.0) - whole[found % len(whole)]
+            return out
 
         n_tokens, log_prob = _scores(net, mine.column(text).to_pylist(), Codes(vocabulary), share)
         mine = mine.drop_columns([shard, words])

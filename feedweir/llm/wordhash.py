@@ -11,8 +11,9 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 
-# Bytes that are hashed together; longer texts are cut at a space, texts without one as they are.
-BUFFER = 1 << 19
+# Bytes that are hashed together, few enough for the sums over them to stay in a processor's cache; longer texts are cut
+# at a space, texts without one as they are.
+BUFFER = 1 << 17
 
 _U = np.uint64
 _rng = np.random.default_rng(20_240_607)
@@ -38,12 +39,20 @@ def _tables(size: int) -> tuple[np.ndarray, np.ndarray]:
 def _hashed(buffer: bytes) -> tuple[np.ndarray, np.ndarray]:
     """(hashes, first bytes) of the words of a buffer."""
     a = np.frombuffer(buffer, np.uint8)
-    inside = np.concatenate([[False], ~_SPACE[a], [False]])
-    edges = np.flatnonzero(inside[1:] != inside[:-1])
+    outside = np.ones(len(a) + 2, bool)
+    # bytes 9 to 13: smaller ones wrap around
+    np.less(a - np.uint8(9), 5, out=outside[1:-1])
+    outside[1:-1] |= a == 32
+    edges = np.flatnonzero(outside[1:] != outside[:-1])
     first, past = edges[::2], edges[1::2]
     up, down = _tables(len(a) + 1)
-    sums = np.concatenate([np.zeros(1, _U), np.cumsum(_BYTES[a] * up[: len(a)], dtype=_U)])
-    h = (sums[past] - sums[first]) * down[first]
+    values = np.take(_BYTES, a)
+    values *= up[: len(a)]
+    sums = np.zeros(len(a) + 1, _U)
+    np.cumsum(values, out=sums[1:])
+    h = sums[past]
+    h -= sums[first]
+    h *= down[first]
     h ^= h >> _U(31)
     h *= _U(0x9E3779B97F4A7C15)
     h ^= h >> _U(29)
@@ -67,28 +76,67 @@ def _cut(text: bytes) -> Iterator[bytes]:
     yield text[at:]
 
 
-def word_hashes(texts: Iterable[bytes]) -> Iterator[np.ndarray]:
-    """Per text, the hashes (uint64) of its words in order; words stand between the six ASCII spaces."""
+def hashes_in_rows(texts: Iterable[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """For some texts at a time, the hashes (uint64) of all their words in order, and every text's number of words."""
     held: list[bytes] = []
     size = 0
 
-    def flush() -> Iterator[np.ndarray]:
-        buffer = b"\n".join(held)
-        h, first = _hashed(buffer)
-        ends = np.cumsum([len(t) + 1 for t in held])
-        yield from np.split(h, np.searchsorted(first, ends)[:-1])
+    def flush() -> tuple[np.ndarray, np.ndarray]:
+        h, first = _hashed(b"\n".join(held))
+        past = np.cumsum([len(t) + 1 for t in held])
+        return h, np.diff(np.searchsorted(first, past), prepend=0)
 
     for text in texts:
         if len(text) > BUFFER:
             if held:
-                yield from flush()
+                yield flush()
                 held, size = [], 0
-            yield np.concatenate([_hashed(piece)[0] for piece in _cut(text)])
+            h = np.concatenate([_hashed(piece)[0] for piece in _cut(text)])
+            yield h, np.array([len(h)])
             continue
         if size + len(text) > BUFFER:
-            yield from flush()
+            yield flush()
             held, size = [], 0
         held.append(text)
         size += len(text) + 1
     if held:
-        yield from flush()
+        yield flush()
+
+
+def split_rows(row: np.ndarray, lengths: np.ndarray) -> Iterator[np.ndarray]:
+    """The parts of a row that have these lengths."""
+    begin = 0
+    for end in np.cumsum(lengths).tolist():
+        yield row[begin:end]
+        begin = end
+
+
+def word_hashes(texts: Iterable[bytes]) -> Iterator[np.ndarray]:
+    """Per text, the hashes (uint64) of its words in order; words stand between the six ASCII spaces."""
+    for h, lengths in hashes_in_rows(texts):
+        yield from split_rows(h, lengths)
+
+
+class Places:
+    """Sorted hashes (uint64) that others are looked up in.
+
+    A table by the leading bits tells where to begin, at most a few entries before the place, so a look-up touches two
+    places of memory and not one for every halving.
+    """
+
+    def __init__(self, hashes: np.ndarray) -> None:
+        # one entry more, so that every search ends at an entry
+        self.hashes = np.append(hashes, _U((1 << 64) - 1))
+        bits = max(len(hashes), 1).bit_length() + 2
+        self.shift = _U(64 - bits)
+        found = np.bincount((hashes >> self.shift).view(np.int64), minlength=1 << bits)
+        self.begins = (np.cumsum(found) - found).astype(np.int32)
+
+    def of(self, h: np.ndarray) -> np.ndarray:
+        """The first places whose entries are not smaller, as ``searchsorted`` finds them."""
+        at = np.take(self.begins, (h >> self.shift).view(np.int64))
+        late = np.flatnonzero(np.take(self.hashes, at) < h)
+        while len(late):
+            at[late] += 1
+            late = late[self.hashes[at[late]] < h[late]]
+        return at

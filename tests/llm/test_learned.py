@@ -3,6 +3,7 @@
 import zlib
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import functions as F
 
 from feedweir.llm import langid, pseudolikelihood, wordhash
@@ -153,3 +154,62 @@ def test_word_hashes():
         for w, h in zip(words, hashes.tolist(), strict=True):
             assert seen.setdefault(w, h) == h
     assert len(set(seen.values())) == len(seen) > 100_000
+
+
+def test_places_of_hashes():
+    rng = np.random.default_rng(3)
+    for n in (0, 1, 2, 700, 100_000):
+        hashes = np.sort(rng.integers(0, 1 << 64, n, dtype=np.uint64))
+        hashes = np.sort(np.concatenate([hashes, hashes[:2], np.arange(n % 9, dtype=np.uint64)]))
+        ends = np.array([0, 1, (1 << 63) - 1, 1 << 63, (1 << 64) - 1], np.uint64)
+        asked = np.concatenate([hashes, hashes + np.uint64(1), ends, rng.integers(0, 1 << 64, 5000, dtype=np.uint64)])
+        places = wordhash.Places(hashes)
+        assert np.array_equal(places.of(asked), np.searchsorted(places.hashes, asked))
+
+
+def test_scores_and_gradients_in_blocks(monkeypatch):
+    """Few tokens and bytes at a time, whatever comes together; gradients are those of all tokens in double precision."""
+    sizes, bytes_at_once, d = [], [], pseudolikelihood.DIGIT
+    forward, hashed = pseudolikelihood._forward, wordhash._hashed
+    monkeypatch.setattr(pseudolikelihood, "_forward", lambda net, row, at, *x: sizes.append(len(at)) or forward(net, row, at, *x))
+    monkeypatch.setattr(wordhash, "_hashed", lambda b: bytes_at_once.append(len(b)) or hashed(b))
+    rng, net = np.random.default_rng(4), pseudolikelihood.start()
+    net[1:] = [rng.standard_normal(p.shape).astype(np.float32) * np.float32(0.3) for p in net[1:]]
+    tables, bias, out, out_bias, given = (p.astype(float) for p in net)
+    row = rng.integers(0, pseudolikelihood.TOKENS, 20_000)
+    for size in (0, 1, 1024, 1025, 2047, 8191, 8192, 8193, 10_000):
+        at = rng.permutation(np.arange(2, 19_000))[:size]
+        h = np.tanh(sum(tables[k][row[at + o]] for k, o in enumerate(pseudolikelihood.OFFSETS)) + bias)
+        scores = np.exp((h @ out + out_bias).reshape(-1, 2, d) + np.stack([np.zeros((size, d)), given[row[at] // d]], axis=1))
+        scores /= scores.sum(axis=2, keepdims=True)
+        n, first, second = np.arange(size), row[at] // d, row[at] % d
+        expected = np.log(scores[n, 0, first]) + np.log(scores[n, 1, second])
+        assert np.allclose(pseudolikelihood.log_probabilities(net, row, at), expected, atol=1e-4)
+        if not size:
+            continue
+        scores[n, 0, first] -= 1
+        scores[n, 1, second] -= 1
+        ds = scores.reshape(size, -1) / size
+        dh = ds @ out.T * (1 - h * h)
+        dt, dg = np.zeros_like(tables), np.zeros_like(given)
+        for k, o in enumerate(pseudolikelihood.OFFSETS):
+            np.add.at(dt[k], row[at + o], dh)
+        np.add.at(dg, first, ds[:, d:])
+        for got, want in zip(pseudolikelihood.gradients(net, row, at), [dt, dh.sum(0), h.T @ ds, ds.sum(0), dg], strict=True):
+            assert np.allclose(got, want, atol=1e-6)
+    list(wordhash.word_hashes([b"some words " * 50] * 2000))
+    assert max(sizes) < 2 * pseudolikelihood.BLOCK and max(bytes_at_once) <= 1 << 17
+
+
+def test_word_counts_and_keys_of_odd_words(docs):
+    """Words of all six spaces and no others; the keys of many words, one longer than a buffer, are those of each alone."""
+    text = " \tA b\x0bb\n\nc d\rc D\x0cé\x1fé x" + "y" * 200_000 + " "
+    got = {r["w"]: r["n"] for r in pseudolikelihood.word_counts(docs([(1, text), (2, None), (3, ""), (4, " \n"), (4, "b")])).collect()}
+    assert got == {"a": 1, "b": 3, "c d": 2, "é\x1fé": 1, "x" + "y" * 200_000: 1}
+    words = [*got, *(f"w{i}" for i in range(30_000))]
+    codes = pseudolikelihood.Codes({b"b": 7, b"w5": 8})
+    alone = np.concatenate(list(pseudolikelihood.keys(words, codes)))
+    hashes = pseudolikelihood._word_key.func(pd.Series(words)).to_numpy()
+    known = np.array([w in ("b", "w5") for w in words])
+    assert np.array_equal(alone[~known], hashes[~known]) and alone[known].tolist() == [7, 8]
+    assert np.array_equal(next(pseudolikelihood.keys([" ".join(words)], codes)), alone)

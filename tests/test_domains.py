@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from feedweir.domains import dicom, fhir, hl7, osdu
+from feedweir.functions import documents
 
 ORU = (
     "MSH|^~\\&|LAB|HOSP|HIS|HIS|20240115140000||ORU^R01^ORU_R01|MSG2|P|2.5.1\r"
@@ -241,3 +242,59 @@ def test_only_lines_of_the_wanted_segment_are_rewritten(spark, rows):
         (3, 0, None, "MSH\rPID\rb", 4),
     ]
     assert [r[2] for r in got] == ["MSH", "PID", "Z\x1d1", "MSH", "PID", "MSH", "MSH"]
+
+
+def test_members_are_the_texts_of_variants(spark, rows):
+    """Resources of ordinary bundles are cut without variants, in the same letters; what is not sure is left to Spark."""
+
+    def bundle(resource):
+        return '{"resourceType": "Bundle", "total": 1.0, "entry": [{"fullUrl": "x"}, {"resource": ' + resource + "}]}"
+
+    deep, names = "[" * 380 + "]" * 380, ", ".join(f'"n{i}": {i}' for i in range(30))
+    sure = ['{"b": [1, 2.50, -0.0, 100.0], "a": {"Z": null, "_": true, "é": "ü \U0001f600"}}', '"text"', "7", "[]", "{ }", "null", deep]
+    sure += ['{"t": "a\\"b\\\\c\\/d\\n\\t\\u00e9\\ud83d\\ude00"}', "{" + names + "}", "123456789012345678901234567890", '{"x": "' + "y" * 60_000 + '"}']
+    texts = [bundle(r) for r in sure]
+    texts += ['{"entry": [{"resource": {"a": 1}}, 5, null, [{"resource": 2}]], "resourceType": "Bundle"}', '{"resourceType": "Bundle", "entry": {"resource": {}}}']
+    left = ['{"a": 1, "b": 2, "a": 3}', '{"\\u0061": 1, "a": 2}', '{"a": 1e-07}', '{"a": 0.1234567890123456789}', "9" * 39, '"\\ud83d"', '"\\u001b"', "NaN"]
+    left += ['{"\U0001f600": 1, "￮": 2}', '{"' + "n" * 50_001 + '": 1}', "[" * 1100 + "]" * 1100, "1} x", "{", '"\t"']
+    texts += [bundle(r) for r in left]
+    c = F.col("bundle")
+    written = F.transform(F.try_variant_get(F.try_parse_json(c), "$.entry", "array<variant>"), lambda e: F.to_json(F.try_variant_get(e, "$.resource", "variant")))
+    written = F.filter(written, lambda t: t.isNotNull())
+    df = spark.createDataFrame(list(enumerate(texts)), "k int, bundle string").repartition(3)
+    found = rows(df.select("k", documents.members(c, "Bundle", "entry", "resource"), written))
+    ordinary = len(sure) + 2
+    assert [k for k, made, _ in found if made is None] == list(range(ordinary, len(texts)))
+    assert [(k, made) for k, made, _ in found if made is not None] == [(k, text or []) for k, made, text in found if made is not None]
+    assert found[0][1] == ['{"a":{"Z":null,"_":true,"é":"ü \U0001f600"},"b":[1,2.5,0,100]}']
+    other = spark.createDataFrame([(None,), ("{}",), ('{"resourceType": "Patient", "entry": []}',), ("no",)], "bundle string")
+    assert other.select(documents.members(c, "Bundle", "entry", "resource").alias("m")).filter("m IS NOT NULL").count() == 0
+    broken = spark.sql("""SELECT CAST(concat(encode('{"resourceType":"Bundle","entry":[{"resource":"', 'UTF-8'), X'ff', encode('"}]}', 'UTF-8')) AS STRING) AS bundle""")
+    assert rows(broken.select(documents.members(c, "Bundle", "entry", "resource"))) == [(None,)]
+
+
+def test_bundle_entries_of_all_texts(spark, rows):
+    """Bundles cut in Python and bundles cut as variants come out of one table; a repeated name is no bundle to read."""
+    texts = ['{"resourceType": "Bundle", "entry": [{"resource": {"b": 1.0, "a": "x"}}]}', '{"resourceType": "Bundle", "entry": [{"resource": {"b": 1e-07, "a": "x"}}]}']
+    texts += ['{"resourceType": "Bundle", "entry": [{"resource": {"a": 1, "a": 2}}]}', '{"resourceType": "Bundle", "entry": []} rest', '{"entry": [{}]', None]
+    df = spark.createDataFrame([(k, t) for k, t in enumerate(texts[:4])], "k int, bundle string")
+    entries = fhir.bundle_entries(df.repartition(2), keep={"k": F.col("k")})
+    assert rows(entries) == [(0, '{"a":"x","b":1}'), (1, '{"a":"x","b":1.0E-7}')] and "ArrowEvalPython" in _plan(entries)
+    for text in texts[4:]:
+        with pytest.raises(Exception, match="not a Bundle: null"):
+            fhir.bundle_entries(spark.createDataFrame([(text,)], "bundle string")).collect()
+
+
+def test_parsed_structs_stay(spark, rows):
+    """Structs in which nothing is renamed or converted are not built again; others, and those parsed otherwise, are."""
+    raw = spark.createDataFrame([('{"value": 1.5, "unit": "u", "more": 1}',)], "raw_json string").repartition(2)
+    made = raw.select(fhir.datatype(F.col("raw_json"), "quantity").alias("q"))
+    assert rows(made.select("q.*")) == [(1.5, "u", None, None)] and "CASE WHEN" not in _plan(made)
+    wider = raw.select(F.from_json("raw_json", "value double, unit string, system string, code string, more long").alias("q"))
+    assert wider.select(fhir.typed(F.col("q"), "quantity").alias("t")).select("t.*").columns == ["value", "unit", "system", "code"]
+    text = '{"component": [{"code": {"coding": [{"code": "a"}]}, "valueQuantity": {"value": 2}}, null], "subject": {"reference": "r"}}'
+    found = fhir.resource_rows(spark.createDataFrame([(text,)], "raw_json string").repartition(2), "Observation", columns=["component", "subject", "has_member"])
+    assert _plan(found).count("transform(") == 1
+    row = found.first()
+    assert (row["component"][0]["code"]["coding"], row["component"][0]["value_quantity"][0], row["component"][1]) == ([(None, "a", None)], 2.0, None)
+    assert row["subject"] == ("r", None) and row["component"][0]["value_codeable_concept"] is None
